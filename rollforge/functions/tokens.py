@@ -102,3 +102,13 @@ def completion_mask(completion: Column, pads: Column, max_pads: Column, pad: int
 
 def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: x.cast("string")), ",")
+
+
+def positions(a: Column) -> Column:
+    """Running position inside the sequence."""
+    return F.transform(a, lambda x, i: i.cast("bigint"))
+
+
+def next_tokens(a: Column) -> Column:
+    """Label of each position: the token after it, NULL at the end."""
+    return F.transform(a, lambda x, i: F.get(a, i + 1))

@@ -43,6 +43,8 @@ def attach_stats(
       rows are spread over ``SALTS`` salted keys that match nothing there.
     """
     keys = list(keys)
+    if not keys:
+        raise ValueError("attach_stats needs at least one key")
     stats = materialize(stats, "stats")
     values = [c for c in stats.columns if c not in keys]
     if stats.count() <= broadcast_rows:
@@ -145,11 +147,13 @@ def exact_quantile(
     covers each of the two ranks next to ``q * (n - 1)``.
     """
     groups = list(groups)
+    if not groups:
+        raise ValueError("exact_quantile needs at least one group column")
     values = df.where(F.col(value).isNotNull())
     counts = values.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__n"))
     runs = range_running(counts, groups, [value], weight="__n", name="__before")
     totals = runs.groupBy(*groups).agg(F.sum("__n").alias("__total"))
-    ranked = runs.join(totals, groups) if groups else runs.join(F.broadcast(totals))
+    ranked = runs.join(totals, groups)
     rank = F.lit(float(q)) * (F.col("__total") - 1)
     low, high = F.floor(rank), F.ceil(rank)
     end = F.col("__before") + F.col("__n")
