@@ -286,7 +286,7 @@ def _(spark, sf):
 
 # two sequences per prompt, numbered by their id, with summed log-probs
 _ONLINE = """sums AS (SELECT seq_id, max(seq_id // 2) AS prompt_id, max(seq_id % 2) AS sample_idx, max(step) AS step, max(score) AS score,
- sum(CASE WHEN mask = 1 THEN logp ELSE 0 END) AS logp, sum(CASE WHEN mask = 1 THEN ref_logp ELSE 0 END) AS ref,
+ round(sum(CASE WHEN mask = 1 THEN logp ELSE 0 END), 6) AS logp, round(sum(CASE WHEN mask = 1 THEN ref_logp ELSE 0 END), 6) AS ref,
  bool_or(token_id = 2) AS eos FROM token_rows GROUP BY seq_id),
 prs AS (SELECT a.prompt_id, a.prompt_id % 20 AS batch, a.score >= b.score AS m, a.score AS sa, b.score AS sb, a.logp AS la, b.logp AS lb,
  a.ref AS ra, b.ref AS rb, a.eos AS ea, b.eos AS eb FROM sums a JOIN sums b ON a.prompt_id = b.prompt_id AND a.sample_idx = 0 AND b.sample_idx = 1),
@@ -298,7 +298,8 @@ o AS (SELECT prompt_id, batch, CASE WHEN m THEN sa ELSE sb END AS cs, CASE WHEN
 def _online(spark, sf):
     s = Y.sequence_logps(T.sequences(spark, sf), "logps", name="logp")
     s = Y.sequence_logps(s, "ref_logps", name="ref")
-    rows = s.select(F.expr("seq_id div 2").alias("prompt_id"), (F.col("seq_id") % 2).alias("sample_idx"), "score", "logp", "ref",
+    rows = s.select(F.expr("seq_id div 2").alias("prompt_id"), (F.col("seq_id") % 2).alias("sample_idx"), "score",
+                    F.round("logp", 6).alias("logp"), F.round("ref", 6).alias("ref"),
                     F.array_contains("token_ids", F.lit(2).cast("bigint")).alias("eos"))
     return J.pair_by_score(rows, score="score").withColumn("batch", F.col("prompt_id") % 20)
 
@@ -326,7 +327,7 @@ SELECT batch, {q('avg(cs - rs)', 'scores_margin')}, {q('avg((cs + rs) / 2)', 'sc
  {q(f'avg((cs + rs) / 2 - {_OKL} * 0.05e0)', 'total_reward')}, {q('avg(-(cl + rl) / 2)', 'entropy')},
  {q('avg((cl - cr) * 0.1e0)', 'reward_chosen')}, {q('avg((rl - rr) * 0.1e0)', 'reward_rejected')},
  {q('avg((cl - cr) * 0.1e0 - (rl - rr) * 0.1e0)', 'margin')},
- {q('avg(CAST(round((cl - cr) - (rl - rr), 9) > 0 AS DOUBLE))', 'accuracy')} FROM o GROUP BY batch""")
+ {q('avg(CAST((cl - cr) * 0.1e0 > (rl - rr) * 0.1e0 AS DOUBLE))', 'accuracy')} FROM o GROUP BY batch""")
 def _(spark, sf):
     m = D.online_pair_summary(_online(spark, sf), ["batch"])
     return m.select("batch", *[rounded(c) for c in m.columns if c != "batch"])
@@ -631,13 +632,13 @@ for _e in ("k1", "k3"):
 
 
 @query("gae", uses=["token_rows"], ctes=_token_reward_ctes("k1") + """,
-dl AS (SELECT seq_id, pos, value, reward + 0.99e0 * coalesce(lead(value) OVER (PARTITION BY seq_id ORDER BY pos), 0) - value AS d FROM tr),
-ad AS (SELECT a.seq_id, a.pos, max(a.value) AS value, sum(b.d * pow(0.99e0 * 0.95e0, b.pos - a.pos)) AS adv
+dl AS (SELECT seq_id, pos, value, reward + 0.9876543e0 * coalesce(lead(value) OVER (PARTITION BY seq_id ORDER BY pos), 0) - value AS d FROM tr),
+ad AS (SELECT a.seq_id, a.pos, max(a.value) AS value, sum(b.d * pow(0.9876543e0 * 0.95e0, b.pos - a.pos)) AS adv
  FROM dl a JOIN dl b ON a.seq_id = b.seq_id AND b.pos >= a.pos GROUP BY a.seq_id, a.pos)""",
        sql=f"SELECT seq_id, pos, {q('adv', 'advantage')}, {q('adv + value', 'ret')} FROM ad")
 def _(spark, sf):
     s = T.sequences(spark, sf).select("seq_id", "token_ids", "logps", "ref_logps", "score", "values")
-    g = Y.gae(Y.token_rewards(s, 0.05), gamma=0.99, lam=0.95)
+    g = Y.gae(Y.token_rewards(s, 0.05), gamma=0.9876543, lam=0.95)
     return g.select("seq_id", F.posexplode(F.arrays_zip("advantages", "returns")).alias("pos", "t")).select(
         "seq_id", "pos", rounded("t.advantages", "advantage"), rounded("t.returns", "ret"))
 

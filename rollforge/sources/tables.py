@@ -58,7 +58,7 @@ _TOKEN = {
     f" ELSE {_SEED} % 97 + 4 END",
     "logp": f"-(({_SEED} % 89) / 10e0) - 5e-2",
     "old_logp": f"-(({_SEED} % 89) / 10e0) - 5e-2 + (({_SEED} % 21) - 10) / 1e2",
-    "ref_logp": f"-(({_SEED} % 89) / 10e0) - 5e-2 + (({_SEED} % 31) - 15) / 5e1",
+    "ref_logp": f"-(({_SEED} % 89) / 10e0) - 5e-2 + (({_SEED} % 31) - 15) / 5e1 + 1e-3",
     "sampling_logp": f"-(({_SEED} % 89) / 10e0) - 5e-2 + (({_SEED} % 11) - 5) / 4e1",
     "entropy": f"({_SEED} % 101) / 5e1",
     "value": f"({_SEED} % 41) / 4e1",
@@ -96,9 +96,15 @@ def _select(df: DataFrame, exprs: dict[str, str], *keep: str) -> DataFrame:
 
 def rollouts(spark: SparkSession, sf: str) -> DataFrame:
     """run_id, step, epoch, prompt_id, sample_idx, prompt, answer, response."""
-    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    rows = orders.select("*", F.explode(F.expr(f"sequence(0L, {_SAMPLES} - 1)")).alias("i"))
-    return _select(rows.withColumn("v", F.expr(_VALUE)), {**_ROLLOUT, "response": _RESPONSE})
+    return rollouts_of(read(spark, sf, "orders")).drop("n")
+
+
+def rollouts_of(orders: DataFrame, *keep: str) -> DataFrame:
+    """The rollouts of an orders table or stream; stateless."""
+    rows = orders.select(
+        "o_orderkey", "o_custkey", *keep, F.explode(F.expr(f"sequence(0L, {_SAMPLES} - 1)")).alias("i"))
+    return _select(
+        rows.withColumn("v", F.expr(_VALUE)), {**_ROLLOUT, "response": _RESPONSE, "n": _SAMPLES}, *keep)
 
 
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
