@@ -10,6 +10,7 @@ from rollforge.operators import evalk as E
 from rollforge.operators import groups as G
 from rollforge.operators import joins as J
 from rollforge.operators import rewards as R
+from rollforge.plans.storage import materialize
 from rollforge.sources import tables as T
 
 SPECS = list(R.STANDARD)
@@ -25,6 +26,12 @@ def rewarded(spark, sf):
         "run_id", "step", "epoch", "prompt_id", "sample_idx", "reward")
 
 
+def scored_once(spark, sf):
+    """Rewards as a written narrow table, for jobs that read them twice (for
+    the group figures and for the rows): response text is read once."""
+    return materialize(rewarded(spark, sf).drop("epoch"), "scored")
+
+
 _Z_SQL = (f"z AS (SELECT {_ROW}, reward, (reward - avg(reward) OVER g) / (CASE WHEN stddev_samp(reward) OVER g = 0"
           f" THEN 1e0 ELSE stddev_samp(reward) OVER g END + 1e-8) AS advantage FROM rewarded"
           f" WINDOW g AS (PARTITION BY {_G}))")
@@ -43,7 +50,7 @@ SELECT {_B}, {q('avg(reward)', 'reward_mean')}, {q('stddev_samp(reward)', 'rewar
  {q('min(reward)', 'reward_min')}, {q('max(reward)', 'reward_max')},
  {q('avg(advantage)', 'advantage_mean')}, {q('stddev_samp(advantage)', 'advantage_std')} FROM z GROUP BY {_B}""")
 def _(spark, sf):
-    s = G.batch_reward_stats(G.group_z(rewarded(spark, sf)))
+    s = G.batch_reward_stats(G.group_z(scored_once(spark, sf)))
     return s.select(*G.BATCH, *[rounded(c) for c in s.columns if c not in G.BATCH])
 
 
@@ -84,7 +91,7 @@ def _(spark, sf):
 @query("advantage_group_z", uses=["rollouts"], ctes=f"{REWARDED_SQL}, {_Z_SQL}",
        sql=f"SELECT {_ROW}, {q('advantage', 'advantage')} FROM z")
 def _(spark, sf):
-    return G.group_z(rewarded(spark, sf)).select(*ROW, rounded("advantage"))
+    return G.group_z(scored_once(spark, sf)).select(*ROW, rounded("advantage"))
 
 
 _ZERO = "abs(stddev_samp(reward) OVER {w}) <= 1e-8 AS zero_std"
@@ -100,7 +107,7 @@ def _scaled_query(scale: str) -> None:
            ctes=REWARDED_SQL, sql=f"SELECT {_ROW}, {q(expr, 'advantage')}, {zero} FROM rewarded"
            f" WINDOW g AS (PARTITION BY {_G}), b AS (PARTITION BY {_B})")
     def _(spark, sf):
-        return G.scaled(rewarded(spark, sf), scale).select(*ROW, rounded("advantage"), "zero_std")
+        return G.scaled(scored_once(spark, sf), scale).select(*ROW, rounded("advantage"), "zero_std")
 
 
 for _scale in ("group", "batch", "none"):
@@ -111,7 +118,7 @@ for _scale in ("group", "batch", "none"):
 SELECT {_ROW}, {q('''(reward - avg(reward) OVER b) / (CASE WHEN stddev_samp(reward) OVER b = 0 THEN 1e0
  ELSE stddev_samp(reward) OVER b END + 1e-8)''', 'advantage')} FROM rewarded WINDOW b AS (PARTITION BY {_B})""")
 def _(spark, sf):
-    return G.batch_z(rewarded(spark, sf)).select(*ROW, rounded("advantage"))
+    return G.batch_z(scored_once(spark, sf)).select(*ROW, rounded("advantage"))
 
 
 _LOO = "CASE WHEN count(reward) OVER g > 1 THEN reward - (sum(reward) OVER g - reward) / (count(reward) OVER g - 1) END"
@@ -120,7 +127,7 @@ _LOO = "CASE WHEN count(reward) OVER g > 1 THEN reward - (sum(reward) OVER g - r
 @query("advantage_rloo", uses=["rollouts"], ctes=REWARDED_SQL,
        sql=f"SELECT {_ROW}, {q(_LOO, 'advantage')} FROM rewarded WINDOW g AS (PARTITION BY {_G})")
 def _(spark, sf):
-    return G.leave_one_out(rewarded(spark, sf)).select(*ROW, rounded("advantage"))
+    return G.leave_one_out(scored_once(spark, sf)).select(*ROW, rounded("advantage"))
 
 
 @query("advantage_whiten", uses=["rollouts"], ctes=f"""{REWARDED_SQL},
@@ -128,7 +135,7 @@ l AS (SELECT {_ROW}, {_LOO} AS a FROM rewarded WINDOW g AS (PARTITION BY {_G}))"
 SELECT {_ROW}, {q('(a - avg(a) OVER b) / (stddev_samp(a) OVER b + 1e-4)', 'whitened')} FROM l
 WINDOW b AS (PARTITION BY {_B})""")
 def _(spark, sf):
-    return G.whiten(G.leave_one_out(rewarded(spark, sf))).select(*ROW, rounded("whitened"))
+    return G.whiten(G.leave_one_out(scored_once(spark, sf))).select(*ROW, rounded("whitened"))
 
 
 # --------------------------------------------------------------- evaluation

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollforge.catalog.groups_eval import REWARDED_SQL, rewarded
+from rollforge.catalog.groups_eval import REWARDED_SQL
 from rollforge.catalog.registry import q, query, rounded, sql_ids, sql_tokens
 from rollforge.catalog.text_rewards import SQL_REWARD
 from rollforge.functions import tokens as K
-from rollforge.operators import groups as G
 from rollforge.operators import prep as P
 from rollforge.operators import reports as V
 from rollforge.operators import rewards as R
 from rollforge.operators import sampling as S
-from rollforge.plans.storage import scratch_path
+from rollforge.plans.storage import materialize, scratch_path
 from rollforge.schemas import RECORD
 from rollforge.sources import records
 from rollforge.sources import tables as T
@@ -199,7 +198,7 @@ v AS (SELECT token, row_number() OVER (ORDER BY md5('7:' || token), token) + 3 A
        sql="""SELECT doc_id, md5(string_agg(CAST(token_id AS VARCHAR), ',' ORDER BY pos)) AS ids, count(*) AS n
 FROM w JOIN v ON w.token = v.token GROUP BY doc_id""")
 def _(spark, sf):
-    docs = T.read(spark, sf, "documents").select("doc_id", "text")
+    docs = T.documents(spark, sf)
     coded = P.encode(docs, P.build_vocab(docs), "doc_id")
     return coded.select("doc_id", F.md5(K.as_text(F.col("input_ids"))).alias("ids"),
                         F.size("input_ids").cast("bigint").alias("n"))
@@ -288,7 +287,7 @@ for _flag in (False, True):
 SELECT doc_id, md5(array_to_string(ids[1:256], ',')) AS ids, least(256, len(ids)) AS n FROM
  (SELECT doc_id, {sql_tokens('text')} AS ids FROM documents)""")
 def _(spark, sf):
-    p = P.prep_texts(T.read(spark, sf, "documents").select("doc_id", "text"), "text", 256)
+    p = P.prep_texts(T.documents(spark, sf), "text", 256)
     return p.select("doc_id", F.md5(K.as_text(F.col("input_ids"))).alias("ids"),
                     F.size("input_ids").cast("bigint").alias("n"))
 
@@ -386,8 +385,8 @@ o AS (SELECT shard, id, row_number() OVER (PARTITION BY shard ORDER BY doc_id, p
 SELECT shard, spot // 512 AS block, md5(string_agg(CAST(id AS VARCHAR), ',' ORDER BY spot)) AS ids, count(*) AS n
 FROM o GROUP BY shard, spot // 512""")
 def _(spark, sf):
-    docs = T.read(spark, sf, "documents").select("doc_id", "text")
-    ids = P.prep_texts(docs, "text", None)
+    docs = T.read(spark, sf, "documents")
+    ids = P.prep_texts(T.documents(spark, sf), "text", None)
     packed = P.pack_wrapped(ids, "doc_id", "input_ids", 512, P.shard_count(docs, 400))
     return packed.select("shard", "block", F.md5(K.as_text(F.col("input_ids"))).alias("ids"),
                          F.size("input_ids").cast("bigint").alias("n"))
@@ -395,8 +394,8 @@ def _(spark, sf):
 
 @query("pack_sequences_bfd")
 def _(spark, sf):
-    docs = T.read(spark, sf, "documents").select("doc_id", "text")
-    ids = P.prep_texts(docs, "text", None)
+    docs = T.read(spark, sf, "documents")
+    ids = P.prep_texts(T.documents(spark, sf), "text", None)
     packed = P.pack_best_fit(ids, "doc_id", "input_ids", 512, P.shard_count(docs, 400))
     return packed.select("shard", "block", F.md5(K.as_text(F.col("input_ids"))).alias("ids"),
                          F.size("input_ids").cast("bigint").alias("n"))
@@ -411,11 +410,13 @@ SELECT run_id, step, 'Sample ' || CAST(rank AS VARCHAR) AS sample,
  CASE WHEN length(response) > 200 THEN substr(response, 1, 200) || '...' ELSE response END AS response,
  printf('%.4f', reward) AS reward FROM k WHERE rank <= 5""")
 def _(spark, sf):
-    r = R.combine(R.score(T.rollouts(spark, sf), R.STANDARD), R.STANDARD)
-    return V.sample_table(r, ["run_id", "step"], ["prompt_id", "sample_idx"], 5)
+    top = V.top_rows(T.rollouts(spark, sf), ["run_id", "step"], ["prompt_id", "sample_idx"], 5)
+    return V.sample_table(R.combine(R.score(top, R.STANDARD), R.STANDARD), ["run_id", "step"])
 
 
 _ROW = "run_id, step, prompt_id, sample_idx"
+KEYS = ["run_id", "step", "prompt_id", "sample_idx"]
+NAMES = [s.name for s in R.STANDARD]
 
 
 @query("completions_table", uses=["rollouts"], ctes=REWARDED_SQL, sql=f"""
@@ -424,12 +425,18 @@ SELECT {_ROW}, {', '.join(q(SQL_REWARD[f], n) for n, f in [('correctness', 'corr
  {q('''(reward - avg(reward) OVER g) / (CASE WHEN stddev_samp(reward) OVER g = 0 THEN 1e0 ELSE stddev_samp(reward) OVER g END + 1e-8)''', 'advantage')}
 FROM rewarded WINDOW g AS (PARTITION BY run_id, step, prompt_id)""")
 def _(spark, sf):
-    keys = ["run_id", "step", "prompt_id", "sample_idx"]
-    names = [s.name for s in R.STANDARD]
-    long = R.long_rewards(R.score(T.rollouts(spark, sf), R.STANDARD), R.STANDARD, keys)
-    adv = G.group_z(rewarded(spark, sf)).select(*keys, "advantage")
-    t = V.completions_table(long, adv, keys, names)
-    return t.select(*keys, *[rounded(n) for n in names], rounded("advantage"))
+    scored = R.combine(R.score(T.rollouts(spark, sf), R.STANDARD), R.STANDARD)
+    kept = materialize(scored.select(*KEYS, "reward", *[f"reward_{n}" for n in NAMES]), "scored")
+    t = V.completions_table(kept, KEYS, NAMES)
+    return t.select(*KEYS, *[rounded(n) for n in NAMES], rounded("advantage"))
+
+
+@query("completions_table_long", uses=["rollouts"], sql=f"""
+SELECT {_ROW}, {', '.join(q(SQL_REWARD[f], n) for n, f in [('correctness', 'correctness'), ('digit', 'digit'),
+ ('format', 'format_partial'), ('marks', 'marks')])} FROM rollouts""")
+def _(spark, sf):
+    long = R.long_rewards(R.score(T.rollouts(spark, sf), R.STANDARD), R.STANDARD, KEYS)
+    return V.pivot_rewards(long, KEYS, NAMES).select(*KEYS, *[rounded(n) for n in NAMES])
 
 
 @query("unique_prompts", uses=["rollouts"], sql="""

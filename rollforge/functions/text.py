@@ -12,12 +12,17 @@ THINK_OPEN, THINK_CLOSE = "<think>", "</think>"
 ANSWER_OPEN, ANSWER_CLOSE = "<answer>", "</answer>"
 TAGS = (THINK_OPEN, THINK_CLOSE, ANSWER_OPEN, ANSWER_CLOSE)
 
-# whitespace as Unicode has it, plus the four ASCII separators
-_SPACE = r"[\s\x1c-\x1f]"
+# fixed values: the characters that count as whitespace around an answer
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_SPACE = f"[{WHITESPACE}]"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)\A{_SPACE}+|{_SPACE}+\z", "")
+    """Trim by a character list: no regular expression in the hot path."""
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def final_answer(solution: Column) -> Column:
@@ -35,9 +40,10 @@ def tagged_answer(response: Column) -> Column:
 
 def normalize_answer(text: Column) -> Column:
     """Drop ``$``, join ``digit,digit``, keep a leading number if there is one."""
-    joined = strip(F.regexp_replace(F.replace(text, F.lit("$"), F.lit("")), r"(?U)(\d),(\d)", "$1$2"))
-    number = F.regexp_extract(joined, r"(?U)\A(\d+(?:\.\d+)?)", 1)
-    return F.when(number != "", number).otherwise(joined)
+    plain = F.replace(text, F.lit("$"), F.lit(""))
+    grouped = F.regexp_replace(plain, r"(?U)(\d),(\d)", "$1$2")
+    joined = strip(F.when(text.contains(","), grouped).otherwise(plain))
+    return F.regexp_replace(joined, r"(?Us)\A(\d+(?:\.\d+)?).*\z", "$1")
 
 
 def has(text: Column, *parts: str) -> Column:
@@ -48,7 +54,7 @@ def has(text: Column, *parts: str) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, rf"(?U){_SPACE}+"), lambda w: w != ""))
+    return F.size(F.filter(F.split(text, rf"{_SPACE}+"), lambda w: w != ""))
 
 
 def occurrences(text: Column, part: str) -> Column:

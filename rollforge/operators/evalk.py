@@ -33,7 +33,10 @@ def _sampled(k: int) -> Column:
     return (F.col("decode") == "sample") & (F.col("sample_idx") < k)
 
 
-def per_question(graded: DataFrame, keys: Sequence[str] = KEYS, ks: Sequence[int] = (5, 10)) -> DataFrame:
+def per_question(
+    graded: DataFrame, keys: Sequence[str] = KEYS, ks: Sequence[int] = (5, 10), extra: Sequence[Column] = ()
+) -> DataFrame:
+    """Flags, counts and the greedy answer of each question; one aggregation."""
     hit = F.col("correct").cast("int")
     return graded.groupBy(*keys, "question_id").agg(
         F.coalesce(F.max(F.when(_greedy(), hit)), F.lit(0)).alias("pass_1"),
@@ -41,6 +44,7 @@ def per_question(graded: DataFrame, keys: Sequence[str] = KEYS, ks: Sequence[int
         *[F.coalesce(F.sum(F.when(_sampled(k), hit)), F.lit(0)).alias(f"correct_in_{k}") for k in ks],
         F.max(F.when(_greedy(), F.col("given"))).alias("greedy_answer"),
         F.max("truth").alias("truth"),
+        *extra,
     )
 
 
@@ -57,17 +61,9 @@ def pass_at_k(graded: DataFrame, keys: Sequence[str] = KEYS, ks: Sequence[int] =
 def detail(graded: DataFrame, keys: Sequence[str] = KEYS, samples: int = 10) -> DataFrame:
     """Per question: the greedy answer, the first ``samples`` sampled answers in
     order, counts and flags. The answer list holds ``samples`` entries at most."""
-    q = per_question(graded, keys, (5, 10))
-    answers = (
-        graded.where(_sampled(samples))
-        .groupBy(*keys, "question_id")
-        .agg(F.sort_array(F.collect_set(F.struct("sample_idx", "given"))).alias("s"))
-        .select(*keys, "question_id", F.col("s.given").alias("sampled_answers"))
-    )
-    empty = F.array().cast("array<string>")
-    return q.join(answers, [*keys, "question_id"], "left").withColumn(
-        "sampled_answers", F.coalesce("sampled_answers", empty)
-    )
+    answer = F.when(_sampled(samples), F.struct("sample_idx", "given"))
+    answers = F.sort_array(F.collect_set(answer))["given"].alias("sampled_answers")
+    return per_question(graded, keys, (5, 10), [answers])
 
 
 def order_violations(passes: DataFrame) -> DataFrame:

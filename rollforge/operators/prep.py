@@ -197,13 +197,14 @@ def shard_count(df: DataFrame, shard_rows: int) -> int:
 
 def pack_wrapped(df: DataFrame, key: str, ids: str, block: int, shards: int) -> DataFrame:
     """Concatenate the sequences of a shard in key order and cut every ``block``
-    tokens. Only lengths are summed in the window; token pieces are cut inside
-    the row, and at most ``block`` pieces meet in a block."""
-    sharded = df.select(key, ids).withColumn("shard", shard_of(F.col(key), shards)).where(F.size(ids) > 0)
+    tokens. A shard has a bounded number of sequences; token pieces are cut
+    inside the row, and at most ``block`` pieces meet in a block. Blocks are
+    inside shards, so that gathering them needs no second shuffle."""
+    sharded = df.select(key, ids).withColumn("shard", shard_of(F.col(key), shards))
     w = Window.partitionBy("shard").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    lengths = sharded.select("shard", key, F.size(ids).cast("bigint").alias("__len"))
-    starts = lengths.withColumn("__start", F.coalesce(F.sum("__len").over(w), F.lit(0).cast("bigint"))).drop("__len")
-    placed = sharded.join(starts, ["shard", key])
+    length = F.size(ids).cast("bigint")
+    placed = sharded.withColumn("__start", F.coalesce(F.sum(length).over(w), F.lit(0).cast("bigint")))
+    placed = placed.where(length > 0)
     first = F.expr(f"__start div {block}")
     end = F.expr(f"(__start + size({ids}) - 1) div {block}")
     pieces = placed.withColumn("block", F.explode(F.sequence(first, end)))
@@ -222,6 +223,7 @@ def pack_best_fit(df: DataFrame, key: str, ids: str, block: int, shards: int) ->
     unless longer than a block. Only keys and lengths go through Python."""
     pieces = df.select(key, F.explode(F.sequence(F.lit(0), F.greatest(F.size(ids) - 1, F.lit(0)), F.lit(block))).alias("low"), F.col(ids).alias("__ids"))
     pieces = pieces.select(key, "low", F.slice("__ids", F.col("low") + 1, F.lit(block)).alias("piece")).where(F.size("piece") > 0)
+    pieces = materialize(pieces, "pieces")
     sizes = pieces.select(shard_of(F.col(key), shards).alias("shard"), key, "low", F.size("piece").alias("n"))
 
     def place(part: pd.DataFrame) -> pd.DataFrame:

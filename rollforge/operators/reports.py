@@ -8,25 +8,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollforge.functions import text as X
+from rollforge.operators.groups import group_z
 from rollforge.operators.sampling import random_k
 
 
-def sample_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """First n samples per step as printed rows. The rank filter is applied per
-    partition before the shuffle."""
+def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """First n rows per key with their ``rank``. For n up to 1000 the rank
+    filter is applied per partition before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    top = df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def sample_table(top: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ranked, scored samples as printed rows. Score after ``top_rows``, so that
+    only the printed rows are scored."""
     return top.select(
         *keys, F.format_string("Sample %d", "rank").alias("sample"), X.cut(F.col("prompt"), 100).alias("prompt"),
         X.cut(F.col("response"), 200).alias("response"), F.format_string("%.4f", "reward").alias("reward"),
     )
 
 
-def completions_table(rewards: DataFrame, advantages: DataFrame, keys: Sequence[str], funcs: Sequence[str]) -> DataFrame:
-    """One row per completion: a column per reward function, and the advantage.
-    The pivot has a fixed list of names, so it costs one aggregation."""
-    wide = rewards.groupBy(*keys).pivot("func", list(funcs)).agg(F.first("value"))
-    return wide.join(advantages, list(keys))
+def completions_table(scored: DataFrame, keys: Sequence[str], funcs: Sequence[str]) -> DataFrame:
+    """One row per completion: a column per reward function, and the group
+    advantage of the total. Scored rows hold all of it but the group figures."""
+    wide = scored.select(*keys, "reward", *[F.col(f"reward_{f}").alias(f) for f in funcs])
+    return group_z(wide).select(*keys, *funcs, "advantage")
+
+
+def pivot_rewards(rewards: DataFrame, keys: Sequence[str], funcs: Sequence[str]) -> DataFrame:
+    """The same columns from a long reward table. The pivot has a fixed list of
+    names, so it costs one aggregation."""
+    return rewards.groupBy(*keys).pivot("func", list(funcs)).agg(F.first("value"))
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

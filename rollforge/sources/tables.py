@@ -13,10 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer splits than the session has cores (one
+    small file). A table of many splits is returned as it is: no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _orders(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(read(spark, sf, "orders").select("o_orderkey", "o_custkey"))
+
+
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(read(spark, sf, "documents").select("doc_id", "text"))
+
+
 def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     """One named split of a table partitioned by ``split``."""
     return spark.read.parquet(path).where(F.col("split") == split)
@@ -96,7 +111,7 @@ def _select(df: DataFrame, exprs: dict[str, str], *keep: str) -> DataFrame:
 
 def rollouts(spark: SparkSession, sf: str) -> DataFrame:
     """run_id, step, epoch, prompt_id, sample_idx, prompt, answer, response."""
-    return rollouts_of(read(spark, sf, "orders")).drop("n")
+    return rollouts_of(_orders(spark, sf)).drop("n")
 
 
 def rollouts_of(orders: DataFrame, *keep: str) -> DataFrame:
@@ -108,7 +123,7 @@ def rollouts_of(orders: DataFrame, *keep: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    orders = _orders(spark, sf)
     return _select(orders, {k: _ROLLOUT[k] for k in ("prompt_id", "prompt", "answer")})
 
 
@@ -139,14 +154,14 @@ _EVAL_SAMPLES = "2 + o_custkey % 11"
 
 def eval_rollouts(spark: SparkSession, sf: str) -> DataFrame:
     """A greedy response (i = 0) and 1 to 11 samples per question, 3 epochs."""
-    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    orders = _orders(spark, sf)
     rows = orders.select("*", F.explode(F.expr(f"sequence(0L, {_EVAL_SAMPLES} - 1)")).alias("i"))
     return _select(rows.select("*", F.explode(F.expr("sequence(0L, 2L)")).alias("e")), _EVAL)
 
 
 def token_rows(spark: SparkSession, sf: str) -> DataFrame:
     """One row per token."""
-    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey").withColumn("n", F.expr(_TOKENS))
+    orders = _orders(spark, sf).withColumn("n", F.expr(_TOKENS))
     rows = orders.select("*", F.explode(F.expr("sequence(0L, n - 1)")).alias("i"))
     exprs = {k: f"CAST({e} AS {TOKEN_TYPES.get(k, 'DOUBLE')})" for k, e in _TOKEN.items()}
     return _select(rows, {**_SEQ, "pos": "CAST(i AS INT)", **exprs})
@@ -154,7 +169,7 @@ def token_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def sequences(spark: SparkSession, sf: str) -> DataFrame:
     """One row per sequence; the token columns as arrays, built inside the row."""
-    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey").withColumn("n", F.expr(_TOKENS))
+    orders = _orders(spark, sf).withColumn("n", F.expr(_TOKENS))
     arrays = {
         f"{k}s": f"transform(sequence(0L, n - 1), i -> CAST({e} AS {TOKEN_TYPES.get(k, 'DOUBLE')}))"
         for k, e in _TOKEN.items()
@@ -163,7 +178,7 @@ def sequences(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pair_logps(spark: SparkSession, sf: str) -> DataFrame:
-    return _select(read(spark, sf, "orders").select("o_orderkey", "o_custkey"), _PAIR_LOGPS)
+    return _select(_orders(spark, sf), _PAIR_LOGPS)
 
 
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,7 +196,7 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def unpaired(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents as prompt head and completion, with a quality label."""
-    docs = read(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf)
     labels = read(spark, sf, "labels").select("doc_id", "quality")
     return docs.join(labels, "doc_id").select(
         F.col("doc_id").alias("row_id"), F.substring("text", 1, 40).alias("prompt"),
@@ -191,7 +206,7 @@ def unpaired(spark: SparkSession, sf: str) -> DataFrame:
 
 def unpaired_logps(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled rows with policy, reference and mismatched-pair log-probs."""
-    return _select(read(spark, sf, "orders").select("o_orderkey", "o_custkey"), _UNPAIRED_LOGPS)
+    return _select(_orders(spark, sf), _UNPAIRED_LOGPS)
 
 
 _UNPAIRED_LOGPS = {
@@ -208,7 +223,7 @@ _UNPAIRED_LOGPS = {
 
 
 def judge_ranks(spark: SparkSession, sf: str) -> DataFrame:
-    return _select(read(spark, sf, "orders").select("o_orderkey", "o_custkey"), _JUDGE)
+    return _select(_orders(spark, sf), _JUDGE)
 
 
 _JUDGE = {
@@ -233,7 +248,7 @@ _DUEL = {
 
 
 def duels(spark: SparkSession, sf: str) -> DataFrame:
-    return _select(read(spark, sf, "orders").select("o_orderkey", "o_custkey"), _DUEL)
+    return _select(_orders(spark, sf), _DUEL)
 
 
 def steps(spark: SparkSession, sf: str) -> DataFrame:
