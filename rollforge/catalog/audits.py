@@ -504,17 +504,12 @@ _REDUCED = {
 }
 
 
-@query("policy_loss_reduce", uses=["token_rows"], ctes=_policy_ctes(beta=0.04), sql=" UNION ALL ".join(
-    f"SELECT run_id, step, '{n}' AS loss_type, {q(e, 'loss')} FROM pr GROUP BY run_id, step" for n, e in _REDUCED.items()))
+@query("policy_loss_reduce", uses=["token_rows"], ctes=_policy_ctes(beta=0.04), sql="SELECT run_id, step, " + ", ".join(
+    q(e, f"loss_{n}") for n, e in _REDUCED.items()) + " FROM pr GROUP BY run_id, step")
 def _(spark, sf):
     rows = Y.policy_rows(T.sequences(spark, sf), beta=0.04).select("run_id", "step", "loss_sum", "row_loss", "tokens")
-    parts = [
-        Y.reduce_policy_loss(rows, n, max_completion=16, workers=4, accumulation=2).select(
-            "run_id", "step", F.lit(n).alias("loss_type"), rounded("loss")) for n in Y.POLICY_LOSSES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    reduced = Y.reduce_policy_loss(rows, Y.POLICY_LOSSES, max_completion=16, workers=4, accumulation=2)
+    return reduced.select("run_id", "step", *[rounded(f"loss_{n}") for n in Y.POLICY_LOSSES])
 
 
 @query("audit_sequence_ratio", uses=["token_rows"], ctes="""

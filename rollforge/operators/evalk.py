@@ -77,7 +77,8 @@ def transitions(graded: DataFrame, run: str = "run_id") -> DataFrame:
     """Per question and epoch: did the greedy answer change, become right or
     wrong, and for how many epochs has it been the same. The window runs over
     one row per epoch."""
-    q = per_question(graded, (run, "epoch")).select(run, "question_id", "epoch", "greedy_answer", "pass_1")
+    greedy = graded.where(_greedy())
+    q = per_question(greedy, (run, "epoch"), ()).select(run, "question_id", "epoch", "greedy_answer", "pass_1")
     w = Window.partitionBy(run, "question_id").orderBy("epoch")
     before, right_before = F.lag("greedy_answer").over(w), F.lag("pass_1").over(w)
     changed = F.when(before.isNull(), False).otherwise(~before.eqNullSafe(F.col("greedy_answer")))

@@ -7,25 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollforge.plans.skew import attach_stats, range_running
+from rollforge.plans.skew import fits_broadcast, join_lookup, range_running
+from rollforge.plans.storage import materialize
 from rollforge.schemas import require
 
 
 def join_answers(rollouts: DataFrame, prompts: DataFrame, key: str = "prompt_id") -> DataFrame:
-    """Answer and other prompt columns repeated to each of its rollouts.
-
-    A prompt with very many rollouts is a hot key; ``attach_prompts`` is the
-    variant for that, this one leaves skewed partitions to adaptive execution.
-    """
+    """Answer and other prompt columns repeated to each of its rollouts; a
+    prompt may have any number of them."""
     require(rollouts, [key], "join_answers")
-    return rollouts.join(require(prompts, [key], "join_answers"), key)
-
-
-def attach_prompts(rollouts: DataFrame, prompts: DataFrame, key: str = "prompt_id") -> DataFrame:
-    """``join_answers`` with the hot prompts found first and joined without
-    moving their rollouts to one task."""
-    sizes = rollouts.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    return attach_stats(rollouts, prompts.join(sizes, key), [key], n="__n").where(F.col("__n").isNotNull()).drop("__n")
+    return join_lookup(rollouts, require(prompts, [key], "join_answers"), key)
 
 
 def unmatched(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
@@ -134,5 +125,7 @@ def leakage(rows: DataFrame, held_out: DataFrame, text: str) -> DataFrame:
 
 
 def without_leaked(rows: DataFrame, held_out: DataFrame, text: str) -> DataFrame:
-    """Rows whose text is not held out."""
-    return rows.join(held_out.select(text).distinct(), text, "left_anti")
+    """Rows whose text is not held out. A held-out set beyond the broadcast size
+    is joined by shuffle, where adaptive execution splits a much copied text."""
+    known = materialize(held_out.select(text).distinct(), "held-out")
+    return rows.join(F.broadcast(known) if fits_broadcast(known) else known, text, "left_anti")

@@ -122,28 +122,32 @@ POLICY_LOSSES = ("grpo", "bnpo", "dr_grpo", "dapo")
 
 
 def reduce_policy_loss(
-    rows: DataFrame, loss_type: str, keys: Sequence[str] = BATCH, max_completion: int | None = None,
+    rows: DataFrame, loss_types: Sequence[str], keys: Sequence[str] = BATCH, max_completion: int | None = None,
     workers: int = 1, accumulation: int = 1,
 ) -> DataFrame:
-    """Batch loss from the per-sequence sums.
+    """Batch losses from the per-sequence sums, one ``loss_<type>`` column each
+    from a single aggregation.
 
     ``grpo``: mean of masked means; ``bnpo``: token sum / tokens; ``dr_grpo``:
     token sum / (rows * max_completion); ``dapo``: token sum / (tokens / workers).
     The first three are divided by ``accumulation``.
     """
-    one_of(loss_type, POLICY_LOSSES, "loss type")
     total, tokens = F.sum("loss_sum"), F.greatest(F.sum("tokens"), F.lit(1.0))
-    if loss_type == "grpo":
-        loss = F.avg("row_loss") / accumulation
-    elif loss_type == "bnpo":
-        loss = total / tokens / accumulation
-    elif loss_type == "dr_grpo":
-        if not max_completion:
-            raise ValueError("dr_grpo needs max_completion")
-        loss = total / (F.count(F.lit(1)) * max_completion) / accumulation
-    else:
-        loss = total / (tokens / workers)
-    return rows.groupBy(*keys).agg(loss.alias("loss"))
+    losses = []
+    for loss_type in loss_types:
+        one_of(loss_type, POLICY_LOSSES, "loss type")
+        if loss_type == "grpo":
+            loss = F.avg("row_loss") / accumulation
+        elif loss_type == "bnpo":
+            loss = total / tokens / accumulation
+        elif loss_type == "dr_grpo":
+            if not max_completion:
+                raise ValueError("dr_grpo needs max_completion")
+            loss = total / (F.count(F.lit(1)) * max_completion) / accumulation
+        else:
+            loss = total / (tokens / workers)
+        losses.append(loss.alias(f"loss_{loss_type}"))
+    return rows.groupBy(*keys).agg(*losses)
 
 
 def sequence_ratio(df: DataFrame, eps_low: float = 0.2, eps_high: float = 0.2) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollforge.plans.skew import BROADCAST_ROWS, digest, hash_position, range_running
+from rollforge.plans.skew import digest, fits_broadcast, hash_position, range_running
 from rollforge.schemas import require
 
 # Up to this many rows, a top-n over all partitions is cheaper than numbering
@@ -22,7 +22,7 @@ def first_in_hash_order(df: DataFrame, key: str, n: int, seed: int) -> DataFrame
     """The first ``n`` rows with their 0-based ``position``."""
     require(df, [key], "first_in_hash_order")
     if n > TOP_N_ROWS:
-        return hash_position(df, key, seed).where(F.col("position") < n)
+        return hash_position(df, key, seed, limit=n)
     top = df.withColumn("__digest", digest(F.col(key), seed)).orderBy("__digest", key).limit(n)
     w = Window.orderBy("__digest", key)
     return top.withColumn("position", (F.row_number().over(w) - 1).cast("bigint")).drop("__digest")
@@ -69,7 +69,10 @@ def bootstrap_sample(df: DataFrame, key: str, cls: str, n: int, seed: int = 42)
 
 
 def head_limit(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """First n rows in an explicit order."""
+    """First n rows in an explicit order, which must be total for a large n:
+    those are numbered by range slices instead of being sorted in one task."""
+    if n > TOP_N_ROWS:
+        return range_running(df, [], order, name="__index").where(F.col("__index") < n).drop("__index")
     return df.orderBy(*order).limit(n)
 
 
@@ -85,7 +88,7 @@ def cycle_to_n(df: DataFrame, key: str, n: int) -> DataFrame:
     size = rows.count()
     if size == 0:
         return rows.withColumn("row", F.col("__index")).drop("__index")
-    if size <= BROADCAST_ROWS:
+    if fits_broadcast(rows):
         slots = spark.range(n).withColumn("__index", F.col("id") % size).withColumnRenamed("id", "row")
         return slots.join(F.broadcast(rows), "__index").drop("__index")
     kept = rows.where(F.col("__index") < n)

@@ -13,14 +13,33 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollforge.plans.storage import materialize
 
+# A table is broadcast only after its rows and bytes were counted.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 HOT_GROUPS = 1024
 SALTS = 256
 
 
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of the values (fixed-size values count 16)."""
+    sizes = [
+        F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 if isinstance(f.dataType, (T.StringType, T.BinaryType))
+        else F.size(f.name) * 16 + 16 if isinstance(f.dataType, T.ArrayType) else F.lit(16)
+        for f in df.schema.fields
+    ]
+    row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes, F.lit(0)).cast("bigint")), F.lit(0))).first()
+    return row[0], row[1]
+
+
+def fits_broadcast(df: DataFrame, rows: int | None = None) -> bool:
+    n, size = size_of(df)
+    return n <= (BROADCAST_ROWS if rows is None else rows) and size <= BROADCAST_BYTES
+
+
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
@@ -30,14 +49,14 @@ def attach_stats(
     stats: DataFrame,
     keys: Sequence[str],
     n: str = "n",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
     hot_groups: int = HOT_GROUPS,
 ) -> DataFrame:
     """Add the columns of ``stats`` (one row per ``keys``, ``n`` = group size)
     to every row.
 
-    * ``stats`` is written once; its row count is then a footer read.
-    * At most ``broadcast_rows`` groups: a broadcast join, rows do not move.
+    * ``stats`` is written once, then its rows and bytes are counted.
+    * A table that fits is joined by broadcast, rows do not move.
     * More: the ``hot_groups`` largest groups (a bounded table) are joined by
       broadcast, and only rows of the other groups need the shuffle join. Hot
       rows are spread over ``SALTS`` salted keys that match nothing there.
@@ -47,7 +66,7 @@ def attach_stats(
         raise ValueError("attach_stats needs at least one key")
     stats = materialize(stats, "stats")
     values = [c for c in stats.columns if c not in keys]
-    if stats.count() <= broadcast_rows:
+    if fits_broadcast(stats, broadcast_rows):
         return rows.join(F.broadcast(stats), keys, "left")
 
     hot = stats.orderBy(F.desc(n), *keys).limit(hot_groups)
@@ -71,6 +90,17 @@ def attach_stats(
     )
 
 
+def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, broadcast_rows: int | None = None) -> DataFrame:
+    """Inner join with a table of unique keys, whatever the key distribution of
+    ``rows``: by broadcast when the table fits, else with the frequent keys
+    found by a count first."""
+    if fits_broadcast(lookup, broadcast_rows):
+        return rows.join(F.broadcast(lookup), key)
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    found = attach_stats(rows, lookup.join(sizes, key), [key], n="__n", broadcast_rows=broadcast_rows)
+    return found.where(F.col("__n").isNotNull()).drop("__n")
+
+
 def digest(key: Column, seed: int) -> Column:
     """Hex digest that orders rows the same way on every cluster."""
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
@@ -83,11 +113,14 @@ def hash_position(
     groups: Sequence[str] = (),
     hex_digits: int = 3,
     name: str = "position",
+    limit: int | None = None,
 ) -> DataFrame:
     """0-based position of each row in the seeded hash order of ``key``.
 
     ``key`` must be unique within a group. Rows are cut into ``16**hex_digits``
-    digest buckets; only a bucket is ever sorted in one task.
+    digest buckets; only a bucket is ever sorted in one task. With ``limit``,
+    rows of buckets past the first ``limit`` positions are dropped before the
+    shuffle.
     """
     groups = list(groups)
     marked = df.withColumn("__digest", digest(F.col(key), seed)).withColumn(
@@ -96,13 +129,18 @@ def hash_position(
     counts = marked.groupBy(*groups, "__bucket").agg(F.count(F.lit(1)).alias("__count"))
     before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__offset", F.coalesce(F.sum("__count").over(before), F.lit(0)))
+    offsets = offsets.drop("__count")
+    if limit is not None:
+        offsets = offsets.where(F.col("__offset") < limit)
+    if not groups:  # at most 16**hex_digits rows
+        offsets = F.broadcast(offsets)
     inside = Window.partitionBy(*groups, "__bucket").orderBy("__digest", key)
-    return (
-        marked.withColumn("__rank", F.row_number().over(inside) - 1)
-        .join(offsets.drop("__count"), [*groups, "__bucket"])
-        .withColumn(name, F.col("__offset") + F.col("__rank"))
-        .drop("__digest", "__bucket", "__rank", "__offset")
+    placed = (
+        marked.join(offsets, [*groups, "__bucket"])
+        .withColumn(name, F.col("__offset") + F.row_number().over(inside) - 1)
+        .drop("__digest", "__bucket", "__offset")
     )
+    return placed if limit is None else placed.where(F.col(name) < limit)
 
 
 def range_running(

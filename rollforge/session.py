@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def build_session(name: str = "rollforge", cores: int | str = "*", partitions: int = 8) -> SparkSession:
-    spark = (
+def build_session(
+    name: str = "rollforge", cores: int | str = "*", partitions: int = 8, checkpoint_dir: str | None = None
+) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -20,7 +22,9 @@ def build_session(name: str = "rollforge", cores: int | str = "*", partitions: i
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

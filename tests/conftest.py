@@ -12,12 +12,9 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
     from rollforge.session import build_session
 
-    SparkSession.builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    session = build_session("tests", 4, 4)
+    session = build_session("tests", 4, 4, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -102,7 +102,7 @@ def test_policy_rows_by_hand(spark):
     kl = Y.k3_kl(df).agg(F.min("kl")).first()[0]
     assert kl >= 0
     with pytest.raises(ValueError):
-        Y.reduce_policy_loss(Y.policy_rows(df), "mean")
+        Y.reduce_policy_loss(Y.policy_rows(df), ["mean"])
 
 
 def test_entropy_mask_and_whitening(spark):

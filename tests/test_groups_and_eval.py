@@ -177,7 +177,7 @@ def test_kl_pairs_never_match_themselves(spark):
 def test_cycle_to_n_paths_agree(spark, monkeypatch):
     df = spark.createDataFrame([(k,) for k in "abc"], "key string")
     small = rows_of(S.cycle_to_n(df, "key", 8).select("row", "key"))
-    monkeypatch.setattr(S, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 1)
     assert rows_of(S.cycle_to_n(df, "key", 8).select("row", "key")) == small
     assert [k for _, k in small] == list("abcabcab")
     assert S.cycle_to_n(df, "key", 2).count() == 2
@@ -214,4 +214,28 @@ def test_pairing_ties_and_hot_prompts(spark):
     out = {r["prompt_id"]: (r["chosen"], r["rejected"]) for r in J.pair_by_score(s).collect()}
     assert out == {1: ("a", "b"), 2: ("d", "c")}
     prompts = spark.createDataFrame([(1, "p1"), (2, "p2"), (9, "p9")], "prompt_id int, answer string")
-    assert rows_of(J.join_answers(s, prompts)) == rows_of(J.attach_prompts(s, prompts).select(J.join_answers(s, prompts).columns))
+    small = J.join_answers(s, prompts)
+    split = skew.join_lookup(s, prompts, "prompt_id", broadcast_rows=0).select(small.columns)
+    assert rows_of(small) == rows_of(split) and small.count() == 4
+
+
+def test_size_is_counted_in_bytes(spark, monkeypatch):
+    df = spark.createDataFrame([("x" * 1000,)] * 3, "t string")
+    assert skew.size_of(df) == (3, 3 * 1016)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 2000)
+    assert not skew.fits_broadcast(df) and skew.fits_broadcast(df.limit(1))
+
+
+def test_head_limit_paths_agree(spark, monkeypatch):
+    df = spark.range(200).select((F.col("id") * 37 % 200).alias("k"))
+    small = rows_of(S.head_limit(df, ["k"], 30))
+    monkeypatch.setattr(S, "TOP_N_ROWS", 5)
+    assert rows_of(S.head_limit(df, ["k"], 30)) == small == [(i,) for i in range(30)]
+
+
+def test_clean_rows_without_broadcast(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"t{i % 4}") for i in range(40)], "i int, text string")
+    held = spark.createDataFrame([("t1",), ("t9",)], "text string")
+    small = rows_of(J.without_leaked(rows, held, "text"))
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    assert rows_of(J.without_leaked(rows, held, "text")) == small and len(small) == 30
