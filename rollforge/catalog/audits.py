@@ -158,7 +158,7 @@ def _free(loss: str, alpha: float) -> None:
     h = f"({c} - {r})" + (" - 5e0" if loss == "simpo" else "")
     value = {"hinge": f"greatest(0e0, 1 - ({h}) * 0.1e0)", "ipo": f"pow(({h}) - 5e0, 2)"}.get(
         loss, f"-{sql_ls(f'({h}) * 0.1e0')} * 0.9e0 - {sql_ls(f'-({h}) * 0.1e0')} * 0.1e0")
-    name = f"audit_reference_free_{loss}" + ("_alpha" if alpha else "")
+    name = "audit_reference_free" + ("" if loss == "sigmoid" else f"_{loss}") + ("_alpha" if alpha else "")
 
     @query(name, uses=["pair_logps"], sql=f"""
 SELECT pair_id, {q(f"{value} + nll * 0.5e0", 'loss')}, {q(f'{c} * 0.1e0', 'reward_chosen')} FROM pair_logps""")

@@ -42,7 +42,7 @@ def render(
             "",
         ).alias("text")
     )
-    last = turns.groupBy("conv_id").agg(F.max(part).alias("last_part"), F.count(F.lit(1)).alias("n"))
+    last = turns.groupBy("conv_id").agg(F.max(part).alias("last_part"))
     tail = F.when(F.col("part") == F.col("last_part"), F.lit(generation_prompt)).otherwise(F.lit(""))
     return parts.join(last, "conv_id").select("conv_id", "part", F.concat("text", tail).alias("text"))
 
@@ -57,11 +57,11 @@ def split_bootstrap(turns: DataFrame) -> DataFrame:
     """Mark the last turn when it is an assistant turn: it leaves the prompt and
     is put before the completion."""
     last = turns.groupBy("conv_id").agg(
-        F.max("turn").alias("last_turn"), F.max_by("role", "turn").alias("last_role"), F.count(F.lit(1)).alias("n")
+        F.max("turn").alias("last_turn"), F.max_by("role", "turn").alias("last_role"), F.count(F.lit(1)).alias("__n")
     )
-    marked = attach_stats(turns, last, ["conv_id"])
+    marked = attach_stats(turns, last, ["conv_id"], n="__n")
     is_last = (F.col("turn") == F.col("last_turn")) & (F.col("last_role") == "assistant")
-    return marked.withColumn("is_bootstrap", is_last).drop("last_turn", "last_role", "n")
+    return marked.withColumn("is_bootstrap", is_last).drop("last_turn", "last_role", "__n")
 
 
 def extract_prompt(pairs: DataFrame) -> DataFrame:

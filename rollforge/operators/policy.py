@@ -213,9 +213,12 @@ def top_entropy_mask(df: DataFrame, share: float, keys: Sequence[str] = BATCH) -
     quantile (linear interpolation)."""
     tokens = token_rows(df, keys, {"entropy": "entropys"})
     threshold = exact_quantile(tokens, keys, "entropy", 1 - share)
-    rows = attach_stats(df, threshold, keys).drop("n")
-    hit = F.zip_with("entropys", "masks", lambda e, m: ((e >= F.col("threshold")) & (m == 1)).cast("int"))
-    return rows.withColumn("entropy_mask", F.coalesce(hit, F.transform("masks", lambda _: F.lit(0))))
+    threshold = threshold.withColumnsRenamed({"n": "__n", "threshold": "__edge"})
+    rows = attach_stats(df, threshold, keys, n="__n")
+    hit = F.zip_with("entropys", "masks", lambda e, m: ((e >= F.col("__edge")) & (m == 1)).cast("int"))
+    mask = F.coalesce(hit, F.transform("masks", lambda _: F.lit(0)))
+    return rows.withColumn("entropy_mask", F.when(F.col("__edge").isNotNull(), mask).otherwise(
+        F.transform("masks", lambda _: F.lit(0)))).drop("__n", "__edge")
 
 
 def masked_whiten(

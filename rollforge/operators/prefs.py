@@ -93,7 +93,9 @@ def audit_rows(df: DataFrame, losses: Sequence[str] = ROW_LOSSES, s: Settings =
     a, b, h = log_ratios(s, c, r, c0, r0)
     mean_h = None
     if {"n_c", "n_r"} <= set(df.columns):
-        mean_h = log_ratios(s, c / F.col("n_c"), r / F.col("n_r"), c0 / F.col("n_c"), r0 / F.col("n_r"))[2]
+        n_c, n_r = F.col("n_c"), F.col("n_r")
+        means = [F.try_divide(x, n) for x, n in ((c, n_c), (r, n_r), (c0, n_c), (r0, n_r))]
+        mean_h = log_ratios(s, *means)[2]
     return df.select("*", *[row_loss(x, s, a, b, h, mean_h).alias(f"loss_{x}") for x in losses])
 
 
@@ -112,9 +114,9 @@ def reward_baseline(
     steps = rewards.groupBy(*keys, order).agg(F.sum(value).alias("__s"), F.count(value).alias("__n"))
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if weight == "per_row":
-        mean = F.sum("__s").over(w) / F.sum("__n").over(w)
+        mean = F.try_divide(F.sum("__s").over(w), F.sum("__n").over(w))
     else:
-        mean = F.avg(F.col("__s") / F.col("__n")).over(w)
+        mean = F.avg(F.try_divide("__s", "__n")).over(w)
     return steps.select(*keys, order, mean.alias("delta"), F.col("__n").alias("n"))
 
 
@@ -123,19 +125,19 @@ def audit_running_baseline(df: DataFrame, step: str = "step", s: Settings = Sett
     rewarded = implicit_rewards(df, s.beta)
     both = rewarded.select(step, F.explode(F.array("reward_chosen", "reward_rejected")).alias("reward"))
     delta = reward_baseline(both, step, "reward", "per_batch")
-    rows = attach_stats(rewarded, delta, [step])
+    rows = attach_stats(rewarded, delta.withColumnRenamed("n", "__n"), [step], n="__n")
     loss = -N.log_sigmoid(F.col("reward_chosen") - F.col("delta")) - N.log_sigmoid(
         F.col("delta") - F.col("reward_rejected"))
-    return rows.withColumn("loss_bco_pair", loss).drop("n")
+    return rows.withColumn("loss_bco_pair", loss).drop("__n")
 
 
 def audit_sft(df: DataFrame, keys: Sequence[str] = ("step",)) -> DataFrame:
     """Batch negative log-likelihood per chosen token, the same for each row;
     this objective defines no implicit rewards."""
     nll = df.groupBy(*keys).agg(
-        (-F.sum("c") / F.sum("n_c")).alias("loss_sft"), F.count(F.lit(1)).alias("n"))
+        F.try_divide(-F.sum("c"), F.sum("n_c")).alias("loss_sft"), F.count(F.lit(1)).alias("__n"))
     empty = F.lit(None).cast("double")
-    return attach_stats(df, nll, keys).drop("n").withColumns({"reward_chosen": empty, "reward_rejected": empty})
+    return attach_stats(df, nll, keys, n="__n").drop("__n").withColumns({"reward_chosen": empty, "reward_rejected": empty})
 
 
 def audit_aligned(df: DataFrame, loss: str, row: str, keys: Sequence[str], s: Settings = Settings()) -> DataFrame:
@@ -164,7 +166,7 @@ def audit_mix(
     if rpo_alpha:
         total = total + F.col("nll") * float(rpo_alpha)
     if use_weighting:
-        total = total * F.least(F.lit(1.0), F.exp(F.col("c") / F.col("n_c") + F.col("r") / F.col("n_r")))
+        total = total * F.least(F.lit(1.0), F.exp(F.try_divide("c", "n_c") + F.try_divide("r", "n_r")))
     scale = float(sum(weights.values()))
     rewarded = implicit_rewards(rows, s.beta * scale)
     return rewarded.withColumn("loss", total)
@@ -242,8 +244,8 @@ def audit_unpaired(
     one_of(loss, ["kto", "apo_zero_unpaired"], "loss type")
     kl = df.groupBy(*keys).agg(
         F.greatest(F.lit(0.0), F.avg(F.col("kl_logp") - F.col("kl_ref_logp"))).alias("kl"),
-        F.count(F.lit(1)).alias("n"))
-    rows = attach_stats(df, kl, keys).drop("n")
+        F.count(F.lit(1)).alias("__n"))
+    rows = attach_stats(df, kl, keys, n="__n").drop("__n")
     ratio, k = F.col("logp") - F.col("ref_logp"), F.col("kl")
     if loss == "kto":
         good, bad = 1 - N.sigmoid((ratio - k) * beta), 1 - N.sigmoid((k - ratio) * beta)
@@ -295,7 +297,8 @@ def audit_binary_classifier(
     """Rewards against the running mean reward; undesirable rows optionally
     weighted by a density ratio."""
     rewarded = df.withColumn("reward", (F.col("logp") - F.col("ref_logp")) * beta)
-    rows = attach_stats(rewarded, reward_baseline(rewarded, step, "reward", weight), [step]).drop("n")
+    delta = reward_baseline(rewarded, step, "reward", weight).withColumnRenamed("n", "__n")
+    rows = attach_stats(rewarded, delta, [step], n="__n").drop("__n")
     x = F.col("reward") - F.col("delta")
     w = F.lit(1.0) if density is None else F.col(density)
     return rows.withColumn("loss", F.when(F.col("label"), -N.log_sigmoid(x)).otherwise(-N.log_sigmoid(-x) * w))

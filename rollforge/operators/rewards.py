@@ -211,6 +211,6 @@ def false_negative_rate(rollouts: DataFrame) -> DataFrame:
     """Share of rows only the strict grader calls wrong."""
     counts = grader_disagreement(rollouts)
     return counts.agg(
-        F.sum("n").alias("rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.when(~F.col("strict") & F.col("lenient"), F.col("n"))), F.lit(0)).alias("false_negatives"),
-    ).withColumn("rate", F.col("false_negatives") / F.col("rows"))
+    ).withColumn("rate", F.try_divide("false_negatives", "rows"))

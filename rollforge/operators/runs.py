@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollforge.operators.groups import running_total
@@ -57,10 +57,18 @@ def flush_average(metrics: DataFrame, logging_steps: int, mode: str | None = Non
 def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int = 20) -> DataFrame:
     """Equal-width bins between the least and the largest value of each key; the
     largest value belongs to the last bin."""
-    edges = df.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count(value).alias("__n"))
-    rows = attach_stats(df.where(F.col(value).isNotNull()), edges, keys, n="__n")
+    present = df.where(F.col(value).isNotNull())
+    edges = present.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count(value).alias("__n"))
+    # equal values are counted first, so that a repeated value is one row
+    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__rows"))
+    rows = attach_stats(counts, edges, keys, n="__n")
     width = (F.col("__hi") - F.col("__lo")) / bins
     slot = F.when(width == 0, 1).otherwise(
         F.least(F.lit(bins), F.floor((F.col(value) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins).cast("int") + 1))
     return rows.groupBy(*keys, slot.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.col("__lo") + (slot - 1) * width).alias("low"))
+        F.sum("__rows").alias("n"), F.min(F.col("__lo") + (slot - 1) * width).alias("low"))
+
+
+def compute_metrics(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column]) -> DataFrame:
+    """User metrics per key: aggregate Columns, or a grouped ``pandas_udf``."""
+    return df.groupBy(*keys).agg(*[c.alias(n) for n, c in metrics.items()])

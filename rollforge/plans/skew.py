@@ -53,7 +53,7 @@ def attach_stats(
     hot_groups: int = HOT_GROUPS,
 ) -> DataFrame:
     """Add the columns of ``stats`` (one row per ``keys``, ``n`` = group size)
-    to every row.
+    to every row. Rows are told apart by their columns: count copies first.
 
     * ``stats`` is written once, then its rows and bytes are counted.
     * A table that fits is joined by broadcast, rows do not move.
@@ -64,8 +64,11 @@ def attach_stats(
     keys = list(keys)
     if not keys:
         raise ValueError("attach_stats needs at least one key")
-    stats = materialize(stats, "stats")
     values = [c for c in stats.columns if c not in keys]
+    taken = sorted(set(values) & set(rows.columns))
+    if taken:
+        raise ValueError(f"rows already have columns {taken}")
+    stats = materialize(stats, "stats")
     if fits_broadcast(stats, broadcast_rows):
         return rows.join(F.broadcast(stats), keys, "left")
 
@@ -159,11 +162,11 @@ def range_running(
     shifted by the sums of the partitions before it.
     """
     groups, order = list(groups), list(order)
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w = F.lit(1).cast("bigint") if weight is None else F.col(weight)
-    sliced = materialize(
-        df.repartitionByRange(parts, *groups, *order).withColumn("__part", F.spark_partition_id()), "ranges"
-    )
+    by = [*groups, *order]
+    # without a number, adaptive execution joins neighbouring small slices
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    sliced = materialize(ranged.withColumn("__part", F.spark_partition_id()), "ranges")
     sums = sliced.groupBy(*groups, "__part").agg(F.sum(w).alias("__sum"))
     earlier = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("__offset", F.coalesce(F.sum("__sum").over(earlier), F.lit(0))).drop("__sum")

@@ -132,6 +132,12 @@ def test_run_summary_series(spark):
         0.6, 0.8, 0.6, 0.7, 0.9, 0.5]
 
 
+def test_user_metrics(spark):
+    df = spark.createDataFrame([("a", 1.0, 0.5), ("a", 0.0, 2.0)], "k string, chosen double, rejected double")
+    out = U.compute_metrics(df, ["k"], {"accuracy": F.avg((F.col("chosen") > F.col("rejected")).cast("double"))})
+    assert out.collect() == [("a", 0.5)]
+
+
 def test_histogram_keeps_the_maximum(spark):
     df = spark.createDataFrame([("a", float(v)) for v in range(101)] + [("b", 1.0)], "k string, v double")
     out = U.histogram(df, ["k"], "v")

@@ -113,6 +113,25 @@ def test_extra_column_reaches_reward(spark):
         R.score(rows.drop("level"), [spec])
 
 
+def test_python_reward_and_tokenizer_hatches(spark):
+    import pandas as pd
+
+    from rollforge.operators import prep as P
+
+    @F.pandas_udf("double")
+    def length(response: pd.Series) -> pd.Series:
+        return response.str.len().astype("float64")
+
+    @F.pandas_udf("array<bigint>")
+    def code_points(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: [ord(c) for c in t])
+
+    rows = spark.createDataFrame([("abc", "x")], "response string, answer string")
+    spec = R.RewardSpec("length", lambda prompt, response, answer: length(response))
+    assert R.score(rows, [spec]).first()["reward_length"] == 3.0
+    assert P.prep_texts(rows, "response", 2, code_points).first()["input_ids"] == [97, 98]
+
+
 def test_render_splits_long_conversations(spark):
     rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(10)] + [(2, 0, "system", "s")]
     turns = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
