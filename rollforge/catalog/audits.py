@@ -453,7 +453,7 @@ SELECT t.seq_id // 2 AS pair_id, {q('sum(CASE WHEN t.seq_id % 2 = 0 THEN logp *
 FROM token_rows t JOIN k ON t.seq_id = k.seq_id GROUP BY t.seq_id // 2""")
 def _(spark, sf):
     s = T.sequences(spark, sf).select(F.expr("seq_id div 2").alias("pair_id"), (F.col("seq_id") % 2).alias("sample_idx"), "logps")
-    both, _ = J._two_sided(s, "pair_id")
+    both, _ = J.side_by_side(s, "pair_id")
     w = Y.shared_length_logps(both, "logps_a", "logps_b", 0.3)
     return w.select("pair_id", rounded("logps_a_sum", "chosen"), rounded("logps_b_sum", "rejected"))
 

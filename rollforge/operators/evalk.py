@@ -105,13 +105,14 @@ def sample_trend(graded: DataFrame, run: str = "run_id") -> DataFrame:
 
 
 def baseline_vs_epoch(graded: DataFrame, run: str = "run_id", baseline: int = 0) -> DataFrame:
-    """Each later result of a question next to its result before training."""
+    """Each later result of a question next to its result before training; the
+    window runs over one row per epoch."""
     q = per_question(graded, (run, "epoch"))
-    before = q.where(F.col("epoch") == baseline).select(
-        run, "question_id", F.col("pass_1").alias("base_1"), F.col("pass_10").alias("base_10")
-    )
-    later = q.where(F.col("epoch") != baseline)
-    return later.join(before, [run, "question_id"]).select(
+    w = Window.partitionBy(run, "question_id")
+    both = q.withColumns({
+        f"base_{k}": F.max(F.when(F.col("epoch") == baseline, F.col(f"pass_{k}"))).over(w) for k in (1, 10)})
+    later = both.where((F.col("epoch") != baseline) & F.col("base_1").isNotNull())
+    return later.select(
         run, "question_id", "epoch",
         (F.col("pass_1") - F.col("base_1")).alias("delta_1"),
         (F.col("pass_10") - F.col("base_10")).alias("delta_10"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollforge.plans.skew import fits_broadcast, join_lookup, range_running
@@ -59,29 +59,28 @@ def _pick(pairs: DataFrame, first_wins: Column, columns: Sequence[str]) -> list[
     return out
 
 
-def _two_sided(samples: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
-    """Samples 0 and 1 of each prompt in one row, by aggregation: no self-join."""
+def side_by_side(samples: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
+    """Samples 0 and 1 of each prompt in one row, as ``<column>_a`` and
+    ``<column>_b``: one scan and one shuffle of two rows per prompt."""
     columns = [c for c in samples.columns if c != key]
-    row = F.struct(*columns)
-    sides = samples.where(F.col("sample_idx") < 2).groupBy(key).agg(
-        F.max(F.when(F.col("sample_idx") == 0, row)).alias("a"),
-        F.max(F.when(F.col("sample_idx") == 1, row)).alias("b"),
-    )
-    both = sides.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    w = Window.partitionBy(key).orderBy("sample_idx")
+    two = samples.where(F.col("sample_idx") < 2)
+    both = two.withColumn("__b", F.lead(F.struct(*columns)).over(w)).where(
+        (F.col("sample_idx") == 0) & (F.col("__b.sample_idx") == 1))
     return both.select(
-        key, *[F.col(f"a.{c}").alias(f"{c}_a") for c in columns], *[F.col(f"b.{c}").alias(f"{c}_b") for c in columns]
+        key, *[F.col(c).alias(f"{c}_a") for c in columns], *[F.col(f"__b.{c}").alias(f"{c}_b") for c in columns]
     ), columns
 
 
 def pair_by_score(samples: DataFrame, key: str = "prompt_id", score: str = "reward") -> DataFrame:
     """Two completions per prompt into chosen and rejected; a tie goes to the first."""
-    both, columns = _two_sided(samples, key)
+    both, columns = side_by_side(samples, key)
     return both.select(key, *_pick(both, F.col(f"{score}_a") >= F.col(f"{score}_b"), columns))
 
 
 def pair_by_judge(samples: DataFrame, ranks: DataFrame, key: str = "prompt_id") -> DataFrame:
     """The same, decided by an external judge: rank 0 means the first is better."""
-    both, columns = _two_sided(samples, key)
+    both, columns = side_by_side(samples, key)
     judged = both.join(ranks.select(key, F.col("rank").alias("__rank")), key)
     return judged.select(key, *_pick(judged, F.col("__rank") == 0, columns))
 

@@ -170,6 +170,9 @@ def range_running(
     sums = sliced.groupBy(*groups, "__part").agg(F.sum(w).alias("__sum"))
     earlier = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("__offset", F.coalesce(F.sum("__sum").over(earlier), F.lit(0))).drop("__sum")
+    offsets = materialize(offsets, "offsets")
+    if fits_broadcast(offsets):
+        offsets = F.broadcast(offsets)
     inside = Window.partitionBy("__part", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         sliced.withColumn("__inside", F.coalesce(F.sum(w).over(inside), F.lit(0)))
