@@ -79,12 +79,13 @@ def unique_prompts(completions: DataFrame, late: str = "1 hour") -> DataFrame:
 
 # ------------------------------------------------------------------ running
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there and append it to a Parquet folder, exactly once."""
-    return (
-        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
+    """Process what is there and append it to a Parquet folder, exactly once;
+    a metric log is partitioned by ``run_id``."""
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return writer.outputMode("append").trigger(availableNow=True).start()
 
 
 def update_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from rollforge.functions import text as X
 from rollforge.operators import chat
+from rollforge.operators import prep as P
 from rollforge.operators import rewards as R
 
 
@@ -114,10 +116,6 @@ def test_extra_column_reaches_reward(spark):
 
 
 def test_python_reward_and_tokenizer_hatches(spark):
-    import pandas as pd
-
-    from rollforge.operators import prep as P
-
     @F.pandas_udf("double")
     def length(response: pd.Series) -> pd.Series:
         return response.str.len().astype("float64")
