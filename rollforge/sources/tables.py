@@ -146,8 +146,8 @@ _EVAL = {
     "epoch": "CAST(e AS INT)",
     "decode": "CASE WHEN i = 0 THEN 'greedy' ELSE 'sample' END",
     "sample_idx": "CAST(CASE WHEN i = 0 THEN 0 ELSE i - 1 END AS INT)",
-    "truth": "CAST(o_orderkey % 5 AS STRING)",
-    "response": "'<answer>' || CAST((o_custkey + i + e * (o_orderkey % 3)) % 5 AS STRING) || ' units</answer>'",
+    "truth": "CAST(o_orderkey % 11 AS STRING)",
+    "response": "'<answer>' || CAST((o_custkey + i * 3 + e * (o_orderkey % 4)) % 11 AS STRING) || ' units</answer>'",
 }
 _EVAL_SAMPLES = "2 + o_custkey % 11"
 
