@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rollforge.llm import exact_dedup, mixing, sharding, token_counts, url_filter
+from rollforge.llm import decontam, exact_dedup, mixing, sharding, token_counts, url_filter
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
+    "op6_decontaminate": decontam.op6_decontaminate,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_mixing": mixing.op10_mixing,
 }
-CHECKS = {"op3_exact_dedup": exact_dedup.OP3_SQL}
+CHECKS = {"op3_exact_dedup": exact_dedup.OP3_SQL, "op6_decontaminate": decontam.OP6_SQL}
