@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from rollforge.llm import decontam, exact_dedup, mixing, sharding, token_counts, url_filter
+from rollforge.llm import decontam, exact_dedup, language_id, mixing, sharding, token_counts, toxicity, url_filter
 
 QUERIES = {
+    "op2_language_id": language_id.op2_language_id,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_decontaminate": decontam.op6_decontaminate,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_token_counts": token_counts.op9_token_counts,
