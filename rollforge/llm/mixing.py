@@ -29,7 +29,7 @@ MIX_SHARDS = 8
 BLOCK_WORDS = 1024
 # blocks per source at least, so that rounding to blocks stays under 1/200 of a target
 LEAST_BLOCKS = 200
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 WORD = r"[^\x20\x09-\x0D]+"
 
 
