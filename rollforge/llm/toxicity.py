@@ -28,9 +28,12 @@ from rollforge.plans.storage import materialize
 # About so many labelled rows, chosen by a hash of their ids, are learned from.
 SAMPLE = 20_000
 # Evidence (log-likelihood ratio) from which a word or stem enters the learned lexicon, and its size at most.
-EVIDENCE = 25.0
+EVIDENCE = 14.0
 LEXICON = 5_000
-STEMS = (4, 5)
+STEMS = (3, 4, 5)
+# Log odds from which a learned term counts as strong.
+STRONG = 3.0
+PARTS = 4
 NEAR = 4
 THRESHOLD = 0.3
 TREES, DEPTH, STEP = 20, 3, 0.3
@@ -47,34 +50,37 @@ SECOND_PERSON = frozenset((
 UNMASK = str.maketrans("013457@$!", "oieastasi")
 
 WORD = re.compile(r"\w+")
+CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 MASKED = re.compile(r"[^\W\d_]+[0-9@$!*#]+[^\W\d_]+")
 FEATURES = (
-    "abuse", "learned", "learned_log", "abuse_near_you", "learned_near_you", "second_person", "upper_words",
-    "upper_letters", "marks", "shouts", "masked", "masked_abuse", "words_log",
+    "abuse", "learned", "learned_odds", "learned_most", "learned_strong", "abuse_near_you", "learned_near_you",
+    "second_person", "upper_words", "marks", "capitals", "shouts", "masked", "words_log",
 )
 
 
-@dataclass(frozen=True)
 class Lexicon:
-    words: frozenset[str]
-    stems: frozenset[str]
+    """Words and word stems (marked by a final ``*``) with their log odds."""
 
-    def has(self, word: str) -> bool:
-        return word in self.words or any(word[:n] in self.stems for n in STEMS)
+    def __init__(self, weights: dict[str, float]) -> None:
+        self.words = {t: w for t, w in weights.items() if t[-1] != "*"}
+        self.stems = {t[:-1]: w for t, w in weights.items() if t[-1] == "*"}
+        self.heads = frozenset(t[: STEMS[0]] for t in (*self.words, *self.stems))
+
+    def weight(self, word: str) -> float:
+        if word[: STEMS[0]] not in self.heads:
+            return 0.0
+        return max(self.words.get(word, 0.0), *[self.stems.get(word[:n], 0.0) for n in STEMS])
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
-    """Of a whole text; all 0 for an empty one."""
+    """Of a whole text; nearly all 0 for one without words."""
     written = WORD.findall(text)
     n = len(written)
     if not n:
-        marks = len(text) - sum(map(str.isspace, text))
-        return [0.0] * 8 + [float(marks > 0), 0.0, 0.0, 0.0, 0.0]
-    words = text.lower()
-    words = WORD.findall(words)
-    known, stems = lexicon.words, lexicon.stems
-    a, b = STEMS
-    learned = [i for i, w in enumerate(words) if w in known or w[:a] in stems or w[:b] in stems]
+        return [0.0] * 9 + [float(bool(text) and not text.isspace()), 0.0, 0.0, 0.0, 0.0]
+    words = WORD.findall(text.lower())
+    heads, first = lexicon.heads, STEMS[0]
+    learned = {i: x for i, w in enumerate(words) if w[:first] in heads and (x := lexicon.weight(w))}
     given = [i for i, w in enumerate(words) if w in ABUSE]
     second = [i for i, w in enumerate(words) if w in SECOND_PERSON]
 
@@ -86,17 +92,19 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         gap = np.minimum(np.array(hits) - of[at], of[at + 1] - np.array(hits))
         return int((gap <= NEAR).sum())
 
-    upper = sum(1 for w in written if len(w) > 1 and w.isupper())
-    capitals = sum(map(str.isupper, text))
+    upper = sum(1 for w in written if w.isupper() and len(w) > 1)
+    capitals = len(CAPITAL.findall(text))
     letters = sum(map(len, written))
     masked = MASKED.findall(text)
-    hidden = sum(1 for w in masked if (x := w.lower().translate(UNMASK).replace("*", "").replace("#", "")) in ABUSE
-                 or lexicon.has(x))
-    per = 100.0 / max(len(words), 1)
+    plain = [w.lower().translate(UNMASK).replace("*", "").replace("#", "") for w in masked]
+    hidden = sum(1 for w in plain if w in ABUSE or lexicon.weight(w))
+    per = 100.0 / len(words)
+    strong = sum(1 for x in learned.values() if x >= STRONG)
     return [
-        len(given) * per, len(learned) * per, float(np.log1p(len(learned))), near(given) * per, near(learned) * per,
-        len(second) * per, upper / n, capitals / max(letters, 1), (len(text) - letters) / len(text),
-        100.0 * (text.count("!") + text.count("?")) / len(text), len(masked) * per, hidden * per, float(np.log1p(n)),
+        len(given) * per, len(learned) * per, sum(learned.values()) * per, max(learned.values(), default=0.0),
+        float(np.log1p(strong)), near(given) * per, near(list(learned)) * per, len(second) * per, upper / n,
+        (len(text) - letters) / len(text), capitals / max(letters, 1),
+        100.0 * (text.count("!") + text.count("?")) / len(text), (len(masked) + hidden) * per, float(np.log1p(n)),
     ]
 
 
@@ -107,63 +115,88 @@ def terms(text: str) -> set[str]:
 
 
 def term_counts(sample: DataFrame, only: frozenset[str] | None = None) -> DataFrame:
-    """(term, n): how many texts of ``sample`` have each term (of ``only``)."""
+    """(part, term, n): how many texts of a part have each term (of ``only``)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[str] = Counter()
+        found: dict[int, Counter[str]] = {}
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 mine = terms(text or "")
-                found.update(mine if only is None else mine & only)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["term", "n"]
-        )
-
-    counted = sample.select("text").mapInArrow(scan, "term string, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("n"))
-
-
-def learn_lexicon(sample: DataFrame, evidence: float = EVIDENCE, most: int = LEXICON) -> Lexicon:
-    """Terms that toxic texts have far more often than others: by log-likelihood
-    ratio, the strongest ``most``. The sample bounds what reaches the driver."""
-    sizes = {bool(r["label"]): r["count"] for r in sample.groupBy("label").count().collect()}
-    toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
-    if not toxic or not clean:
-        return Lexicon(frozenset(), frozenset())
-    share = toxic / (toxic + clean)
+                found.setdefault(part, Counter()).update(mine if only is None else mine & only)
+        for part, counted in found.items():
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([part] * len(counted), pa.int32()), pa.array(list(counted), pa.string()),
+                    pa.array(list(counted.values()), pa.int64()),
+                ],
+                names=["part", "term", "n"],
+            )
+
+    counted = sample.select("part", "text").mapInArrow(scan, "part int, term string, n long")
+    return counted.groupBy("part", "term").agg(F.sum("n").alias("n"))
+
+
+def learn_lexicons(
+    sample: DataFrame, parts: int = PARTS, evidence: float = EVIDENCE, most: int = LEXICON
+) -> list[Lexicon]:
+    """A lexicon from all parts but p, for each part p of ``sample`` (part,
+    label, text), and last one from all. A lexicon has the terms that toxic
+    texts have far more often than others: by log-likelihood ratio, the
+    strongest ``most``. The sample bounds what reaches the driver."""
+    sizes = np.zeros((2, parts))
+    for r in sample.groupBy("label", "part").count().collect():
+        sizes[r["label"], r["part"]] = r["count"]
+    share = sizes[1].sum() / max(1.0, sizes.sum())
+    if not 0 < share < 1:
+        return [Lexicon({})] * (parts + 1)
     least = max(2, int(np.ceil(evidence / (2 * np.log(1 / share)))))  # fewer texts can't reach the evidence
-    bad = term_counts(sample.where(F.col("label") == 1)).where(F.col("n") >= least).toPandas()
-    bad = dict(zip(bad["term"], bad["n"], strict=True))
-    good = term_counts(sample.where(F.col("label") == 0), frozenset(bad)).toPandas()
-    good = dict(zip(good["term"], good["n"], strict=True))
-    scored = []
-    for term, k in bad.items():
-        m = good.get(term, 0)
-        p, q, both = k / toxic, m / clean, (k + m) / (toxic + clean)
-        if p > 4 * q:
-            parts = ((k, p / both), (m, q / both), (toxic - k, (1 - p) / (1 - both)), (clean - m, (1 - q) / (1 - both)))
-            ratio = 2 * sum(n * np.log(x) for n, x in parts if n and x > 0)
-            if ratio >= evidence:
-                scored.append((ratio, term))
-    chosen = [t for _, t in sorted(scored, reverse=True)[:most]]
-    return Lexicon(
-        frozenset(t for t in chosen if t[-1] != "*"), frozenset(t[:-1] for t in chosen if t[-1] == "*")
-    )
+    toxic = materialize(term_counts(sample.where(F.col("label") == 1)), "toxic_terms")
+    often = toxic.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("term").toPandas()["term"]
+    index = {t: i for i, t in enumerate(often)}
+    counts = np.zeros((2, parts, len(index)))
+    for label, found in ((1, toxic), (0, term_counts(sample.where(F.col("label") == 0), frozenset(index)))):
+        rows = found.where(F.col("n") > 0).join(F.broadcast(toxic.groupBy("term").agg(
+            F.sum("n").alias("all")).where(F.col("all") >= least).select("term")), "term").toPandas()
+        counts[label, rows["part"], rows["term"].map(index)] = rows["n"]
+    names = np.array(list(index), dtype=object)
+    out = []
+    for left_out in range(parts + 1):
+        keep = np.arange(parts) != left_out
+        k, m = counts[1, keep].sum(axis=0), counts[0, keep].sum(axis=0)
+        bad, good = sizes[1, keep].sum(), sizes[0, keep].sum()
+        if not bad or not good:
+            out.append(Lexicon({}))
+            continue
+        p, q, both = k / bad, m / good, (k + m) / (bad + good)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = 2 * sum(
+                np.where(n > 0, n * np.log(x / y), 0.0)
+                for n, x, y in ((k, p, both), (m, q, both), (bad - k, 1 - p, 1 - both), (good - m, 1 - q, 1 - both))
+            )
+        odds = np.log((k + 0.5) / (bad + 1)) - np.log((m + 0.5) / (good + 1))
+        fit = np.flatnonzero((ratio >= evidence) & (p > 4 * q))
+        fit = fit[np.lexsort((names[fit].astype(str), -ratio[fit]))][:most]
+        out.append(Lexicon({names[i]: float(odds[i]) for i in fit}))
+    return out
 
 
-def with_features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """A table (doc_id, label, text) with the text replaced by its features."""
+def with_features(docs: DataFrame, lexicons: list[Lexicon]) -> DataFrame:
+    """A table (doc_id, label, part, text) with the text replaced by its
+    features, by the lexicon that its part names."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([features(t or "", lexicon) for t in batch.column(2).to_pylist()]).reshape(-1, len(FEATURES))
+            parts, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            found = [features(t or "", lexicons[p]) for p, t in zip(parts, texts, strict=True)]
+            found = np.array(found, dtype=float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.array(found[:, i]) for i in range(len(FEATURES))]],
-                names=["doc_id", "label", *FEATURES],
+                [*batch.columns[:3], *[pa.array(found[:, i]) for i in range(len(FEATURES))]],
+                names=["doc_id", "label", "part", *FEATURES],
             )
 
     kinds = ", ".join(f"{f} double" for f in FEATURES)
-    return docs.select("doc_id", "label", "text").mapInArrow(scan, f"doc_id long, label int, {kinds}")
+    rows = docs.select("doc_id", "label", "part", "text")
+    return rows.mapInArrow(scan, f"doc_id long, label int, part int, {kinds}")
 
 
 @dataclass
@@ -196,32 +229,31 @@ def sampled(docs: DataFrame, labels: DataFrame, learn: Column, sample: int) -> D
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
-    """Fit on rows with ``learn`` (on doc_id) true, in four parts by a hash of
-    the id: the lexicon on parts 0 and 1, the trees on 1, 2 and 3 (so that most
-    of their rows are new to the lexicon), the calibration on 0 and 3. Without
-    labels of both kinds in each the score is the share of toxic rows."""
-    chosen = materialize(
-        sampled(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), labels, learn, sample), "toxic_sample"
-    )
-    part = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(4))
-    lexicon = learn_lexicon(chosen.where(part < 2))
-    measured = materialize(with_features(chosen, lexicon).withColumn("part", part), "toxic_features")
-    sizes = {r["label"]: r["count"] for r in measured.groupBy("label").count().collect()}
-    total = sum(sizes.values())
-    base = sizes.get(1, 0) / total if total else 0.0
-    fit, hold = measured.where("part >= 1"), measured.where("part = 0 or part = 3")
-    if any({r[0] for r in x.select("label").distinct().collect()} != {0, 1} for x in (fit, hold)):
-        return Model(lexicon, None, None, base)
+    """Fit on rows with ``learn`` (on doc_id) true, in parts by a hash of the
+    id. A row's features come from the lexicon of the other parts, the trees
+    from all parts but 0, the calibration from part 0. Without labels of both
+    kinds in each the score is the share of toxic rows."""
+    chosen = sampled(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), labels, learn, sample)
+    part = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(PARTS)).cast("int")
+    chosen = materialize(chosen.withColumn("part", part).repartition(12), "toxic_sample")
+    lexicons = learn_lexicons(chosen)
+    measured = materialize(with_features(chosen, lexicons), "toxic_features")
+    sizes = {(r["label"], r["part"] == 0): r["n"] for r in
+             measured.groupBy("label", "part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 4:
+        total = measured.count()
+        toxic = measured.where("label = 1").count()
+        return Model(lexicons[-1], None, None, toxic / total if total else 0.0)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     boosted = GBTClassifier(
         labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=5,
         minInstancesPerNode=3,
-    ).fit(assembler.transform(fit).repartition(6))
-    margins = boosted.transform(assembler.transform(hold)).select("probability", F.col("label").cast("double"))
+    ).fit(assembler.transform(measured.where("part > 0")).repartition(6))
+    margins = boosted.transform(assembler.transform(measured.where("part = 0")))
     calibration = IsotonicRegression(
         featuresCol="probability", featureIndex=1, labelCol="label", predictionCol="score"
-    ).fit(margins)
-    return Model(lexicon, boosted, calibration, base)
+    ).fit(margins.select("probability", F.col("label").cast("double").alias("label")))
+    return Model(lexicons[-1], boosted, calibration, 0.0)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -232,9 +264,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     columns are ignored.
     """
     rows = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.lit(0).alias("label"), F.col(text).cast("string").alias("text")
+        F.col(id_col).cast("bigint").alias("doc_id"), F.lit(0).alias("label"), F.lit(0).alias("part"),
+        F.col(text).cast("string").alias("text"),
     )
-    found = model.score(with_features(rows, model.lexicon))
+    found = model.score(with_features(rows, [model.lexicon]))
     return found.select(
         "doc_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("score"))).alias("score")
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
