@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rollforge.llm import decontam, exact_dedup, language_id, mixing, sharding, token_counts, toxicity, url_filter
+from rollforge.llm import decontam, exact_dedup, jaccard_join, language_id, mixing, sharding, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_sharding": sharding.op4_sharding,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_decontaminate": decontam.op6_decontaminate,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_mixing": mixing.op10_mixing,
