@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from rollforge.llm import decontam, exact_dedup, jaccard_join, language_id, mixing, sharding, token_counts, toxicity, url_filter
+from rollforge.llm import decontam, exact_dedup, jaccard_join, language_id, mixing, sharding, suffix_dedup, token_counts, toxicity, url_filter
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_language_id": language_id.op2_language_id,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
