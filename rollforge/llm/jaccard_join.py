@@ -432,7 +432,8 @@ def link_components(
     list_part: int = LIST_PART,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, n_shingles, component_id,
-    n_links (sets that its set links to, as far as the search had to look).
+    group (number of the component, null without shingles) and n_links (sets
+    that its set links to, as far as the search had to look).
 
     Null, empty and wordless texts have no shingles and link with nothing, so
     their component is their own id. Equal texts are one set. A null id is
@@ -499,14 +500,16 @@ def link_components(
     )
     least = whole.groupBy("label").agg(F.min("least").alias("component_id"))
     found = whole.join(least, "label").join(degree, "sid", "left").select(
-        "d1", "d2", "docs", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "d1", "d2", "docs", "component_id", F.col("label").alias("group"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     found = materialize(found, "components")
-    out = ["doc_id", "text_key", F.col("size").alias("n_shingles"), "component_id", "n_links"]
+    out = ["doc_id", "text_key", F.col("size").alias("n_shingles"), "component_id", "group", "n_links"]
     linked = attach(rows.where("size > 0").drop("bitmap"), found, ["d1", "d2"], "docs").select(*out)
-    alone = rows.where("size = 0").withColumn("component_id", F.col("doc_id")).withColumn("n_links", F.lit(0).cast("bigint"))
+    alone = rows.where("size = 0").withColumns({
+        "component_id": F.col("doc_id"), "group": F.lit(None).cast("bigint"), "n_links": F.lit(0).cast("bigint"),
+    })
     return linked.unionByName(alone.select(*out))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_components(table(spark, sf_dir, "documents")).drop("text_key")
+    return link_components(table(spark, sf_dir, "documents")).drop("text_key", "group")

@@ -33,6 +33,10 @@ BUCKET_ROWS = 512
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def words_of(text: str) -> Column:
+    return F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("bigint")
+
+
 def source_key(source: str = "source") -> Column:
     """A key that is never null: null is a source of its own."""
     return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
@@ -123,15 +127,18 @@ def block_words(goals: DataFrame, block: int = BLOCK_WORDS) -> int:
 def mix(
     docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK_WORDS,
+    keep_source: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target, taken.
+    """One row per row of ``docs``: doc_id, size, source_size, target, taken,
+    and with ``keep_source`` the source's key.
 
     Size is the number of words; a null or wordless text has none and nothing
     of it is taken. A null source is a source. Repeated rows are rows like
     others. An empty table gives no rows; other columns are ignored.
     """
-    words = F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("bigint")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), words.alias("size"))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), words_of(text).alias("size")
+    )
     rows = materialize(
         rows.withColumn("key", source_key()).groupBy("doc_id", "key", "source", "size")
         .agg(F.count(F.lit(1)).alias("n")), "sizes",
@@ -183,7 +190,7 @@ def mix(
 
     start = F.col("start") + F.col("copy") * F.col("size")
     return found.select(
-        "doc_id", "size", "source_size", "target",
+        "doc_id", *(["key"] if keep_source else []), "size", "source_size", "target",
         (upto(start + F.col("size")) - upto(start)).cast("bigint").alias("taken"),
     )
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -180,9 +180,9 @@ def learn_lexicons(
     return out
 
 
-def with_features(docs: DataFrame, lexicons: list[Lexicon]) -> DataFrame:
-    """A table (doc_id, label, part, text) with the text replaced by its
-    features, by the lexicon that its part names."""
+def with_features(docs: DataFrame, lexicons: list[Lexicon], keys: Sequence[str] = ()) -> DataFrame:
+    """A table (doc_id, label, part, text, binary ``keys``) with the text
+    replaced by its features, by the lexicon that its part names."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,12 +190,13 @@ def with_features(docs: DataFrame, lexicons: list[Lexicon]) -> DataFrame:
             found = [features(t or "", lexicons[p]) for p, t in zip(parts, texts, strict=True)]
             found = np.array(found, dtype=float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *[pa.array(found[:, i]) for i in range(len(FEATURES))]],
-                names=["doc_id", "label", "part", *FEATURES],
+                [*batch.columns[:3], *batch.columns[4:], *[pa.array(found[:, i]) for i in range(len(FEATURES))]],
+                names=["doc_id", "label", "part", *keys, *FEATURES],
             )
 
     kinds = ", ".join(f"{f} double" for f in FEATURES)
-    rows = docs.select("doc_id", "label", "part", "text")
+    kinds = ", ".join([*[f"{k} binary" for k in keys], kinds])
+    rows = docs.select("doc_id", "label", "part", "text", *keys)
     return rows.mapInArrow(scan, f"doc_id long, label int, part int, {kinds}")
 
 
@@ -256,8 +257,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPL
     return Model(lexicons[-1], boosted, calibration, 0.0)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, score (0 to 1), predicted (0 or 1).
+def text_key(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+
+
+def score(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
+    keep_key: bool = False,
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, score (0 to 1), predicted (0 or 1),
+    and with ``keep_key`` the text's digest ``text_key``.
 
     Null and empty texts have features of 0 and are scored like others.
     Repeated rows are rows like others; an empty table gives no rows; other
@@ -265,11 +274,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.lit(0).alias("label"), F.lit(0).alias("part"),
-        F.col(text).cast("string").alias("text"),
+        F.col(text).cast("string").alias("text"), text_key(text).alias("text_key"),
     )
-    found = model.score(with_features(rows, [model.lexicon]))
+    found = model.score(with_features(rows, [model.lexicon], ["text_key"] if keep_key else []))
+    keys = ["text_key"] if keep_key else []
     return found.select(
-        "doc_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("score"))).alias("score")
+        "doc_id", *keys, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("score"))).alias("score")
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
