@@ -15,14 +15,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollforge.llm.common import table
 from rollforge.llm.textscan import U64, mixed
-from rollforge.plans.storage import materialize
 
-# The model is fitted on so many texts of each language, the first by a hash of their ids.
+# The model is fitted on about so many texts of each language, chosen by a hash of their ids.
 SAMPLE = 2000
 BUCKETS = 1 << 16
 PENALTY = 8.0
@@ -253,19 +252,15 @@ def train(
     docs: DataFrame, learn: Column, sample: int = SAMPLE, id_col: str = "doc_id", text: str = "text",
     lang: str = "lang",
 ) -> Model:
-    """Fit on the first ``sample`` texts per language, by a hash of the id, of
-    the rows with ``learn`` true and a language. What reaches the driver is
-    bounded by languages times trigram buckets."""
+    """Fit on about ``sample`` texts per language, chosen by a hash of the id
+    among the rows with ``learn`` true and a language. What reaches the driver
+    is bounded by languages times trigram buckets."""
     known = docs.where(learn & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(id_col).alias("doc_id"), F.col(text).alias("text")
     )
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        known.select("lang", "doc_id").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= sample)
-        .select("lang", "doc_id").distinct()
-    )
-    chosen = materialize(chosen, "language_sample")
-    taken = known.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi")
+    sizes = F.broadcast(known.groupBy("lang").agg(F.count(F.lit(1)).alias("of")))  # a row per language
+    share = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("of")) * float(1 << 20)
+    taken = known.join(sizes, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
     found = counts(taken).toPandas()
     langs = sorted(found["lang"].unique())
     logs = np.zeros((BUCKETS, len(langs)), dtype=np.float32)

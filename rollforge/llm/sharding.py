@@ -44,7 +44,7 @@ def fisher_yates(n: Column, bucket: Column, seed: int) -> Column:
 def external_shuffle(
     records: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS
 ) -> tuple[DataFrame, int]:
-    """``records`` with their ``position`` (0 to rows - 1) in a seeded random
+    """``records`` with their ``__position`` (0 to rows - 1) in a seeded random
     order, and the number of rows.
 
     Equal records are counted before the shuffle and told apart by a copy
@@ -69,7 +69,7 @@ def external_shuffle(
     )
     item = F.get("__items", F.col("__index"))
     return placed.select(
-        *[item[c].alias(c) for c in names], (F.col("__offset") + F.col("__at")).alias("position")
+        *[item[c].alias(c) for c in names], (F.col("__offset") + F.col("__at")).alias("__position")
     ), rows
 
 
@@ -78,10 +78,10 @@ def place(shuffled: DataFrame, rows: int, shards: int) -> DataFrame:
     ``rows % shards`` shards get one row more. Slots count from 0."""
     each, extra = divmod(rows, shards)
     wide = extra * (each + 1)
-    p = F.col("position")
+    p = F.col("__position")
     shard = F.when(p < wide, F.floor(p / F.lit(each + 1))).otherwise(extra + F.floor((p - wide) / F.lit(max(1, each))))
-    start = F.col("shard") * each + F.least(F.col("shard"), F.lit(extra))
-    return shuffled.withColumn("shard", shard.cast("int")).withColumn("slot", (p - start).cast("bigint"))
+    start = F.col("__shard") * each + F.least(F.col("__shard"), F.lit(extra))
+    return shuffled.withColumn("__shard", shard.cast("int")).withColumn("__slot", (p - start).cast("bigint"))
 
 
 def assign(
@@ -104,7 +104,8 @@ def assign(
     )
     shuffled, rows = external_shuffle(records, seed, bucket_rows)
     return place(shuffled, rows, shards).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("__shard").alias("shard"),
+        F.col("__slot").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
@@ -113,13 +114,17 @@ def write_shards(
     docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = 16 << 20,
     text: str = "text",
 ) -> None:
-    """Write whole records, shuffled, as Parquet under ``path``/shard=N, in slot
-    order within each file. Buckets hold about ``bucket_bytes`` of text."""
+    """Write whole records, shuffled, as Parquet under ``path``/shard=N (shard_=N
+    if the records have a column shard), in slot order within each file. Buckets
+    hold about ``bucket_bytes`` of text."""
     mean = docs.agg(F.avg(F.octet_length(text_or_empty(text)))).first()[0] or 1.0
     shuffled, rows = external_shuffle(docs, seed, max(1, int(bucket_bytes / (mean + 64))))
+    folder = "shard"
+    while folder in docs.columns:
+        folder += "_"
     (
-        place(shuffled, rows, shards).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard").parquet(path)
+        place(shuffled, rows, shards).repartitionByRange("__shard", "__slot").sortWithinPartitions("__shard", "__slot")
+        .select(*docs.columns, F.col("__shard").alias(folder)).write.partitionBy(folder).parquet(path)
     )
 
 
