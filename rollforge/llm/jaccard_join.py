@@ -164,8 +164,9 @@ def prefix_size(size: np.ndarray, percent: int) -> np.ndarray:
 
 
 def prefix_rows(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, texts: np.ndarray) -> DataFrame:
-    """(token, d1, d2, size, pos) of the prefixes of the sets of ``docs``, each
-    set once per block of texts. ``frequent`` is sorted; ``texts`` orders it."""
+    """(token, d1, size, pos) of the prefixes of the sets of ``docs``, each set
+    once per block of texts. ``frequent`` is sorted; ``texts`` orders it. Half of
+    a set's name is enough here: sets that shared it would all be compared."""
     sent = docs.sparkSession.sparkContext.broadcast((frequent, texts))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,27 +200,27 @@ def prefix_rows(docs: DataFrame, words: int, percent: int, frequent: np.ndarray,
                 take = pos < prefix_size(size, percent)[owner]
                 owner = owner[take]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value[take].view(np.int64)), pa.array(d1[owner]), pa.array(d2[owner]),
+                    [pa.array(value[take].view(np.int64)), pa.array(d1[owner]),
                      pa.array(size[owner].astype(np.int32)), pa.array(pos[take].astype(np.int32))],
-                    names=["token", "d1", "d2", "size", "pos"],
+                    names=["token", "d1", "size", "pos"],
                 )
 
-    return docs.select("text").mapInArrow(scan, "token long, d1 long, d2 long, size int, pos int")
+    return docs.select("text").mapInArrow(scan, "token long, d1 long, size int, pos int")
 
 
-LIST_ROWS = "kind int, token long, d1 long, d2 long, size int, pos int, e1 long, e2 long"
+LIST_ROWS = "kind int, token long, d1 long, size int, pos int, leader long"
 
 
 def read_lists(prefixes: DataFrame, percent: int) -> DataFrame:
     """One pass over the lists, sorted by (token, size, set): kind 0 pairs each
     set with its leader, the smallest set of the list that its size allows to
-    link (e1, e2); kind 1 repeats the rows of lists of three sets or more."""
-    names = ["kind", "token", "d1", "d2", "size", "pos", "e1", "e2"]
+    link; kind 1 repeats the rows of lists of three sets or more."""
+    names = ["kind", "token", "d1", "size", "pos", "leader"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # of the list that the last batch ended in: its last rows (3 at most), its leader, its length
         tail: np.ndarray | None = None
-        leader: np.ndarray | None = None
+        leader: tuple[int, int] | None = None
         length = 0
         for batch in batches:
             rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
@@ -232,11 +233,11 @@ def read_lists(prefixes: DataFrame, percent: int) -> DataFrame:
             else:
                 leader, length = None, 0
             same = np.zeros(rows.shape[1], dtype=bool)
-            same[1:] = (rows[:3, 1:] == rows[:3, :-1]).all(axis=0)
+            same[1:] = (rows[:2, 1:] == rows[:2, :-1]).all(axis=0)
             same[:old] = False
             old_length = length
             rows = rows[:, ~same]
-            token, size = rows[0], rows[3]
+            token, size = rows[0], rows[2]
             starts = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1))
             ends = np.concatenate((starts[1:], [len(token)]))
             group = np.repeat(np.arange(len(starts)), ends - starts)
@@ -244,27 +245,27 @@ def read_lists(prefixes: DataFrame, percent: int) -> DataFrame:
             lead = np.full(len(token), -1, dtype=np.int64)
             now = starts.copy()
             lead_size = size[now].copy()
-            lead_rows = rows[1:3, now].copy()
+            lead_name = rows[1, now].copy()
             if old and leader is not None:
-                lead_size[0], lead_rows[:, 0] = leader[3], leader[1:3]
+                lead_size[0], lead_name[0] = leader[1], leader[0]
                 now[0] = -2
-            pair_rows = np.zeros((2, len(token)), dtype=np.int64)
+            pair = np.zeros(len(token), dtype=np.int64)
             todo = np.arange(len(token))
             todo = todo[todo >= old] if old else todo
             while len(todo):
                 fits = 100 * lead_size[group[todo]] >= percent * size[todo]
                 ok = todo[fits]
                 lead[ok] = now[group[ok]]
-                pair_rows[:, ok] = lead_rows[:, group[ok]]
+                pair[ok] = lead_name[group[ok]]
                 todo = todo[~fits]
                 if len(todo):
                     heads = todo[np.concatenate(([True], np.diff(group[todo]) > 0))]
                     now[group[heads]] = heads
                     lead_size[group[heads]] = size[heads]
-                    lead_rows[:, group[heads]] = rows[1:3, heads]
+                    lead_name[group[heads]] = rows[1, heads]
             new = np.arange(len(token)) >= old
             paired = new & (lead != np.arange(len(token))) & (lead != -1)
-            yield batch_of(0, rows[:, paired], pair_rows[:, paired])
+            yield batch_of(0, rows[:, paired], pair[paired])
             total = ends - starts
             total[0] += max(0, old_length - old)
             long = total[group] >= 3
@@ -278,17 +279,17 @@ def read_lists(prefixes: DataFrame, percent: int) -> DataFrame:
             yield batch_of(1, rows[:, long & ~carried], None)
             length = int(total[-1])
             tail = rows[:, max(last, len(token) - 3):]
-            leader = np.concatenate(([token[-1]], lead_rows[:, -1], [lead_size[-1], 0]))
+            leader = (int(lead_name[-1]), int(lead_size[-1]))
 
     def batch_of(kind: int, rows: np.ndarray, pair: np.ndarray | None) -> pa.RecordBatch:
         n = rows.shape[1]
-        ends = [pa.array(p) for p in pair] if pair is not None else [pa.nulls(n, pa.int64())] * 2
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, kind, dtype=np.int32)), *[pa.array(r) for r in rows[:3]],
-             *[pa.array(r.astype(np.int32)) for r in rows[3:]], *ends], names=names,
+            [pa.array(np.full(n, kind, dtype=np.int32)), pa.array(rows[0]), pa.array(rows[1]),
+             *[pa.array(r.astype(np.int32)) for r in rows[2:]],
+             pa.array(pair) if pair is not None else pa.nulls(n, pa.int64())], names=names,
         )
 
-    listed = prefixes.repartition("token").sortWithinPartitions("token", "size", "d1", "d2")
+    listed = prefixes.repartition("token").sortWithinPartitions("token", "size", "d1")
     return listed.mapInArrow(scan, LIST_ROWS)
 
 
@@ -365,42 +366,18 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
 
 
 class Corpus:
-    """Texts with their keys, and their distinct sets (sid, d1, d2, size, bitmap, text_key)."""
+    """Texts (text_key, doc_id, text) and their distinct sets (sid, d1, size,
+    bitmap, and the key and id of one text)."""
 
     def __init__(self, texts: DataFrame, sets: DataFrame, words: int, percent: int) -> None:
         self.texts, self.sets, self.words, self.percent = texts, sets, words, percent
 
-    def with_hashes(self, sids: DataFrame) -> DataFrame:
-        """(sid, hashes) of the sets of ``sids``."""
-        words = self.words
-        keys = materialize(self.sets.join(sids, "sid", "left_semi").select("sid", "text_key", "d1", "d2"), "asked_sets")
-        few = keys.count() <= SENT_KEYS
-        asked = F.broadcast(keys.select("text_key")) if few else keys.select("text_key").hint("shuffle_hash")
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                done: set[tuple[int, int]] = set()
-                for _, _, bounds, value in batch_sets(batch.column(0), words):
-                    d1, d2 = digests(bounds, value)
-                    names = list(zip(d1.tolist(), d2.tolist(), strict=True))
-                    keep = [i for i, x in enumerate(names) if x not in done and not done.add(x)]
-                    hashes = [value[bounds[i]: bounds[i + 1]].view(np.int64) for i in keep]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(d1[keep]), pa.array(d2[keep]), pa.array(hashes, pa.list_(pa.int64()))],
-                        names=["d1", "d2", "hashes"],
-                    )
-
-        found = self.texts.join(asked, "text_key", "left_semi").select("text")
-        found = found.mapInArrow(scan, "d1 long, d2 long, hashes array<long>")
-        found = found.groupBy("d1", "d2").agg(F.first("hashes").alias("hashes"))
-        return found.join(keys.select("sid", "d1", "d2"), ["d1", "d2"]).select("sid", "hashes")
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of sids whose sets link, compared exactly."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The ``pairs`` (a, b: sids) whose bitmaps leave enough in common."""
         p = self.percent
         one = self.sets.select(F.col("sid").alias("a"), F.col("size").alias("size_a"), F.col("bitmap").alias("bits_a"))
         two = self.sets.select(F.col("sid").alias("b"), F.col("size").alias("size_b"), F.col("bitmap").alias("bits_b"))
-        sized = pairs.join(one, "a").join(two, "b")
+        names = pairs.columns
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -410,21 +387,45 @@ class Corpus:
                 ]
                 total = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
                 differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
-                keep = pa.array((100 + p) * differ <= (100 - p) * total)
-                yield batch.select(["a", "b", "size_a", "size_b"]).filter(keep)
+                yield batch.select(names).filter(pa.array((100 + p) * differ <= (100 - p) * total))
 
-        likely = materialize(
-            sized.select("a", "b", "size_a", "size_b", "bits_a", "bits_b")
-            .mapInArrow(scan, "a long, b long, size_a long, size_b long"), "likely",
-        )
-        ends = likely.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-        hashes = materialize(self.with_hashes(ends), "hashes")
-        one = hashes.select(F.col("sid").alias("a"), F.col("hashes").alias("hashes_a"))
-        two = hashes.select(F.col("sid").alias("b"), F.col("hashes").alias("hashes_b"))
-        common = F.size(F.array_intersect("hashes_a", "hashes_b"))
-        compared = likely.join(one, "a").join(two, "b").withColumn("common", common)
-        union = F.col("size_a") + F.col("size_b") - F.col("common")
-        return compared.where(100 * F.col("common") >= p * union).select("a", "b")
+        sized = pairs.join(one, "a").join(two, "b").select(*names, "size_a", "size_b", "bits_a", "bits_b")
+        return materialize(sized.mapInArrow(scan, ", ".join(f"{c} long" for c in names)), "likely")
+
+    def texts_of(self, sids: DataFrame) -> DataFrame:
+        """(sid, text): one text of each set of ``sids``."""
+        keys = materialize(self.sets.join(sids, "sid", "left_semi").select("sid", "text_key", "one"), "asked_sets")
+        asked = F.broadcast(keys) if keys.count() <= SENT_KEYS else keys.hint("shuffle_hash")
+        same = self.texts["doc_id"].eqNullSafe(asked["one"]) & (self.texts["text_key"] == asked["text_key"])
+        found = self.texts.join(asked, same).select("sid", "text")
+        return materialize(found.groupBy("sid").agg(F.first("text").alias("text")), "asked_texts")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sets link, compared exactly."""
+        words, percent = self.words, self.percent
+        texts = self.texts_of(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
+
+        def hashes(text: str) -> np.ndarray:
+            raw = np.frombuffer(text.encode(), dtype=np.uint8)
+            return shingles(raw, np.array([0, len(raw)]), words)[1]
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last, second = None, None
+            for batch in batches:
+                keep = np.zeros(batch.num_rows, dtype=bool)
+                ends = batch.column("b").to_numpy()
+                for i in range(batch.num_rows):
+                    if ends[i] != last:
+                        last, second = ends[i], hashes(batch.column("text_b")[i].as_py())
+                    first = hashes(batch.column("text_a")[i].as_py())
+                    common = len(np.intersect1d(first, second, assume_unique=True))
+                    keep[i] = 100 * common >= percent * (len(first) + len(second) - common)
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+        one = texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a"))
+        two = texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
+        both = pairs.select("a", "b").join(one, "a").join(two.hint("merge"), "b").select("a", "b", "text_a", "text_b")
+        return materialize(both.mapInArrow(scan, "a long, b long"), "links")
 
 
 def link_components(
@@ -451,30 +452,40 @@ def link_components(
         .orderBy(F.desc("n"), "token").limit(SENT_FREQUENT).toPandas().sort_values("token", key=lambda c: c.to_numpy().view(U64))
     )
     sets = rows.where("size > 0").groupBy("d1", "d2").agg(
-        F.max("size").alias("size"), F.min("bitmap").alias("bitmap"), F.min("text_key").alias("text_key"),
+        F.max("size").alias("size"), F.min("bitmap").alias("bitmap"),
+        F.min(F.struct("text_key", F.col("doc_id").alias("one"))).alias("text"),
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("docs"),
-    )
+    ).select("*", "text.*").drop("text")
     sets = materialize(sets.withColumn("sid", F.monotonically_increasing_id()), "distinct_sets")
-    corpus = Corpus(texts.select("text_key", "text"), sets, words, percent)
+    corpus = Corpus(texts, sets, words, percent)
 
     prefixes = prefix_rows(
         texts, words, percent, frequent["token"].to_numpy(dtype=np.int64).view(U64), frequent["n"].to_numpy(dtype=np.int64)
     )
     lists = materialize(read_lists(prefixes, percent), "lists")
-    names = sets.select("d1", "d2", "sid")
-    led = lists.where("kind = 0").select("d1", "d2", "e1", "e2").distinct()
-    led = led.join(names, ["d1", "d2"]).select(F.col("sid").alias("a"), "e1", "e2").join(
-        names.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col("sid").alias("b")), ["e1", "e2"]
+    names = sets.select("d1", "sid")
+    led = lists.where("kind = 0").groupBy("d1", "leader").agg(F.count(F.lit(1)).alias("shared"))
+    led = led.join(names.withColumnRenamed("sid", "a"), "d1").join(
+        names.select(F.col("d1").alias("leader"), F.col("sid").alias("b")), "leader"
     )
-    first = materialize(corpus.links(led.where("a <> b").select("a", "b")), "leader_links")
+    led = corpus.likely(led.where("a <> b").select("a", "b", "shared"))
+    # first the leader of most lists, which joins nearly all copies; then leaders in other components
+    best = led.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select("a", "best.b")
+    first = corpus.links(best)
+    labels = star_components(first)
+
+    def labelled(pairs: DataFrame, end: str) -> DataFrame:
+        named = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+        return pairs.join(named, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
 
+    others = labelled(labelled(led.select("a", "b").join(best, ["a", "b"], "left_anti"), "a"), "b")
+    first = first.unionByName(corpus.links(others.where("label_a <> label_b").select("a", "b")))
     labels = star_components(first)
+
     named = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "d1", "d2", "sid", F.coalesce("label", "sid").alias("label"), F.col("size").alias("set_size"), "bitmap"
-    )
-    long = lists.where("kind = 1").select("token", "d1", "d2", "size", "pos").join(
-        named.select("d1", "d2", "sid", "label"), ["d1", "d2"]
+        "d1", "sid", F.coalesce("label", "sid").alias("label")
     )
+    long = lists.where("kind = 1").select("token", "d1", "size", "pos").join(named, "d1")
     long = materialize(long.select("token", "sid", "label", "size", "pos"), "long_lists")
     split = long.groupBy("token").agg(
         F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
@@ -490,7 +501,7 @@ def link_components(
     )
     placed = placed.repartition("token", "part", "other").sortWithinPartitions("token", "part", "other", "size", "sid")
     crossing = materialize(cross_pairs(placed, percent).distinct(), "cross_pairs")
-    second = materialize(corpus.links(crossing), "cross_links")
+    second = corpus.links(crossing)
 
     edges = first.unionByName(second)
     labels = star_components(edges)

@@ -13,7 +13,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 # Texts are taken together up to so many bytes, a longer text by itself.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
