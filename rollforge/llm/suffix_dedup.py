@@ -44,8 +44,6 @@ RUN = 20_000
 SAMPLED = 4000
 # Inner strings with more classes are decided by counting single windows.
 CLUSTER = 20_000
-# Up to so many texts are asked for by broadcast (of keys and places), more by shuffle.
-SENT_TEXTS = 20_000
 
 
 @dataclass(frozen=True)
@@ -422,10 +420,8 @@ def repeated_spans(texts: DataFrame, shape: Shape, cluster: int = CLUSTER) -> Da
         ).alias("wanted"),
     )
     # a text's own anchors: not more than its bytes
-    asked = materialize(wanted.groupBy("key").agg(F.collect_list("wanted").alias("wanted")), "asked_suffixes")
-    few = asked.count() <= SENT_TEXTS
-    asked = F.broadcast(asked) if few else asked.hint("shuffle_hash")
-    suffixes = materialize(cut_suffixes(texts, asked, shape), "suffixes")
+    asked = wanted.groupBy("key").agg(F.collect_list("wanted").alias("wanted"))
+    suffixes = materialize(cut_suffixes(texts, asked.hint("shuffle_hash"), shape), "suffixes")
     small, large = suffixes.where(~F.col("large")), suffixes.where("large")
     prefix = F.expr(f"substring(body, offset + 1, {shape.inner})")
     count = small.count()
