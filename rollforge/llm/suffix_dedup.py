@@ -401,6 +401,8 @@ def repeated_spans(texts: DataFrame, shape: Shape, cluster: int = CLUSTER) -> Da
     inner = anchors.groupBy("inner").agg(
         F.count(F.lit(1)).alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high")
     ).where("n > 1").select("inner", (F.col("low") == F.col("high")).alias("same"))
+    # written, so that the join below has a shuffle on both sides, whose hot partitions Spark can split
+    inner = materialize(inner, "repeated_strings")
     again = materialize(anchors.join(inner, "inner"), "repeated_anchors")
     mixed_up = again.where(~F.col("same")).drop("same")
     classes = mixed_up.groupBy("inner", "whole").agg(
