@@ -20,6 +20,8 @@ def _sp(x: str) -> str:
 
 
 def _loss_sql(loss: str, beta: float, e: float, a="a", b="b", h="h", mean_h="mh", tau=0.05) -> str:
+    if loss in ("sppo_hard", "nca_pair", "discopop"):  # on the ratios to the reference, always
+        a, b, h = "(c - c0)", "(r - r0)", "((c - c0) - (r - r0))"
     x = f"({h} * {beta}e0)"
     nx = f"(-{x})"
     if loss == "sigmoid":
@@ -121,6 +123,15 @@ def _(spark, sf):
     return m.select("pair_id", rounded("loss"), rounded("reward_chosen"))
 
 
+@query("audit_preference_mix_batch", uses=["pair_logps"], ctes=f"""{_RATIO}, {_BCO_BASE},
+n AS (SELECT step, -sum(c) / sum(n_c) AS sft FROM pair_logps GROUP BY step)""", sql=f"""
+SELECT pair_id, {q(f"({_loss_sql('sigmoid', 0.1, 0.0)}) * 0.5e0 + sft * 0.2e0 + (-{sql_ls('a * 0.1e0 - delta')} - {sql_ls('delta - b * 0.1e0')}) * 0.3e0", 'loss')}
+FROM ratios JOIN base USING (step) JOIN n USING (step)""")
+def _(spark, sf):
+    m = D.audit_mix(T.pair_logps(spark, sf), {"sigmoid": 0.5, "sft": 0.2, "bco_pair": 0.3}, D.Settings(0.1))
+    return m.select("pair_id", rounded("loss"))
+
+
 @query("implicit_rewards", uses=["pair_logps"], sql=f"""
 SELECT pair_id, {q('(c - c0) * 0.1e0', 'reward_chosen')}, {q('(r - r0) * 0.1e0', 'reward_rejected')} FROM pair_logps""")
 def _(spark, sf):
@@ -213,7 +224,7 @@ for _l in ("kto", "apo_zero_unpaired"):
 
 def _side(expr: str, side: str) -> str:
     test = "label" if side == "chosen" else "NOT label"
-    return f"sum(CASE WHEN {test} THEN {expr} END) / count(CASE WHEN {test} THEN 1 END)"
+    return f"CAST(sum(CASE WHEN {test} THEN CAST({expr} AS DECIMAL(28, 9)) END) AS DOUBLE) / count(CASE WHEN {test} THEN 1 END)"
 
 
 @query("unpaired_metrics", uses=["unpaired_logps"], sql="SELECT run_id, step, count(CASE WHEN label THEN 1 END) AS count_chosen,"
@@ -240,12 +251,12 @@ def _(spark, sf):
 
 
 @query("audit_binary_classifier", uses=["unpaired_logps"], ctes=f"""
-s AS (SELECT step, sum({_reward_sql()}) AS s, count(*) AS n FROM unpaired_logps GROUP BY step),
-b AS (SELECT step, sum(s) OVER (ORDER BY step) / sum(n) OVER (ORDER BY step) AS delta FROM s)""", sql=f"""
+s AS (SELECT run_id, step, sum({_reward_sql()}) AS s, count(*) AS n FROM unpaired_logps GROUP BY run_id, step),
+b AS (SELECT run_id, step, sum(s) OVER w / sum(n) OVER w AS delta FROM s WINDOW w AS (PARTITION BY run_id ORDER BY step))""", sql=f"""
 SELECT row_id, {q('delta', 'delta')}, {q(f'''CASE WHEN label THEN -{sql_ls(f'{_reward_sql()} - delta')}
- ELSE -{sql_ls(f'delta - {_reward_sql()}')} END''', 'loss')} FROM unpaired_logps JOIN b USING (step)""")
+ ELSE -{sql_ls(f'delta - {_reward_sql()}')} END''', 'loss')} FROM unpaired_logps JOIN b USING (run_id, step)""")
 def _(spark, sf):
-    a = D.audit_binary_classifier(T.unpaired_logps(spark, sf), "step")
+    a = D.audit_binary_classifier(T.unpaired_logps(spark, sf), "step", keys=["run_id"])
     return a.select("row_id", rounded("delta"), rounded("loss"))
 
 

@@ -264,26 +264,29 @@ _TWO = ("two AS (SELECT run_id, step, prompt_id, sample_idx, response, reward FR
 
 def _two(spark, sf):
     r = R.combine(R.score(T.rollouts(spark, sf), SPECS), SPECS)
-    return r.where(F.col("sample_idx") < 2).select("prompt_id", "sample_idx", "response", "reward")
+    return r.where(F.col("sample_idx") < 2).select("run_id", "step", "prompt_id", "sample_idx", "response", "reward")
 
 
-_PAIRED = """SELECT a.prompt_id, CASE WHEN {m} THEN a.sample_idx ELSE b.sample_idx END AS chosen_idx,
+_GROUP = ["run_id", "step", "prompt_id"]
+_PAIRED = """SELECT a.run_id, a.step, a.prompt_id, CASE WHEN {m} THEN a.sample_idx ELSE b.sample_idx END AS chosen_idx,
  CASE WHEN {m} THEN b.sample_idx ELSE a.sample_idx END AS rejected_idx,
  CASE WHEN {m} THEN a.response ELSE b.response END AS chosen, CASE WHEN {m} THEN b.response ELSE a.response END AS rejected
- FROM two a JOIN two b ON a.prompt_id = b.prompt_id AND a.sample_idx = 0 AND b.sample_idx = 1"""
+ FROM two a JOIN two b ON a.run_id = b.run_id AND a.step = b.step AND a.prompt_id = b.prompt_id
+ AND a.sample_idx = 0 AND b.sample_idx = 1"""
 
 
 @query("pair_by_score", uses=["rollouts"], ctes=f"{REWARDED_SQL}, {_TWO}",
        sql=_PAIRED.format(m="a.reward >= b.reward"))
 def _(spark, sf):
-    return J.pair_by_score(_two(spark, sf)).select("prompt_id", "chosen_idx", "rejected_idx", "chosen", "rejected")
+    return J.pair_by_score(_two(spark, sf), _GROUP).select(*_GROUP, "chosen_idx", "rejected_idx", "chosen", "rejected")
 
 
 @query("pair_by_judge", uses=["rollouts", "judge_ranks"], ctes=f"{REWARDED_SQL}, {_TWO}",
        sql=_PAIRED.format(m="j.rank = 0") + " JOIN judge_ranks j ON a.prompt_id = j.prompt_id")
 def _(spark, sf):
-    return J.pair_by_judge(_two(spark, sf), T.judge_ranks(spark, sf)).select(
-        "prompt_id", "chosen_idx", "rejected_idx", "chosen", "rejected")
+    ranks = _two(spark, sf).select(*_GROUP).distinct().join(T.judge_ranks(spark, sf), "prompt_id")
+    return J.pair_by_judge(_two(spark, sf), ranks, _GROUP).select(
+        *_GROUP, "chosen_idx", "rejected_idx", "chosen", "rejected")
 
 
 @query("model_vs_ref_select", uses=["duels"], sql=f"""

@@ -103,11 +103,11 @@ def _(spark, sf):
     return S.seeded_sample(T.read(spark, sf, "documents").select("doc_id"), "doc_id", 100, seed=1).select("doc_id")
 
 
-_SLOT = "CAST('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000"
+_SLOT = "CAST('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT)"
 
 
 @query("fraction_split", sql=f"""
-SELECT doc_id, CASE WHEN {_SLOT} < 500 THEN 'test' WHEN {_SLOT} < 1500 THEN 'valid' ELSE 'train' END AS split FROM documents""")
+SELECT doc_id, CASE WHEN {_SLOT} < {round(0.05 * 2**32)} THEN 'test' WHEN {_SLOT} < {round(0.15 * 2**32)} THEN 'valid' ELSE 'train' END AS split FROM documents""")
 def _(spark, sf):
     shares = {"test": 0.05, "valid": 0.10, "train": 0.85}
     return S.fraction_split(T.read(spark, sf, "documents").select("doc_id"), "doc_id", shares)
@@ -122,7 +122,7 @@ def _(spark, sf):
 r AS (SELECT vec_id, label < 5 AS desirable, {_md5_order('vec_id', 42, 'label < 5')} AS position FROM embeddings),
 s AS (SELECT desirable, count(*) AS size FROM r GROUP BY desirable),
 d AS (SELECT desirable, size, unnest(range(least(512, size))) AS draw FROM s),
-p AS (SELECT desirable, draw, CAST('0x' || substr(md5('42:' || CAST(desirable AS VARCHAR) || ':' || CAST(draw AS VARCHAR)), 1, 8)
+p AS (SELECT desirable, draw, CAST('0x' || substr(md5('42:' || CAST(desirable AS VARCHAR) || ':' || CAST(draw AS VARCHAR)), 1, 15)
   AS BIGINT) % size AS position FROM d)""",
        sql="SELECT p.desirable, p.draw, r.vec_id FROM p JOIN r ON p.desirable = r.desirable AND p.position = r.position")
 def _(spark, sf):
@@ -141,8 +141,8 @@ def _(spark, sf):
 
 
 @query("kl_mismatch_pairs", uses=["unpaired"], ctes=f"""
-o AS (SELECT row_id, completion, {_md5_order('row_id')} AS p FROM unpaired),
-b AS (SELECT *, p // 8 AS batch FROM o)""", sql="""
+o AS (SELECT row_id, completion, {_md5_order('row_id')} AS p, count(*) OVER () AS n FROM unpaired),
+b AS (SELECT *, least(p // 8, greatest(0, (n - 2) // 8)) AS batch FROM o)""", sql="""
 SELECT row_id, batch, md5(coalesce(lag(completion) OVER (PARTITION BY batch ORDER BY p),
  last_value(completion) OVER (PARTITION BY batch ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))) AS kl_completion
 FROM b""")
@@ -195,8 +195,8 @@ def _(spark, sf):
 w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS token,
  generate_subscripts(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> ''), 1) AS pos FROM documents),
 v AS (SELECT token, row_number() OVER (ORDER BY md5('7:' || token), token) + 3 AS token_id FROM (SELECT DISTINCT token FROM w))""",
-       sql="""SELECT doc_id, md5(string_agg(CAST(token_id AS VARCHAR), ',' ORDER BY pos)) AS ids, count(*) AS n
-FROM w JOIN v ON w.token = v.token GROUP BY doc_id""")
+       sql="""SELECT d.doc_id, md5(coalesce(string_agg(CAST(token_id AS VARCHAR), ',' ORDER BY pos), '')) AS ids, count(token_id) AS n
+FROM documents d LEFT JOIN (w JOIN v ON w.token = v.token) ON d.doc_id = w.doc_id GROUP BY d.doc_id""")
 def _(spark, sf):
     docs = T.documents(spark, sf)
     coded = P.encode(docs, P.build_vocab(docs), "doc_id")

@@ -58,7 +58,7 @@ SELECT run_id, step, prompt_id, {q('avg(reward)', 'mean')}, {q('stddev_samp(rewa
 FROM rewarded GROUP BY run_id, step, prompt_id""")
 def _(spark, sf):
     keys = ["run_id", "step", "prompt_id"]
-    out = S.run_update(S.group_stats(_scored(spark, sf), keys, late="100000 days"), "groups", keys)
+    out = S.run_update(S.group_stats(_scored(spark, sf), keys), "groups", keys)
     return out.select(*keys, rounded("mean"), rounded("std"), "seen")
 
 

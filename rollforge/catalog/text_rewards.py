@@ -57,14 +57,11 @@ _MSG = ("CASE role WHEN 'system' THEN '<|system|>' || chr(10) || text || chr(10)
 
 
 @query("render_chat", sql=f"""
-SELECT conv_id, part, md5(body || CASE WHEN part = last_part THEN '<|assistant|>' || chr(10) ELSE '' END) AS digest,
- CAST(length(body) + CASE WHEN part = last_part THEN 14 ELSE 0 END AS BIGINT) AS chars
-FROM (SELECT *, max(part) OVER (PARTITION BY conv_id) AS last_part FROM (
-  SELECT conv_id, turn // 512 AS part, string_agg({_MSG}, '' ORDER BY turn) AS body
-  FROM conversations GROUP BY conv_id, turn // 512))""")
+SELECT conv_id, md5(body || '<|assistant|>' || chr(10)) AS digest, CAST(length(body) + 14 AS BIGINT) AS chars
+FROM (SELECT conv_id, string_agg({_MSG}, '' ORDER BY turn) AS body FROM conversations GROUP BY conv_id)""")
 def _(spark, sf):
     rendered = chat.render(T.read(spark, sf, "conversations"))
-    return rendered.select("conv_id", "part", F.md5("text").alias("digest"),
+    return rendered.select("conv_id", F.md5("text").alias("digest"),
                            F.length("text").cast("bigint").alias("chars"))
 
 

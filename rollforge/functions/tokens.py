@@ -12,7 +12,7 @@ HASH_IDS = 1_000_003
 
 
 def ids(*values: int) -> Column:
-    return F.array(*[F.lit(v).cast("bigint") for v in values])
+    return F.array(*[F.lit(v).cast("bigint") for v in values]).cast("array<bigint>")
 
 
 def words(text: Column) -> Column:

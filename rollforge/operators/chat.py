@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollforge.functions import text as X
 from rollforge.plans.skew import attach_stats
 from rollforge.schemas import require
 
-PART_TURNS = 512
-
 
 def keep_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns a job uses; the scan reads no others."""
@@ -23,16 +21,20 @@ def render(
     turns: DataFrame,
     template: Mapping[str, tuple[str, str]] = X.CHAT_TEMPLATE,
     generation_prompt: str = X.GENERATION_PROMPT,
-    part_turns: int = PART_TURNS,
+    part_turns: int | None = None,
 ) -> DataFrame:
     """Conversation text: rendered turns in order plus the generation prompt.
 
-    One row per conversation and ``part_turns`` turns, ``part`` from 0; joined
-    in part order they are the whole text. Ordinary conversations have one
-    part, and no task ever holds more than ``part_turns`` turns of one.
+    One row per conversation, which is one row of model context. With
+    ``part_turns`` one row per conversation and that many turns, ``part`` from
+    0; joined in part order they are the whole text.
     """
     require(turns, ["conv_id", "turn", "role", "text"], "render")
-    part = F.expr(f"turn div {int(part_turns)}")
+    if part_turns is None:
+        part = F.lit(0)
+    else:
+        place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+        turns, part = turns.withColumn("__place", place), F.floor((F.col("__place") - 1) / part_turns).cast("int")
     message = X.render_message(F.col("role"), F.col("text"), template)
     parts = turns.groupBy("conv_id", part.alias("part")).agg(
         F.array_join(

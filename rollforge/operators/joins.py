@@ -30,22 +30,36 @@ def unmatched(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     )
 
 
-def attach_required(rows: DataFrame, columns: DataFrame, key: str) -> DataFrame:
+def key_list(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _checked(frame: DataFrame, names: Sequence[str], missing: Column, message: Column) -> list[Column]:
+    """The columns, each of which fails where ``missing``: the check holds
+    whichever of them a caller keeps."""
+    return [
+        F.when(missing, F.raise_error(message).cast(frame.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c in names
+    ]
+
+
+def attach_required(rows: DataFrame, columns: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Add precomputed columns by key; a row without them is an error."""
-    marked = columns.withColumn("__found", F.lit(True))
-    joined = rows.join(marked, key, "left")
-    checked = F.when(F.col("__found").isNull(), F.raise_error(F.concat(F.lit(f"no values for {key} "), F.col(key).cast("string"))))
-    return joined.withColumn(key, F.coalesce(checked.cast(rows.schema[key].dataType), F.col(key))).drop("__found")
+    keys = key_list(key)
+    joined = rows.join(columns.withColumn("__found", F.lit(True)), keys, "left")
+    shown = F.concat_ws(",", *[F.col(k).cast("string") for k in keys])
+    message = F.concat(F.lit(f"no values for {','.join(keys)} "), shown)
+    added = [c for c in columns.columns if c not in keys]
+    names = [*rows.columns, *added]
+    return joined.select(*_checked(joined, names, F.col("__found").isNull(), message))
 
 
-def concat_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def concat_columns(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Put the columns of two equally long tables side by side by row key."""
-    a = left.withColumn("__l", F.lit(1))
-    b = right.withColumn("__r", F.lit(1))
-    both = a.join(b, key, "full_outer")
+    keys = key_list(key)
+    both = left.withColumn("__l", F.lit(1)).join(right.withColumn("__r", F.lit(1)), keys, "full_outer")
     missing = F.col("__l").isNull() | F.col("__r").isNull()
-    error = F.when(missing, F.raise_error(F.lit("concat_columns: row keys differ")))
-    return both.withColumn(key, F.coalesce(error.cast(left.schema[key].dataType), F.col(key))).drop("__l", "__r")
+    names = [*left.columns, *[c for c in right.columns if c not in keys]]
+    return both.select(*_checked(both, names, missing, F.lit("concat_columns: row keys differ")))
 
 
 def _pick(pairs: DataFrame, first_wins: Column, columns: Sequence[str]) -> list[Column]:
@@ -59,36 +73,42 @@ def _pick(pairs: DataFrame, first_wins: Column, columns: Sequence[str]) -> list[
     return out
 
 
-def side_by_side(samples: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
-    """Samples 0 and 1 of each prompt in one row, as ``<column>_a`` and
-    ``<column>_b``: one scan and one shuffle of two rows per prompt."""
-    columns = [c for c in samples.columns if c != key]
-    w = Window.partitionBy(key).orderBy("sample_idx")
-    two = samples.where(F.col("sample_idx") < 2)
-    both = two.withColumn("__b", F.lead(F.struct(*columns)).over(w)).where(
-        (F.col("sample_idx") == 0) & (F.col("__b.sample_idx") == 1))
+def side_by_side(samples: DataFrame, key: str | Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Samples 0 and 1 of each key in one row, as ``<column>_a`` and
+    ``<column>_b``: one scan and one shuffle of two rows per key. A key names
+    one group of samples, so a sample number that repeats in it is an error."""
+    keys = key_list(key)
+    columns = [c for c in samples.columns if c not in keys]
+    w = Window.partitionBy(*keys).orderBy("sample_idx")
+    two = samples.where(F.col("sample_idx").between(0, 1))
+    error = F.raise_error(F.lit(f"sample_idx repeats within {','.join(keys)}")).cast("boolean")
+    twice = F.lead("sample_idx").over(w) == F.col("sample_idx")
+    both = two.withColumn("__b", F.lead(F.struct(*columns)).over(w)).withColumn("__twice", twice).where(
+        F.when(F.col("__twice"), error).otherwise((F.col("sample_idx") == 0) & (F.col("__b.sample_idx") == 1)))
     return both.select(
-        key, *[F.col(c).alias(f"{c}_a") for c in columns], *[F.col(f"__b.{c}").alias(f"{c}_b") for c in columns]
+        *keys, *[F.col(c).alias(f"{c}_a") for c in columns], *[F.col(f"__b.{c}").alias(f"{c}_b") for c in columns]
     ), columns
 
 
-def pair_by_score(samples: DataFrame, key: str = "prompt_id", score: str = "reward") -> DataFrame:
-    """Two completions per prompt into chosen and rejected; a tie goes to the first."""
+def pair_by_score(samples: DataFrame, key: str | Sequence[str] = "prompt_id", score: str = "reward") -> DataFrame:
+    """Two completions per key into chosen and rejected; a tie goes to the
+    first. ``key`` names the group: the prompt, or run, step and prompt."""
     both, columns = side_by_side(samples, key)
-    return both.select(key, *_pick(both, F.col(f"{score}_a") >= F.col(f"{score}_b"), columns))
+    return both.select(*key_list(key), *_pick(both, F.col(f"{score}_a") >= F.col(f"{score}_b"), columns))
 
 
-def pair_by_judge(samples: DataFrame, ranks: DataFrame, key: str = "prompt_id") -> DataFrame:
+def pair_by_judge(samples: DataFrame, ranks: DataFrame, key: str | Sequence[str] = "prompt_id") -> DataFrame:
     """The same, decided by an external judge: rank 0 means the first is better."""
-    both, columns = side_by_side(samples, key)
-    judged = both.join(ranks.select(key, F.col("rank").alias("__rank")), key)
-    return judged.select(key, *_pick(judged, F.col("__rank") == 0, columns))
+    keys = key_list(key)
+    both, columns = side_by_side(samples, keys)
+    judged = both.join(ranks.select(*keys, F.col("rank").alias("__rank")), keys)
+    return judged.select(*keys, *_pick(judged, F.col("__rank") == 0, columns))
 
 
-def model_vs_ref(model: DataFrame, ref: DataFrame, key: str = "prompt_id") -> DataFrame:
+def model_vs_ref(model: DataFrame, ref: DataFrame, key: str | Sequence[str] = "prompt_id") -> DataFrame:
     """Log-prob sums of the better and worse of a model and a reference
     completion; the model's wins a tie."""
-    joined = model.join(ref, key)
+    joined = model.join(ref, key_list(key))
     wins = F.col("model_score") >= F.col("ref_score")
     return joined.select(
         "*",

@@ -55,12 +55,18 @@ def smoothed(x: Column, smoothing: float) -> Column:
 
 
 def row_loss(
-    loss: str, s: Settings, a: Column, b: Column, h: Column, mean_h: Column | None = None
+    loss: str, s: Settings, a: Column, b: Column, h: Column, mean_h: Column | None = None,
+    raw: tuple[Column, Column] | None = None,
 ) -> Column:
     """One objective from the log-ratios of a row. ``ipo`` uses ``mean_h``, the
-    logit of length-averaged log-probs, where given."""
+    logit of length-averaged log-probs, where given. ``sppo_hard``, ``nca_pair``
+    and ``discopop`` are defined on the ratios to the reference, whatever the
+    divergence and with ``reference_free`` too: those are ``raw``."""
     one_of(loss, ROW_LOSSES, "loss type")
     beta, e = s.beta, s.label_smoothing
+    if raw is not None and loss in ("sppo_hard", "nca_pair", "discopop"):
+        a, b = raw
+        h = a - b
     x = h * beta
     if loss == "sigmoid":
         return smoothed(x, e)
@@ -96,7 +102,8 @@ def audit_rows(df: DataFrame, losses: Sequence[str] = ROW_LOSSES, s: Settings =
         n_c, n_r = F.col("n_c"), F.col("n_r")
         means = [F.try_divide(x, n) for x, n in ((c, n_c), (r, n_r), (c0, n_c), (r0, n_r))]
         mean_h = log_ratios(s, *means)[2]
-    return df.select("*", *[row_loss(x, s, a, b, h, mean_h).alias(f"loss_{x}") for x in losses])
+    raw = (c - c0, r - r0)
+    return df.select("*", *[row_loss(x, s, a, b, h, mean_h, raw).alias(f"loss_{x}") for x in losses])
 
 
 def implicit_rewards(df: DataFrame, beta: float = 0.1) -> DataFrame:
@@ -120,12 +127,15 @@ def reward_baseline(
     return steps.select(*keys, order, mean.alias("delta"), F.col("__n").alias("n"))
 
 
-def audit_running_baseline(df: DataFrame, step: str = "step", s: Settings = Settings()) -> DataFrame:
-    """``bco_pair``: both rewards against the running mean of all rewards."""
+def audit_running_baseline(
+    df: DataFrame, step: str = "step", s: Settings = Settings(), keys: Sequence[str] = ()
+) -> DataFrame:
+    """``bco_pair``: both rewards against the running mean of all rewards of the
+    run that ``keys`` name."""
     rewarded = implicit_rewards(df, s.beta)
-    both = rewarded.select(step, F.explode(F.array("reward_chosen", "reward_rejected")).alias("reward"))
-    delta = reward_baseline(both, step, "reward", "per_batch")
-    rows = attach_stats(rewarded, delta.withColumnRenamed("n", "__n"), [step], n="__n")
+    both = rewarded.select(*keys, step, F.explode(F.array("reward_chosen", "reward_rejected")).alias("reward"))
+    delta = reward_baseline(both, step, "reward", "per_batch", keys)
+    rows = attach_stats(rewarded, delta.withColumnRenamed("n", "__n"), [*keys, step], n="__n")
     loss = -N.log_sigmoid(F.col("reward_chosen") - F.col("delta")) - N.log_sigmoid(
         F.col("delta") - F.col("reward_rejected"))
     return rows.withColumn("loss_bco_pair", loss).drop("__n")
@@ -157,11 +167,19 @@ def audit_mix(
     s: Settings = Settings(),
     rpo_alpha: float = 0.0,
     use_weighting: bool = False,
+    step: str = "step",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Weighted sum of objectives; optionally plus ``rpo_alpha`` times the
+    """Weighted sum of objectives, of a row or of its batch: ``sft`` and
+    ``bco_pair`` are per (``keys``, ``step``). Optionally plus ``rpo_alpha`` times the
     pair's negative log-likelihood, and times ``min(1, exp(w_c + w_r))`` with
     the mean token log-probs as weights."""
-    rows = audit_rows(df, list(weights), s)
+    rows = df
+    if "sft" in weights:
+        rows = audit_sft(rows, [*keys, step]).drop("reward_chosen", "reward_rejected")
+    if "bco_pair" in weights:
+        rows = audit_running_baseline(rows, step, s, keys).drop("reward_chosen", "reward_rejected", "delta")
+    rows = audit_rows(rows, [x for x in weights if x not in ("sft", "bco_pair")], s)
     total = sum((F.col(f"loss_{x}") * float(w) for x, w in weights.items()), F.lit(0.0))
     if rpo_alpha:
         total = total + F.col("nll") * float(rpo_alpha)
@@ -260,8 +278,13 @@ def unpaired_metrics(df: DataFrame, keys: Sequence[str], beta: float = 0.1) -> D
     reward = (F.col("logp") - F.col("ref_logp")) * beta
     values = {"rewards": reward, "logps": F.col("logp"), "logits": F.col("logits")}
     sides = {"chosen": F.col("label"), "rejected": ~F.col("label")}
+    # fixed-point sums do not depend on the order of the rows
+    exact = {n: v.cast("decimal(38,9)") for n, v in values.items()}
     sums = df.groupBy(*keys).agg(
-        *[F.sum(F.when(test, v)).alias(f"{n}_{side}_sum") for side, test in sides.items() for n, v in values.items()],
+        *[
+            F.sum(F.when(test, v)).cast("double").alias(f"{n}_{side}_sum")
+            for side, test in sides.items() for n, v in exact.items()
+        ],
         *[F.count(F.when(test, 1)).alias(f"count_{side}") for side, test in sides.items()],
     )
     means = sums.select(
@@ -292,23 +315,26 @@ def class_balance(df: DataFrame, desirable_weight: float = 1.0, undesirable_weig
 
 
 def audit_binary_classifier(
-    df: DataFrame, step: str, weight: str = "per_row", beta: float = 0.1, density: str | None = None
+    df: DataFrame, step: str, weight: str = "per_row", beta: float = 0.1, density: str | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Rewards against the running mean reward; undesirable rows optionally
-    weighted by a density ratio."""
+    """Rewards against the running mean reward of the run that ``keys`` name;
+    undesirable rows optionally weighted by a density ratio."""
     rewarded = df.withColumn("reward", (F.col("logp") - F.col("ref_logp")) * beta)
-    delta = reward_baseline(rewarded, step, "reward", weight).withColumnRenamed("n", "__n")
-    rows = attach_stats(rewarded, delta, [step], n="__n").drop("__n")
+    delta = reward_baseline(rewarded, step, "reward", weight, keys).withColumnRenamed("n", "__n")
+    rows = attach_stats(rewarded, delta, [*keys, step], n="__n").drop("__n")
     x = F.col("reward") - F.col("delta")
     w = F.lit(1.0) if density is None else F.col(density)
     return rows.withColumn("loss", F.when(F.col("label"), -N.log_sigmoid(x)).otherwise(-N.log_sigmoid(-x) * w))
 
 
 def density_ratio_weights(
-    embeddings: DataFrame, key: str, vector: str, label: str, low: float = 0.5, high: float = 10.0
+    embeddings: DataFrame, key: str, vector: str, label: str, low: float = 0.5, high: float = 10.0, c: float = 1.0
 ) -> tuple[DataFrame, DataFrame]:
     """Weights of undesirable rows by how desirable their prompt embedding
-    looks to a balanced logistic regression, and its accuracy per class."""
+    looks to a balanced logistic regression, and its accuracy per class. The
+    regression has an L2 term of inverse strength ``c``: the sum of weighted
+    losses times ``c`` plus half the squared coefficients is least."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
@@ -319,7 +345,10 @@ def density_ratio_weights(
         raise ValueError("density_ratio_weights needs both classes")
     total = sum(sizes.values())
     balanced = F.when(F.col("label") == 1, total / (2 * sizes[1.0])).otherwise(total / (2 * sizes[0.0]))
-    fitted = LogisticRegression(weightCol="weight", maxIter=100).fit(rows.withColumn("weight", balanced))
+    # balanced weights add up to the number of rows
+    fitted = LogisticRegression(
+        weightCol="weight", maxIter=200, tol=1e-9, regParam=1.0 / (c * total), elasticNetParam=0.0, standardization=False
+    ).fit(rows.withColumn("weight", balanced))
     scored = fitted.transform(rows).withColumn("p", vector_to_array("probability")[1])
     ratio = N.clamp(F.col("p") / (1 - F.col("p") + 1e-8), low, high)
     weights = scored.where(F.col("label") == 0).select(key, "p", ratio.alias("weight"))

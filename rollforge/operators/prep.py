@@ -30,10 +30,12 @@ def build_vocab(df: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
 
 def encode(df: DataFrame, vocab: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Token-id array per row. Frequent tokens are hot join keys; attach_stats
-    keeps them from meeting in one task. Regrouping restores single rows."""
-    words = df.select(key, F.posexplode(K.words(F.col(text))).alias("pos", "token"))
+    keeps them from meeting in one task. Regrouping restores single rows; a
+    text without words gets an empty array."""
+    words = df.select(key, F.posexplode_outer(K.words(F.col(text))).alias("pos", "token"))
     found = attach_stats(words, vocab, ["token"])
-    ids = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "token_id"))).alias("t"))
+    coded = F.when(F.col("token").isNotNull(), F.struct("pos", "token_id"))
+    ids = found.groupBy(key).agg(F.sort_array(F.collect_list(coded)).alias("t"))
     return ids.select(key, F.col("t.token_id").alias("input_ids"))
 
 
@@ -107,20 +109,18 @@ def prep_steps(
     separator: Sequence[int],
     max_length: int,
     max_prompt: int | None = None,
-    max_completion: int = 512,
+    max_completion: int | None = None,
     last_step_only: bool = False,
     tokenize: Tokenizer = K.hash_tokens,
 ) -> DataFrame:
-    """Step-labelled completions to ids and labels.
+    """Step-labelled completions to ids and labels, one row per sequence.
 
-    Every step has at least one token, so only the first ``max_completion``
-    steps, and of each its first ``max_completion`` tokens, can survive the
-    truncation: that bounds what is gathered per row.
+    A step's label stands at its last token, so a step without tokens (no words
+    and an empty ``separator``) has none. With ``max_completion`` a step sends
+    no more than its first ``max_completion`` tokens to the shuffle. Keys
+    without a prompt or without steps give no row.
     """
-    if max_completion > 1000:
-        raise ValueError("max_completion must be at most 1000 so that the step limit runs before the shuffle")
-    last = Window.partitionBy(key).orderBy("turn")
-    kept = steps.withColumn("__rank", F.row_number().over(last)).where(F.col("__rank") <= max_completion)
+    kept = steps
     label = F.col("label").cast("bigint")
     if last_step_only:
         ends = steps.groupBy(key).agg(F.max("turn").alias("__last"), F.count(F.lit(1)).alias("__n"))
@@ -129,7 +129,10 @@ def prep_steps(
     ids = F.concat(tokenize(F.col("step_text")), K.ids(*separator))
     per_step = kept.select(key, "turn", ids.alias("ids"), label.alias("label")).select(
         key, "turn", K.first_n(F.col("ids"), max_completion).alias("ids"),
-        K.first_n(F.concat(K.repeat(IGNORED_LABEL, F.size("ids") - 1), F.array("label")), max_completion).alias("labels"),
+        K.first_n(
+            F.when(F.size("ids") > 0, F.concat(K.repeat(IGNORED_LABEL, F.size("ids") - 1), F.array("label")))
+            .otherwise(K.ids()), max_completion,
+        ).alias("labels"),
     )
     joined = per_step.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("turn", "ids", "labels"))).alias("s"))
     prompt = K.last_n(F.concat(K.ids(BOS_ID), tokenize(F.col("prompt"))), max_prompt)
@@ -163,10 +166,14 @@ def truncate_total(df: DataFrame, prompt: str, completion: str, max_length: int,
 def pad_sequences(
     df: DataFrame, ids: str, keys: Sequence[str] = (), side: str = "left", length: int | None = None, pad: int = PAD_ID
 ) -> DataFrame:
-    """Pad to a fixed length or to the longest sequence of the batch ``keys``."""
+    """Pad to a fixed length or to the longest sequence of the batch ``keys``
+    (of the table, without keys)."""
     one_of(side, ["left", "right"], "side")
     if length is not None:
         rows, target = df, F.lit(length)
+    elif not keys:
+        longest = df.agg(F.coalesce(F.max(F.size(ids)), F.lit(0))).first()[0]
+        rows, target = df, F.lit(longest)
     else:
         longest = df.groupBy(*keys).agg(F.max(F.size(ids)).alias("__longest"), F.count(F.lit(1)).alias("__n"))
         rows, target = attach_stats(df, longest, keys, n="__n"), F.col("__longest")

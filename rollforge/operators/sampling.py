@@ -16,6 +16,7 @@ from rollforge.schemas import require
 # Up to this many rows, a top-n over all partitions is cheaper than numbering
 # every row; the result is the same.
 TOP_N_ROWS = 10_000
+SLOTS = 1 << 32
 
 
 def first_in_hash_order(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -39,15 +40,16 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 
 
 def fraction_split(df: DataFrame, key: str, shares: Mapping[str, float], seed: int = 42) -> DataFrame:
-    """Split by shares of the rows; a narrow projection, no sort and no shuffle."""
+    """Split by shares of the rows, to within 2**-32; a narrow projection, no
+    sort and no shuffle."""
     if sum(shares.values()) > 1.0 + 1e-9:
         raise ValueError("shares add up to more than 1")
-    slot = F.conv(F.substring(digest(F.col(key), seed), 1, 8), 16, 10).cast("bigint") % 10000
+    slot = F.conv(F.substring(digest(F.col(key), seed), 1, 8), 16, 10).cast("bigint")
     names, edge = list(shares.items()), 0.0
     split = F.lit(None).cast("string")
     for name, share in names:
         low, edge = edge, edge + share
-        split = F.when((slot >= round(low * 10000)) & (slot < round(edge * 10000)), name).otherwise(split)
+        split = F.when((slot >= round(low * SLOTS)) & (slot < round(edge * SLOTS)), name).otherwise(split)
     return df.withColumn("split", split).where(F.col("split").isNotNull())
 
 
@@ -63,7 +65,7 @@ def bootstrap_sample(df: DataFrame, key: str, cls: str, n: int, seed: int = 42)
     last = F.least(F.lit(n).cast("bigint"), F.col("__size")) - 1
     draws = sizes.withColumn("draw", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     pick = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(cls).cast("string"),
-                                                F.col("draw").cast("string"))), 1, 8), 16, 10).cast("bigint")
+                                                F.col("draw").cast("string"))), 1, 15), 16, 10).cast("bigint")
     picked = draws.withColumn("position", pick % F.col("__size")).drop("__size")
     return picked.join(rows, [cls, "position"]).select(cls, "draw", key)
 
@@ -82,17 +84,19 @@ def replicate(df: DataFrame, k: int) -> DataFrame:
 
 
 def cycle_to_n(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Repeat the table in ``key`` order until there are n rows."""
+    """Repeat the table in ``key`` order until there are n rows, numbered by
+    ``row``, the last column."""
     spark = df.sparkSession
+    columns = [*df.columns, "row"]
     rows = range_running(df, [], [key], name="__index")
     size = rows.count()
     if size == 0:
-        return rows.withColumn("row", F.col("__index")).drop("__index")
+        return rows.withColumn("row", F.col("__index")).select(*columns)
     if fits_broadcast(rows):
         slots = spark.range(n).withColumn("__index", F.col("id") % size).withColumnRenamed("id", "row")
-        return slots.join(F.broadcast(rows), "__index").drop("__index")
+        return slots.join(F.broadcast(rows), "__index").select(*columns)
     kept = rows.where(F.col("__index") < n)
-    return kept.withColumn("row", F.explode(F.sequence(F.col("__index"), F.lit(n - 1), F.lit(size)))).drop("__index")
+    return kept.withColumn("row", F.explode(F.sequence(F.col("__index"), F.lit(n - 1), F.lit(size)))).select(*columns)
 
 
 def rollout_schedule(
@@ -130,18 +134,21 @@ def kl_mismatch_pairs(df: DataFrame, key: str, batch_size: int, seed: int = 42,
     """Give each prompt the completion of another row of its batch.
 
     Batches are ``batch_size`` consecutive rows of the seeded order, so a window
-    over one batch is small. Default: rotation by one, which never returns a
-    row its own completion; ``reverse`` mirrors the batch instead.
+    over one batch is small; a single row left over joins the batch before it.
+    Default: rotation by one, which never returns a row its own completion
+    (unless it is the only row); ``reverse`` mirrors the batch instead.
     """
     if batch_size <= 1:
         raise ValueError("batch_size must be greater than 1")
-    rows = hash_position(df, key, seed).withColumn("batch", F.floor(F.col("position") / batch_size).cast("bigint"))
+    last = (df.count() - 2) // batch_size  # the batch that a single last row joins
+    batch = F.least(F.floor(F.col("position") / batch_size), F.lit(max(0, last))).cast("bigint")
+    rows = hash_position(df, key, seed).withColumn("batch", batch)
     w = Window.partitionBy("batch").orderBy("position")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    if reverse:
-        size = F.count(F.lit(1)).over(whole)
-        all_rows = F.collect_list("completion").over(whole)
-        other = F.get(all_rows, (size - F.row_number().over(w)).cast("int"))
-    else:
+    if not reverse:
         other = F.coalesce(F.lag("completion", 1).over(w), F.last("completion").over(whole))
-    return rows.withColumn("kl_completion", other).drop("position")
+        return rows.withColumn("kl_completion", other).drop("position")
+    place = F.row_number().over(w)
+    placed = rows.withColumn("__place", place).withColumn("__mirror", F.count(F.lit(1)).over(whole) + 1 - place)
+    mirror = placed.select("batch", F.col("__mirror").alias("__place"), F.col("completion").alias("kl_completion"))
+    return placed.join(mirror, ["batch", "__place"]).select(*df.columns, "batch", "kl_completion")

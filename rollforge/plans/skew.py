@@ -55,6 +55,8 @@ def attach_stats(
     """Add the columns of ``stats`` (one row per ``keys``, ``n`` = group size)
     to every row. Rows are told apart by their columns: count copies first.
 
+    A null key is a key. The columns are those of ``rows``, then the figures.
+
     * ``stats`` is written once, then its rows and bytes are counted.
     * A table that fits is joined by broadcast, rows do not move.
     * More: the ``hot_groups`` largest groups (a bounded table) are joined by
@@ -70,7 +72,9 @@ def attach_stats(
         raise ValueError(f"rows already have columns {taken}")
     stats = materialize(stats, "stats")
     if fits_broadcast(stats, broadcast_rows):
-        return rows.join(F.broadcast(stats), keys, "left")
+        small = stats.select(*[F.col(k).alias(f"__key_{k}") for k in keys], *values)
+        joined = rows.join(F.broadcast(small), _same(rows, small, [(k, f"__key_{k}") for k in keys]), "left")
+        return joined.select(*rows.columns, *values)
 
     hot = stats.orderBy(F.desc(n), *keys).limit(hot_groups)
     hot = hot.select(
@@ -97,11 +101,12 @@ def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, broadcast_rows: in
     """Inner join with a table of unique keys, whatever the key distribution of
     ``rows``: by broadcast when the table fits, else with the frequent keys
     found by a count first."""
+    columns = [*rows.columns, *[c for c in lookup.columns if c != key]]
     if fits_broadcast(lookup, broadcast_rows):
-        return rows.join(F.broadcast(lookup), key)
+        return rows.join(F.broadcast(lookup), key).select(*columns)
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     found = attach_stats(rows, lookup.join(sizes, key), [key], n="__n", broadcast_rows=broadcast_rows)
-    return found.where(F.col("__n").isNotNull()).drop("__n")
+    return found.where(F.col("__n").isNotNull()).select(*columns)
 
 
 def digest(key: Column, seed: int) -> Column:

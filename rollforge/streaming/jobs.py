@@ -41,24 +41,25 @@ def metric_windows(
     ).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "name", "avg", "min", "max", "n")
 
 
-def group_stats(scored: DataFrame, keys: Sequence[str], late: str = "1 hour", width: str = "1 day") -> DataFrame:
-    """Mean and deviation of a group once all its ``n`` samples have arrived.
+def group_stats(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Mean and deviation of a group once all its ``n`` samples have arrived,
+    whenever they do and whether or not each has a reward; update mode.
 
-    Groups that stay incomplete leave the state with the watermark, see
-    ``incomplete_groups``; late rows are counted by ``dropped_rows``.
+    The state has one small row per group, kept for the life of the query: a
+    group is complete by its count, not by the clock. A query per run bounds it.
     """
-    return _grouped(scored, keys, late, width).where(F.col("seen") == F.col("expected"))
+    return _grouped(scored, keys).where(F.col("seen") == F.col("expected"))
 
 
-def incomplete_groups(scored: DataFrame, keys: Sequence[str], late: str = "1 hour", width: str = "1 day") -> DataFrame:
-    """Append-mode side result: groups the watermark closed too early."""
-    return _grouped(scored, keys, late, width).where(F.col("seen") < F.col("expected"))
+def incomplete_groups(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Update-mode side result: groups that still lack samples."""
+    return _grouped(scored, keys).where(F.col("seen") < F.col("expected"))
 
 
-def _grouped(scored: DataFrame, keys: Sequence[str], late: str, width: str) -> DataFrame:
-    return scored.withWatermark("ts", late).groupBy(*keys, F.window("ts", width).alias("w")).agg(
-        F.avg("reward").alias("mean"), F.stddev_samp("reward").alias("std"), F.count("reward").alias("seen"),
-        F.max("n").alias("expected")).drop("w")
+def _grouped(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return scored.groupBy(*keys).agg(
+        F.avg("reward").alias("mean"), F.stddev_samp("reward").alias("std"), F.count(F.lit(1)).alias("seen"),
+        F.max("n").alias("expected"))
 
 
 def running_moments(rewards: DataFrame, key: str, value: str) -> DataFrame:

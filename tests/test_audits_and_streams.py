@@ -181,17 +181,19 @@ def test_stream_groups_complete_incomplete_and_late(spark, tmp_path):
         q.awaitTermination()
         return q
 
-    complete = lambda s: S.group_stats(s, ["run_id", "prompt_id"], late="1 hour")
+    complete = lambda s: S.group_stats(s, ["run_id", "prompt_id"])
     put(0, [("r", 1, "2024-01-01 00:00:00", 1.0, 2), ("r", 2, "2024-01-01 00:00:00", 1.0, 3)])
     drain(complete, "out")
     put(1, [("r", 1, "2024-01-01 00:10:00", 3.0, 2), ("r", 9, "2024-01-05 00:00:00", 0.0, 1)])
     drain(complete, "out")
     put(2, [("r", 2, "2024-01-01 00:20:00", 1.0, 3)])
-    late = drain(complete, "out")
+    put(3, [("r", 2, "2024-01-03 00:20:00", None, 3)])
+    drain(complete, "out")
+    drain(lambda s: S.incomplete_groups(s, ["run_id", "prompt_id"]), "open")
     got = {r["prompt_id"]: (r["mean"], r["seen"]) for r in S.latest(
         spark.read.parquet(str(tmp_path / "out")), ["run_id", "prompt_id"]).collect()}
-    assert got == {1: (2.0, 2), 9: (0.0, 1)}
-    assert S.dropped_rows(late) == 1
+    # days apart and with a missing reward: complete by the count of samples
+    assert got == {1: (2.0, 2), 9: (0.0, 1), 2: (1.0, 3)}
 
 
 def test_stream_score_equals_batch(spark, tmp_path):
@@ -211,3 +213,51 @@ def test_stream_unique_prompts(spark, tmp_path):
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "src"))
     out = S.run_append(S.unique_prompts(stream), "u")
     assert sorted(r["prompt"] for r in out.collect()) == ["p0", "p1", "p2", "p3"]
+
+
+def test_objectives_on_raw_ratios(spark):
+    """``sppo_hard``, ``nca_pair`` and ``discopop`` by hand, reference-free."""
+    df = spark.createDataFrame([(-1.0, -2.0, -1.5, -1.8)], "c double, r double, c0 double, r0 double")
+    s = D.Settings(0.1, reference_free=True)
+    row = D.audit_rows(df, ("sppo_hard", "nca_pair", "discopop", "hinge"), s).first()
+    assert row["loss_sppo_hard"] == pytest.approx((0.5 - 5) ** 2 + (-0.2 + 5) ** 2)
+    sp = lambda x: math.log1p(math.exp(x))
+    assert row["loss_nca_pair"] == pytest.approx(sp(-0.05) + 0.5 * sp(0.05) + 0.5 * sp(-0.02), abs=1e-6)
+    m = 1 / (1 + math.exp(-0.07 / 0.05))
+    assert row["loss_discopop"] == pytest.approx(sp(-0.07) * (1 - m) + math.exp(-0.07) * m)
+    assert row["loss_hinge"] == pytest.approx(0.9)
+
+
+def test_running_means_are_per_run(spark):
+    rows = [("a", 0, 0.0, 0.0, -1.0, -1.0), ("b", 0, -10.0, -10.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "run_id string, step int, c double, r double, c0 double, r0 double")
+    got = {r["run_id"]: r["delta"] for r in D.audit_running_baseline(df, keys=["run_id"]).collect()}
+    assert got == {"a": pytest.approx(0.1), "b": pytest.approx(-1.0)}
+
+
+def test_mix_with_batch_objectives(spark):
+    rows = [(0, -1.0, -2.0, -1.5, -1.8, 4, 5), (0, -2.0, -1.0, -2.5, -0.8, 2, 3), (1, -3.0, -1.0, -2.0, -1.5, 6, 2)]
+    df = spark.createDataFrame(rows, "step int, c double, r double, c0 double, r0 double, n_c int, n_r int")
+    got = sorted(r["loss"] for r in D.audit_mix(df, {"sft": 0.5, "bco_pair": 1.0, "hinge": 2.0}).collect())
+    sp = lambda x: math.log1p(math.exp(x))
+    rewards = {s: [0.1 * v for t, c, r, c0, r0, *_ in rows if t == s for v in (c - c0, r - r0)] for s in (0, 1)}
+    means = {s: sum(v) / len(v) for s, v in rewards.items()}
+    delta = {0: means[0], 1: (means[0] + means[1]) / 2}
+    sft = {0: 3.0 / 6, 1: 3.0 / 6}
+    want = []
+    for t, c, r, c0, r0, *_ in rows:
+        a, b = 0.1 * (c - c0), 0.1 * (r - r0)
+        want.append(0.5 * sft[t] + sp(-(a - delta[t])) + sp(-(delta[t] - b)) + 2 * max(0, 1 - (a - b)))
+    assert got == pytest.approx(sorted(want))
+
+
+def test_density_ratio_is_regularised(spark):
+    """Separable classes: the score equations with the L2 term hold."""
+    rows = [(i, [float(i)], i >= 10) for i in range(20)]
+    df = spark.createDataFrame(rows, "k int, v array<double>, label boolean")
+    weights, accuracy = D.density_ratio_weights(df, "k", "v", "label")
+    p = {r["k"]: r["p"] for r in weights.collect()}
+    w0 = math.log(p[9] / (1 - p[9])) - math.log(p[8] / (1 - p[8]))
+    b = math.log(p[9] / (1 - p[9])) - 9 * w0
+    gradient = sum((1 / (1 + math.exp(-(b + w0 * x))) - (x >= 10)) * x for x in range(20)) + w0
+    assert abs(gradient) < 1e-2 and min(p.values()) > 1e-8 and {r["accuracy"] for r in accuracy.collect()} == {1.0}

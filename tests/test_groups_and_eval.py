@@ -166,8 +166,9 @@ def test_fraction_split_is_disjoint_and_whole(spark):
 
 def test_kl_pairs_never_match_themselves(spark):
     df = spark.range(41).select(F.col("id").alias("key"), F.concat(F.lit("c"), "id").alias("completion"))
-    out = S.kl_mismatch_pairs(df, "key", 4)
-    assert out.where((F.col("completion") == F.col("kl_completion")) & (F.col("batch") < 10)).count() == 0
+    out = S.kl_mismatch_pairs(df, "key", 4)  # 41 rows: the last one joins the batch before it
+    assert out.where(F.col("completion") == F.col("kl_completion")).count() == 0
+    assert out.agg(F.max("batch")).first()[0] == 9
     same = sorted(r[0] for r in out.select("completion").collect())
     assert sorted(r[0] for r in out.select("kl_completion").collect()) == same
     mirrored = S.kl_mismatch_pairs(df, "key", 4, reverse=True)
@@ -181,6 +182,9 @@ def test_cycle_to_n_paths_agree(spark, monkeypatch):
     assert rows_of(S.cycle_to_n(df, "key", 8).select("row", "key")) == small
     assert [k for _, k in small] == list("abcabcab")
     assert S.cycle_to_n(df, "key", 2).count() == 2
+    assert S.cycle_to_n(df, "key", 8).columns == ["key", "row"]
+    monkeypatch.undo()
+    assert S.cycle_to_n(df, "key", 8).columns == ["key", "row"]
 
 
 def test_bootstrap_draws_per_class(spark):
@@ -217,6 +221,46 @@ def test_pairing_ties_and_hot_prompts(spark):
     small = J.join_answers(s, prompts)
     split = skew.join_lookup(s, prompts, "prompt_id", broadcast_rows=0).select(small.columns)
     assert rows_of(small) == rows_of(split) and small.count() == 4
+    assert skew.join_lookup(s, prompts, "prompt_id").columns == skew.join_lookup(s, prompts, "prompt_id", broadcast_rows=0).columns
+
+
+def test_pairs_stay_in_their_step(spark):
+    rows = [("r", 1, 7, 0, "a", 1.0), ("r", 1, 7, 1, "b", 2.0), ("r", 2, 7, 0, "c", 3.0), ("r", 2, 7, 1, "d", 0.0)]
+    s = spark.createDataFrame(rows, "run_id string, step int, prompt_id int, sample_idx int, response string, reward double")
+    keys = ["run_id", "step", "prompt_id"]
+    got = {r["step"]: (r["chosen"], r["rejected"]) for r in J.pair_by_score(s, keys).collect()}
+    assert got == {1: ("b", "a"), 2: ("c", "d")}
+    ranks = s.select(*keys).distinct().withColumn("rank", F.col("step") - 1)
+    got = {r["step"]: r["chosen"] for r in J.pair_by_judge(s, ranks, keys).collect()}
+    assert got == {1: "a", 2: "d"}
+    with pytest.raises(Exception, match="sample_idx repeats"):
+        J.pair_by_score(s.drop("run_id", "step")).collect()
+
+
+def test_required_join_checks_every_column(spark):
+    rows = spark.createDataFrame([(1, 2.0), (2, 3.0)], "k int, c double")
+    some = spark.createDataFrame([(1, 0.5)], "k int, c0 double")
+    for column in ("c", "c0"):
+        with pytest.raises(Exception, match="no values for k"):
+            J.attach_required(rows, some, "k").select(column).collect()
+        with pytest.raises(Exception, match="row keys differ"):
+            J.concat_columns(rows, some, "k").select(column).collect()
+
+
+def test_attach_stats_means_the_same_at_every_size(spark):
+    rows = spark.createDataFrame([(1, None, "a"), (2, "k", "b"), (3, None, "c"), (4, "m", "d")], "i int, g string, x string")
+    stats = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("top"))
+    small = skew.attach_stats(rows, stats, ["g"])
+    cold = skew.attach_stats(rows, stats, ["g"], broadcast_rows=0, hot_groups=1)
+    assert small.columns == cold.columns == ["i", "g", "x", "n", "top"]
+    want = [(1, None, "a", 2, "c"), (2, "k", "b", 1, "b"), (3, None, "c", 2, "c"), (4, "m", "d", 1, "d")]
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, cold.collect())) == want
+
+
+def test_small_shares_are_not_lost(spark):
+    df = spark.range(200000).withColumnRenamed("id", "key")
+    n = S.fraction_split(df, "key", {"tiny": 0.00004, "rest": 0.5}).where("split = 'tiny'").count()
+    assert 1 <= n <= 25
 
 
 def test_size_is_counted_in_bytes(spark, monkeypatch):

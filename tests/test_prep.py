@@ -52,6 +52,31 @@ def test_prep_steps_labels(spark):
     assert short[1]["labels"] == [-100] * 5 + [1] and short[2]["labels"] == [-100] * 5
 
 
+def test_prep_steps_has_no_limit_by_default(spark):
+    steps = spark.range(1500).selectExpr("1 as k", "cast(id as int) as turn", "'a' as step_text", "id % 2 = 0 as label")
+    prompts = spark.createDataFrame([(1, "p")], "k int, prompt string")
+    row = P.prep_steps(steps, prompts, "k", [], 5000).first()
+    assert len(row["input_ids"]) == len(row["labels"]) == 1502 and row["labels"][-2:] == [1, 0]
+
+
+def test_steps_without_tokens_have_no_label(spark):
+    steps = spark.createDataFrame([(1, 0, "", True), (1, 1, "a b", False)], "k int, turn int, step_text string, label boolean")
+    prompts = spark.createDataFrame([(1, "p")], "k int, prompt string")
+    row = P.prep_steps(steps, prompts, "k", [], 50).first()
+    assert len(row["input_ids"]) == 4 and row["labels"] == [-100, -100, -100, 0]
+
+
+def test_encode_keeps_wordless_texts(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (2, "  "), (3, None)], "doc_id int, text string")
+    got = {r["doc_id"]: len(r["input_ids"]) for r in P.encode(docs, P.build_vocab(docs), "doc_id").collect()}
+    assert got == {1: 3, 2: 0, 3: 0}
+
+
+def test_padding_without_keys_pads_to_the_table(spark):
+    df = spark.createDataFrame([([5, 6],), ([7],)], "ids array<bigint>")
+    assert sorted(r["ids"] for r in P.pad_sequences(df, "ids").collect()) == [[0, 7], [5, 6]]
+
+
 def test_array_builders(spark):
     df = spark.createDataFrame([([0, 0, 5, 6, 2, 7, 0],), ([4, 4],), ([],)], "a array<bigint>")
     out = df.select(

@@ -138,3 +138,5 @@ def test_render_splits_long_conversations(spark):
     joined = {c: "".join(r["text"] for r in parts if r["conv_id"] == c) for c in (1, 2)}
     assert joined == whole and len(parts) == 5
     assert whole[2] == "<|system|>\ns\n<|assistant|>\n"
+    sparse = spark.createDataFrame([(1, t, "user", f"m{t}") for t in (0, 600, 1200)], turns.schema)
+    assert chat.render(sparse).count() == 1 and chat.render(sparse, part_turns=3).count() == 1
