@@ -50,8 +50,7 @@ SECOND_PERSON = frozenset((
 UNMASK = str.maketrans("013457@$!", "oieastasi")
 
 WORD = re.compile(r"\w+")
-CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
-MASKED = re.compile(r"[^\W\d_]+[0-9@$!*#]+[^\W\d_]+")
+MASK = re.compile(r"(?<=[^\W\d_])[0-9@$!*#]+(?=[^\W\d_])")
 FEATURES = (
     "abuse", "learned", "learned_odds", "learned_most", "learned_strong", "abuse_near_you", "learned_near_you",
     "second_person", "upper_words", "marks", "capitals", "shouts", "masked", "words_log",
@@ -72,13 +71,29 @@ class Lexicon:
         return max(self.words.get(word, 0.0), *[self.stems.get(word[:n], 0.0) for n in STEMS])
 
 
+def masked_words(text: str) -> list[str]:
+    """Words with digits or symbols between letters."""
+    out, done = [], 0
+    for m in MASK.finditer(text):
+        a, b = m.span()
+        if a < done:
+            continue
+        while a and text[a - 1].isalpha():
+            a -= 1
+        while b < len(text) and (text[b].isalpha() or text[b] in "0123456789@$!*#"):
+            b += 1
+        out.append(text[a:b])
+        done = b
+    return out
+
+
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """Of a whole text; nearly all 0 for one without words."""
     written = WORD.findall(text)
     n = len(written)
     if not n:
         return [0.0] * 9 + [float(bool(text) and not text.isspace()), 0.0, 0.0, 0.0, 0.0]
-    words = WORD.findall(text.lower())
+    words = [w.lower() for w in written]
     heads, first = lexicon.heads, STEMS[0]
     learned = {i: x for i, w in enumerate(words) if w[:first] in heads and (x := lexicon.weight(w))}
     given = [i for i, w in enumerate(words) if w in ABUSE]
@@ -93,9 +108,9 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         return int((gap <= NEAR).sum())
 
     upper = sum(1 for w in written if w.isupper() and len(w) > 1)
-    capitals = len(CAPITAL.findall(text))
+    capitals = sum(1 for w in written if w[0].isupper())
     letters = sum(map(len, written))
-    masked = MASKED.findall(text)
+    masked = masked_words(text)
     plain = [w.lower().translate(UNMASK).replace("*", "").replace("#", "") for w in masked]
     hidden = sum(1 for w in plain if w in ABUSE or lexicon.weight(w))
     per = 100.0 / len(words)
@@ -103,7 +118,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     return [
         len(given) * per, len(learned) * per, sum(learned.values()) * per, max(learned.values(), default=0.0),
         float(np.log1p(strong)), near(given) * per, near(list(learned)) * per, len(second) * per, upper / n,
-        (len(text) - letters) / len(text), capitals / max(letters, 1),
+        (len(text) - letters) / len(text), capitals / n,
         100.0 * (text.count("!") + text.count("?")) / len(text), (len(masked) + hidden) * per, float(np.log1p(n)),
     ]
 
