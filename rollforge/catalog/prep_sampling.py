@@ -449,7 +449,8 @@ def _(spark, sf):
 
 @query("unique_documents", sql="SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")
 def _(spark, sf):
-    return V.first_rows(T.read(spark, sf, "documents").select("doc_id", "text"), ["text"], ["doc_id"]).select("doc_id")
+    named = T.read(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("name"))
+    return V.first_rows(named, ["name"], ["doc_id"]).select("doc_id")
 
 
 @query("game_log", uses=["pairs"], ctes=f"""

@@ -134,17 +134,22 @@ def rank_align(df: DataFrame, keys: Sequence[str], row: str, a: str, b: str) ->
 
 def leakage(rows: DataFrame, held_out: DataFrame, text: str) -> DataFrame:
     """How many rows repeat a held-out text, and how many do not. Copies are
-    counted before the join, so a much copied text is one row there."""
-    sizes = rows.groupBy(text).agg(F.count(F.lit(1)).alias("n"))
-    known = held_out.select(text).distinct().withColumn("known", F.lit(True))
-    return sizes.join(known, text, "left").agg(
+    counted before the join, so a much copied text is one row there; texts are
+    compared by digest, so that only digests move. A null text is not held out."""
+    name = F.sha2(F.col(text), 256).alias("name")
+    sizes = rows.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    known = held_out.select(name).distinct().withColumn("known", F.lit(True))
+    return sizes.join(known, "name", "left").agg(
         F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("leaked"),
         F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("clean"),
     )
 
 
 def without_leaked(rows: DataFrame, held_out: DataFrame, text: str) -> DataFrame:
-    """Rows whose text is not held out. A held-out set beyond the broadcast size
-    is joined by shuffle, where adaptive execution splits a much copied text."""
-    known = materialize(held_out.select(text).distinct(), "held-out")
-    return rows.join(F.broadcast(known) if fits_broadcast(known) else known, text, "left_anti")
+    """Rows whose text is not held out, by digest. A held-out set beyond the
+    broadcast size is joined by shuffle, where adaptive execution splits a much
+    copied text."""
+    name = F.sha2(F.col(text), 256)
+    known = materialize(held_out.select(name.alias("__name")).distinct(), "held-out")
+    known = F.broadcast(known) if fits_broadcast(known) else known
+    return rows.withColumn("__name", name).join(known, "__name", "left_anti").select(*rows.columns)

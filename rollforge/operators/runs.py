@@ -59,14 +59,13 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int = 20) ->
     largest value belongs to the last bin."""
     present = df.where(F.col(value).isNotNull())
     edges = present.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count(value).alias("__n"))
-    # equal values are counted first, so that a repeated value is one row
-    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__rows"))
-    rows = attach_stats(counts, edges, keys, n="__n")
+    # few edges are broadcast and rows binned where they are, so that only bins are shuffled
+    rows = attach_stats(present.select(*keys, value), edges, keys, n="__n")
     width = (F.col("__hi") - F.col("__lo")) / bins
     slot = F.when(width == 0, 1).otherwise(
         F.least(F.lit(bins), F.floor((F.col(value) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins).cast("int") + 1))
     return rows.groupBy(*keys, slot.alias("bin")).agg(
-        F.sum("__rows").alias("n"), F.min(F.col("__lo") + (slot - 1) * width).alias("low"))
+        F.count(F.lit(1)).alias("n"), F.min(F.col("__lo") + (slot - 1) * width).alias("low"))
 
 
 def compute_metrics(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column]) -> DataFrame:
