@@ -96,23 +96,38 @@ def digests(bounds: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out[0], out[1]
 
 
-def bitmaps(bounds: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles per bit, by set, packed."""
-    n = len(bounds) - 1
-    bit = ((value >> U64(17)) & U64(BITS - 1)).astype(np.int64)
-    owner = np.repeat(np.arange(n), np.diff(bounds))
-    odd = (np.bincount(owner * BITS + bit, minlength=n * BITS) & 1).astype(np.uint8).reshape(n, BITS)
-    return np.packbits(odd, axis=1)
-
-
-def binary(rows: np.ndarray) -> pa.Array:
-    """Rows of bytes as a binary column."""
-    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+def bitmaps(bounds: np.ndarray, value: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Parity of the number of shingles per bit, by set, packed: with ``BITS``
+    bits, and with two bits per shingle at least (``BITS`` times a power of 2).
+    Halves of a bitmap, xored, are the bitmap with half the bits."""
+    size = np.diff(bounds)
+    rows = 1 << np.ceil(np.log2(np.maximum(2 * size / BITS, 1))).astype(np.int64)
+    first = np.cumsum(rows) - rows
+    bit = ((value >> U64(17)) & np.repeat(rows * BITS - 1, size).astype(U64)).astype(np.int64)
+    odd = np.bincount(np.repeat(first * BITS, size) + bit, minlength=int(rows.sum()) * BITS) & 1
+    odd = odd.astype(np.uint8).reshape(-1, BITS)
+    narrow = (np.add.reduceat(odd.astype(np.int32), first, axis=0) & 1).astype(np.uint8) if len(size) else odd
+    return binary(np.packbits(narrow, axis=1), np.ones(len(size))), binary(np.packbits(odd, axis=1), rows)
+
+
+def binary(rows: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Bytes as a binary column, so many rows to a value."""
+    offsets = (np.concatenate(([0], np.cumsum(counts))) * BITS // 8).astype(np.int32)
     return pa.Array.from_buffers(
-        pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))]
+        pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))]
     )
 
 
+def differing(a: bytes, b: bytes) -> int:
+    """Bits in which two bitmaps differ, the longer one folded to the shorter."""
+    if len(a) < len(b):
+        a, b = b, a
+    x, y = np.frombuffer(a, dtype=U64), np.frombuffer(b, dtype=U64)
+    if len(a) > len(b):
+        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def batch_sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, end, bounds of its sets, their sorted hashes) of a text column."""
     raw, at = buffers(column)
@@ -121,7 +136,7 @@ def batch_sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndar
         yield a, b, np.searchsorted(text, np.arange(b - a + 1)), value
 
 
-SET_ROWS = "doc_id long, text_key binary, size long, d1 long, d2 long, bitmap binary"
+SET_ROWS = "doc_id long, text_key binary, size long, d1 long, d2 long, bitmap binary, wide binary"
 
 
 def set_rows(docs: DataFrame, words: int) -> DataFrame:
@@ -130,7 +145,7 @@ def set_rows(docs: DataFrame, words: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        names = ["doc_id", "text_key", "size", "d1", "d2", "bitmap"]
+        names = ["doc_id", "text_key", "size", "d1", "d2", "bitmap", "wide"]
 
         def frequent() -> pa.RecordBatch:
             value, n = np.unique(np.concatenate(held), return_counts=True)
@@ -138,7 +153,7 @@ def set_rows(docs: DataFrame, words: int) -> DataFrame:
             none = pa.nulls(len(value), pa.binary())
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(len(value), pa.int64()), none, pa.array(n), pa.array(value.view(np.int64)),
-                 pa.array(np.zeros(len(value), dtype=np.int64)), none], names=names,
+                 pa.array(np.zeros(len(value), dtype=np.int64)), none, none], names=names,
             )
 
         for batch in batches:
@@ -146,7 +161,7 @@ def set_rows(docs: DataFrame, words: int) -> DataFrame:
                 d1, d2 = digests(bounds, value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(bounds)),
-                     pa.array(d1), pa.array(d2), binary(bitmaps(bounds, value))], names=names,
+                     pa.array(d1), pa.array(d2), *bitmaps(bounds, value)], names=names,
                 )
                 held.append(value)
                 if sum(map(len, held)) >= BLOCK_SHINGLES:
@@ -375,18 +390,15 @@ class Corpus:
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The ``pairs`` (a, b: sids) whose bitmaps leave enough in common."""
         p = self.percent
-        one = self.sets.select(F.col("sid").alias("a"), F.col("size").alias("size_a"), F.col("bitmap").alias("bits_a"))
-        two = self.sets.select(F.col("sid").alias("b"), F.col("size").alias("size_b"), F.col("bitmap").alias("bits_b"))
+        one = self.sets.select(F.col("sid").alias("a"), F.col("size").alias("size_a"), F.col("wide").alias("bits_a"))
+        two = self.sets.select(F.col("sid").alias("b"), F.col("size").alias("size_b"), F.col("wide").alias("bits_b"))
         names = pairs.columns
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                bits = [
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=U64).reshape(-1, BITS // 64)
-                    for c in ("bits_a", "bits_b")
-                ]
                 total = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-                differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
+                both = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), strict=True)
+                differ = np.fromiter((differing(a, b) for a, b in both), dtype=np.int64, count=len(total))
                 yield batch.select(names).filter(pa.array((100 + p) * differ <= (100 - p) * total))
 
         sized = pairs.join(one, "a").join(two, "b").select(*names, "size_a", "size_b", "bits_a", "bits_b")
@@ -452,7 +464,7 @@ def link_components(
         .orderBy(F.desc("n"), "token").limit(SENT_FREQUENT).toPandas().sort_values("token", key=lambda c: c.to_numpy().view(U64))
     )
     sets = rows.where("size > 0").groupBy("d1", "d2").agg(
-        F.max("size").alias("size"), F.min("bitmap").alias("bitmap"),
+        F.max("size").alias("size"), F.min("bitmap").alias("bitmap"), F.min("wide").alias("wide"),
         F.min(F.struct("text_key", F.col("doc_id").alias("one"))).alias("text"),
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("docs"),
     ).select("*", "text.*").drop("text")
@@ -501,7 +513,7 @@ def link_components(
     )
     placed = placed.repartition("token", "part", "other").sortWithinPartitions("token", "part", "other", "size", "sid")
     crossing = materialize(cross_pairs(placed, percent).distinct(), "cross_pairs")
-    second = corpus.links(crossing)
+    second = corpus.links(corpus.likely(crossing))
 
     edges = first.unionByName(second)
     labels = star_components(edges)
@@ -515,7 +527,7 @@ def link_components(
     )
     found = materialize(found, "components")
     out = ["doc_id", "text_key", F.col("size").alias("n_shingles"), "component_id", "group", "n_links"]
-    linked = attach(rows.where("size > 0").drop("bitmap"), found, ["d1", "d2"], "docs").select(*out)
+    linked = attach(rows.where("size > 0").drop("bitmap", "wide"), found, ["d1", "d2"], "docs").select(*out)
     alone = rows.where("size = 0").withColumns({
         "component_id": F.col("doc_id"), "group": F.lit(None).cast("bigint"), "n_links": F.lit(0).cast("bigint"),
     })
