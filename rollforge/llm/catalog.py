@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rollforge.llm import decontam, exact_dedup, jaccard_join, language_id, mixing, sharding, suffix_dedup, token_counts, toxicity, url_filter
+from rollforge.llm import decontam, exact_dedup, jaccard_join, language_id, mixing, sharding, suffix_dedup, token_counts, toxicity, url_filter, url_filter_sql
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -16,4 +16,8 @@ QUERIES = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_mixing": mixing.op10_mixing,
 }
-CHECKS = {"op3_exact_dedup": exact_dedup.OP3_SQL, "op6_decontaminate": decontam.OP6_SQL}
+CHECKS = {
+    "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op6_decontaminate": decontam.OP6_SQL,
+    "op8_url_filter": url_filter_sql.OP8_SQL,
+}

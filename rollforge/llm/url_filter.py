@@ -175,4 +175,4 @@ def judge(
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "pages"))
+    return judge(table(spark, sf_dir, "pages")).drop("host_rate", "host_low")
