@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollforge.llm.common import table
+from rollforge.llm.common import attach, table
 from rollforge.llm.textscan import BYTE_CODE, U64, RangeHash, buffers, mixed, pieces
 from rollforge.plans.storage import materialize
 
@@ -400,17 +400,16 @@ def repeated_spans(texts: DataFrame, shape: Shape, cluster: int = CLUSTER) -> Da
     anchors = materialize(anchor_rows(texts, shape), "anchors")
     inner = anchors.groupBy("inner").agg(
         F.count(F.lit(1)).alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high")
-    ).where("n > 1").select("inner", (F.col("low") == F.col("high")).alias("same"))
-    # written, so that the join below has a shuffle on both sides, whose hot partitions Spark can split
+    ).where("n > 1").select("inner", "n", (F.col("low") == F.col("high")).alias("same"))
     inner = materialize(inner, "repeated_strings")
-    again = materialize(anchors.join(inner, "inner"), "repeated_anchors")
+    again = materialize(attach(anchors, inner, ["inner"], "n").drop("n"), "repeated_anchors")
     mixed_up = again.where(~F.col("same")).drop("same")
     classes = mixed_up.groupBy("inner", "whole").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first", "windows", "offset")).alias("one")
     )
     classes = materialize(classes, "suffix_classes")
     all_same = again.where("same").select("key", "first", "windows")
-    by_class = mixed_up.join(classes.where("n > 1").select("inner", "whole"), ["inner", "whole"], "left_semi")
+    by_class = attach(mixed_up, classes.where("n > 1").select("inner", "whole", "n"), ["inner", "whole"], "n")
     spans = all_same.unionByName(by_class.select("key", "first", "windows"))
 
     # inner strings with a single class member are to be decided; the others of the string are its partners
