@@ -10,6 +10,7 @@ from rollforge.operators import evalk as E
 from rollforge.operators import groups as G
 from rollforge.operators import joins as J
 from rollforge.operators import rewards as R
+from rollforge.operators import runs as U
 from rollforge.plans.storage import materialize
 from rollforge.sources import tables as T
 
@@ -236,14 +237,17 @@ def _(spark, sf):
     return J.join_answers(r, T.prompts(spark, sf)).select("prompt_id", "sample_idx", "answer", "prompt")
 
 
-@query("join_answers_check", uses=["rollouts"],
-       sql="SELECT count(*) AS rows, CAST(0 AS BIGINT) AS without_prompt FROM rollouts")
+@query("join_answers_check", uses=["rollouts", "prompts"], ctes="known AS (SELECT prompt_id FROM prompts WHERE prompt_id % 10 <> 0)",
+       sql="""SELECT count(*) AS rows, count(*) FILTER (WHERE k.prompt_id IS NULL) AS without_prompt
+FROM rollouts r LEFT JOIN known k ON r.prompt_id = k.prompt_id""")
 def _(spark, sf):
-    return J.unmatched(T.rollouts(spark, sf).select("prompt_id"), T.prompts(spark, sf), "prompt_id")
+    known = T.prompts(spark, sf).where(F.col("prompt_id") % 10 != 0)  # some prompts are missing
+    return J.unmatched(T.rollouts(spark, sf).select("prompt_id"), known, "prompt_id")
 
 
 @query("attach_ref_logps", uses=["pair_logps"], sql=f"""
-SELECT pair_id, {q('c - c0', 'chosen_ratio')}, {q('r - r0', 'rejected_ratio')} FROM pair_logps""")
+SELECT a.pair_id, {q('a.c - b.c0', 'chosen_ratio')}, {q('a.r - b.r0', 'rejected_ratio')}
+FROM pair_logps a JOIN pair_logps b ON a.pair_id = b.pair_id""")
 def _(spark, sf):
     p = T.pair_logps(spark, sf)
     joined = J.attach_required(p.select("pair_id", "c", "r"), p.select("pair_id", "c0", "r0"), "pair_id")
@@ -251,6 +255,27 @@ def _(spark, sf):
                          rounded(F.col("r") - F.col("r0"), "rejected_ratio"))
 
 
+@query("reward_extra_column", uses=["rollouts"], sql=f"""
+SELECT {_ROW}, {q("CASE WHEN length(response) <= 20 + step % 7 THEN 1e0 ELSE 0e0 END", 'reward_budget')} FROM rollouts""")
+def _(spark, sf):
+    def budget(prompt, response, answer, step):
+        return F.when(F.length(response) <= 20 + step % 7, 1.0).otherwise(0.0)
+
+    spec = R.RewardSpec("budget", budget, extra=("step",))
+    return R.score(T.rollouts(spark, sf), [spec]).select(*ROW, rounded("reward_budget"))
+
+
+@query("user_metrics", uses=["rollouts"], ctes=REWARDED_SQL, sql=f"""
+SELECT run_id, step, {q('avg(CASE WHEN reward > 1 THEN 1e0 ELSE 0e0 END)', 'good_share')}, count(DISTINCT prompt_id) AS prompts
+FROM rewarded GROUP BY run_id, step""")
+def _(spark, sf):
+    metrics = {
+        "good_share": F.avg(F.when(F.col("reward") > 1, 1.0).otherwise(0.0)), "prompts": F.countDistinct("prompt_id"),
+    }
+    found = U.compute_metrics(rewarded(spark, sf), ["run_id", "step"], metrics)
+    return found.withColumn("good_share", rounded("good_share"))
+
+
 @query("concat_columns", uses=["problems", "prompts"], sql="""
 SELECT a.prompt_id, a.question, b.answer FROM problems a JOIN prompts b ON a.prompt_id = b.prompt_id""")
 def _(spark, sf):

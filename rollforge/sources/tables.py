@@ -147,7 +147,9 @@ _EVAL = {
     "decode": "CASE WHEN i = 0 THEN 'greedy' ELSE 'sample' END",
     "sample_idx": "CAST(CASE WHEN i = 0 THEN 0 ELSE i - 1 END AS INT)",
     "truth": "CAST(o_orderkey % 11 AS STRING)",
-    "response": "'<answer>' || CAST((o_custkey + i * 3 + e * (o_orderkey % 4)) % 11 AS STRING) || ' units</answer>'",
+    # in the last epoch of one run nearly all samples go wrong, so that its greedy answers beat them
+    "response": "CASE WHEN i > 0 AND e = 2 AND o_orderkey % 3 = 2 AND o_orderkey % 20 <> 0 THEN '<answer>none</answer>'"
+    " ELSE '<answer>' || CAST((o_custkey + i * 3 + e * (o_orderkey % 4)) % 11 AS STRING) || ' units</answer>' END",
 }
 _EVAL_SAMPLES = "2 + o_custkey % 11"
 
