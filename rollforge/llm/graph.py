@@ -19,8 +19,13 @@ def star_components(edges: DataFrame) -> DataFrame:
     """
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = materialize(now.distinct(), "edges")
-    state = None
+
+    def state(table: DataFrame) -> tuple:
+        return tuple(table.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    after = state(now)
     while True:
+        before = after
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -29,8 +34,6 @@ def star_components(edges: DataFrame) -> DataFrame:
         hung = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         hung = hung.unionByName(least.select("a", F.col("m").alias("b")))
         now = materialize(hung.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-        before, state = state, tuple(now.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first())
-        if state == before:
+        after = state(now)
+        if after == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label"))

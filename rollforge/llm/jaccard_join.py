@@ -38,6 +38,10 @@ SENT_FREQUENT = 500_000
 # Rows of a list that are compared in one group; longer lists are split into pairs of parts.
 LIST_PART = 4000
 SKIP_BLOCK = 256
+# Before all sets of different components are compared, each is with so many next ones.
+NEXT = 8
+# Lists up to this length are read beside others that begin with the same set.
+SHORT_LIST = 64
 # Up to so many texts (16 bytes each) are looked up by broadcast, more by shuffle.
 SENT_KEYS = 200_000
 LOWER = lower_ascii()
@@ -308,10 +312,24 @@ def read_lists(prefixes: DataFrame, percent: int) -> DataFrame:
     return listed.mapInArrow(scan, LIST_ROWS)
 
 
-def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
+def cross_pairs(lists: DataFrame, percent: int, every: bool) -> DataFrame:
     """(a, b) of sets of different components that may link, by list or pair of
-    list parts. ``lists``: token, part, other, own, sid, label, size, pos, bitmap,
-    sorted by (token, part, other, size)."""
+    list parts. ``lists``: place, token, part, other, own, sid, label, size, pos,
+    bitmap, sorted by (place, token, part, other, size). Lists of one place are
+    mostly of the same sets, and give a pair once. Without ``every``, a set is
+    only paired with the next few in size order: one pair at most."""
+
+    def neighbours(rows: dict[str, np.ndarray], out: list[np.ndarray]) -> None:
+        size, label, bits, sid = rows["size"], rows["label"], rows["bitmap"], rows["sid"]
+        left = np.arange(len(size))
+        for step in range(1, NEXT + 1):
+            x = left[left + step < len(size)]
+            y = x + step
+            total = size[x] + size[y]
+            differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+            fits = (label[x] != label[y]) & ((100 + percent) * differ <= (100 - percent) * total)
+            out.append(np.stack([np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])])[:, fits])
+            left = x[~fits]
 
     def compare(rows: dict[str, np.ndarray], out: list[np.ndarray]) -> None:
         size, pos, label, own = rows["size"], rows["pos"], rows["label"], rows["own"]
@@ -350,6 +368,8 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
         key = ("token", "part", "other")
+        given: set[tuple[int, int]] = set()
+        place = None
         for batch in batches:
             rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "bitmap"}
             flat = np.frombuffer(b"".join(batch.column("bitmap").to_pylist()), dtype=U64)
@@ -363,19 +383,27 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
             for c in key:
                 change |= np.diff(rows[c]) != 0
             cuts = np.concatenate(([0], np.flatnonzero(change) + 1))
-            out: list[np.ndarray] = []
+            fresh: list[tuple[int, int]] = []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                compare({c: v[a:b] for c, v in rows.items()}, out)
+                if rows["place"][a] != place or len(given) > 1_000_000:
+                    place = rows["place"][a]
+                    given.clear()
+                fresh += new_pairs({c: v[a:b] for c, v in rows.items()}, given)
             held = {c: v[cuts[-1]:] for c, v in rows.items()}
-            yield pairs(out)
+            yield batch_of(fresh)
         if held is not None:
-            out = []
-            compare(held, out)
-            yield pairs(out)
+            yield batch_of(new_pairs(held, given if held["place"][0] == place else set()))
 
-    def pairs(out: list[np.ndarray]) -> pa.RecordBatch:
-        found = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
+    def new_pairs(rows: dict[str, np.ndarray], given: set[tuple[int, int]]) -> list[tuple[int, int]]:
+        out: list[np.ndarray] = []
+        (compare if every else neighbours)(rows, out)
+        found = {p for o in out for p in zip(*o.tolist(), strict=True)} - given
+        given |= found
+        return list(found)
+
+    def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        both = np.array(found, dtype=np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
     return lists.mapInArrow(scan, "a long, b long")
 
@@ -481,42 +509,52 @@ def link_components(
         names.select(F.col("d1").alias("leader"), F.col("sid").alias("b")), "leader"
     )
     led = corpus.likely(led.where("a <> b").select("a", "b", "shared"))
-    # first the leader of most lists, which joins nearly all copies; then leaders in other components
+    # first the leader of most lists, which joins nearly all copies; then leaders that don't share it
     best = led.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select("a", "best.b")
     first = corpus.links(best)
-    labels = star_components(first)
 
     def labelled(pairs: DataFrame, end: str) -> DataFrame:
-        named = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+        named = first.select(F.col("a").alias(end), F.col("b").alias(f"label_{end}"))
         return pairs.join(named, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
 
     others = labelled(labelled(led.select("a", "b").join(best, ["a", "b"], "left_anti"), "a"), "b")
     first = first.unionByName(corpus.links(others.where("label_a <> label_b").select("a", "b")))
     labels = star_components(first)
 
-    named = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "d1", "sid", F.coalesce("label", "sid").alias("label")
-    )
-    long = lists.where("kind = 1").select("token", "d1", "size", "pos").join(named, "d1")
-    long = materialize(long.select("token", "sid", "label", "size", "pos"), "long_lists")
-    split = long.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
-    ).where("low < high")
-    parts = F.ceil(F.col("n") / list_part).cast("int")
-    placed = (
-        long.join(split.select("token", parts.alias("parts")), "token")
-        .withColumn("own", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
-        .withColumn("with", F.explode(F.expr("sequence(0, parts - 1)")))
-        .withColumn("part", F.least("own", "with")).withColumn("other", F.greatest("own", "with"))
-        .join(sets.select("sid", "bitmap"), "sid")
-        .select("token", "part", "other", "own", "sid", "label", "size", "pos", "bitmap")
-    )
-    placed = placed.repartition("token", "part", "other").sortWithinPartitions("token", "part", "other", "size", "sid")
-    crossing = materialize(cross_pairs(placed, percent).distinct(), "cross_pairs")
-    second = corpus.links(corpus.likely(crossing))
+    long = lists.where("kind = 1").select("token", "d1", "size", "pos").join(names, "d1")
+    long = materialize(long.select("token", "sid", "size", "pos"), "long_lists")
+
+    def crossing(labels: DataFrame, every: bool) -> DataFrame:
+        """Likely pairs of different components that have a list in common."""
+        named = long.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+        named = named.withColumn("label", F.coalesce("label", "sid"))
+        split = named.groupBy("token").agg(
+            F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("sid").alias("head")
+        ).where("low < high")
+        parts = F.ceil(F.col("n") / list_part).cast("int")
+        place = F.when(F.col("n") <= SHORT_LIST, F.col("head")).otherwise(F.col("token"))
+        placed = (
+            named.join(split.select("token", parts.alias("parts"), place.alias("place")), "token")
+            .withColumn("own", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
+            .withColumn("with", F.explode(F.expr("sequence(0, parts - 1)")))
+            .withColumn("part", F.least("own", "with")).withColumn("other", F.greatest("own", "with"))
+            .join(sets.select("sid", "bitmap"), "sid")
+            .select("place", "token", "part", "other", "own", "sid", "label", "size", "pos", "bitmap")
+        )
+        order = ["place", "token", "part", "other"]
+        placed = placed.repartition("place", "part", "other").sortWithinPartitions(*order, "size", "sid")
+        return corpus.likely(materialize(cross_pairs(placed, percent, every).distinct(), "cross_pairs"))
+
+    def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+        return star_components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(links))
+
+    near = corpus.links(crossing(labels, every=False))
+    labels = joined(labels, near)
+    second = corpus.links(crossing(labels, every=True))
+    labels = joined(labels, second)
+    second = near.unionByName(second)
 
     edges = first.unionByName(second)
-    labels = star_components(edges)
     degree = edges.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count(F.lit(1)).alias("n_links"))
     whole = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "label", F.coalesce("label", "sid")
