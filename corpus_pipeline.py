@@ -64,16 +64,20 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes its words, rounded: not at all,
-    once or twice. Texts without words are not in a mix of words."""
-    names = ["__id", "__source", "__size"]
+    """Every document as often as the mix takes its words: not at all, once or
+    twice. The mix takes documents whole, in a seeded order, but for the one in
+    which a source's quota ends; that one is rounded, so a source misses its
+    target by half a document at most, besides the rounding to blocks. Rows that
+    repeat with id, source and text (the stages before leave none) are rounded
+    together. Texts without words are not in a mix of words."""
+    names = ["__id", "__source", "__size", "__hash"]
     key = {
         "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), "__source": mixing.source_key(),
-        "__size": mixing.words_of("text"),
+        "__size": mixing.words_of("text"), "__hash": mixing.text_hash("text"),
     }
     taken = mixing.mix(docs, keep_source=True).select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("~")).alias("__id"), F.col("key").alias("__source"),
-        F.col("size").alias("__size"), "taken",
+        F.col("size").alias("__size"), F.col("text_hash").alias("__hash"), "taken",
     )
     times = taken.where("__size > 0").groupBy(*names).agg(
         F.floor(F.sum("taken") / F.sum("__size") + 0.5).cast("int").alias("__times")

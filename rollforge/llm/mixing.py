@@ -5,9 +5,10 @@ The words of a source stand in a seeded order of its documents and are cut into
 blocks of equal size. Blocks are awarded to sources by highest quotients
 target / (2k - 1); awards in that order fill one mix shard after the other, so
 a shard's quotas are differences of apportionments of growing size. A source's
-quota of blocks is then taken: all blocks as often as it allows, and the rest
-as a seeded systematic choice. No block is ever a row: what a document gives is
-a closed form of its place in the order.
+blocks are then taken in the seeded order, from its begin again when all are
+used, so documents are taken whole but for the one in which the quota ends. No
+block is ever a row: what a document gives is a closed form of its place in the
+order.
 """
 
 from __future__ import annotations
@@ -37,6 +38,11 @@ def words_of(text: str) -> Column:
     return F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("bigint")
 
 
+def text_hash(text: str) -> Column:
+    """Tells texts apart that have id, source and size in common."""
+    return F.xxhash64(text_or_empty(text)).alias("text_hash")
+
+
 def source_key(source: str = "source") -> Column:
     """A key that is never null: null is a source of its own."""
     return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
@@ -130,17 +136,19 @@ def mix(
     keep_source: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken,
-    and with ``keep_source`` the source's key.
+    and with ``keep_source`` the source's key and the text's hash.
 
     Size is the number of words; a null or wordless text has none and nothing
     of it is taken. A null source is a source. Repeated rows are rows like
     others. An empty table gives no rows; other columns are ignored.
     """
+    kept = ["key", "text_hash"] if keep_source else []
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), words_of(text).alias("size")
+        F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), words_of(text).alias("size"),
+        *([text_hash(text)] if keep_source else []),
     )
     rows = materialize(
-        rows.withColumn("key", source_key()).groupBy("doc_id", "key", "source", "size")
+        rows.withColumn("key", source_key()).groupBy("doc_id", "key", "source", "size", *kept[1:])
         .agg(F.count(F.lit(1)).alias("n")), "sizes",
     )
     sums = rows.groupBy("key", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -155,7 +163,6 @@ def mix(
         "key", "source_size", "target", n.alias("blocks"),
         F.when(n > 0, F.floor(q / n)).otherwise(0).alias("passes"),
         F.when(n > 0, q % n).otherwise(0).alias("rest"),
-        F.when(n > 0, F.pmod(F.xxhash64(F.lit(seed), "key"), n)).otherwise(0).alias("turn"),
     )
     count = rows.agg(F.count(F.lit(1))).first()[0]
     buckets = max(1, math.ceil(count / BUCKET_ROWS))
@@ -165,32 +172,24 @@ def mix(
     words = F.col("size") * F.col("n")
     sums = rows.groupBy("key", "bucket").agg(F.sum(words).alias("words"), F.count(F.lit(1)).alias("docs"))
     offsets = bucket_offsets(sums, ["key"], "bucket", "words", buckets).drop("words")
-    inside = Window.partitionBy("key", "bucket").orderBy("hash", "doc_id", "size").rowsBetween(
+    inside = Window.partitionBy("key", "bucket").orderBy("hash", "doc_id", "size", *kept[1:]).rowsBetween(
         Window.unboundedPreceding, -1
     )
     placed = rows.withColumn("inside", F.coalesce(F.sum(words).over(inside), F.lit(0))).join(
         offsets.drop("docs"), ["key", "bucket"]
     )
-    placed = placed.select("doc_id", "key", "size", "n", (F.col("__offset") + F.col("inside")).alias("start"))
+    placed = placed.select("doc_id", "key", "size", *kept[1:], "n", (F.col("__offset") + F.col("inside")).alias("start"))
     weights_of = rows.groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
     full = materialize(plan.join(weights_of, "key"), "plan")
     found = copies(attach(placed, full, ["key"], "docs"), "n", "copy")
 
-    def chosen(b: Column) -> Column:
-        """Blocks of the systematic choice among the first b blocks."""
-        return F.when(
-            F.col("blocks") > 0, F.floor((b * F.col("rest") + F.col("turn")) / F.col("blocks"))
-        ).otherwise(F.lit(0))
-
     def upto(x: Column) -> Column:
         """Words taken of the source's first x words."""
-        b = F.floor(x / F.lit(block))
-        part = (chosen(b + 1) - chosen(b)) * (x - b * block)
-        return F.col("passes") * x + chosen(b) * block + part
+        return F.col("passes") * x + F.least(x, F.col("rest") * block)
 
     start = F.col("start") + F.col("copy") * F.col("size")
     return found.select(
-        "doc_id", *(["key"] if keep_source else []), "size", "source_size", "target",
+        "doc_id", *kept, "size", "source_size", "target",
         (upto(start + F.col("size")) - upto(start)).cast("bigint").alias("taken"),
     )
 

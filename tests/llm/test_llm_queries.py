@@ -620,3 +620,25 @@ def test_pipeline_stages_take_awkward_rows(spark, awkward, empty, data):
 def test_one_copy_of_repeated_rows_stays(spark, awkward, data):
     got = Counter(r.doc_id for r in corpus_pipeline.one_per_group(spark, awkward, data).collect())
     assert got[1] == 1 and got[2] == 0 and got[6] == 1 and got[7] == 0 and got[3] == got[4] == got[5] == 1
+
+
+@pytest.mark.parametrize("table", ["documents", "long", "no_ids"])
+def test_whole_documents_reach_the_targets(spark, data, table):
+    """Each source's words against its target, whatever a block is: half a document and the blocks' rounding apart."""
+    if table == "documents":
+        docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "source")
+    else:
+        # long documents beside one tiny source, which makes blocks small
+        docs = spark.range(900).selectExpr(
+            "if({}, null, id) as doc_id".format("true" if table == "no_ids" else "false"),
+            "if(id < 4, concat('w', id), concat(repeat(concat('w', id, ' '), 400), 'end')) as text",
+            "if(id < 4, 'tiny', concat('s', id % 3)) as source")
+    count = lambda rows: [(r.source, len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))) for r in rows]
+    sizes, got, largest = Counter(), Counter(), Counter()
+    for s, n in count(docs.collect()):
+        sizes[s] += n
+        largest[s] = max(largest[s], n)
+    for s, n in count(corpus_pipeline.mix_sources(spark, docs, data).collect()):
+        got[s] += n
+    for s, t in want_targets(sizes).items():
+        assert abs(got[s] - t) <= largest[s] / 2 + 0.01 * t + 2, (s, got[s], t)
