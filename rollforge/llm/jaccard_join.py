@@ -343,7 +343,10 @@ def cross_pairs(lists: DataFrame, percent: int, every: bool) -> DataFrame:
                 # sizes rise along the list: this and all later blocks are too large
                 if 100 * size[a].max() < percent * size[b].min():
                     break
-                room = np.minimum(size[a].max(), size[b].max()) - max(0, pos[a].min() - pos[b].max(), pos[b].min() - pos[a].max())
+                # shingles before the common one beyond the other's position are in one set only
+                room = min(
+                    size[a].max() - max(0, pos[a].min() - pos[b].max()), size[b].max() - max(0, pos[b].min() - pos[a].max())
+                )
                 if (100 + percent) * room < percent * (size[a].min() + size[b].min()):
                     continue
                 x, y = np.nonzero(

@@ -434,6 +434,29 @@ def test_components_of_near_copies(spark, list_part, monkeypatch):
     assert by_id(got, "n_shingles", "component_id") == brute_components(pairs)
 
 
+@pytest.mark.parametrize("block", [1, 2])
+def test_skipped_blocks_hold_no_link(spark, block, monkeypatch):
+    """Sets and supersets whose further shingles are rarer, so that the common one stands later: J is 0.8."""
+    import numpy as np
+
+    monkeypatch.setattr(jaccard_join, "SKIP_BLOCK", block)
+    rng = np.random.default_rng(1)
+    rows, want = [], set()
+    for k in range(4):
+        y = rng.integers(0, 2**63, 80).astype(np.uint64)
+        for j, (value, pos) in enumerate([(y, 0), (np.concatenate([y, rng.integers(0, 2**63, 20).astype(np.uint64)]), 20)]):
+            narrow, _ = jaccard_join.bitmaps(np.array([0, len(value)]), value)
+            sid = 10 * k + j
+            rows.append((0, 7, 0, 0, 0, sid, sid, len(value), pos, narrow[0].as_py()))
+        want.add((10 * k, 10 * k + 1))
+    lists = spark.createDataFrame(
+        sorted(rows, key=lambda r: (r[7], r[5])),
+        "place long, token long, part int, other int, own int, sid long, label long, size int, pos int, bitmap binary",
+    ).coalesce(1)
+    got = {(r.a, r.b) for r in jaccard_join.cross_pairs(lists, jaccard_join.PERCENT, every=True).collect()}
+    assert want <= got
+
+
 def test_components_of_nothing(empty):
     assert jaccard_join.link_components(empty).count() == 0
 
