@@ -35,7 +35,7 @@ def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Of each group of linked documents, copies included, the one with the
     smallest id stays (a null id only in a group without ids). Texts without
     words are linked with nothing and stay."""
-    found = materialize(jaccard_join.link_components(docs).select("doc_id", "text_key", "group"), "groups")
+    found = materialize(jaccard_join.link_components(docs, count_links=False).select("doc_id", "text_key", "group"), "groups")
 
     def row_key(doc_id: Column, text_key: Column) -> Column:
         return F.concat(F.coalesce(doc_id.cast("string"), F.lit("~")), F.lit(":"), F.hex(text_key))

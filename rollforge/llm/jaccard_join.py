@@ -11,7 +11,12 @@ component from it. Then only sets of different components in one list are
 compared, by blocks ordered by size, which are skipped when no sizes or list
 positions in them can reach the similarity, and pairs are skipped when parity
 bitmaps show that too many shingles differ. Pairs that remain are compared
-exactly, so no link between two texts is lost.
+exactly, so no component is split.
+
+Links are then counted inside the components, by parts that can link by size.
+In a part one set leads: every set's difference from it is computed once, and
+how many shingles two others share follows from their differences, by bounds
+first and exactly where these leave it open. No pair is ever a row.
 """
 
 from __future__ import annotations
@@ -44,6 +49,9 @@ NEXT = 8
 SHORT_LIST = 64
 # Up to so many texts (16 bytes each) are looked up by broadcast, more by shuffle.
 SENT_KEYS = 200_000
+# Sets of a component whose links are counted in one group; larger ones are split into pairs of parts.
+COMPONENT_PART = 256
+CHUNK_COLUMNS = 4096
 LOWER = lower_ascii()
 
 
@@ -411,6 +419,53 @@ def cross_pairs(lists: DataFrame, percent: int, every: bool) -> DataFrame:
     return lists.mapInArrow(scan, "a long, b long")
 
 
+def link_counts(values: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
+    """Links of each of the sets ``values`` (sorted hashes), derived from their
+    differences from a leader; with two sides, only links between them."""
+    lead = values[len(values) // 2]
+    size = np.array([len(v) for v in values])
+    flat, owner = np.concatenate(values), np.repeat(np.arange(len(values)), size)
+    place = np.minimum(np.searchsorted(lead, flat), len(lead) - 1)
+    held = lead[place] == flat
+    lacks = len(lead) - np.bincount(owner[held], minlength=len(values))
+    adds = size - (len(lead) - lacks)
+    least = len(lead) - lacks[:, None] - lacks[None, :]
+    most = least + np.minimum(lacks[:, None], lacks[None, :]) + np.minimum(adds[:, None], adds[None, :])
+    need = percent * (size[:, None] + size[None, :])
+    asked = side[:, None] != side[None, :] if side.any() and not side.all() else ~np.eye(len(values), dtype=bool)
+    links = asked & ((100 + percent) * least >= need)
+    is_open = asked & ~links & ((100 + percent) * most >= need)
+    rows = np.flatnonzero(is_open.any(axis=1))
+    if len(rows):
+        number = np.full(len(values), -1)
+        number[rows] = np.arange(len(rows))
+        # what several sets lack of the leader, then what several add to it
+        absent = np.ones((len(rows), len(lead)), dtype=bool)
+        mine = held & (number[owner] >= 0)
+        absent[number[owner[mine]], place[mine]] = False
+        row, column = np.nonzero(absent[:, absent.sum(axis=0) > 1])
+        other = ~held & (number[owner] >= 0)
+        _, code, n = np.unique(flat[other], return_inverse=True, return_counts=True)
+        several = n[code] > 1
+        new = np.cumsum(n > 1) - 1
+        width = int(column.max()) + 1 if len(column) else 0
+        row = np.concatenate([row, number[owner[other]][several]])
+        column = np.concatenate([column, width + new[code[several]]])
+        by = np.argsort(column, kind="stable")
+        row, column = row[by], column[by]
+        common = np.zeros((len(rows), len(rows)))
+        at = 0
+        while at < len(column):
+            end = int(np.searchsorted(column, column[at] + CHUNK_COLUMNS))
+            some = np.zeros((len(rows), int(column[end - 1] - column[at]) + 1), dtype=np.float32)
+            some[row[at:end], column[at:end] - column[at]] = 1
+            common += some @ some.T
+            at = end
+        exact = least[np.ix_(rows, rows)] + common.astype(np.int64)
+        links[np.ix_(rows, rows)] |= is_open[np.ix_(rows, rows)] & ((100 + percent) * exact >= need[np.ix_(rows, rows)])
+    return links.sum(axis=1)
+
+
 class Corpus:
     """Texts (text_key, doc_id, text) and their distinct sets (sid, d1, size,
     bitmap, and the key and id of one text)."""
@@ -470,14 +525,90 @@ class Corpus:
         both = pairs.select("a", "b").join(one, "a").join(two.hint("merge"), "b").select("a", "b", "text_a", "text_b")
         return materialize(both.mapInArrow(scan, "a long, b long"), "links")
 
+    def degrees(self, labels: DataFrame) -> DataFrame:
+        """(sid, n_links): how many sets each set links to, for components
+        (node, label) of all sets that link."""
+        words, percent = self.words, self.percent
+        members = labels.select(F.col("node").alias("sid"), "label").unionByName(
+            labels.select(F.col("label").alias("sid"), "label").distinct()
+        )
+        counts = members.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+        # sets whose classes are not neighbours differ too much in size
+        step = max(float(np.log(100 / percent)), 0.01) * 1.0001
+        level = F.when(F.col("n") > COMPONENT_PART, F.floor(F.log("size") / step)).otherwise(0).cast("int")
+        members = members.join(counts, "label").join(self.sets.select("sid", "size"), "sid")
+        members = materialize(members.select("sid", "label", "n", level.alias("level")), "members")
+        two = members.where("n = 2").select("sid", F.lit(1).cast("bigint").alias("n_links"))
+        members = members.where("n > 2")
+        levels = members.groupBy("label", "level").agg(F.count(F.lit(1)).alias("n"))
+        levels = materialize(
+            levels.select("label", "level", F.ceil(F.col("n") / COMPONENT_PART).cast("int").alias("parts")), "levels"
+        )
+        here = members.join(levels, ["label", "level"]).withColumn(
+            "own", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
+        )
+        near = levels.select("label", F.col("level").alias("with_level"), F.col("parts").alias("with_parts"))
+        both = here.join(near, "label").where(F.abs(F.col("with_level") - F.col("level")) <= 1)
+        both = both.withColumn("with", F.explode(F.expr("sequence(0, with_parts - 1)")))
+        mine, other = F.struct("level", "own"), F.struct(F.col("with_level").alias("level"), F.col("with").alias("own"))
+        placed = both.select(
+            "sid", "label", F.least(mine, other).alias("one"), F.greatest(mine, other).alias("two"),
+            F.when(mine > other, 1).otherwise(0).alias("side"),
+        ).select(
+            "label", F.col("one.level").alias("level"), F.col("one.own").alias("part"),
+            F.col("two.level").alias("other_level"), F.col("two.own").alias("other"), "side", "sid",
+        )
+        key = ["label", "level", "part", "other_level", "other"]
+        texts = self.texts_of(members.select("sid"))
+        placed = placed.join(texts, "sid").select(*key, "side", "sid", "text")
+        placed = placed.repartition(*key).sortWithinPartitions(*key, "side", "sid")
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now: tuple | None = None
+            values: list[np.ndarray] = []
+            side: list[int] = []
+            sid: list[int] = []
+            out: list[tuple[list[int], np.ndarray]] = []
+
+            def count() -> None:
+                # a part pair with rows of one part only has no links to count
+                if len(values) > 1 and (now[1:3] == now[3:] or 0 < sum(side) < len(side)):
+                    out.append((sid.copy(), link_counts(values, np.array(side), percent)))
+                for held in (values, side, sid):
+                    held.clear()
+
+            def found() -> pa.RecordBatch:
+                sids = np.array([i for s, _ in out for i in s], dtype=np.int64)
+                n = np.concatenate([n for _, n in out] or [np.zeros(0)]).astype(np.int64)
+                out.clear()
+                return pa.RecordBatch.from_arrays([pa.array(sids), pa.array(n)], names=["sid", "n_links"])
+
+            for batch in batches:
+                keys = list(zip(*(batch.column(c).to_pylist() for c in key), strict=True))
+                sides, sids = batch.column("side").to_pylist(), batch.column("sid").to_pylist()
+                for a, b, bounds, value in batch_sets(batch.column("text"), words):
+                    for i in range(a, b):
+                        if keys[i] != now:
+                            count()
+                            now = keys[i]
+                        values.append(value[bounds[i - a]: bounds[i - a + 1]])
+                        side.append(sides[i])
+                        sid.append(sids[i])
+                yield found()
+            count()
+            yield found()
+
+        counted = placed.mapInArrow(scan, "sid long, n_links long").groupBy("sid").agg(F.sum("n_links").alias("n_links"))
+        return materialize(two.unionByName(counted), "degrees")
+
 
 def link_components(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text: str = "text",
-    list_part: int = LIST_PART,
+    list_part: int = LIST_PART, count_links: bool = True,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, n_shingles, component_id,
-    group (number of the component, null without shingles) and n_links (sets
-    that its set links to, as far as the search had to look).
+    group (number of the component, null without shingles) and, unless
+    ``count_links`` is off, n_links (all other sets that its set links to).
 
     Null, empty and wordless texts have no shingles and link with nothing, so
     their component is their own id. Equal texts are one set. A null id is
@@ -553,21 +684,19 @@ def link_components(
 
     near = corpus.links(crossing(labels, every=False))
     labels = joined(labels, near)
-    second = corpus.links(crossing(labels, every=True))
-    labels = joined(labels, second)
-    second = near.unionByName(second)
-
-    edges = first.unionByName(second)
-    degree = edges.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count(F.lit(1)).alias("n_links"))
+    labels = joined(labels, corpus.links(crossing(labels, every=True)))
     whole = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "label", F.coalesce("label", "sid")
     )
     least = whole.groupBy("label").agg(F.min("least").alias("component_id"))
-    found = whole.join(least, "label").join(degree, "sid", "left").select(
-        "d1", "d2", "docs", "component_id", F.col("label").alias("group"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    if count_links:
+        whole = whole.join(corpus.degrees(labels), "sid", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    counted = ["n_links"] if count_links else []
+    found = whole.join(least, "label").select(
+        "d1", "d2", "docs", "component_id", F.col("label").alias("group"), *counted
     )
     found = materialize(found, "components")
-    out = ["doc_id", "text_key", F.col("size").alias("n_shingles"), "component_id", "group", "n_links"]
+    out = ["doc_id", "text_key", F.col("size").alias("n_shingles"), "component_id", "group", *counted]
     linked = attach(rows.where("size > 0").drop("bitmap", "wide"), found, ["d1", "d2"], "docs").select(*out)
     alone = rows.where("size = 0").withColumns({
         "component_id": F.col("doc_id"), "group": F.lit(None).cast("bigint"), "n_links": F.lit(0).cast("bigint"),

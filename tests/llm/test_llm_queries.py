@@ -434,6 +434,36 @@ def test_components_of_near_copies(spark, list_part, monkeypatch):
     assert by_id(got, "n_shingles", "component_id") == brute_components(pairs)
 
 
+@pytest.mark.parametrize("part", [256, 3])
+def test_every_link_is_counted(spark, part, monkeypatch):
+    """Links of each set with others, against brute force: a group of mutual links, chains, sets of many sizes."""
+    import random
+
+    monkeypatch.setattr(jaccard_join, "COMPONENT_PART", part)
+    monkeypatch.setattr(jaccard_join, "CHUNK_COLUMNS", 16)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(500)]
+    texts = []
+    for k in range(8):
+        words = [rng.choice(vocabulary) for _ in range((150, 40, 12)[k % 3])]
+        for _ in range((30, 12)[k % 2]):
+            copy = words.copy()
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            texts.append(" ".join(copy + [rng.choice(vocabulary) for _ in range(rng.randint(0, 2))]))
+            if k % 2:
+                words = copy + [rng.choice(vocabulary) for _ in range(rng.randint(0, 9))]
+    texts += [texts[0], texts[0].upper(), "", None, "alone here"]
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append(frozenset(tuple(w[k: k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
+    want = [sum(4 * len(s & o) >= 3 * len(s | o) for o in set(sets) - {s} if s and o) for s in sets]
+    assert max(want) >= 29
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in jaccard_join.link_components(df).collect()}
+    assert got == dict(enumerate(want))
+
+
 @pytest.mark.parametrize("block", [1, 2])
 def test_skipped_blocks_hold_no_link(spark, block, monkeypatch):
     """Sets and supersets whose further shingles are rarer, so that the common one stands later: J is 0.8."""
