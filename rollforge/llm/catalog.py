@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rollforge.llm import decontam, exact_dedup, filter_audit, jaccard_join, language_id, mixing, sharding
+from rollforge.llm import collocations, decontam, exact_dedup, filter_audit, jaccard_join, language_id, mixing, sharding
 from rollforge.llm import suffix_dedup, token_counts, toxicity, url_filter, url_filter_sql
 
 QUERIES = {
@@ -16,11 +16,13 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_mixing": mixing.op10_mixing,
+    "op11_collocations": collocations.op11_collocations,
     "op12_filter_audit": filter_audit.op12_filter_audit,
 }
 CHECKS = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op6_decontaminate": decontam.OP6_SQL,
     "op8_url_filter": url_filter_sql.OP8_SQL,
+    "op11_collocations": collocations.OP11_SQL,
     "op12_filter_audit": filter_audit.OP12_SQL,
 }
