@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rollforge.llm import collocations, decontam, exact_dedup, filter_audit, jaccard_join, language_id, mixing, sharding
+from rollforge.llm import collocations, decontam, exact_dedup, filter_audit, html_extract, jaccard_join, language_id, mixing, sharding
 from rollforge.llm import suffix_dedup, token_counts, toxicity, url_filter, url_filter_sql
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_collocations": collocations.op11_collocations,
     "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_html_extract": html_extract.op13_html_extract,
 }
 CHECKS = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
