@@ -37,7 +37,9 @@ TRIE_PHRASES = 1_000_000
 SENT_WORDS = 1_000_000
 # Codes in one row of the written texts, and bytes of a long text taken at once.
 ROW_CODES = 1 << 18
-SLICE = 2 << 20
+SLICE = 1 << 20
+# Bytes of texts taken from a batch at once.
+PART = 4 << 20
 UNKNOWN = "und"
 
 LOWER = lower_ascii()
@@ -106,9 +108,13 @@ def worded(raw: np.ndarray, at: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarr
 
 
 def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """Bytes and offsets of the batch's texts, for each language (lang, text)."""
-    for lang in pc.unique(batch.column(0)).to_pylist():
-        yield lang, *buffers(batch.filter(pc.equal(batch.column(0), lang)).column(1))
+    """Bytes and offsets of texts of one language (lang, text); a batch is taken in
+    parts of about ``PART`` bytes, so that no copy of it all is made."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    for a, b in pieces(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), PART):
+        part = batch.slice(a, b - a)
+        for lang in pc.unique(part.column(0)).to_pylist():
+            yield lang, *buffers(part.filter(pc.equal(part.column(0), lang)).column(1))
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -357,8 +363,8 @@ def frequent_phrases(
     known = [level]
     for length in range(2, max_words + 1):
         total = level.agg(F.sum("n")).first()[0] or 0
-        # about a quarter of the count that fills a bucket falls in each
-        buckets = 1 << max(16, min(24, int(4 * total / min_count).bit_length()))
+        # at most half of the count that fills a bucket falls in each
+        buckets = 1 << max(16, min(24, int(2 * total / min_count).bit_length()))
         sums, longer_ones = [], []
         for trie in tries(level, length - 1, width, trie_phrases):
             sums.append(bucket_sums(texts, trie, buckets))
