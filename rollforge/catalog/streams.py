@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from rollforge.catalog.groups_eval import REWARDED_SQL
 from rollforge.catalog.registry import q, query, rounded
 from rollforge.operators import rewards as R
+from rollforge.plans.storage import materialize, scratch_path
 from rollforge.sources import tables as T
 from rollforge.streaming import jobs as S
+from rollforge.streaming.groups import group_results, timers_allowed
 
 
 def _orders(spark, sf):
@@ -53,13 +55,56 @@ _windows("stream_metric_windows", None)
 _windows("stream_metric_windows_sliding", 5)
 
 
+# Arrivals in four waves, each a run of the stream that continues the last: samples 0, 3, 6 ... on day 0,
+# samples 1, 4, 7 ... on day 1, the others half an hour later or, of every fourth prompt, too late; every tenth
+# prompt comes as a whole on day 10, which lets the groups that still wait expire.
+WAVE = "CASE WHEN prompt_id % 10 = 9 THEN 3 ELSE sample_idx % 3 END"
+ARRIVAL = (
+    "timestamp'2024-01-01 00:00:00' + make_dt_interval(CASE wave WHEN 0 THEN 0 WHEN 3 THEN 10 "
+    "WHEN 2 THEN CASE WHEN prompt_id % 4 = 0 THEN 0 ELSE 1 END ELSE 1 END, "
+    "CASE WHEN wave = 2 AND prompt_id % 4 = 0 THEN 2 ELSE 0 END, CASE WHEN wave = 2 AND prompt_id % 4 <> 0 THEN 30 ELSE 0 END)"
+)
+GROUP = ["run_id", "step", "prompt_id"]
+
+
+def _group_results(spark, sf):
+    """Results of the four waves, from one stream whose state outlives each run."""
+    scored = R.combine(R.score(T.rollouts_of(T._orders(spark, sf)), R.STANDARD), R.STANDARD)
+    waves = scored.select(*GROUP, "n", "reward", F.expr(WAVE).alias("wave"))
+    waves = materialize(waves.withColumn("ts", F.expr(ARRIVAL)), "arrivals")
+    base = scratch_path(spark, "groups")
+    schema = waves.drop("wave").schema
+    with timers_allowed(spark):
+        for wave in range(4):
+            waves.where(F.col("wave") == wave).drop("wave").write.mode("append").parquet(f"{base}/in")
+            stream = group_results(spark.readStream.schema(schema).parquet(f"{base}/in"), GROUP)
+            S.update_to(stream, f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+_OPEN = "prompt_id % 10 <> 9 AND prompt_id % 4 = 0 AND count(*) >= 3"
+
+
 @query("stream_group_stats", uses=["rollouts"], ctes=REWARDED_SQL, sql=f"""
 SELECT run_id, step, prompt_id, {q('avg(reward)', 'mean')}, {q('stddev_samp(reward)', 'std')}, count(*) AS seen
-FROM rewarded GROUP BY run_id, step, prompt_id""")
+FROM rewarded GROUP BY run_id, step, prompt_id HAVING NOT ({_OPEN})""")
+def _(spark, sf):
+    out = _group_results(spark, sf).where("kind = 'complete'")
+    return out.select(*GROUP, rounded("mean"), rounded("std"), "seen")
+
+
+_LEFT_SQL = f"""{REWARDED_SQL}, w AS (SELECT *, sample_idx % 3 = 2 AS late FROM rewarded),
+ g AS (SELECT run_id, step, prompt_id, count(*) AS expected, count(*) FILTER (WHERE NOT late) AS seen,
+  count(*) FILTER (WHERE late) AS n_late, avg(reward) FILTER (WHERE NOT late) AS mean,
+  stddev_samp(reward) FILTER (WHERE NOT late) AS std FROM w GROUP BY run_id, step, prompt_id HAVING {_OPEN})"""
+
+
+@query("stream_group_leftovers", uses=["rollouts"], ctes=_LEFT_SQL, sql=f"""
+SELECT run_id, step, prompt_id, 'expired' AS kind, seen, expected, {q('mean', 'mean')}, {q('std', 'std')} FROM g
+UNION ALL SELECT run_id, step, prompt_id, 'late', n_late, NULL, NULL, NULL FROM g""")
 def _(spark, sf):
-    keys = ["run_id", "step", "prompt_id"]
-    out = S.run_update(S.group_stats(_scored(spark, sf), keys), "groups", keys)
-    return out.select(*keys, rounded("mean"), rounded("std"), "seen")
+    out = _group_results(spark, sf).where("kind <> 'complete'")
+    return out.select(*GROUP, "kind", "seen", "expected", rounded("mean"), rounded("std"))
 
 
 @query("stream_running_moments", uses=["metrics"], sql=f"""
@@ -77,7 +122,16 @@ def _(spark, sf):
     return S.run_update(S.tokens_seen(r, "run_id", "n"), "tokens", ["run_id"])
 
 
-@query("stream_unique_prompts", uses=["rollouts"], sql="SELECT DISTINCT prompt FROM rollouts")
+@query("stream_unique_prompts", uses=["rollouts"], sql="""
+SELECT prompt, min(sample_idx) AS sample_idx, CAST(1 AS BIGINT) AS times FROM rollouts GROUP BY prompt""")
 def _(spark, sf):
-    r = T.rollouts_of(_orders(spark, sf), "ts").select("prompt", "prompt_id", "response", "ts")
-    return S.run_append(S.unique_prompts(r, "100000 days"), "unique").select("prompt")
+    """Each sample number of a prompt arrives in a run of its own, months apart."""
+    r = T.rollouts_of(T._orders(spark, sf)).select("prompt", "sample_idx", "response")
+    r = materialize(r.withColumn("ts", F.expr("timestamp'2024-01-01 00:00:00' + make_ym_interval(0, sample_idx)")), "completions")
+    base = scratch_path(spark, "unique")
+    for part in (r.where("sample_idx % 2 = 0"), r.where("sample_idx % 2 = 1")):
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(r.schema).parquet(f"{base}/in")
+        S.unique_to(stream, f"{base}/out", f"{base}/state", order=("ts", "response")).awaitTermination()
+    out = spark.read.schema(r.schema).parquet(f"{base}/out")
+    return out.groupBy("prompt").agg(F.min("sample_idx").alias("sample_idx"), F.count(F.lit(1)).alias("times"))

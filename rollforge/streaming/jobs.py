@@ -1,19 +1,22 @@
 """Structured Streaming twins of the batch jobs.
 
-Jobs are ``DataFrame -> DataFrame`` on a streaming input and use built-in state
-only. On the same closed input each equals its batch twin.
+Jobs are ``DataFrame -> DataFrame`` on a streaming input and use built-in state;
+groups that complete or expire are in ``groups``. On the same closed input each
+equals its batch twin.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollforge.operators import rewards as R
-from rollforge.plans.storage import scratch_path
+from rollforge.plans.skew import fits_broadcast
+from rollforge.plans.storage import materialize, scratch_path
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,27 +44,6 @@ def metric_windows(
     ).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "name", "avg", "min", "max", "n")
 
 
-def group_stats(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mean and deviation of a group once all its ``n`` samples have arrived,
-    whenever they do and whether or not each has a reward; update mode.
-
-    The state has one small row per group, kept for the life of the query: a
-    group is complete by its count, not by the clock. A query per run bounds it.
-    """
-    return _grouped(scored, keys).where(F.col("seen") == F.col("expected"))
-
-
-def incomplete_groups(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Update-mode side result: groups that still lack samples."""
-    return _grouped(scored, keys).where(F.col("seen") < F.col("expected"))
-
-
-def _grouped(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return scored.groupBy(*keys).agg(
-        F.avg("reward").alias("mean"), F.stddev_samp("reward").alias("std"), F.count(F.lit(1)).alias("seen"),
-        F.max("n").alias("expected"))
-
-
 def running_moments(rewards: DataFrame, key: str, value: str) -> DataFrame:
     """Running count, sum and sum of squares, and the mean; update mode."""
     v = F.col(value)
@@ -73,11 +55,6 @@ def tokens_seen(tokens: DataFrame, key: str, n: str) -> DataFrame:
     return tokens.groupBy(key).agg(F.sum(n).alias("tokens_seen"))
 
 
-def unique_prompts(completions: DataFrame, late: str = "1 hour") -> DataFrame:
-    """One completion per prompt within the watermark delay."""
-    return completions.withWatermark("ts", late).dropDuplicatesWithinWatermark(["prompt"])
-
-
 # ------------------------------------------------------------------ running
 
 def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
@@ -102,6 +79,43 @@ def update_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def unique_to(stream: DataFrame, path: str, checkpoint: str, key: str = "prompt", order: Sequence[str] = ("ts",)) -> StreamingQuery:
+    """The first row of every ``key`` ever seen, appended to ``path``.
+
+    The stream holds no state: the folder of earlier results is the memory. A
+    micro-batch keeps its first row of each key (by ``order``, then all
+    columns), and of these the ones whose key no earlier batch wrote. If the
+    keys of the batch fit a broadcast they are sent to the scan of the earlier
+    ones, so that only matches move; else both sides are shuffled. A batch owns
+    one folder and reads those before it, so a repeated batch replaces itself.
+    A null key is a key.
+    """
+    spark = stream.sparkSession
+    columns = stream.columns
+    digest = F.unhex(F.sha2(F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("")), 256)).alias("__digest")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first = batch.select(digest, F.struct(*order, *[c for c in columns if c not in order]).alias("row"))
+        first = materialize(first.groupBy("__digest").agg(F.min("row").alias("row")), "first_rows")
+        try:
+            earlier = spark.read.parquet(path).where(F.col("batch_id") < batch_id).select("__digest")
+        except AnalysisException:  # nothing was written yet
+            earlier = None
+        if earlier is not None:
+            keys = first.select("__digest")
+            if fits_broadcast(keys):
+                earlier = earlier.join(F.broadcast(keys), "__digest", "left_semi")
+            first = first.join(earlier, "__digest", "left_anti")
+        first.select("__digest", *[F.col(f"row.{c}").alias(c) for c in columns]).write.mode("overwrite").parquet(
+            f"{path}/batch_id={batch_id}"
+        )
+
+    return (
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+
+
 def dropped_rows(query: StreamingQuery) -> int:
     """Rows that came after the watermark, over all micro-batches."""
     return sum(

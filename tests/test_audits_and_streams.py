@@ -12,6 +12,7 @@ from rollforge.operators import prefs as D
 from rollforge.operators import rewards as R
 from rollforge.operators import runs as U
 from rollforge.streaming import jobs as S
+from rollforge.streaming.groups import group_results, timers_allowed
 
 
 def test_stable_functions_at_extremes(spark):
@@ -167,33 +168,42 @@ def test_stream_windows_over_several_batches_equal_batch(spark, tmp_path):
     assert got == sorted((str(r["w"]["start"]), r["name"], r["a"], r["n"]) for r in batch.collect())
 
 
-def test_stream_groups_complete_incomplete_and_late(spark, tmp_path):
-    src = tmp_path / "src"
-    schema = "run_id string, prompt_id int, ts timestamp, reward double, n int"
+def put(spark, folder, rows, schema):
+    spark.createDataFrame(rows, schema).withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(str(folder))
 
-    def put(i, rows):
-        spark.createDataFrame(rows, "run_id string, prompt_id int, ts string, reward double, n int").withColumn(
-            "ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(str(src))
-
-    def drain(job, name):
-        stream = spark.readStream.schema(schema).parquet(str(src))
-        q = S.update_to(job(stream), str(tmp_path / name), str(tmp_path / f"{name}_state"))
-        q.awaitTermination()
-        return q
-
-    complete = lambda s: S.group_stats(s, ["run_id", "prompt_id"])
-    put(0, [("r", 1, "2024-01-01 00:00:00", 1.0, 2), ("r", 2, "2024-01-01 00:00:00", 1.0, 3)])
-    drain(complete, "out")
-    put(1, [("r", 1, "2024-01-01 00:10:00", 3.0, 2), ("r", 9, "2024-01-05 00:00:00", 0.0, 1)])
-    drain(complete, "out")
-    put(2, [("r", 2, "2024-01-01 00:20:00", 1.0, 3)])
-    put(3, [("r", 2, "2024-01-03 00:20:00", None, 3)])
-    drain(complete, "out")
-    drain(lambda s: S.incomplete_groups(s, ["run_id", "prompt_id"]), "open")
-    got = {r["prompt_id"]: (r["mean"], r["seen"]) for r in S.latest(
-        spark.read.parquet(str(tmp_path / "out")), ["run_id", "prompt_id"]).collect()}
-    # days apart and with a missing reward: complete by the count of samples
-    assert got == {1: (2.0, 2), 9: (0.0, 1), 2: (1.0, 3)}
+
+def test_stream_groups_complete_expire_and_late(spark, tmp_path):
+    schema = "run_id string, prompt_id int, ts timestamp, reward double, n int"
+    held = []
+
+    def drain(rows):
+        put(spark, tmp_path / "src", rows, schema.replace("timestamp", "string"))
+        with timers_allowed(spark):
+            stream = group_results(spark.readStream.schema(schema).parquet(str(tmp_path / "src")), ["run_id", "prompt_id"])
+            query = S.update_to(stream, str(tmp_path / "out"), str(tmp_path / "state"))
+            query.awaitTermination()
+        held.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+
+    def results():
+        return sorted((r["kind"], r["prompt_id"], r["seen"], r["expected"], r["mean"], r["std"])
+                      for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    drain([("r", 1, "2024-01-01 00:00:00", 1.0, 2), ("r", 2, "2024-01-01 00:00:00", 1.0, 3), ("r", 3, "2024-01-01 00:00:00", None, 1)])
+    assert results() == [("complete", 3, 1, 1, None, None)]
+    drain([("r", 1, "2024-01-01 00:10:00", 3.0, 2), ("r", 2, "2024-01-01 00:20:00", None, 3)])
+    done = ("complete", 1, 2, 2, 2.0, pytest.approx(2 ** 0.5))
+    assert results() == [done, ("complete", 3, 1, 1, None, None)]
+    # within the day that groups wait: nothing leaves; a sample behind the watermark is late
+    drain([("r", 9, "2024-01-01 12:00:00", 0.0, 1)])
+    drain([("r", 2, "2024-01-01 00:30:00", 5.0, 3), ("r", 2, "2024-01-01 00:40:00", 5.0, 3)])
+    assert ("late", 2, 2, None, None, None) in results() and not [r for r in results() if r[0] == "expired"]
+    # the clock passes the timer: the group leaves once, with what it had
+    drain([("r", 8, "2024-01-05 00:00:00", 2.0, 2)])
+    drain([("r", 8, "2024-01-05 00:00:01", 4.0, 2)])
+    assert [r for r in results() if r[0] == "expired"] == [("expired", 2, 2, 3, 1.0, None)]
+    assert sum(r[0] == "complete" for r in results()) == 4 and len(results()) == 6
+    # state: groups 1 and 2, then 2 alone, then the open one, then none
+    assert held[0] > held[1] >= held[2] > 0 and held[-1] == 0
 
 
 def test_stream_score_equals_batch(spark, tmp_path):
@@ -206,13 +216,27 @@ def test_stream_score_equals_batch(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_stream_unique_prompts(spark, tmp_path):
-    df = spark.range(12).select(F.concat(F.lit("p"), F.col("id") % 4).alias("prompt"),
-                                F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id)").alias("ts"))
-    df.coalesce(1).write.parquet(str(tmp_path / "src"))
-    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "src"))
-    out = S.run_append(S.unique_prompts(stream), "u")
-    assert sorted(r["prompt"] for r in out.collect()) == ["p0", "p1", "p2", "p3"]
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_stream_unique_prompts(spark, tmp_path, monkeypatch, broadcast):
+    from rollforge.plans import skew
+
+    if not broadcast:
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    schema = "prompt string, ts timestamp, v int"
+
+    def drain(rows):
+        put(spark, tmp_path / "src", rows, schema.replace("timestamp", "string"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "src"))
+        query = S.unique_to(stream, str(tmp_path / "out"), str(tmp_path / "state"))
+        query.awaitTermination()
+        assert not query.recentProgress[-1]["stateOperators"]
+
+    drain([("a", "2024-01-02 00:00:00", 2), ("a", "2024-01-01 00:00:00", 1), ("b", "2024-01-01 00:00:00", 3), (None, "2024-01-01 00:00:00", 4)])
+    # years apart and out of order
+    drain([("a", "2034-01-01 00:00:00", 5), ("c", "2034-01-01 00:00:00", 6), ("", "2034-01-01 00:00:00", 7)])
+    drain([("b", "2004-01-01 00:00:00", 8), (None, "2044-01-01 00:00:00", 9), ("", "2044-01-01 00:00:00", 9), ("c", "2044-01-01 00:00:00", 9)])
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["v"], r["prompt"]) for r in got) == [(1, "a"), (3, "b"), (4, None), (6, "c"), (7, "")]
 
 
 def test_objectives_on_raw_ratios(spark):
