@@ -394,11 +394,9 @@ def _(spark, sf):
 
 @query("pack_sequences_bfd")
 def _(spark, sf):
-    docs = T.read(spark, sf, "documents")
     ids = P.prep_texts(T.documents(spark, sf), "text", None)
-    packed = P.pack_best_fit(ids, "doc_id", "input_ids", 512, P.shard_count(docs, 400))
-    return packed.select("shard", "block", F.md5(K.as_text(F.col("input_ids"))).alias("ids"),
-                         F.size("input_ids").cast("bigint").alias("n"))
+    packed = P.pack_best_fit(ids, "doc_id", "input_ids", 512)
+    return packed.select("block", F.md5(K.as_text(F.col("input_ids"))).alias("ids"), F.size("input_ids").cast("bigint").alias("n"))
 
 
 # ----------------------------------------------------------------- previews

@@ -3,40 +3,117 @@ arrays; truncation and padding stay inside the row."""
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollforge.functions import tokens as K
+from rollforge.plans.packing import best_fit_plan
 from rollforge.plans.skew import attach_stats, hash_position
 from rollforge.plans.storage import materialize
 from rollforge.schemas import BOS_ID, EOS_ID, IGNORED_LABEL, PAD_ID, one_of, require
 
 Tokenizer = Callable[[Column], Column]
+# Tokens sent to every task that encodes texts.
+HEAD_TOKENS = 500_000
 
 
 # ------------------------------------------------------------ vocabulary ids
 
 def build_vocab(df: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
     """token, n, token_id: dense ids in seeded hash order after the special ids."""
-    words = df.select(F.explode(K.words(F.col(text))).alias("token"))
-    counts = materialize(words.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "vocab")
+    counts = materialize(count_words(df, text).groupBy("token").agg(F.sum("n").alias("n")), "vocab")
     placed = hash_position(counts, "token", seed)
     return placed.select("token", "n", (F.col("position") + K.FIRST_FREE_ID).alias("token_id"))
 
 
-def encode(df: DataFrame, vocab: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """Token-id array per row. Frequent tokens are hot join keys; attach_stats
-    keeps them from meeting in one task. Regrouping restores single rows; a
-    text without words gets an empty array."""
-    words = df.select(key, F.posexplode_outer(K.words(F.col(text))).alias("pos", "token"))
-    found = attach_stats(words, vocab, ["token"])
-    coded = F.when(F.col("token").isNotNull(), F.struct("pos", "token_id"))
-    ids = found.groupBy(key).agg(F.sort_array(F.collect_list(coded)).alias("t"))
-    return ids.select(key, F.col("t.token_id").alias("input_ids"))
+def _words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts of a batch, and where each text's words begin (one more than texts)."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(column.cast(pa.large_string()), ""))
+    words, starts = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    some = pc.greater(pc.binary_length(words), 0)
+    before = np.zeros(len(words) + 1, dtype=np.int64)
+    np.cumsum(some.to_numpy(zero_copy_only=False), out=before[1:])
+    return words.filter(some), before[starts]
+
+
+def count_words(df: DataFrame, text: str) -> DataFrame:
+    """token, n: each batch's different words with their counts (partial sums)."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pc.value_counts(_words_of(batch.column(0))[0])
+            yield pa.RecordBatch.from_arrays(
+                [found.field("values").cast(pa.string()), found.field("counts")], names=["token", "n"]
+            )
+
+    return df.select(text).mapInArrow(scan, "token string, n long")
+
+
+def encode(df: DataFrame, vocab: DataFrame, key: str, text: str = "text", head_tokens: int = HEAD_TOKENS) -> DataFrame:
+    """Token-id array per row: key, input_ids; a text without words gets an
+    empty array, a word that ``vocab`` lacks a null.
+
+    The ``head_tokens`` most frequent tokens are looked up where the text is
+    read. Only words beyond them, rare ones by definition, are joined to the
+    vocabulary by shuffle and put back in their places.
+    """
+    vocab = vocab.select("token", "n", "token_id")
+    total = vocab.count()
+    head = vocab if total <= head_tokens else vocab.orderBy(F.desc("n"), "token").limit(head_tokens)
+    rows = head.select("token", "token_id").toArrow()
+    tokens = rows.column("token").combine_chunks().cast(pa.large_string())
+    codes = rows.column("token_id").combine_chunks()
+    key_type = df.schema[key].dataType
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, starts = _words_of(batch.column(1))
+            coded = words.dictionary_encode()
+            known = pc.index_in(coded.dictionary, value_set=tokens)
+            found = codes.take(known).take(coded.indices)
+            missing = np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False)) if found.null_count else np.zeros(0, int)
+            offsets = pa.array(starts.astype(np.int32))
+            row = np.searchsorted(starts, missing, side="right") - 1
+            # rare words by row: places and texts
+            firsts = np.searchsorted(row, np.arange(len(starts))).astype(np.int32)
+            rare = pa.StructArray.from_arrays(
+                [pa.array((missing - starts[row]).astype(np.int32)), words.take(pa.array(missing)).cast(pa.string())], ["pos", "token"]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(offsets, found), pa.ListArray.from_arrays(pa.array(firsts), rare)],
+                names=["key", "ids", "rare"],
+            )
+
+    schema = T.StructType([
+        T.StructField("key", key_type), T.StructField("ids", T.ArrayType(T.LongType())),
+        T.StructField("rare", T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("token", T.StringType())]))),
+    ])
+    coded = df.select(F.col(key).alias("key"), F.col(text)).mapInArrow(look_up, schema)
+    if total <= head_tokens:
+        return coded.select(F.col("key").alias(key), F.col("ids").alias("input_ids"))
+
+    coded = materialize(coded.withColumn("row", F.monotonically_increasing_id()), "head_coded")
+    asked = coded.where(F.size("rare") > 0).select("row", F.explode("rare").alias("r")).select("row", "r.pos", "r.token")
+    found = asked.join(vocab.select("token", "token_id"), "token")
+    rare = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("pos", "token_id"))).alias("found"))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for ids, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                for place in places or ():
+                    ids[place["pos"]] = place["token_id"]
+                out.append(ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["key", "ids"])
+
+    joined = coded.join(rare, "row", "left").select("key", "ids", "found")
+    return joined.mapInArrow(fill, T.StructType(schema.fields[:2])).select(F.col("key").alias(key), F.col("ids").alias("input_ids"))
 
 
 # ------------------------------------------------------------------- pairs
@@ -225,36 +302,38 @@ def pack_wrapped(df: DataFrame, key: str, ids: str, block: int, shards: int) ->
     )
 
 
-def pack_best_fit(df: DataFrame, key: str, ids: str, block: int, shards: int) -> DataFrame:
-    """Best-fit decreasing packing within shards; sequences stay in one piece
-    unless longer than a block. Only keys and lengths go through Python."""
-    pieces = df.select(key, F.explode(F.sequence(F.lit(0), F.greatest(F.size(ids) - 1, F.lit(0)), F.lit(block))).alias("low"), F.col(ids).alias("__ids"))
-    pieces = pieces.select(key, "low", F.slice("__ids", F.col("low") + 1, F.lit(block)).alias("piece")).where(F.size("piece") > 0)
-    pieces = materialize(pieces, "pieces")
-    sizes = pieces.select(shard_of(F.col(key), shards).alias("shard"), key, "low", F.size("piece").alias("n"))
-
-    def place(part: pd.DataFrame) -> pd.DataFrame:
-        """Longest first, each into the fullest block that still has room."""
-        part = part.sort_values(["n", key, "low"], ascending=[False, True, True], kind="stable")
-        spaces: list[tuple[int, int]] = []
-        blocks, offsets = [], []
-        used = 0
-        for n in part["n"].tolist():
-            i = bisect_left(spaces, (n, -1))
-            if i < len(spaces):
-                space, b = spaces.pop(i)
-            else:
-                space, b, used = block, used, used + 1
-            blocks.append(b)
-            offsets.append(block - space)
-            if space > n:
-                insort(spaces, (space - n, b))
-        return part.assign(block=blocks, offset=offsets)
-
-    key_type = df.schema[key].dataType.simpleString()
-    placed = sizes.groupBy("shard").applyInPandas(
-        place, f"shard bigint, {key} {key_type}, low int, n int, block bigint, offset int")
-    return placed.join(pieces, [key, "low"]).groupBy("shard", "block").agg(
+PLAN = "n int, placements array<struct<first_rank:bigint,count:bigint,per_block:bigint,first_block:bigint,used:int>>"
+
+
+def pack_best_fit(df: DataFrame, key: str, ids: str, block: int, seed: int = 7) -> DataFrame:
+    """Best-fit-decreasing packing of all sequences: block, input_ids.
+
+    Sequences stay in one piece unless longer than a block; empty ones are in no
+    block. The plan is made from the histogram of lengths (at most ``block``
+    counts); sequences of one length are dealt out by their rank in seeded hash
+    order of ``key:first token``, so the result does not depend on partitions.
+    Repeated keys must not have pieces at the same place.
+    """
+    pieces = df.select(
+        F.col(key).cast("string").alias("__key"), F.col(ids).alias("__ids"),
+        F.explode(F.sequence(F.lit(0), F.greatest(F.size(ids) - 1, F.lit(0)), F.lit(block))).alias("low"),
+    )
+    pieces = pieces.select(
+        F.concat_ws(":", "__key", "low").alias("__piece"), F.slice("__ids", F.col("low") + 1, F.lit(block)).alias("piece")
+    ).withColumn("n", F.size("piece")).where("n > 0")
+    ranked = materialize(hash_position(pieces, "__piece", seed, groups=["n"], name="rank"), "ranked_pieces")
+    histogram = [tuple(r) for r in ranked.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()]
+    by_length: dict[int, list[tuple[int, ...]]] = {}
+    for placed in best_fit_plan(histogram, block):
+        by_length.setdefault(placed.length, []).append(placed[1:])
+    plan = df.sparkSession.createDataFrame(list(by_length.items()), PLAN)
+    own = F.filter("placements", lambda p: (F.col("rank") >= p["first_rank"]) & (F.col("rank") < p["first_rank"] + p["count"]))
+    found = ranked.join(F.broadcast(plan), "n").withColumn("p", F.element_at(own, 1)).withColumn("j", F.col("rank") - F.col("p.first_rank"))
+    spots = found.select(
+        (F.col("p.first_block") + F.expr("j div p.per_block")).alias("block"),
+        (F.col("p.used") + F.expr("j % p.per_block") * F.col("n")).alias("offset"), "piece",
+    )
+    return spots.groupBy("block").agg(  # at most ``block`` tokens
         F.flatten(F.sort_array(F.collect_list(F.struct("offset", "piece")))["piece"]).alias("input_ids"))
 
 

@@ -1,13 +1,18 @@
 from __future__ import annotations
 
+import bisect
+import re
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollforge.functions import tokens as K
 from rollforge.operators import prep as P
 from rollforge.operators import reports as V
+from rollforge.plans.packing import best_fit_plan
 from rollforge.schemas import RECORD
 from rollforge.sources import records
 
@@ -109,7 +114,7 @@ def sequences(spark):
 def test_packing_keeps_every_token(spark):
     seqs = sequences(spark)
     want = Counter(t for r in seqs.collect() for t in r["ids"])
-    for packed in (P.pack_wrapped(seqs, "key", "ids", 32, 3), P.pack_best_fit(seqs, "key", "ids", 32, 3)):
+    for packed in (P.pack_wrapped(seqs, "key", "ids", 32, 3), P.pack_best_fit(seqs, "key", "ids", 32)):
         blocks = [r["input_ids"] for r in packed.collect()]
         assert max(map(len, blocks)) <= 32
         assert Counter(t for b in blocks for t in b) == want
@@ -124,13 +129,68 @@ def test_wrapped_blocks_are_full_but_the_last(spark):
 
 def test_best_fit_keeps_short_sequences_whole(spark):
     seqs = sequences(spark).where(F.size("ids") <= 32)
-    blocks = [r["input_ids"] for r in P.pack_best_fit(seqs, "key", "ids", 32, 2).collect()]
+    blocks = [r["input_ids"] for r in P.pack_best_fit(seqs, "key", "ids", 32).collect()]
     for r in seqs.collect():
         assert sum(any(b[i:i + len(r["ids"])] == r["ids"] for i in range(len(b))) for b in blocks) == 1
     total = sum(len(b) for b in blocks)
     assert len(blocks) <= 2 * (total // 32 + 2)
 
 
+def best_fit_one_by_one(lengths, block):
+    """Blocks of best-fit decreasing, sequence by sequence."""
+    spaces, used = [], 0
+    for n in sorted(lengths, reverse=True):
+        i = bisect.bisect_left(spaces, (n, -1))
+        if i < len(spaces):
+            space, b = spaces.pop(i)
+        else:
+            space, b, used = block, used, used + 1
+        if space > n:
+            bisect.insort(spaces, (space - n, b))
+    return used, sorted(s for s, _ in spaces)
+
+
+@given(st.lists(st.integers(1, 40), max_size=300), st.sampled_from([40, 64, 100]))
+@settings(max_examples=60, deadline=None)
+def test_plan_from_counts_is_best_fit(lengths, block):
+    fill, seen = Counter(), Counter()
+    for p in best_fit_plan(Counter(lengths).items(), block):
+        assert seen[p.length] == p.first_rank
+        seen[p.length] += p.count
+        for j in range(p.count):
+            b = p.first_block + j // p.per_block
+            assert fill[b] == p.used + j % p.per_block * p.length
+            fill[b] += p.length
+    assert seen == Counter(lengths)
+    assert (len(fill), sorted(block - n for n in fill.values() if n < block)) == best_fit_one_by_one(lengths, block)
+
+
+def test_plan_is_small_for_any_number_of_sequences():
+    plan = best_fit_plan([(n, 10**12 + n * 12_345_677) for n in range(1, 513)], 512)
+    assert len(plan) < 5_000 and sum(p.count for p in plan) == sum(10**12 + n * 12_345_677 for n in range(1, 513))
+
+
+def test_best_fit_over_the_table_equals_the_twin(spark):
+    seqs = sequences(spark)
+    rows = P.pack_best_fit(seqs.repartition(7), "key", "ids", 32).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, P.pack_best_fit(seqs.coalesce(1), "key", "ids", 32).collect()))
+    lengths = [min(32, n - low) for r in seqs.collect() for n in [len(r["ids"])] for low in range(0, n, 32)]
+    used, spaces = best_fit_one_by_one(lengths, 32)
+    assert sorted(r["block"] for r in rows) == list(range(used))
+    assert sorted(32 - len(r["input_ids"]) for r in rows if len(r["input_ids"]) < 32) == spaces
+    assert P.pack_best_fit(seqs.where("false"), "key", "ids", 32).count() == 0
+
+
+@pytest.mark.parametrize("head", [0, 3, 1000])
+def test_encoding_with_any_head(spark, head):
+    rows = [(1, "a b a c"), (2, None), (3, ""), (4, " \t\n"), (5, "c  rare\u00a0word a\x0bb "), (1, "b b"), (None, "d a")]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(3)
+    vocab = P.build_vocab(df)
+    table = {r["token_id"]: r["token"] for r in vocab.collect()}
+    got = sorted((repr(r["id"]), [table[t] for t in r["input_ids"]]) for r in P.encode(df, vocab, "id", head_tokens=head).collect())
+    assert got == sorted((repr(i), re.findall(r"[^ \t\n\x0b\f\r]+", t or "")) for i, t in rows)
+
+
 def test_vocabulary_roundtrip_with_frequent_token(spark, monkeypatch):
     df = spark.range(50).select("id", F.concat_ws(" ", F.lit("the"), F.concat(F.lit("w"), F.col("id") % 7), F.lit("the")).alias("text"))
     vocab = P.build_vocab(df)
