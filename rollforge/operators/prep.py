@@ -29,7 +29,7 @@ def build_vocab(df: DataFrame, text: str = "text", seed: int = 7) -> DataFrame:
     """token, n, token_id: dense ids in seeded hash order after the special ids."""
     counts = materialize(count_words(df, text).groupBy("token").agg(F.sum("n").alias("n")), "vocab")
     placed = hash_position(counts, "token", seed)
-    return placed.select("token", "n", (F.col("position") + K.FIRST_FREE_ID).alias("token_id"))
+    return materialize(placed.select("token", "n", (F.col("position") + K.FIRST_FREE_ID).alias("token_id")), "vocab_ids")
 
 
 def _words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
