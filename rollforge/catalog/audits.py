@@ -682,7 +682,8 @@ SELECT run_id, event_id, 'twice', {q('value * 2', 'value')} FROM metrics""")
 def _(spark, sf):
     wide = T.metrics(spark, sf).select("run_id", "event_id", "value", (F.col("value") * 2).alias("twice"))
     path = scratch_path(spark, "metrics")
-    U.append_metrics(U.long_metrics(wide, ["run_id", "event_id"], ["value", "twice"]), path)
+    for flush, names in enumerate([["value"], ["twice"], ["value"]]):  # the last repeats the first
+        U.append_metrics(U.long_metrics(wide, ["run_id", "event_id"], names), path, flush % 2)
     return spark.read.parquet(path).select(F.col("run_id").cast("bigint").alias("run_id"), "event_id", "name", rounded("value"))
 
 

@@ -25,9 +25,15 @@ def flatten_metrics(df: DataFrame, keys: Sequence[str], nested: str) -> DataFram
         *keys, F.concat_ws("/", "__group", "__name").alias("name"), "value")
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append rows to the metric table, partitioned by run."""
-    metrics.write.mode("append").partitionBy("run_id").parquet(path)
+def append_metrics(metrics: DataFrame, path: str, flush: int = 0) -> None:
+    """Add a flush of rows to the metric table, partitioned by run and flush.
+
+    A flush that is appended again (after a lost run) replaces its rows of the
+    runs it has; other flushes and runs stay as they are.
+    """
+    # few files a run, but more than one task for a run that holds most rows
+    rows = metrics.withColumn("flush", F.lit(flush)).hint("rebalance", "run_id")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "flush").parquet(path)
 
 
 def tokens_seen(tokens: DataFrame, keys: Sequence[str], step: str, n: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import bisect
+import json
 import re
 from collections import Counter
 
@@ -228,3 +229,70 @@ def test_preview_cuts_and_formats(spark):
     assert [r["sample"] for r in out] == ["Sample 1", "Sample 2", "Sample 3"]
     assert out[1]["prompt"] == "p" * 100 and out[2]["prompt"] == "p" * 100 + "..." and out[0]["response"].endswith("...")
     assert out[1]["reward"] == "0.3333"
+
+
+TORN = [
+    {"prompt": 'a } b { " c', "answer": "x\\", "instruction": "}{", "input": "é   \n"},
+    {"prompt": '{"no": "record"}', "answer": "],[{", "instruction": '\\"}', "input": ""},
+    {},
+    {"prompt": "", "more": {"deep": [{"a": "}"}, {}]}, "answer": "1"},
+    {"prompt": "p" * 300, "answer": "}" * 40, "instruction": '"' * 40, "input": "\\" * 41},
+]
+
+
+@pytest.mark.parametrize("size", [61, 128, 1 << 20])
+def test_one_array_file_is_read_by_many_tasks(spark, tmp_path, size):
+    rows = [{**TORN[i % len(TORN)], "instruction": f"{i}"} for i in range(60)]
+    (tmp_path / "a.json").write_text(json.dumps(rows, ensure_ascii=False, indent=1), encoding="utf-8")
+    (tmp_path / "b.json").write_text(json.dumps(rows[:3]), encoding="utf-8")
+    (tmp_path / "c.json").write_text("[ ]\n")
+    (tmp_path / "d.json").write_text("")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, str(size))
+        df = records.scan(spark, str(tmp_path), RECORD)
+        found = df.orderBy("file", "ord").collect()
+        tasks = spark.read.option("lineSep", "}").text(str(tmp_path / "a.json")).rdd.getNumPartitions()
+    finally:
+        for n, v in zip(names, before, strict=True):
+            spark.conf.set(n, v)
+    assert tasks == 1 or size < 200 and tasks > 50
+    want = [[r.get(c, "") for c in RECORD.fieldNames()] for r in rows]
+    assert [list(r[2:]) for r in found if r["file"].endswith("a.json")] == want
+    assert [list(r[2:]) for r in found if r["file"].endswith("b.json")] == want[:3]
+    assert len(found) == 63
+
+
+def test_splits_beyond_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "fits_broadcast", lambda df: False)
+    (tmp_path / "a.json").write_text(json.dumps(TORN))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "70")
+    try:
+        found = records.scan(spark, str(tmp_path / "a.json"), RECORD).orderBy("ord").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [list(r[2:]) for r in found] == [[r.get(c, "") for c in RECORD.fieldNames()] for r in TORN]
+
+
+def test_arrays_are_valid_json_in_key_order(spark, tmp_path):
+    df = spark.range(25).select("id", F.concat(F.lit("p}"), "id").alias("prompt")).repartition(5)
+    records.write_arrays(df, str(tmp_path / "out"), "id", 10, ["prompt"])
+    files = sorted((tmp_path / "out").glob("block=*/*.txt"))
+    assert [[r["prompt"] for r in json.loads(f.read_text())] for f in files] == [
+        [f"p}}{i}" for i in range(a, min(25, a + 10))] for a in (0, 10, 20)
+    ]
+
+
+def test_a_repeated_flush_replaces_itself(spark, tmp_path):
+    from rollforge.operators import runs
+
+    path = str(tmp_path / "metrics")
+    first = spark.createDataFrame([("a", "loss", 1.0), ("b", "loss", 2.0)], "run_id string, name string, value double")
+    runs.append_metrics(first, path, 0)
+    runs.append_metrics(first, path, 1)
+    runs.append_metrics(first.where("run_id = 'a'").withColumn("value", F.lit(5.0)), path, 1)
+    got = sorted((r["run_id"], r["flush"], r["value"]) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 0, 1.0), ("a", 1, 5.0), ("b", 0, 2.0), ("b", 1, 2.0)]
