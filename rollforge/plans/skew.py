@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,33 +189,73 @@ def range_running(
     )
 
 
+@F.arrow_udf(T.LongType())
+def ordered_bits(values: pa.Array) -> pa.Array:
+    """Whole numbers that are ordered as the doubles are: NaN last, both zeros equal."""
+    x = values.to_numpy(zero_copy_only=False) + 0.0
+    x = np.where(np.isnan(x), np.nan, x)
+    bits = x.view(np.int64)
+    return pa.array(np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits))
+
+
+RADIX_BITS = 16
+# So many rows of a group that share their leading bits are told apart in one round.
+LAST_ROUND = 1_000_000
+
+
 def exact_quantile(
     df: DataFrame, groups: Sequence[str], value: str, q: float, name: str = "threshold"
 ) -> DataFrame:
-    """Exact linearly interpolated quantile per group, without holding a group.
-
-    Equal values are counted first; the running count then shows which value
-    covers each of the two ranks next to ``q * (n - 1)``.
+    """Exact linearly interpolated quantile per group (columns ``groups``, n,
+    ``name``), by radix selection.
+
+    Each of four rounds counts the next 16 bits of the values that still can be
+    one of the two order statistics next to ``q * (n - 1)``: at most 2**16
+    partial counts a group, whatever its size, and nothing is sorted. A null
+    group is a group; null values are left out. The last round comes earlier if
+    no more than ``LAST_ROUND`` rows are left of each group.
     """
     groups = list(groups)
     if not groups:
         raise ValueError("exact_quantile needs at least one group column")
-    values = df.where(F.col(value).isNotNull())
-    counts = values.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__n"))
-    runs = range_running(counts, groups, [value], weight="__n", name="__before")
-    totals = runs.groupBy(*groups).agg(F.sum("__n").alias("__total"))
-    ranked = runs.join(totals, groups)
-    rank = F.lit(float(q)) * (F.col("__total") - 1)
-    low, high = F.floor(rank), F.ceil(rank)
-    end = F.col("__before") + F.col("__n")
-
-    def value_at(r: Column) -> Column:
-        return F.max(F.when((F.col("__before") <= r) & (r < end), F.col(value)))
-
-    found = ranked.groupBy(*groups).agg(
-        value_at(low).alias("__low"), value_at(high).alias("__high"), F.max(rank - low).alias("__frac"),
-        F.max("__total").alias("n"),
-    )
-    return found.select(
-        *groups, "n", (F.col("__low") + (F.col("__high") - F.col("__low")) * F.col("__frac")).alias(name)
-    )
+    values = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("__value"))
+    values = materialize(values.withColumn("__bits", ordered_bits("__value")), "ordered_bits")
+
+    def place(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The digit that holds the rank, and the rank inside it."""
+        before = Window.partitionBy(*keys).orderBy("__digit").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        inside = (F.col("__before") <= F.col("__rank")) & (F.col("__rank") < F.col("__before") + F.col("__n"))
+        return placed.where(inside).withColumn("__rank", F.col("__rank") - F.col("__before")).withColumnRenamed(
+            "__n", "__left"
+        ).drop("__before")
+
+    first = 64 - RADIX_BITS
+    counts = values.groupBy(*groups, F.shiftright("__bits", first).alias("__digit")).agg(F.count(F.lit(1)).alias("__n"))
+    total = Window.partitionBy(*groups)
+    rank = F.lit(float(q)) * (F.col("n") - 1)
+    counts = materialize(counts, "digit_counts").withColumn("n", F.sum("__n").over(total)).withColumn(
+        "__which", F.explode(F.array(F.lit(0), F.lit(1)))
+    ).withColumn("__rank", F.when(F.col("__which") == 0, F.floor(rank)).otherwise(F.ceil(rank)).cast("bigint"))
+    wanted = place(counts, [*groups, "__which"])
+    known = first
+    while known:
+        wanted = materialize(wanted, "ranks")
+        n_ranks, most = wanted.agg(F.count(F.lit(1)), F.max("__left")).first()
+        shift = 0 if (most or 0) <= LAST_ROUND else known - RADIX_BITS
+        named = wanted.select(*[F.col(g).alias(f"__of_{g}") for g in groups], "n", "__which", "__rank", F.col("__digit").alias("__prefix"))
+        if n_ranks <= BROADCAST_ROWS:  # a few numbers a row
+            named = F.broadcast(named)
+        same = _same(values, named, [(g, f"__of_{g}") for g in groups])
+        left = values.join(named, same & (F.shiftright(values["__bits"], known) == named["__prefix"]))
+        wanted = place(
+            left.groupBy(*groups, "n", "__which", "__rank", F.shiftright("__bits", shift).alias("__digit")).agg(
+                F.count(F.lit(1)).alias("__n"), F.min("__value").alias("__value")
+            ), [*groups, "__which"],
+        )
+        known = shift
+    low, high = (F.max(F.when(F.col("__which") == i, F.col("__value"))) for i in (0, 1))
+    found = wanted.groupBy(*groups).agg(F.max("n").alias("n"), low.alias("__low"), high.alias("__high"))
+    part = F.lit(float(q)) * (F.col("n") - 1) - F.floor(F.lit(float(q)) * (F.col("n") - 1))
+    between = F.when(part == 0, F.col("__low")).otherwise(F.col("__low") + (F.col("__high") - F.col("__low")) * part)
+    return found.select(*groups, "n", between.alias(name))

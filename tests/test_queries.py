@@ -15,7 +15,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 # queries whose work needs Python on the executors
-PYTHON = {"gae", "pack_sequences_bfd"}
+PYTHON = {"gae", "top_entropy_mask", "audit_policy_ratio_entropy"}
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +115,38 @@ def test_filter_reaches_the_partition(spark, data):
 
 def test_record_schema_is_explicit():
     assert RECORD.fieldNames() == ["prompt", "answer", "instruction", "input"]
+
+
+def test_quantile_plan_has_no_sort_of_all_rows(spark):
+    from pyspark.sql import functions as F
+
+    from rollforge.plans import skew
+
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.rand(1).alias("v"))
+    plan = skew.exact_quantile(df, ["g"], "v", 0.3)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize(("rows", "last"), [(0, 50), (500_000, 0), (500_000, 1_000_000)])
+def test_quantile_equals_sorting(spark, monkeypatch, rows, last):
+    import random
+
+    from rollforge.plans import skew
+
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(skew, "LAST_ROUND", last)
+    random.seed(5)
+    groups = {
+        "a": [random.gauss(0, 1e3) for _ in range(501)], "b": [random.choice([1.5, -2.0, 0.0, -0.0]) for _ in range(400)],
+        "c": [7.25], None: [1e-300, -1e300, 3.0, float("inf")], "d": [i / 1e9 for i in range(300)],
+    }
+    data = [(g, v) for g, values in groups.items() for v in values] + [("c", None), ("e", None)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(6)
+    for q in (0.0, 0.37, 1.0):
+        got = {r["g"]: (r["n"], r["threshold"]) for r in skew.exact_quantile(df, ["g"], "v", q).collect()}
+        want = {}
+        for g, values in groups.items():
+            values, at = sorted(values), q * (len(values) - 1)
+            low, part = values[math.floor(at)], at - math.floor(at)
+            want[g] = (len(values), low + (values[math.ceil(at)] - low) * part if part else low)
+        assert got == {g: (n, pytest.approx(v)) for g, (n, v) in want.items()}
