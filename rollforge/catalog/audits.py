@@ -132,6 +132,17 @@ def _(spark, sf):
     return m.select("pair_id", rounded("loss"))
 
 
+@query("audit_preference_mix_aligned", uses=["pair_logps"], ctes=f"""{_RATIO},
+ra AS (SELECT step, row_number() OVER (PARTITION BY step ORDER BY c - r, pair_id) AS k, c - r AS x FROM pair_logps),
+rb AS (SELECT step, row_number() OVER (PARTITION BY step ORDER BY c0 - r0, pair_id) AS k, c0 - r0 AS y FROM pair_logps),
+k AS (SELECT pair_id, row_number() OVER (PARTITION BY step ORDER BY pair_id) AS k FROM pair_logps)""", sql=f"""
+SELECT pair_id, {q(f"({_loss_sql('hinge', 0.1, 0.0)}) * 0.6e0 - {sql_ls('(x - y) * 0.1e0')} * 0.4e0", 'loss')}
+FROM ratios JOIN k USING (pair_id) JOIN ra USING (step, k) JOIN rb USING (step, k)""")
+def _(spark, sf):
+    m = D.audit_mix(T.pair_logps(spark, sf), {"hinge": 0.6, "aot": 0.4}, D.Settings(0.1))
+    return m.select("pair_id", rounded("loss"))
+
+
 @query("implicit_rewards", uses=["pair_logps"], sql=f"""
 SELECT pair_id, {q('(c - c0) * 0.1e0', 'reward_chosen')}, {q('(r - r0) * 0.1e0', 'reward_rejected')} FROM pair_logps""")
 def _(spark, sf):

@@ -11,8 +11,9 @@ from rollforge.operators import groups as G
 from rollforge.operators import joins as J
 from rollforge.operators import rewards as R
 from rollforge.operators import runs as U
-from rollforge.plans.storage import materialize
+from rollforge.plans.storage import materialize, scratch_path
 from rollforge.sources import tables as T
+from rollforge.sources.colocated import ColocatedTable, attach_stored
 
 SPECS = list(R.STANDARD)
 _SUM = " + ".join(f"({SQL_REWARD[f]})" for f in ("correctness", "digit", "format_partial", "marks"))
@@ -222,8 +223,9 @@ def _(spark, sf):
 
 
 @query("baseline_vs_epoch", sql="""
-SELECT l.run_id, l.question_id, l.epoch, l.pass_1 - b.pass_1 AS delta_1, l.pass_10 - b.pass_10 AS delta_10
-FROM perq l JOIN perq b ON l.run_id = b.run_id AND l.question_id = b.question_id AND b.epoch = 0 WHERE l.epoch <> 0""", **_EVAL)
+SELECT run_id, question_id, epoch, pass_1 - base_1 AS delta_1, pass_10 - base_10 AS delta_10 FROM (
+ SELECT *, max(CASE WHEN epoch = 0 THEN pass_1 END) OVER w AS base_1, max(CASE WHEN epoch = 0 THEN pass_10 END) OVER w AS base_10
+ FROM perq WINDOW w AS (PARTITION BY run_id, question_id)) WHERE epoch <> 0 AND base_1 IS NOT NULL""", **_EVAL)
 def _(spark, sf):
     return E.baseline_vs_epoch(graded(spark, sf))
 
@@ -237,14 +239,26 @@ def _(spark, sf):
     return J.join_answers(r, T.prompts(spark, sf)).select("prompt_id", "sample_idx", "answer", "prompt")
 
 
-@query("join_answers_check", uses=["rollouts", "prompts"], ctes="known AS (SELECT prompt_id FROM prompts WHERE prompt_id % 10 <> 0)",
+@query("join_answers_check", uses=["rollouts"], ctes="known AS (SELECT DISTINCT l_orderkey AS prompt_id FROM lineitem)",
        sql="""SELECT count(*) AS rows, count(*) FILTER (WHERE k.prompt_id IS NULL) AS without_prompt
 FROM rollouts r LEFT JOIN known k ON r.prompt_id = k.prompt_id""")
 def _(spark, sf):
-    known = T.prompts(spark, sf).where(F.col("prompt_id") % 10 != 0)  # some prompts are missing
+    known = T.read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("prompt_id"))  # some orders have no line
     return J.unmatched(T.rollouts(spark, sf).select("prompt_id"), known, "prompt_id")
 
 
+@query("attach_stored_logps", uses=["pair_logps"], ctes="""
+stored AS (SELECT l_orderkey AS pair_id, count(*) AS n, -sum(l_tax * 10e0) - 1e-2 AS ref FROM lineitem GROUP BY l_orderkey)""", sql=f"""
+SELECT a.pair_id, b.pair_id IS NOT NULL AS stored, {q('a.c - b.ref', 'ratio')} FROM pair_logps a LEFT JOIN stored b ON a.pair_id = b.pair_id""")
+def _(spark, sf):
+    """Two tables written apart, the second without some keys, joined bucket by bucket."""
+    lines = T.read(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("pair_id")).agg(
+        (-F.sum(F.col("l_tax") * 10) - 0.01).alias("ref"))
+    rows = ColocatedTable(spark, scratch_path(spark, "rows"), ["pair_id"]).write(T.pair_logps(spark, sf).select("pair_id", "c"))
+    refs = ColocatedTable(spark, scratch_path(spark, "refs"), ["pair_id"]).write(lines)
+    return attach_stored(rows, refs).select("pair_id", "stored", rounded(F.col("c") - F.col("ref"), "ratio"))
+
+
 @query("attach_ref_logps", uses=["pair_logps"], sql=f"""
 SELECT a.pair_id, {q('a.c - b.c0', 'chosen_ratio')}, {q('a.r - b.r0', 'rejected_ratio')}
 FROM pair_logps a JOIN pair_logps b ON a.pair_id = b.pair_id""")
@@ -284,7 +298,10 @@ def _(spark, sf):
 
 
 # two samples per prompt with a stored score; a copy in the second position
-_TWO = ("two AS (SELECT run_id, step, prompt_id, sample_idx, response, reward FROM rewarded WHERE sample_idx < 2)")
+# both samples of a group in one row, without a self-join
+_SIDES = ", ".join(
+    f"max({c}) FILTER (WHERE sample_idx = {i}) AS {side}_{c}" for i, side in enumerate("ab") for c in ("sample_idx", "response", "reward"))
+_TWO = f"two AS (SELECT run_id, step, prompt_id, {_SIDES} FROM rewarded WHERE sample_idx < 2 GROUP BY ALL HAVING count(*) = 2)"
 
 
 def _two(spark, sf):
@@ -293,21 +310,20 @@ def _two(spark, sf):
 
 
 _GROUP = ["run_id", "step", "prompt_id"]
-_PAIRED = """SELECT a.run_id, a.step, a.prompt_id, CASE WHEN {m} THEN a.sample_idx ELSE b.sample_idx END AS chosen_idx,
- CASE WHEN {m} THEN b.sample_idx ELSE a.sample_idx END AS rejected_idx,
- CASE WHEN {m} THEN a.response ELSE b.response END AS chosen, CASE WHEN {m} THEN b.response ELSE a.response END AS rejected
- FROM two a JOIN two b ON a.run_id = b.run_id AND a.step = b.step AND a.prompt_id = b.prompt_id
- AND a.sample_idx = 0 AND b.sample_idx = 1"""
+_PAIRED = """SELECT run_id, step, prompt_id, CASE WHEN {m} THEN a_sample_idx ELSE b_sample_idx END AS chosen_idx,
+ CASE WHEN {m} THEN b_sample_idx ELSE a_sample_idx END AS rejected_idx,
+ CASE WHEN {m} THEN a_response ELSE b_response END AS chosen, CASE WHEN {m} THEN b_response ELSE a_response END AS rejected
+ FROM two"""
 
 
 @query("pair_by_score", uses=["rollouts"], ctes=f"{REWARDED_SQL}, {_TWO}",
-       sql=_PAIRED.format(m="a.reward >= b.reward"))
+       sql=_PAIRED.format(m="a_reward >= b_reward"))
 def _(spark, sf):
     return J.pair_by_score(_two(spark, sf), _GROUP).select(*_GROUP, "chosen_idx", "rejected_idx", "chosen", "rejected")
 
 
 @query("pair_by_judge", uses=["rollouts", "judge_ranks"], ctes=f"{REWARDED_SQL}, {_TWO}",
-       sql=_PAIRED.format(m="j.rank = 0") + " JOIN judge_ranks j ON a.prompt_id = j.prompt_id")
+       sql=_PAIRED.format(m="rank = 0") + " JOIN judge_ranks USING (prompt_id)")
 def _(spark, sf):
     ranks = _two(spark, sf).select(*_GROUP).distinct().join(T.judge_ranks(spark, sf), "prompt_id")
     return J.pair_by_judge(_two(spark, sf), ranks, _GROUP).select(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rollforge.functions import numeric as N
 from rollforge.operators.joins import rank_align
-from rollforge.plans.skew import attach_stats
+from rollforge.plans.skew import attach_stats, range_running
 from rollforge.schemas import one_of, require
 
 DIVERGENCES = ("reverse_kl", "alpha", "js")
@@ -169,9 +169,12 @@ def audit_mix(
     use_weighting: bool = False,
     step: str = "step",
     keys: Sequence[str] = (),
+    row: str = "pair_id",
 ) -> DataFrame:
-    """Weighted sum of objectives, of a row or of its batch: ``sft`` and
-    ``bco_pair`` are per (``keys``, ``step``). Optionally plus ``rpo_alpha`` times the
+    """Weighted sum of objectives, of a row or of its batch: ``sft``,
+    ``bco_pair``, ``aot`` and ``aot_pair`` are per (``keys``, ``step``). The loss
+    of the aligned differences of rank i goes to the i-th row of the batch in
+    order of ``row``. Optionally plus ``rpo_alpha`` times the
     pair's negative log-likelihood, and times ``min(1, exp(w_c + w_r))`` with
     the mean token log-probs as weights."""
     rows = df
@@ -179,7 +182,15 @@ def audit_mix(
         rows = audit_sft(rows, [*keys, step]).drop("reward_chosen", "reward_rejected")
     if "bco_pair" in weights:
         rows = audit_running_baseline(rows, step, s, keys).drop("reward_chosen", "reward_rejected", "delta")
-    rows = audit_rows(rows, [x for x in weights if x not in ("sft", "bco_pair")], s)
+    rows = audit_rows(rows, [x for x in weights if x not in BATCH_LOSSES], s)
+    batch = [*keys, step]
+    aligned = [x for x in weights if x in ("aot", "aot_pair")]
+    if aligned:
+        rows = range_running(rows, batch, [row], name="__rank")
+    for loss in aligned:
+        by_rank = audit_aligned(df, loss, row, batch, s).select(*batch, F.col("rank").alias("__rank"), f"loss_{loss}")
+        rows = rows.join(by_rank, [*batch, "__rank"])
+    rows = rows.drop("__rank")
     total = sum((F.col(f"loss_{x}") * float(w) for x, w in weights.items()), F.lit(0.0))
     if rpo_alpha:
         total = total + F.col("nll") * float(rpo_alpha)

@@ -150,3 +150,29 @@ def test_quantile_equals_sorting(spark, monkeypatch, rows, last):
             low, part = values[math.floor(at)], at - math.floor(at)
             want[g] = (len(values), low + (values[math.ceil(at)] - low) * part if part else low)
         assert got == {g: (n, pytest.approx(v)) for g, (n, v) in want.items()}
+
+
+def test_colocated_join_has_no_exchange(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from rollforge.sources.colocated import ColocatedTable, attach_stored
+
+    rows = [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (7, "e")]
+    a = ColocatedTable(spark, str(tmp_path / "a"), ["k"], 4).write(spark.createDataFrame(rows, "k int, v string"))
+    stored = spark.createDataFrame([(1, 0.5), (2, None), (None, 9.0), (8, 1.0)], "k int, ref double")
+    b = ColocatedTable(spark, str(tmp_path / "b"), ["k"], 4).write(stored)
+    for df in (a.join(b), attach_stored(a, b)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert sorted(map(tuple, a.join(b).collect()), key=repr) == [(1, "a", 0.5), (1, "b", 0.5), (2, "c", None)]
+    assert sorted(map(tuple, attach_stored(a, b).select("v", "ref", "stored").collect())) == [
+        ("a", 0.5, True), ("b", 0.5, True), ("c", None, True), ("d", None, False), ("e", None, False)]
+    b.forget()
+    again = ColocatedTable(spark, str(tmp_path / "b"), ["k"], 4).open("k int, ref double")
+    assert again.read().count() == 4
+    twice = ColocatedTable(spark, str(tmp_path / "c"), ["k"], 4).write(stored.union(stored.where("k = 2")))
+    with pytest.raises(Exception, match="repeated key 2"):
+        attach_stored(a, twice).collect()
+    with pytest.raises(ValueError, match="do not lie"):
+        a.join(ColocatedTable(spark, str(tmp_path / "d"), ["k"], 8))
+    assert attach_stored(a, b).where(F.col("k") == 3).count() == 0
