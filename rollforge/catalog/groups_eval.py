@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from rollforge.catalog.registry import q, query, rounded, sql_normal, sql_tagged
 from rollforge.catalog.text_rewards import SQL_REWARD
 from rollforge.operators import evalk as E
 from rollforge.operators import groups as G
+from rollforge.operators import hatches
 from rollforge.operators import joins as J
 from rollforge.operators import rewards as R
 from rollforge.operators import runs as U
@@ -230,6 +233,21 @@ def _(spark, sf):
     return E.baseline_vs_epoch(graded(spark, sf))
 
 
+@query("user_metric_batches", uses=["rollouts"], ctes=REWARDED_SQL, sql=f"""
+SELECT run_id, step, count(reward) AS n, {q('sum(reward * reward)', 'squares')}, {q('max(reward)', 'best')} FROM rewarded GROUP BY run_id, step""")
+def _(spark, sf):
+    def partial(batch):
+        rows = pa.table({**{c: batch.column(c) for c in ("run_id", "step", "reward")}})
+        rows = rows.append_column("square", pc.multiply(rows["reward"], rows["reward"]))
+        found = rows.group_by(["run_id", "step"]).aggregate([("reward", "count"), ("square", "sum"), ("reward", "max")])
+        found = found.rename_columns({"reward_count": "n", "square_sum": "squares", "reward_max": "best"})
+        return found.combine_chunks().to_batches()[0]
+
+    parts = {"n": ("bigint", "sum"), "squares": ("double", "sum"), "best": ("double", "max")}
+    found = hatches.batch_metric(rewarded(spark, sf), ["run_id", "step"], ["reward"], partial, parts)
+    return found.select("run_id", "step", "n", rounded("squares"), rounded("best"))
+
+
 # -------------------------------------------------------------------- joins
 
 @query("join_answers", uses=["rollouts", "prompts"], sql="""

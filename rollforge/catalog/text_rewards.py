@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rollforge.catalog.registry import q, query, rounded, sql_normal, sql_strip, sql_tagged, sql_words
 from rollforge.functions import text as X
 from rollforge.functions import tokens as K
-from rollforge.operators import chat
+from rollforge.operators import chat, hatches
 from rollforge.operators import rewards as R
 from rollforge.schemas import EOS_ID
 from rollforge.sources import tables as T
@@ -131,6 +131,29 @@ def _(spark, sf):
         ["prompt_id"])
 
 
+@query("format_rows_batches", uses=["problems"], sql="""
+SELECT prompt_id, CAST(i - 1 AS INT) AS part, parts[i] AS text FROM (
+ SELECT prompt_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (
+  SELECT prompt_id, list_filter(list_prepend(question, string_split(solution, chr(10))), lambda x: x <> '') AS parts FROM problems))""")
+def _(spark, sf):
+    def lines(batch):
+        pairs = zip(batch["question"], batch["solution"], strict=True)
+        return [[line for line in [question, *solution.split("\n")] if line] for question, solution in pairs]
+
+    return hatches.format_batches(T.problems(spark, sf), lines, ["question", "solution"], ["prompt_id"])
+
+
+@query("reward_python", uses=["rollouts"], sql=f"""
+SELECT prompt_id, sample_idx, {q("CASE WHEN response NOT LIKE '%<answer>%' THEN NULL ELSE least(len(string_split(response, ' ')), 3) / 4e0 END", 'reward_words')}
+FROM rollouts""")
+def _(spark, sf):
+    def words(prompts, responses, answers):
+        return [min(len(r.split(" ")), 3) / 4 if "<answer>" in r else None for r in responses]
+
+    spec = R.RewardSpec("words", hatches.python_reward(words))
+    return R.score(T.rollouts(spark, sf), [spec]).select("prompt_id", "sample_idx", rounded("reward_words"))
+
+
 @query("double_bos_check", uses=["rollouts"], sql="""
 SELECT count(*) AS rows, count(*) FILTER (WHERE starts_with(response, '<think>')) AS doubled FROM rollouts""")
 def _(spark, sf):

@@ -15,7 +15,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 # queries whose work needs Python on the executors
-PYTHON = {"gae", "top_entropy_mask", "audit_policy_ratio_entropy"}
+PYTHON = {"gae", "top_entropy_mask", "audit_policy_ratio_entropy", "format_rows_batches", "reward_python"}
 
 
 @pytest.fixture(scope="module")
@@ -176,3 +176,24 @@ def test_colocated_join_has_no_exchange(spark, tmp_path):
     with pytest.raises(ValueError, match="do not lie"):
         a.join(ColocatedTable(spark, str(tmp_path / "d"), ["k"], 8))
     assert attach_stored(a, b).where(F.col("k") == 3).count() == 0
+
+
+def test_user_functions_are_checked(spark):
+    from rollforge.operators import hatches, rewards
+
+    df = spark.createDataFrame([(1, "p", "a b", "x"), (2, None, None, None)], "k int, prompt string, response string, answer string")
+
+    def run(fn):
+        return [r["reward_f"] for r in rewards.score(df, [rewards.RewardSpec("f", hatches.python_reward(fn))]).orderBy("k").collect()]
+
+    assert run(lambda p, r, a: [None if x is None else 1 for x in r]) == [1.0, None]
+    for wrong in (lambda p, r, a: [1.0], lambda p, r, a: ["x" for _ in r]):
+        with pytest.raises(Exception, match="reward <lambda>"):
+            if len(run(wrong)) == 2 and df.coalesce(1).count():  # one value may fit a batch of one row
+                rewards.score(df.coalesce(1), [rewards.RewardSpec("f", hatches.python_reward(wrong))]).collect()
+    made = hatches.format_batches(df, lambda b: [None if r is None else r.split() for r in b["response"]], ["response"], ["k"])
+    assert sorted(map(tuple, made.collect())) == [(1, 0, "a"), (1, 1, "b")]
+    with pytest.raises(Exception, match="metric: columns"):
+        hatches.batch_metric(df, ["k"], ["prompt"], lambda b: b, {"n": ("bigint", "sum")}).collect()
+    with pytest.raises(ValueError, match="unknown merge"):
+        hatches.batch_metric(df, ["k"], ["prompt"], lambda b: b, {"n": ("bigint", "mean")})
