@@ -36,7 +36,7 @@ from rollforge.llm.textscan import BYTE_CODE, U64, RangeHash, buffers, mixed, pi
 from rollforge.plans.storage import materialize
 
 LENGTH = 400
-PIECE = 2 << 20
+PIECE = 1 << 19
 INDEX_BITS = 24
 # Suffixes of a run that a task sorts, and of a range that a task merges, about.
 RUN = 20_000
