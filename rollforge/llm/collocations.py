@@ -35,6 +35,8 @@ TOP = 2000
 TRIE_PHRASES = 1_000_000
 # Frequent words sent to every task; more are looked up by shuffle.
 SENT_WORDS = 1_000_000
+# Buckets that extensions of phrases are hashed to: 64 MB of counts in a task.
+BUCKETS = 1 << 24
 # Codes in one row of the written texts, and bytes of a long text taken at once.
 ROW_CODES = 1 << 18
 SLICE = 1 << 20
@@ -286,25 +288,27 @@ def longer(phrases: Phrases, lang: str, codes: np.ndarray, core: int) -> tuple[n
 
 
 def bucket_sums(texts: DataFrame, phrases: Phrases, buckets: int) -> DataFrame:
-    """Occurrences of "phrase plus next word" by bucket: bucket, n (one row a task)."""
+    """Occurrences of "phrase plus next word" by bucket: bucket, n. A task has at
+    most one row for each different extension of its texts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, dtype=np.int64)
+        total = np.zeros(buckets, dtype=np.uint32)
         for lang, codes, core in each_row(batches):
-            total += np.bincount(bucket_of(*longer(phrases, lang, codes, core), buckets), minlength=buckets)
-        full = np.flatnonzero(total)
-        for i in range(0, len(full), 1 << 16):
-            part = full[i: i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["bucket", "n"])
+            found, n = np.unique(bucket_of(*longer(phrases, lang, codes, core), buckets), return_counts=True)
+            total[found] += n.astype(np.uint32)
+        for first in range(0, buckets, 1 << 20):
+            part = np.flatnonzero(total[first: first + (1 << 20)]) + first
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part].astype(np.int64))], names=["bucket", "n"])
 
     return texts.mapInArrow(scan, "bucket long, n long")
 
 
 def extensions(texts: DataFrame, phrases: Phrases, full: np.ndarray) -> DataFrame:
     """Different "phrase plus next word" of full buckets: id, code (repeats between tasks)."""
-    buckets = len(full)
+    buckets, packed = len(full), np.packbits(full)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = np.unpackbits(packed).astype(bool)
         held = np.zeros((0, 2), dtype=np.int64)
         for lang, codes, core in each_row(batches):
             ids, after = longer(phrases, lang, codes, core)
@@ -362,15 +366,12 @@ def frequent_phrases(
     vocabulary = words.select("lang", F.col("word").alias("last"), "code")
     known = [level]
     for length in range(2, max_words + 1):
-        total = level.agg(F.sum("n")).first()[0] or 0
-        # at most half of the count that fills a bucket falls in each
-        buckets = 1 << max(16, min(24, int(2 * total / min_count).bit_length()))
         sums, longer_ones = [], []
         for trie in tries(level, length - 1, width, trie_phrases):
-            sums.append(bucket_sums(texts, trie, buckets))
+            sums.append(bucket_sums(texts, trie, BUCKETS))
         if not sums:
             break
-        full = np.zeros(buckets, dtype=bool)
+        full = np.zeros(BUCKETS, dtype=bool)
         rows = union(sums).groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("bucket").toArrow()
         full[rows.column("bucket").to_numpy()] = True
         for trie in tries(level, length - 1, width, trie_phrases):
