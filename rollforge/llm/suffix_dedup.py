@@ -422,7 +422,10 @@ def repeated_spans(texts: DataFrame, shape: Shape, cluster: int = CLUSTER) -> Da
     )
     # a text's own anchors: not more than its bytes
     asked = wanted.groupBy("key").agg(F.collect_list("wanted").alias("wanted"))
-    suffixes = materialize(cut_suffixes(texts, asked.hint("shuffle_hash"), shape), "suffixes")
+    cut = materialize(cut_suffixes(texts, asked.hint("shuffle_hash"), shape), "cut_suffixes")
+    # rows that repeat with id and text share a key, and their suffixes are in many rows: one of them is enough
+    suffixes = cut.where(~F.col("many")).unionByName(cut.where("many").dropDuplicates(["key", "first"]))
+    suffixes = materialize(suffixes, "suffixes")
     small, large = suffixes.where(~F.col("large")), suffixes.where("large")
     prefix = F.expr(f"substring(body, offset + 1, {shape.inner})")
     count = small.count()
@@ -457,7 +460,7 @@ def remove_repeats(
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), key.alias("key"), body.alias("text"))
     spans = repeated_spans(texts.select("key", "text"), shape, cluster)
     by_text = materialize(
-        spans.groupBy("key").agg(F.collect_list(F.struct("first", "windows")).alias("found")), "repeated_spans"
+        spans.groupBy("key").agg(F.collect_set(F.struct("first", "windows")).alias("found")), "repeated_spans"
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
