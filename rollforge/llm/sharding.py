@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollforge.llm.common import bucket_offsets, copies, table, text_or_empty
@@ -57,19 +57,17 @@ def external_shuffle(
     rows = counted.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(rows / bucket_rows))
     bucket = F.pmod(F.xxhash64(F.lit(seed), *names, "__copy"), F.lit(buckets))
-    scattered = copies(counted, "__n", "__copy").withColumn("__bucket", bucket)
-    filled = scattered.groupBy("__bucket").agg(
-        F.array_sort(F.collect_list(F.struct(*names, "__copy"))).alias("__items")
-    )
-    sizes = scattered.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size"))
+    scattered = materialize(copies(counted, "__n", "__copy").withColumn("__bucket", bucket), "scattered")
+    sizes = materialize(scattered.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size")), "bucket_sizes")
     offsets = bucket_offsets(sizes, [], "__bucket", "__size", buckets)
-    shuffled = filled.withColumn("__order", fisher_yates(F.size("__items"), F.col("__bucket"), seed))
-    placed = shuffled.join(offsets.drop("__size"), "__bucket").select(
-        "__offset", "__items", F.posexplode("__order").alias("__at", "__index")
+    orders = offsets.withColumn("__order", fisher_yates(F.col("__size").cast("int"), F.col("__bucket"), seed))
+    # the window sorts a bucket in place; only its order, not its records, is an array
+    index = F.row_number().over(Window.partitionBy("__bucket").orderBy(*names, "__copy")) - 1
+    placed = scattered.withColumn("__index", index).join(
+        orders.drop("__size").hint("shuffle_hash"), "__bucket"
     )
-    item = F.get("__items", F.col("__index"))
     return placed.select(
-        *[item[c].alias(c) for c in names], (F.col("__offset") + F.col("__at")).alias("__position")
+        *names, (F.col("__offset") + F.get("__order", F.col("__index"))).alias("__position")
     ), rows
 
 
@@ -111,14 +109,13 @@ def assign(
 
 
 def write_shards(
-    docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = 16 << 20,
-    text: str = "text",
+    docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS
 ) -> None:
     """Write whole records, shuffled, as Parquet under ``path``/shard=N (shard_=N
-    if the records have a column shard), in slot order within each file. Buckets
-    hold about ``bucket_bytes`` of text."""
-    mean = docs.agg(F.avg(F.octet_length(text_or_empty(text)))).first()[0] or 1.0
-    shuffled, rows = external_shuffle(docs, seed, max(1, int(bucket_bytes / (mean + 64))))
+    if the records have a column shard), in slot order within each file. A
+    bucket holds about ``bucket_rows`` records, which a task sorts with spill,
+    so neither short nor very long records fill a task's memory."""
+    shuffled, rows = external_shuffle(docs, seed, bucket_rows)
     folder = "shard"
     while folder in docs.columns:
         folder += "_"
