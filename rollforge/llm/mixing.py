@@ -4,11 +4,11 @@ functions only.
 The words of a source stand in a seeded order of its documents and are cut into
 blocks of equal size. Blocks are awarded to sources by highest quotients
 target / (2k - 1); awards in that order fill one mix shard after the other, so
-a shard's quotas are differences of apportionments of growing size. A source's
-blocks are then taken in the seeded order, from its begin again when all are
-used, so documents are taken whole but for the one in which the quota ends. No
-block is ever a row: what a document gives is a closed form of its place in the
-order.
+a shard's quotas are differences of apportionments of growing size. Each shard
+takes its quota of a source's blocks in the seeded order where the shard before
+stopped, from the source's begin again when all are used, so documents are taken
+whole but for those in which a quota ends. No block is ever a row: what a
+document gives to each shard is a closed form of its place in the order.
 """
 
 from __future__ import annotations
@@ -81,7 +81,8 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
 
 
 def quotas(goals: DataFrame, block: int, shards: int = MIX_SHARDS, most: int = MOST) -> DataFrame:
-    """Blocks per (mix shard, source): key, shard, quota, blocks (in the source).
+    """Blocks per (mix shard, source): key, shard, quota, until (quotas up to this
+    shard), blocks (in the source).
 
     Shard h gets the awards between house sizes T*h/shards and T*(h+1)/shards.
     Each house size is apportioned from the rounded ideal shares, corrected by
@@ -117,6 +118,7 @@ def quotas(goals: DataFrame, block: int, shards: int = MIX_SHARDS, most: int = M
     earlier = F.coalesce(F.lag("reached").over(Window.partitionBy("key").orderBy("house")), F.lit(0))
     return reached.select(
         "key", (F.col("house") - 1).alias("shard"), (F.col("reached") - earlier).cast("bigint").alias("quota"),
+        F.col("reached").cast("bigint").alias("until"),
         F.col("blocks").cast("bigint").alias("blocks"),
     )
 
@@ -133,10 +135,11 @@ def block_words(goals: DataFrame, block: int = BLOCK_WORDS) -> int:
 def mix(
     docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK_WORDS,
-    keep_source: bool = False,
+    keep_source: bool = False, shards: int = MIX_SHARDS,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken,
-    and with ``keep_source`` the source's key and the text's hash.
+    by_shard (the words taken into each mix shard; their sum is ``taken``), and
+    with ``keep_source`` the source's key and the text's hash.
 
     Size is the number of words; a null or wordless text has none and nothing
     of it is taken. A null source is a source. Repeated rows are rows like
@@ -154,15 +157,11 @@ def mix(
     sums = rows.groupBy("key", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     goals = materialize(targets(sums, weights, share, most), "targets")
     block = block_words(goals, block)
-    taken = quotas(goals, block, most=most).groupBy("key").agg(
-        F.sum("quota").alias("quota"), F.max("blocks").alias("blocks")
+    shard_quotas = quotas(goals, block, shards, most).groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("shard", "until"))).alias("until"), F.max("blocks").alias("blocks")
     )
-    plan = goals.join(taken, "key", "left")
-    n, q = F.coalesce("blocks", F.lit(0)), F.coalesce("quota", F.lit(0))
-    plan = plan.select(
-        "key", "source_size", "target", n.alias("blocks"),
-        F.when(n > 0, F.floor(q / n)).otherwise(0).alias("passes"),
-        F.when(n > 0, q % n).otherwise(0).alias("rest"),
+    plan = goals.join(shard_quotas, "key", "left").select(
+        "key", "source_size", "target", "blocks", F.col("until.until").alias("until")
     )
     count = rows.agg(F.count(F.lit(1))).first()[0]
     buckets = max(1, math.ceil(count / BUCKET_ROWS))
@@ -183,16 +182,24 @@ def mix(
     full = materialize(plan.join(weights_of, "key"), "plan")
     found = copies(attach(placed, full, ["key"], "docs"), "n", "copy")
 
-    def upto(x: Column) -> Column:
-        """Words taken of the source's first x words."""
-        return F.col("passes") * x + F.least(x, F.col("rest") * block)
-
     start = F.col("start") + F.col("copy") * F.col("size")
+
+    def words_until(quota: Column) -> Column:
+        """Words that a quota of blocks, from the source's begin, takes of the document."""
+        passes, rest = F.floor(quota / F.col("blocks")), (quota % F.col("blocks")) * block
+
+        def upto(x: Column) -> Column:
+            return passes * x + F.least(x, rest)
+
+        return (upto(start + F.col("size")) - upto(start)).cast("bigint")
+
+    nothing = F.array_repeat(F.lit(0).cast("bigint"), shards)
+    found = found.withColumn("until", F.coalesce(F.transform("until", words_until), nothing))
     return found.select(
-        "doc_id", *kept, "size", "source_size", "target",
-        (upto(start + F.col("size")) - upto(start)).cast("bigint").alias("taken"),
+        "doc_id", *kept, "size", "source_size", "target", F.element_at("until", -1).alias("taken"),
+        F.transform("until", lambda w, i: w - F.coalesce(F.get("until", i - 1), F.lit(0))).alias("by_shard"),
     )
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).drop("by_shard")
