@@ -213,7 +213,8 @@ class Model:
 
 
 def fold(id_col: str, parts: int) -> Column:
-    return F.crc32(F.col(id_col).cast("string")) % parts
+    """A null id counts as the empty text: it is in part 0."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
 
 
 def counts(sample: DataFrame) -> DataFrame:

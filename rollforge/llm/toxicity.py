@@ -299,7 +299,8 @@ def score(
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string")) % 4 == 2
+    """A null id counts as the empty text: it is not held out."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 4 == 2
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

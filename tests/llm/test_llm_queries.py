@@ -14,7 +14,7 @@ import pytest
 import corpus_pipeline
 from rollforge.llm import catalog, decontam, jaccard_join, language_id, mixing, sharding, suffix_dedup, token_counts
 from rollforge.llm import toxicity, url_filter
-from rollforge.llm.exact_dedup import DigestIndex, dedup
+from rollforge.llm.exact_dedup import DigestIndex, dedup, dedup_in_batches
 from rollforge.plans.storage import scratch_path
 
 NATIVE = ("op4_sharding", "op8_url_filter", "op10_mixing")
@@ -130,6 +130,14 @@ def test_repeats_in_long_texts(spark, monkeypatch):
     assert by_id(suffix_dedup.remove_repeats(df, 12), *COLUMNS1) == brute_repeats(texts, 12)
 
 
+def test_rows_without_ids_that_repeat_share_one_list(spark):
+    body = "".join(chr(97 + (i * i // 7) % 23) for i in range(300))
+    df = spark.range(20_000).selectExpr("cast(null as long) as doc_id", f"'{body}' as text")
+    got = suffix_dedup.remove_repeats(df, 100)
+    assert got.count() == 20_000
+    assert got.where("n_removed <> 300 or n_spans <> 1 or size(spans) <> 1").count() == 0
+
+
 def test_repeats_of_nothing(empty):
     assert suffix_dedup.remove_repeats(empty, 5).count() == 0
 
@@ -221,7 +229,7 @@ def test_script_narrows_candidates():
 
 def test_exact_dedup_of_awkward_rows(awkward, empty, spark):
     index = DigestIndex(spark, scratch_path(spark, "index"), 4)
-    got = dedup(awkward, index)
+    got = dedup(awkward, index, "one")
     groups = defaultdict(list)
     for i, t in AWKWARD:
         groups[t or ""].append(i)
@@ -230,22 +238,40 @@ def test_exact_dedup_of_awkward_rows(awkward, empty, spark):
         members = next(v for t, v in groups.items() if hashlib.sha256(t.encode()).hexdigest() == r.text_sha256)
         assert r.group_size == len(members) and r.keep_id == max((m for m in members if m is not None), default=None)
     assert got.where("kept").count() == len(groups)
-    assert dedup(empty, index).count() == 0
+    assert dedup(empty, index, "two").count() == 0
 
 
 def test_digest_index_persists(spark):
     path = scratch_path(spark, "index")
     one = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "doc_id long, text string")
     two = spark.createDataFrame([(9, "a"), (7, "c"), (8, "c")], "doc_id long, text string")
-    assert by_id(dedup(one, DigestIndex(spark, path, 4)), "keep_id", "kept") == {1: [(3, False)], 2: [(2, True)], 3: [(3, True)]}
+    assert by_id(dedup(one, DigestIndex(spark, path, 4), "one"), "keep_id", "kept") == {1: [(3, False)], 2: [(2, True)], 3: [(3, True)]}
     again = DigestIndex(spark, path, 4)
-    assert by_id(dedup(two, again), "keep_id", "kept") == {9: [(3, False)], 7: [(8, False)], 8: [(8, True)]}
+    want = {9: [(3, False)], 7: [(8, False)], 8: [(8, True)]}
+    assert by_id(dedup(two, again, "two"), "keep_id", "kept") == want
+    assert by_id(dedup(two, again, "two"), "keep_id", "kept") == want  # the same batch after a lost run
+    assert by_id(dedup(two, again, "three"), "kept") == {9: [(False,)], 7: [(False,)], 8: [(False,)]}
     assert again.read().count() == 3
+    again.close()
+    assert not spark.catalog.tableExists(again.name)
+    assert DigestIndex(spark, path, 4).read().count() == 3
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_batches_of_falling_ids_give_the_whole_answer(spark, awkward, empty, batches):
+    whole = dedup(awkward, DigestIndex(spark, scratch_path(spark, "index"), 4), "all")
+    got = dedup_in_batches(awkward, DigestIndex(spark, scratch_path(spark, "index"), 4), batches)
+    columns = ("keep_id", "group_size", "kept", "text_sha256")
+    assert by_id(got, *columns) == by_id(whole, *columns)
+    assert dedup_in_batches(empty, DigestIndex(spark, scratch_path(spark, "index"), 4), batches).count() == 0
+    unnamed = awkward.withColumn("doc_id", awkward.doc_id * None)
+    got = dedup_in_batches(unnamed, DigestIndex(spark, scratch_path(spark, "index"), 4), batches)
+    assert got.count() == len(AWKWARD) and got.where("kept").count() == len({t or "" for _, t in AWKWARD})
 
 
 def test_anti_join_does_not_shuffle_the_index(spark):
     index = DigestIndex(spark, scratch_path(spark, "index"), 4)
-    index.append(spark.createDataFrame([(bytes([i]) * 32, i) for i in range(20)], "digest binary, keep_id long"))
+    index.append(spark.createDataFrame([(bytes([i]) * 32, i) for i in range(20)], "digest binary, keep_id long"), "one")
     asked = spark.createDataFrame([(bytes([3]) * 32,), (bytes([30]) * 32,)], "digest binary")
     plan = index.unseen(asked.groupBy("digest").count())
     text = plan._jdf.queryExecution().executedPlan().toString()
@@ -295,6 +321,15 @@ def test_write_shards_round_trip(spark, awkward, tmp_path):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, awkward.collect())))
 
 
+def test_short_and_long_records_are_written(spark, tmp_path):
+    df = spark.range(60_000).selectExpr("id as doc_id", "if(id % 20000 = 7, repeat('long ', 400000), 'x') as text")
+    sharding.write_shards(df, str(tmp_path / "out"), shards=4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 60_000 and back.select("doc_id").distinct().count() == 60_000
+    assert {r["count"] for r in back.groupBy("shard").count().collect()} == {15_000}
+    assert back.where("length(text) = 2000000").count() == 3
+
+
 def test_hot_repeated_row_is_spread(spark):
     df = spark.range(9000).selectExpr("if(id % 3 = 0, 1, id) as doc_id", "if(id % 3 = 0, 'hot', 'x') as text")
     got = sharding.assign(df)
@@ -619,6 +654,23 @@ def test_quotas_follow_highest_quotients(spark):
         assert {r.key: r.quota for r in got if r.shard == h} == {s: part[s] for s in sizes}
 
 
+def test_mix_shards_take_their_quotas(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    got = mixing.mix(docs, keep_source=True, shards=5).collect()
+    sums = {r.key: (r.source_size, r.target) for r in got}
+    goals = spark.createDataFrame(
+        [(k, k, n, t) for k, (n, t) in sums.items()], "key string, source string, source_size long, target double")
+    block = mixing.block_words(goals)
+    words = Counter()
+    for r in got:
+        assert len(r.by_shard) == 5 and sum(r.by_shard) == r.taken and min(r.by_shard) >= 0
+        for shard, n in enumerate(r.by_shard):
+            words[r.key, shard] += n
+    for q in mixing.quotas(goals, block, shards=5).collect():
+        # the last block of a source may be short, once in each pass
+        assert q.quota * block - 2 * block < words[q.key, q.shard] <= q.quota * block
+
+
 def test_mix_splits_a_hot_row(spark):
     df = spark.range(3000).selectExpr(
         "if(id % 3 = 0, 1, id) as doc_id", "if(id % 3 = 0, 'hot row of six words here', 'a b c') as text", "'s' as source")
