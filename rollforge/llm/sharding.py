@@ -60,6 +60,8 @@ def external_shuffle(
     scattered = materialize(copies(counted, "__n", "__copy").withColumn("__bucket", bucket), "scattered")
     sizes = materialize(scattered.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size")), "bucket_sizes")
     offsets = bucket_offsets(sizes, [], "__bucket", "__size", buckets)
+    # sizes are few bytes but dear to permute: dealt over tasks by count, not by bytes
+    offsets = offsets.repartition(max(1, math.isqrt(buckets)), "__bucket")
     orders = offsets.withColumn("__order", fisher_yates(F.col("__size").cast("int"), F.col("__bucket"), seed))
     # the window sorts a bucket in place; only its order, not its records, is an array
     index = F.row_number().over(Window.partitionBy("__bucket").orderBy(*names, "__copy")) - 1
