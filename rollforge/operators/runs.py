@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollforge.operators.groups import running_total
 from rollforge.plans.skew import attach_stats
+from rollforge.plans.storage import materialize
+
+# Folders of one flush of the metric table.
+RUN_BUCKETS = 64
 
 
 def long_metrics(wide: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -26,14 +31,34 @@ def flatten_metrics(df: DataFrame, keys: Sequence[str], nested: str) -> DataFram
 
 
 def append_metrics(metrics: DataFrame, path: str, flush: int = 0) -> None:
-    """Add a flush of rows to the metric table, partitioned by run and flush.
+    """Add a flush of rows to the metric table, partitioned by flush and by
+    ``run_bucket``, a fold of the run.
 
     A flush that is appended again (after a lost run) replaces its rows of the
-    runs it has; other flushes and runs stay as they are.
+    runs it has; other flushes and runs stay as they are. A flush has
+    ``RUN_BUCKETS`` folders at most, however many runs there are. Runs share a
+    folder, so appends of one flush must take turns. A null run is a run.
     """
-    # few files a run, but more than one task for a run that holds most rows
-    rows = metrics.withColumn("flush", F.lit(flush)).hint("rebalance", "run_id")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "flush").parquet(path)
+    fold = F.pmod(F.xxhash64(F.col("run_id").cast("string")), F.lit(RUN_BUCKETS)).cast("int")
+    rows = metrics.withColumn("flush", F.lit(flush)).withColumn("run_bucket", fold)
+    spark = metrics.sparkSession
+    try:
+        earlier = spark.read.option("basePath", path).option("mergeSchema", True).parquet(f"{path}/flush={flush}")
+    except AnalysisException as e:  # the flush is new
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        earlier = None
+    if earlier is not None:
+        rows = materialize(rows, "flush")
+        touched = [r[0] for r in rows.select("run_bucket").distinct().collect()]
+        runs = rows.select(F.col("run_id").alias("__run")).distinct()
+        kept = earlier.where(F.col("run_bucket").isin(touched))
+        kept = kept.join(runs, F.col("run_id").eqNullSafe(F.col("__run")), "left_anti")
+        # written apart first: the folders it is read from are replaced
+        rows = rows.unionByName(materialize(kept, "kept_runs"), allowMissingColumns=True)
+    # few files a folder, but more than one task for a run that holds most rows
+    rows = rows.hint("rebalance", "run_bucket")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("flush", "run_bucket").parquet(path)
 
 
 def tokens_seen(tokens: DataFrame, keys: Sequence[str], step: str, n: str) -> DataFrame:

@@ -296,3 +296,19 @@ def test_a_repeated_flush_replaces_itself(spark, tmp_path):
     runs.append_metrics(first.where("run_id = 'a'").withColumn("value", F.lit(5.0)), path, 1)
     got = sorted((r["run_id"], r["flush"], r["value"]) for r in spark.read.parquet(path).collect())
     assert got == [("a", 0, 1.0), ("a", 1, 5.0), ("b", 0, 2.0), ("b", 1, 2.0)]
+
+
+def test_a_flush_of_many_runs_has_few_folders(spark, tmp_path):
+    from rollforge.operators import runs
+
+    path = str(tmp_path / "metrics")
+    rows = spark.range(500).select(
+        F.when(F.col("id") > 0, F.col("id")).alias("run_id"), F.lit("loss").alias("name"), F.lit(1.0).alias("value"))
+    runs.append_metrics(rows, path, 0)
+    runs.append_metrics(rows, path, 1)
+    again = rows.where("run_id is null or run_id % 5 = 0").withColumn("value", F.lit(5.0))
+    runs.append_metrics(again, path, 1)
+    assert len({f.parent for f in (tmp_path / "metrics").rglob("*.parquet")}) <= 2 * runs.RUN_BUCKETS
+    got = {(r["flush"], r["run_id"]): r["value"] for r in spark.read.parquet(path).collect()}
+    assert spark.read.parquet(path).count() == len(got) == 1000
+    assert all(v == (5.0 if flush and (run is None or run % 5 == 0) else 1.0) for (flush, run), v in got.items())
