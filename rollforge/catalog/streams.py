@@ -10,7 +10,7 @@ from rollforge.operators import rewards as R
 from rollforge.plans.storage import materialize, scratch_path
 from rollforge.sources import tables as T
 from rollforge.streaming import jobs as S
-from rollforge.streaming.groups import group_results, timers_allowed
+from rollforge.streaming.groups import group_results_to
 
 
 def _orders(spark, sf):
@@ -74,11 +74,10 @@ def _group_results(spark, sf):
     waves = materialize(waves.withColumn("ts", F.expr(ARRIVAL)), "arrivals")
     base = scratch_path(spark, "groups")
     schema = waves.drop("wave").schema
-    with timers_allowed(spark):
-        for wave in range(4):
-            waves.where(F.col("wave") == wave).drop("wave").write.mode("append").parquet(f"{base}/in")
-            stream = group_results(spark.readStream.schema(schema).parquet(f"{base}/in"), GROUP)
-            S.update_to(stream, f"{base}/out", f"{base}/state").awaitTermination()
+    for wave in range(4):
+        waves.where(F.col("wave") == wave).drop("wave").write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+        group_results_to(stream, f"{base}/out", f"{base}/state", GROUP).awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 

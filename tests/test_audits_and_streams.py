@@ -12,7 +12,7 @@ from rollforge.operators import prefs as D
 from rollforge.operators import rewards as R
 from rollforge.operators import runs as U
 from rollforge.streaming import jobs as S
-from rollforge.streaming.groups import group_results, timers_allowed
+from rollforge.streaming.groups import group_results, group_results_to, timers_allowed
 
 
 def test_stable_functions_at_extremes(spark):
@@ -285,3 +285,33 @@ def test_density_ratio_is_regularised(spark):
     b = math.log(p[9] / (1 - p[9])) - 9 * w0
     gradient = sum((1 / (1 + math.exp(-(b + w0 * x))) - (x >= 10)) * x for x in range(20)) + w0
     assert abs(gradient) < 1e-2 and min(p.values()) > 1e-8 and {r["accuracy"] for r in accuracy.collect()} == {1.0}
+
+
+def test_stream_groups_by_join_equal_groups_by_state(spark, tmp_path):
+    """Both ways over one stream: groups that grow, complete, open again, expire on either side of the clock, come late."""
+    schema = "run_id string, prompt_id int, ts timestamp, reward double, n int"
+    day = "2024-01-0{} {}".format
+    waves = [
+        [("r", 1, day(1, "00:00:00"), 1.0, 3), ("r", 2, day(1, "00:00:00"), 1.0, 2), ("r", 2, day(1, "00:10:00"), 4.0, 2),
+         (None, 3, day(1, "00:20:00"), None, 2), ("r", 4, day(1, "00:59:59.500"), 0.5, 9), ("r", 5, day(1, "01:00:00"), None, None)],
+        [("r", 1, day(1, "00:30:00"), None, 3), (None, 3, day(1, "00:05:00"), 2.0, 5), ("r", 2, day(1, "02:00:00"), 8.0, 2),
+         ("r", 4, day(1, "01:30:00"), 2.5, 9), ("r", 4, day(1, "01:40:00"), 7.0, 9)],
+        [("r", 1, day(1, "00:40:00"), 3.0, 3), ("r", 1, day(1, "01:10:00"), 9.0, 3), ("r", 6, day(2, "01:59:59.500"), 1.0, 2)],
+        [("r", 7, day(2, "01:59:59.501"), 1.0, 2), ("r", 4, day(2, "01:00:00"), 1.0, 9)],
+        [("r", 8, day(5, "00:00:00"), 1.0, 1)],
+    ]
+
+    def rows(out):
+        found = spark.read.parquet(str(tmp_path / out)).drop("batch_id").collect()
+        return sorted((tuple(r[c] for c in ("kind", "run_id", "prompt_id", "seen", "expected", "mean", "std")) for r in found), key=str)
+
+    for wave in waves:
+        put(spark, tmp_path / "src", wave, schema.replace("timestamp", "string"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "src"))
+        with timers_allowed(spark):
+            S.update_to(group_results(stream, ["run_id", "prompt_id"]), str(tmp_path / "a"), str(tmp_path / "a_state")).awaitTermination()
+        group_results_to(stream, str(tmp_path / "b"), str(tmp_path / "b_state"), ["run_id", "prompt_id"]).awaitTermination()
+        want, got = rows("a"), rows("b")
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        assert [r[5:] for r in got] == [tuple(v if v is None else pytest.approx(v) for v in r[5:]) for r in want]
+    assert {r[0] for r in rows("b")} == {"complete", "expired", "late"}
