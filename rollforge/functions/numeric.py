@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,3 +60,12 @@ def array_total(values: Column) -> Column:
 
 def mask_count(mask: Column) -> Column:
     return F.aggregate(mask, F.lit(0.0), lambda a, m: a + m)
+
+
+def bound(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """``body`` of a struct of the named values, each computed once a row.
+
+    A lambda over the elements of an array that names a derived column gets that
+    column's whole expression, and computes it again for every element.
+    """
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body), F.lit(0))

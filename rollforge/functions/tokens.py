@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rollforge.functions import numeric as N
 from rollforge.schemas import BOS_ID, EOS_ID, IGNORED_LABEL, PAD_ID
 
 FIRST_FREE_ID = 4
@@ -111,4 +112,4 @@ def positions(a: Column) -> Column:
 
 def next_tokens(a: Column) -> Column:
     """Label of each position: the token after it, NULL at the end."""
-    return F.transform(a, lambda x, i: F.get(a, i + 1))
+    return N.bound({"a": a}, lambda row: F.transform(row["a"], lambda x, i: F.get(row["a"], i + 1)))

@@ -54,7 +54,8 @@ def shared_length_logps(
     shared = F.least(F.size(chosen), F.size(rejected))
 
     def weighted(c: str) -> Column:
-        parts = F.transform(F.col(c), lambda x, i: F.when(i < shared, x).otherwise(x * ld_alpha))
+        parts = N.bound({"x": F.col(c), "shared": shared}, lambda row: F.transform(
+            row["x"], lambda x, i: F.when(i < row["shared"], x).otherwise(x * ld_alpha)))
         return N.array_total(parts)
 
     return pairs.withColumns({f"{chosen}_sum": weighted(chosen), f"{rejected}_sum": weighted(rejected)})
@@ -92,30 +93,32 @@ def policy_rows(
     log_ratio = F.zip_with("logps", "old_logps", lambda p, o: p - o)
     if level == "sequence":
         mean = N.masked_sum(log_ratio, F.col("masks")) / F.greatest(n, F.lit(1.0))
-        rows = df.withColumn("__mean", mean)
-        log_ratio = F.transform("logps", lambda _: F.col("__mean"))
-    else:
-        rows = df
-    advantage = F.col("advantage")
-
-    def token_loss(x: Column, i: Column) -> Column:
+        log_ratio = N.bound({"p": F.col("logps"), "mean": mean}, lambda row: F.transform(row["p"], lambda _: row["mean"]))
+    used = {"logps": beta, "ref_logps": beta, "old_logps": ratio_cap is not None, "sampling_logps": ratio_cap is not None}
+    named = {"log_ratio": log_ratio, "advantage": F.col("advantage"), **{c: F.col(c) for c, yes in used.items() if yes}}
+    if keep_mask:
+        named["keep"] = F.col(keep_mask)
+
+    def token_loss(row: Column, x: Column, i: Column) -> Column:
+        advantage = row["advantage"]
         ratio = F.exp(N.clamp(x, -log_clamp, log_clamp))
         clipped = N.clamp(ratio, 1 - eps_low, 1 + eps_high)
         if delta is not None:
             ratio = F.least(ratio, F.lit(float(delta)))
         loss = -F.least(ratio * advantage, clipped * advantage)
         if keep_mask:
-            loss = loss * F.get(F.col(keep_mask), i)
+            loss = loss * F.get(row["keep"], i)
         if ratio_cap is not None:
-            drift = F.get(F.col("old_logps"), i) - F.get(F.col("sampling_logps"), i)
+            drift = F.get(row["old_logps"], i) - F.get(row["sampling_logps"], i)
             loss = loss * F.least(F.exp(drift), F.lit(float(ratio_cap)))
         if beta:
-            loss = loss + N.k3(F.get(F.col("ref_logps"), i), F.get(F.col("logps"), i)) * beta
+            loss = loss + N.k3(F.get(row["ref_logps"], i), F.get(row["logps"], i)) * beta
         return loss
 
-    rows = rows.withColumn("token_loss", F.transform(log_ratio, token_loss))
+    losses = N.bound(named, lambda row: F.transform(row["log_ratio"], lambda x, i: token_loss(row, x, i)))
+    rows = df.withColumn("token_loss", losses)
     out = rows.withColumn("loss_sum", N.masked_sum(F.col("token_loss"), F.col("masks"))).withColumn("tokens", n)
-    return out.withColumn("row_loss", F.col("loss_sum") / F.greatest(F.col("tokens"), F.lit(1.0))).drop("__mean")
+    return out.withColumn("row_loss", F.col("loss_sum") / F.greatest(F.col("tokens"), F.lit(1.0)))
 
 
 POLICY_LOSSES = ("grpo", "bnpo", "dr_grpo", "dapo")
@@ -247,17 +250,21 @@ def token_rewards(df: DataFrame, kl_coef: float = 0.05, estimator: str = "k1", n
     """-kl_coef * KL per real token, and the score at the position after the
     last real token, or at that token when the sequence is full."""
     one_of(estimator, ["k1", "k3"], "KL estimator")
-    rows = df.withColumn("__last", last_real(F.col("token_ids")))
-    end = F.when(F.col("__last") + 1 < F.size("token_ids"), F.col("__last") + 1).otherwise(F.col("__last"))
-    rows = rows.withColumn("__end", end)
 
-    def reward(p: Column, i: Column) -> Column:
-        ref = F.get(F.col("ref_logps"), i)
-        kl = p - ref if estimator == "k1" else N.k3(ref, p)
-        penalty = F.when(i <= F.col("__last"), kl * -kl_coef).otherwise(0.0)
-        return penalty + F.when(i == F.col("__end"), F.col("score")).otherwise(0.0)
+    def rewards(row: Column, at: Column) -> Column:
+        end = F.when(at["last"] + 1 < at["n"], at["last"] + 1).otherwise(at["last"])
+
+        def reward(p: Column, i: Column) -> Column:
+            ref = F.get(row["ref"], i)
+            kl = p - ref if estimator == "k1" else N.k3(ref, p)
+            penalty = F.when(i <= at["last"], kl * -kl_coef).otherwise(0.0)
+            return penalty + F.when(i == end, row["score"]).otherwise(0.0)
+
+        return F.transform(row["p"], reward)
 
-    return rows.withColumn(name, F.transform("logps", reward)).drop("__last", "__end")
+    named = {"p": F.col("logps"), "ref": F.col("ref_logps"), "ids": F.col("token_ids"), "score": F.col("score")}
+    return df.withColumn(name, N.bound(named, lambda row: N.bound(
+        {"last": last_real(row["ids"]), "n": F.size(row["ids"])}, lambda at: rewards(row, at))))
 
 
 def _discounted(rho: float):
@@ -296,9 +303,8 @@ def gae(
     df: DataFrame, rewards: str = "token_rewards", values: str = "values", gamma: float = 1.0, lam: float = 0.95
 ) -> DataFrame:
     """Generalised advantages and returns per token; no shuffle."""
-    delta = F.transform(
-        F.col(rewards),
-        lambda r, i: r + F.coalesce(F.get(F.col(values), i + 1), F.lit(0.0)) * gamma - F.get(F.col(values), i))
+    delta = N.bound({"r": F.col(rewards), "v": F.col(values)}, lambda row: F.transform(
+        row["r"], lambda r, i: r + F.coalesce(F.get(row["v"], i + 1), F.lit(0.0)) * gamma - F.get(row["v"], i)))
     rows = df.withColumn("advantages", _discounted(gamma * lam)(delta))
     return rows.withColumn("returns", F.zip_with("advantages", values, lambda a, v: a + v))
 

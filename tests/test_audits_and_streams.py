@@ -315,3 +315,17 @@ def test_stream_groups_by_join_equal_groups_by_state(spark, tmp_path):
         assert [r[:5] for r in got] == [r[:5] for r in want]
         assert [r[5:] for r in got] == [tuple(v if v is None else pytest.approx(v) for v in r[5:]) for r in want]
     assert {r[0] for r in rows("b")} == {"complete", "expired", "late"}
+
+
+def test_token_arrays_are_computed_once_a_row(spark):
+    """No lambda over the tokens of a row holds the expression of another derived array."""
+    df = spark.range(1, 4).select("id", F.lit(2.0).alias("score"), *[
+        F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("id") + 6), lambda i: v).alias(c) for c, v in (
+            ("token_ids", F.col("id")), ("logps", F.col("id") * -1.0), ("ref_logps", F.col("id") * -2.0), ("old_logps", F.col("id") * -1.0),
+            ("values", F.col("id") * 0.5), ("masks", F.lit(1)))])
+    rewards = Y.token_rewards(df, 0.5)
+    sums = Y.policy_rows(df.withColumn("advantage", F.lit(1.0)), beta=0.1, level="sequence")
+    for found in (rewards.select("token_rewards"), Y.gae(rewards).select("advantages"), sums.select("loss_sum")):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "sequence(" in plan and "get(transform(sequence(" not in plan
+    assert [r[0] for r in rewards.orderBy("id").select("token_rewards").collect()] == [[-0.5 * i] * (6 + i) + [2.0 - 0.5 * i] for i in (1, 2, 3)]
