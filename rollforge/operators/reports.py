@@ -36,9 +36,10 @@ def completions_table(scored: DataFrame, keys: Sequence[str], funcs: Sequence[st
 
 
 def pivot_rewards(rewards: DataFrame, keys: Sequence[str], funcs: Sequence[str]) -> DataFrame:
-    """The same columns from a long reward table. The pivot has a fixed list of
-    names, so it costs one aggregation."""
-    return rewards.groupBy(*keys).pivot("func", list(funcs)).agg(F.first("value"))
+    """The same columns from a long reward table: one aggregation over a fixed
+    list of names, folded before the shuffle to one row per completion."""
+    return rewards.groupBy(*keys).agg(
+        *[F.first(F.when(F.col("func") == f, F.col("value")), ignorenulls=True).alias(f) for f in funcs])
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

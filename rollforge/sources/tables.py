@@ -7,17 +7,24 @@ by a global sort. ``SQL`` holds the same tables for the SQL check.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Rows of a scan that one task expands, sorts and folds.
+ROWS_A_TASK = 200_000
 
-def spread(df: DataFrame) -> DataFrame:
+
+def spread(df: DataFrame, rows: int = ROWS_A_TASK) -> DataFrame:
     """Deal out a scan that has fewer splits than the session has cores (one
-    small file). A table of many splits is returned as it is: no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    small file), or more than ``rows`` rows a split. The jobs blow rows up inside
+    their task, so what a task holds goes by its rows, not by bytes of the file.
+    A table of many small splits is returned as it is: no shuffle."""
+    splits = df.rdd.getNumPartitions()
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / rows))
+    return df.repartition(wanted) if splits < wanted else df
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -197,3 +197,22 @@ def test_user_functions_are_checked(spark):
         hatches.batch_metric(df, ["k"], ["prompt"], lambda b: b, {"n": ("bigint", "sum")}).collect()
     with pytest.raises(ValueError, match="unknown merge"):
         hatches.batch_metric(df, ["k"], ["prompt"], lambda b: b, {"n": ("bigint", "mean")})
+
+
+def test_scans_are_dealt_out_by_their_rows(spark):
+    from rollforge.sources import tables
+
+    df = spark.range(0, 1000, 1, 8)
+    assert tables.spread(df).rdd.getNumPartitions() == 8
+    many = tables.spread(df, rows=30)
+    assert many.rdd.getNumPartitions() == 34 and many.distinct().count() == 1000
+
+
+def test_pivot_shuffles_once(spark):
+    from rollforge.operators import reports as V
+
+    rows = [(1, "a", 1.5), (1, "bb", 2.0), (2, "a", None), (2, "bb", 3.0), (None, "bb", 1.0)]
+    p = V.pivot_rewards(spark.createDataFrame(rows, "k int, func string, value double"), ["k"], ["a", "bb", "c"])
+    assert p._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 1
+    assert sorted(map(tuple, p.collect()), key=str) == [
+        (1, 1.5, 2.0, None), (2, None, 3.0, None), (None, None, 1.0, None)]
