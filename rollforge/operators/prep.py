@@ -21,6 +21,8 @@ from rollforge.schemas import BOS_ID, EOS_ID, IGNORED_LABEL, PAD_ID, one_of, req
 Tokenizer = Callable[[Column], Column]
 # Tokens sent to every task that encodes texts.
 HEAD_TOKENS = 500_000
+# Text, or ids, that a task's Python takes apart at once.
+SLICE_BYTES = 4 << 20
 
 
 # ------------------------------------------------------------ vocabulary ids
@@ -42,11 +44,26 @@ def _words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(some), before[starts]
 
 
+def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``SLICE_BYTES`` by ``sizes``, one row at least: what
+    is made of a run goes by its bytes, not by the rows of a batch."""
+    part = (np.cumsum(sizes, dtype=np.int64) - sizes) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for start, stop in zip(cuts, cuts[1:]):
+        if stop > start:
+            yield batch.slice(start, stop - start)
+
+
+def _by_text(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from _slices(batch, pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
+
+
 def count_words(df: DataFrame, text: str) -> DataFrame:
     """token, n: each batch's different words with their counts (partial sums)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _by_text(batches, 0):
             found = pc.value_counts(_words_of(batch.column(0))[0])
             yield pa.RecordBatch.from_arrays(
                 [found.field("values").cast(pa.string()), found.field("counts")], names=["token", "n"]
@@ -72,7 +89,7 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, text: str = "text", head_t
     key_type = df.schema[key].dataType
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _by_text(batches, 1):
             words, starts = _words_of(batch.column(1))
             coded = words.dictionary_encode()
             known = pc.index_in(coded.dictionary, value_set=tokens)
@@ -104,13 +121,16 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, text: str = "text", head_t
     rare = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("pos", "token_id"))).alias("found"))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for ids, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                for place in places or ():
-                    ids[place["pos"]] = place["token_id"]
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["key", "ids"])
+        for whole in batches:
+            for batch in _slices(whole, pc.list_value_length(whole.column(1)).to_numpy(zero_copy_only=False) * 8):
+                lists, places = batch.column(1), batch.column(2)
+                ids, starts = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+                put, each = places.flatten(), pc.fill_null(pc.list_value_length(places), 0)
+                at = np.repeat(starts[:-1], each) + pc.struct_field(put, "pos").to_numpy(zero_copy_only=False)
+                known, values = ids.is_valid().to_numpy(zero_copy_only=False).copy(), pc.fill_null(ids, 0).to_numpy().copy()
+                values[at], known[at] = pc.struct_field(put, "token_id").to_numpy(zero_copy_only=False), True
+                filled = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, pa.int64(), mask=~known))
+                yield pa.RecordBatch.from_arrays([batch.column(0), filled], names=["key", "ids"])
 
     joined = coded.join(rare, "row", "left").select("key", "ids", "found")
     return joined.mapInArrow(fill, T.StructType(schema.fields[:2])).select(F.col("key").alias(key), F.col("ids").alias("input_ids"))

@@ -5,6 +5,7 @@ import json
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -312,3 +313,17 @@ def test_a_flush_of_many_runs_has_few_folders(spark, tmp_path):
     got = {(r["flush"], r["run_id"]): r["value"] for r in spark.read.parquet(path).collect()}
     assert spark.read.parquet(path).count() == len(got) == 1000
     assert all(v == (5.0 if flush and (run is None or run % 5 == 0) else 1.0) for (flush, run), v in got.items())
+
+
+@pytest.mark.parametrize("head", [3, 1000])
+def test_texts_are_coded_in_slices(spark, monkeypatch, head):
+    texts = [None, "", "b a " * 300, "x1 a c", " ", "c x2 x3 a", "x4 " * 900, "a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string").coalesce(1)
+    vocab = P.build_vocab(df)
+    ids = {r["token"]: r["token_id"] for r in vocab.collect()}
+    for most in (1 << 30, 64):
+        monkeypatch.setattr(P, "SLICE_BYTES", most)
+        got = {r["doc_id"]: r["input_ids"] for r in P.encode(df, vocab, "doc_id", head_tokens=head).collect()}
+        assert got == {i: [ids[w] for w in (t or "").split()] for i, t in enumerate(texts)}
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    assert [s.num_rows for s in P._by_text([batch], 0)] == [3, 4, 1] and [s.num_rows for s in P._by_text([batch.slice(0, 0)], 0)] == []
