@@ -34,8 +34,9 @@ def stats(df: DataFrame, keys: Sequence[str], value: str = "reward", prefix: str
     )
 
 
-def _with(df: DataFrame, keys: Sequence[str], value: str, prefix: str) -> DataFrame:
-    moments = stats(df, keys, value, prefix).select(
+def _with(df: DataFrame, keys: Sequence[str], value: str, prefix: str, source: DataFrame | None = None) -> DataFrame:
+    """``source``: the rows of ``df`` before other figures were joined to them, not to join them twice."""
+    moments = stats(df if source is None else source, keys, value, prefix).select(
         *keys, f"{prefix}n", f"{prefix}sum", f"{prefix}mean", f"{prefix}std"
     )
     return attach_stats(df, moments, keys, n=f"{prefix}n")
@@ -69,7 +70,7 @@ def scaled(
     j = _with(df, group, value, "__g_")
     centred = F.col(value) - F.col("__g_mean")
     if scale == "batch":
-        j = _with(j, batch, value, "__b_")
+        j = _with(j, batch, value, "__b_", df)
         std = F.col("__b_std")
     else:
         std = F.col("__g_std")

@@ -283,3 +283,13 @@ def test_clean_rows_without_broadcast(spark, monkeypatch):
     small = rows_of(J.without_leaked(rows, held, "text"))
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
     assert rows_of(J.without_leaked(rows, held, "text")) == small and len(small) == 30
+
+
+def test_batch_figures_do_not_join_the_group_figures_again(spark, monkeypatch):
+    """The batch's figures come from the rows given, not from their join with the groups' figures."""
+    read, stats = [], G.stats
+    monkeypatch.setattr(G, "stats", lambda df, *a: read.append(df.columns) or stats(df, *a))
+    df = spark.createDataFrame([("r", 0, 1, 1.0), ("r", 0, 1, 3.0), ("r", 0, 2, 6.0)], "run_id string, step int, prompt_id int, reward double")
+    got = sorted(r["advantage"] for r in G.scaled(df, "batch").collect())
+    std = (sum((x - 10 / 3) ** 2 for x in (1, 3, 6)) / 2) ** 0.5 + 1e-4
+    assert got == [pytest.approx(-1 / std), pytest.approx(0.0), pytest.approx(1 / std)] and read == [df.columns] * 2
