@@ -10,7 +10,7 @@ list, sets are first compared with a leader only; what links to it takes its
 component from it. Then only sets of different components in one list are
 compared, by blocks ordered by size, which are skipped when no sizes or list
 positions in them can reach the similarity, and pairs are skipped when parity
-bitmaps show that too many shingles differ. Pairs that remain are compared
+bitmaps, which grow with their sets, show that too many shingles differ. Pairs that remain are compared
 exactly, so no component is split.
 
 Links are then counted inside the components, by parts that can link by size.
@@ -45,8 +45,12 @@ LIST_PART = 4000
 SKIP_BLOCK = 256
 # Before all sets of different components are compared, each is with so many next ones.
 NEXT = 8
-# Lists up to this length are read beside others that begin with the same set.
+# Lists up to this length are read beside others that begin with the same set, by so many of its shingles.
 SHORT_LIST = 64
+PLACE_SHINGLES = 4096
+# 64-bit words of bitmaps compared at once, and pairs of a group after which repeats are dropped.
+WIDE_WORDS = 1 << 20
+HELD_PAIRS = 1 << 20
 # Up to so many texts (16 bytes each) are looked up by broadcast, more by shuffle.
 SENT_KEYS = 200_000
 # Sets of a component whose links are counted in one group; larger ones are split into pairs of parts.
@@ -320,30 +324,70 @@ def read_lists(prefixes: DataFrame, percent: int) -> DataFrame:
     return listed.mapInArrow(scan, LIST_ROWS)
 
 
-def cross_pairs(lists: DataFrame, percent: int, every: bool) -> DataFrame:
+class Bits:
+    """Bitmaps of the sets of one group of lists, for bounds on pairs of them."""
+
+    def __init__(self, wide: list[bytes], size: np.ndarray, percent: int) -> None:
+        self.wide = [np.frombuffer(w, dtype=U64) for w in wide]
+        self.width = np.array([len(w) for w in self.wide])
+        self.narrow = self.folded(np.arange(len(wide)), BITS // 64)
+        self.size, self.percent = size, percent
+
+    def folded(self, sets: np.ndarray, words: int) -> np.ndarray:
+        return np.stack([np.bitwise_xor.reduce(self.wide[i].reshape(-1, words), axis=0) for i in sets])
+
+    def few(self, differ: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        p = self.percent
+        return (100 + p) * differ.astype(np.int64) <= (100 - p) * (self.size[x] + self.size[y])
+
+    def may_link(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which of the pairs have few enough bits that differ, by narrow bitmaps."""
+        return self.few(np.bitwise_count(self.narrow[x] ^ self.narrow[y]).sum(axis=1, dtype=np.int64), x, y)
+
+    def still_may(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The same by the widest bitmaps that both sets of a pair have."""
+        keep = np.ones(len(x), dtype=bool)
+        both = np.minimum(self.width[x], self.width[y])
+        for words in np.unique(both[both > BITS // 64]).tolist():
+            mine = np.flatnonzero(both == words)
+            for at in np.split(mine, range(WIDE_WORDS // words, len(mine), WIDE_WORDS // words)):
+                some, place = np.unique(np.concatenate([x[at], y[at]]), return_inverse=True)
+                bits = self.folded(some, words)
+                differ = np.bitwise_count(bits[place[: len(at)]] ^ bits[place[len(at):]]).sum(axis=1, dtype=np.int64)
+                keep[at] = self.few(differ, x[at], y[at])
+        return keep
+
+
+def cross_pairs(lists: DataFrame, percent: int, every: bool, sets: DataFrame | None = None) -> DataFrame:
     """(a, b) of sets of different components that may link, by list or pair of
     list parts. ``lists``: place, token, part, other, own, sid, label, size, pos,
-    bitmap, sorted by (place, token, part, other, size). Lists of one place are
-    mostly of the same sets, and give a pair once. Without ``every``, a set is
-    only paired with the next few in size order: one pair at most."""
+    and bitmap unless ``sets`` (sid, bitmap) has it. Lists of one place are mostly
+    of the same sets: a set comes there once, with its bitmap, and a pair is given
+    once. Without ``every``, a set is only paired with the next few in size order:
+    one pair at most by list."""
+    key = ["place", "part", "other"]
+    once = ["label", "size", *([] if sets is not None else ["bitmap"])]
+    placed = lists.repartition("sid").groupBy("sid", *key).agg(
+        *[F.first(c).alias(c) for c in once], F.collect_list(F.struct("token", "pos", "own")).alias("rows")
+    )
+    placed = placed.join(sets, "sid") if sets is not None else placed
+    placed = placed.select(*key, "sid", "label", "size", "bitmap", "rows").repartition(*key).sortWithinPartitions(*key)
 
-    def neighbours(rows: dict[str, np.ndarray], out: list[np.ndarray]) -> None:
-        size, label, bits, sid = rows["size"], rows["label"], rows["bitmap"], rows["sid"]
-        left = np.arange(len(size))
+    def neighbours(sets: np.ndarray, label: np.ndarray, bits: Bits) -> Iterator[np.ndarray]:
+        left = np.arange(len(sets))
         for step in range(1, NEXT + 1):
-            x = left[left + step < len(size)]
-            y = x + step
-            total = size[x] + size[y]
-            differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
-            fits = (label[x] != label[y]) & ((100 + percent) * differ <= (100 - percent) * total)
-            out.append(np.stack([np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])])[:, fits])
-            left = x[~fits]
-
-    def compare(rows: dict[str, np.ndarray], out: list[np.ndarray]) -> None:
-        size, pos, label, own = rows["size"], rows["pos"], rows["label"], rows["own"]
-        bits, sid = rows["bitmap"], rows["sid"]
+            left = left[left + step < len(sets)]
+            x, y = sets[left], sets[left + step]
+            fits = (label[x] != label[y]) & bits.may_link(x, y)
+            fits[fits] = bits.still_may(x[fits], y[fits])
+            yield np.stack([x[fits], y[fits]])
+            left = left[~fits]
+
+    def compare(
+        sets: np.ndarray, pos: np.ndarray, own: np.ndarray, split: bool, label: np.ndarray, bits: Bits
+    ) -> Iterator[np.ndarray]:
+        size, label = bits.size[sets], label[sets]
         n = len(size)
-        split = rows["part"][0] != rows["other"][0]
         for i in range(0, n, SKIP_BLOCK):
             a = slice(i, min(n, i + SKIP_BLOCK))
             for j in range(i, n, SKIP_BLOCK):
@@ -370,53 +414,63 @@ def cross_pairs(lists: DataFrame, percent: int, every: bool) -> DataFrame:
                 # shared shingles: those before both positions, this one, those after both
                 most = np.minimum(pos[x], pos[y]) + np.minimum(size[x] - pos[x], size[y] - pos[y])
                 keep = (100 + percent) * most >= percent * (size[x] + size[y])
-                x, y = x[keep], y[keep]
-                differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
-                keep = (100 + percent) * differ <= (100 - percent) * (size[x] + size[y])
-                x, y = x[keep], y[keep]
-                out.append(np.stack([np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])]))
+                x, y = sets[x[keep]], sets[y[keep]]
+                yield np.stack([x, y])[:, bits.may_link(x, y)]
+
+    def pairs_of(held: list[pa.RecordBatch]) -> np.ndarray:
+        """Pairs of sids, least first, of all lists of one group."""
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        sid, label, size = (rows.column(c).to_numpy().astype(np.int64) for c in ("sid", "label", "size"))
+        if len(sid) < 2 or label.min() == label.max():
+            return np.zeros((2, 0), dtype=np.int64)
+        bits = Bits(rows.column("bitmap").to_pylist(), size, percent)
+        listed = rows.column("rows")
+        token, pos, own = (listed.flatten().field(c).to_numpy().astype(np.int64) for c in ("token", "pos", "own"))
+        sets = np.repeat(np.arange(len(sid)), listed.value_lengths().to_numpy())
+        split = rows.column("part")[0] != rows.column("other")[0]
+        by = np.lexsort((sid[sets], size[sets], token))
+        token, pos, own, sets = token[by], pos[by], own[by], sets[by]
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1, [len(token)]))
+        out = [np.zeros(0, dtype=np.int64)]
+        waiting = 0
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            mine = slice(a, b)
+            found = compare(sets[mine], pos[mine], own[mine], split, label, bits) if every else neighbours(sets[mine], label, bits)
+            for x, y in found:
+                out.append(np.minimum(x, y) * len(sid) + np.maximum(x, y))
+                waiting += len(x)
+            if waiting > HELD_PAIRS:
+                out, waiting = [np.unique(np.concatenate(out))], 0
+        x, y = np.divmod(np.unique(np.concatenate(out)), len(sid))
+        if every:
+            keep = bits.still_may(x, y)
+            x, y = x[keep], y[keep]
+        return np.stack([np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] | None = None
-        key = ("token", "part", "other")
-        given: set[tuple[int, int]] = set()
-        place = None
+        now: tuple | None = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "bitmap"}
-            flat = np.frombuffer(b"".join(batch.column("bitmap").to_pylist()), dtype=U64)
-            rows["bitmap"] = flat.reshape(-1, BITS // 64)
-            if not len(rows["sid"]):
+            if not batch.num_rows:
                 continue
-            if held is not None:
-                rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
-            n = len(rows["sid"])
-            change = np.zeros(n - 1, dtype=bool)
-            for c in key:
-                change |= np.diff(rows[c]) != 0
-            cuts = np.concatenate(([0], np.flatnonzero(change) + 1))
-            fresh: list[tuple[int, int]] = []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if rows["place"][a] != place or len(given) > 1_000_000:
-                    place = rows["place"][a]
-                    given.clear()
-                fresh += new_pairs({c: v[a:b] for c, v in rows.items()}, given)
-            held = {c: v[cuts[-1]:] for c, v in rows.items()}
-            yield batch_of(fresh)
-        if held is not None:
-            yield batch_of(new_pairs(held, given if held["place"][0] == place else set()))
-
-    def new_pairs(rows: dict[str, np.ndarray], given: set[tuple[int, int]]) -> list[tuple[int, int]]:
-        out: list[np.ndarray] = []
-        (compare if every else neighbours)(rows, out)
-        found = {p for o in out for p in zip(*o.tolist(), strict=True)} - given
-        given |= found
-        return list(found)
-
-    def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        both = np.array(found, dtype=np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
-
-    return lists.mapInArrow(scan, "a long, b long")
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in key])
+            cuts = np.concatenate(([0], np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1, [batch.num_rows]))
+            found = []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if tuple(keys[:, a].tolist()) != now:
+                    if held:
+                        found.append(pairs_of(held))
+                    now, held = tuple(keys[:, a].tolist()), []
+                held.append(batch.slice(a, b - a))
+            yield batch_of(found)
+        if held:
+            yield batch_of([pairs_of(held)])
+
+    def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.concatenate([np.zeros((2, 0), dtype=np.int64), *found], axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+    return placed.mapInArrow(scan, "a long, b long")
 
 
 def link_counts(values: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
@@ -468,7 +522,7 @@ def link_counts(values: list[np.ndarray], side: np.ndarray, percent: int) -> np.
 
 class Corpus:
     """Texts (text_key, doc_id, text) and their distinct sets (sid, d1, size,
-    bitmap, and the key and id of one text)."""
+    wide bitmap, and the key and id of one text)."""
 
     def __init__(self, texts: DataFrame, sets: DataFrame, words: int, percent: int) -> None:
         self.texts, self.sets, self.words, self.percent = texts, sets, words, percent
@@ -626,7 +680,7 @@ def link_components(
         .orderBy(F.desc("n"), "token").limit(SENT_FREQUENT).toPandas().sort_values("token", key=lambda c: c.to_numpy().view(U64))
     )
     sets = rows.where("size > 0").groupBy("d1", "d2").agg(
-        F.max("size").alias("size"), F.min("bitmap").alias("bitmap"), F.min("wide").alias("wide"),
+        F.max("size").alias("size"), F.min("wide").alias("wide"),
         F.min(F.struct("text_key", F.col("doc_id").alias("one"))).alias("text"),
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("docs"),
     ).select("*", "text.*").drop("text")
@@ -663,21 +717,22 @@ def link_components(
         named = long.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
         named = named.withColumn("label", F.coalesce("label", "sid"))
         split = named.groupBy("token").agg(
-            F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("sid").alias("head")
+            F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
+            F.min(F.struct("sid", "size")).alias("head"),
         ).where("low < high")
         parts = F.ceil(F.col("n") / list_part).cast("int")
-        place = F.when(F.col("n") <= SHORT_LIST, F.col("head")).otherwise(F.col("token"))
+        # a large set begins many lists; they are read in several places
+        share = F.pmod(F.xxhash64("token"), 1 + F.floor(F.col("head.size") / PLACE_SHINGLES))
+        place = F.when(F.col("n") <= SHORT_LIST, F.xxhash64("head.sid", share)).otherwise(F.col("token"))
         placed = (
             named.join(split.select("token", parts.alias("parts"), place.alias("place")), "token")
             .withColumn("own", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
             .withColumn("with", F.explode(F.expr("sequence(0, parts - 1)")))
             .withColumn("part", F.least("own", "with")).withColumn("other", F.greatest("own", "with"))
-            .join(sets.select("sid", "bitmap"), "sid")
-            .select("place", "token", "part", "other", "own", "sid", "label", "size", "pos", "bitmap")
+            .select("place", "token", "part", "other", "own", "sid", "label", "size", "pos")
         )
-        order = ["place", "token", "part", "other"]
-        placed = placed.repartition("place", "part", "other").sortWithinPartitions(*order, "size", "sid")
-        return corpus.likely(materialize(cross_pairs(placed, percent, every).distinct(), "cross_pairs"))
+        bitmaps_of = sets.select("sid", F.col("wide").alias("bitmap"))
+        return materialize(cross_pairs(placed, percent, every, bitmaps_of).distinct(), "cross_pairs")
 
     def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
         return star_components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(links))

@@ -522,6 +522,29 @@ def test_skipped_blocks_hold_no_link(spark, block, monkeypatch):
     assert want <= got
 
 
+@pytest.mark.parametrize("every", [False, True])
+def test_large_sets_that_share_one_shingle_are_no_candidates(spark, every):
+    """Bitmaps of fixed size are full for large sets and let all of their pairs through."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    sets, rows = [], []
+    for sid in range(12):
+        value = np.sort(rng.integers(0, 2**63, 5000).astype(np.uint64))
+        if sid == 11:  # a near copy of the one before
+            value = np.sort(np.concatenate([last[200:], value[:200]]))
+        _, wide = jaccard_join.bitmaps(np.array([0, len(value)]), value)
+        sets.append((sid, wide[0].as_py()))
+        rows += [(3, token, 0, 0, 0, sid, sid, len(value), 0) for token in (7, 8)]
+        last = value
+    lists = spark.createDataFrame(
+        rows, "place long, token long, part int, other int, own int, sid long, label long, size int, pos int"
+    )
+    bitmaps = spark.createDataFrame(sets, "sid long, bitmap binary")
+    got = jaccard_join.cross_pairs(lists, jaccard_join.PERCENT, every, bitmaps).collect()
+    assert [(r.a, r.b) for r in got] == [(10, 11)]
+
+
 def test_components_of_nothing(empty):
     assert jaccard_join.link_components(empty).count() == 0
 
