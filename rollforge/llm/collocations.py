@@ -1,14 +1,16 @@
 """Phrase collocation mining with broadcast double-array tries.
 
 Words that reach the minimum count get small codes, and texts are written once
-as code arrays. Then phrases grow word by word. A phrase can only be frequent if
-the phrases without its last and without its first word are (Apriori), and if
-the bucket that its hash falls in is: tasks add up buckets of "frequent phrase
-plus next word", and only phrases of full buckets become candidates. Candidates
-go into double-array tries of bounded size that are sent to every task; numpy
-walks all positions of a text piece together, digit by digit, and counts the
-leaves they reach. Counts of tasks are summed by phrase, so they are exact, and
-are scored in SQL functions.
+as code arrays. Then phrases grow word by word. Frequent phrases go into
+double-array tries of bounded size that are sent to every task; numpy walks all
+positions of a text piece together, digit by digit, and each leaf reached with
+the next word is an occurrence of a longer phrase. That one can only be frequent
+if the phrase without its first word is (Apriori: the next position reaches a
+leaf too), and if the bucket that its hash falls in is: tasks add up buckets
+first, and only phrases of full buckets are counted one by one. Counts of tasks
+are summed by phrase, so they are exact, and are scored in SQL functions. There
+are as many counting tasks as cores: what they send to be summed goes by the
+phrases, not by phrases times splits of the texts.
 """
 
 from __future__ import annotations
@@ -31,12 +33,14 @@ from rollforge.plans.storage import materialize
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-# Candidates in one trie; more are counted with several tries, one after the other.
+# Phrases in one trie; more are looked up with several tries, one after the other.
 TRIE_PHRASES = 1_000_000
 # Frequent words sent to every task; more are looked up by shuffle.
 SENT_WORDS = 1_000_000
 # Buckets that extensions of phrases are hashed to: 64 MB of counts in a task.
 BUCKETS = 1 << 24
+# Extensions that a task counts before it sends them.
+HELD = 1 << 20
 # Codes in one row of the written texts, and bytes of a long text taken at once.
 ROW_CODES = 1 << 18
 SLICE = 1 << 20
@@ -278,23 +282,29 @@ def bucket_of(ids: np.ndarray, words: np.ndarray, buckets: int) -> np.ndarray:
     return (x >> np.uint64(20)).astype(np.int64) & (buckets - 1)
 
 
-def longer(phrases: Phrases, lang: str, codes: np.ndarray, core: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the phrases found that a word with a code follows, and that word's code."""
-    at, leaf = phrases.found(lang, codes, core)
-    inside = at + phrases.length < len(codes)
-    at, leaf = at[inside], leaf[inside]
+def longer(phrases: Phrases, lang: str, codes: np.ndarray, core: int, alone: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the phrases found that a word with a code follows, and that
+    word's code. If the trie is ``alone`` (it holds all phrases of its length), the
+    phrase that starts one word later has to be found too."""
+    at, leaf = phrases.found(lang, codes, core + 1)
+    follows = (at < core) & (at + phrases.length < len(codes))
+    if alone:
+        follows[:-1] &= at[1:] == at[:-1] + 1
+        follows[-1:] = False
+    at, leaf = at[follows], leaf[follows]
     after = codes[at + phrases.length]
-    return phrases.ids[leaf[after > 0]], after[after > 0]
+    return leaf[after > 0], after[after > 0]
 
 
-def bucket_sums(texts: DataFrame, phrases: Phrases, buckets: int) -> DataFrame:
+def bucket_sums(texts: DataFrame, phrases: Phrases, buckets: int, alone: bool) -> DataFrame:
     """Occurrences of "phrase plus next word" by bucket: bucket, n. A task has at
     most one row for each different extension of its texts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, dtype=np.uint32)
         for lang, codes, core in each_row(batches):
-            found, n = np.unique(bucket_of(*longer(phrases, lang, codes, core), buckets), return_counts=True)
+            leaf, after = longer(phrases, lang, codes, core, alone)
+            found, n = np.unique(bucket_of(phrases.ids[leaf], after, buckets), return_counts=True)
             total[found] += n.astype(np.uint32)
         for first in range(0, buckets, 1 << 20):
             part = np.flatnonzero(total[first: first + (1 << 20)]) + first
@@ -303,42 +313,35 @@ def bucket_sums(texts: DataFrame, phrases: Phrases, buckets: int) -> DataFrame:
     return texts.mapInArrow(scan, "bucket long, n long")
 
 
-def extensions(texts: DataFrame, phrases: Phrases, full: np.ndarray) -> DataFrame:
-    """Different "phrase plus next word" of full buckets: id, code (repeats between tasks)."""
+def extensions(texts: DataFrame, phrases: Phrases, full: np.ndarray, alone: bool) -> DataFrame:
+    """Occurrences of "phrase plus next word" of full buckets: id, code, n (to be
+    summed: one row a task and extension, more beyond ``HELD`` of them)."""
     buckets, packed = len(full), np.packbits(full)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = np.unpackbits(packed).astype(bool)
-        held = np.zeros((0, 2), dtype=np.int64)
+        held, count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for lang, codes, core in each_row(batches):
-            ids, after = longer(phrases, lang, codes, core)
-            keep = full[bucket_of(ids, after, buckets)]
-            pairs = np.stack([ids[keep], after[keep].astype(np.int64)], axis=1)
-            held = np.unique(np.concatenate([held, pairs]), axis=0)
-            if len(held) > 1 << 20:
-                yield rows(held)
-                held = held[:0]
-        yield rows(held)
-
-    def rows(held: np.ndarray) -> pa.RecordBatch:
+            leaf, after = longer(phrases, lang, codes, core, alone)
+            keep = full[bucket_of(phrases.ids[leaf], after, buckets)]
+            found, n = np.unique((leaf[keep].astype(np.int64) << 32) | after[keep], return_counts=True)
+            both, place = np.unique(np.concatenate([held, found]), return_inverse=True)
+            summed = np.zeros(len(both), dtype=np.int64)
+            summed[place[: len(held)]] = count
+            summed[place[len(held):]] += n
+            held, count = both, summed
+            if len(held) > HELD:
+                yield rows(held, count)
+                held, count = held[:0], count[:0]
+        yield rows(held, count)
+
+    def rows(held: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(held[:, 0]), pa.array(held[:, 1].astype(np.int32))], names=["id", "code"]
+            [pa.array(phrases.ids[held >> 32]), pa.array((held & 0xFFFFFFFF).astype(np.int32)), pa.array(count)],
+            names=["id", "code", "n"],
         )
 
-    return texts.mapInArrow(scan, "id long, code int")
-
-
-def occurrences(texts: DataFrame, phrases: Phrases) -> DataFrame:
-    """Occurrences of every phrase of the trie: id, n (one row a task and phrase)."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(phrases.ids), dtype=np.int64)
-        for lang, codes, core in each_row(batches):
-            total += np.bincount(phrases.found(lang, codes, core)[1], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(phrases.ids[some]), pa.array(total[some])], names=["id", "n"])
-
-    return texts.mapInArrow(scan, "id long, n long")
+    return texts.mapInArrow(scan, "id long, code int, n long")
 
 
 def tries(phrases: DataFrame, length: int, width: int, limit: int) -> Iterator[Phrases]:
@@ -365,31 +368,24 @@ def frequent_phrases(
     )
     vocabulary = words.select("lang", F.col("word").alias("last"), "code")
     known = [level]
+    texts = texts.coalesce(texts.sparkSession.sparkContext.defaultParallelism)
     for length in range(2, max_words + 1):
-        sums, longer_ones = [], []
-        for trie in tries(level, length - 1, width, trie_phrases):
-            sums.append(bucket_sums(texts, trie, BUCKETS))
+        alone = level.count() <= trie_phrases
+        sums = [bucket_sums(texts, trie, BUCKETS, alone) for trie in tries(level, length - 1, width, trie_phrases)]
         if not sums:
             break
         full = np.zeros(BUCKETS, dtype=bool)
         rows = union(sums).groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("bucket").toArrow()
         full[rows.column("bucket").to_numpy()] = True
-        for trie in tries(level, length - 1, width, trie_phrases):
-            longer_ones.append(extensions(texts, trie, full))
-        grown = union(longer_ones).distinct().join(level.select("id", "lang", "phrase", "words"), "id")
-        grown = grown.join(vocabulary, ["lang", "code"]).select(
-            "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), F.concat("words", F.array("code")).alias("words")
+        counted = [extensions(texts, trie, full, alone) for trie in tries(level, length - 1, width, trie_phrases)]
+        counts = union(counted).groupBy("id", "code").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+        grown = counts.join(level.select("id", "lang", "phrase", "words"), "id").join(vocabulary, ["lang", "code"])
+        level = materialize(
+            grown.select(
+                F.monotonically_increasing_id().alias("id"), "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"),
+                F.concat("words", F.array("code")).alias("words"), "n",
+            ), f"frequent_{length}",
         )
-        # Apriori for the phrase without its first word
-        shorter = level.select("lang", F.col("phrase").alias("rest"))
-        grown = grown.withColumn("rest", F.expr("substring(phrase, instr(phrase, ' ') + 1)"))
-        grown = grown.join(shorter, ["lang", "rest"], "left_semi").drop("rest")
-        candidates = materialize(grown.withColumn("id", F.monotonically_increasing_id()), f"candidates_{length}")
-        counted = [occurrences(texts, trie) for trie in tries(candidates, length, width, trie_phrases)]
-        if not counted:
-            break
-        counts = union(counted).groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-        level = materialize(candidates.join(counts, "id").select("id", "lang", "phrase", "words", "n"), f"frequent_{length}")
         known.append(level)
     return union([k.select("lang", F.size("words").alias("length"), "phrase", "n") for k in known])
 

@@ -112,6 +112,19 @@ def test_trie_holds_its_rows_and_no_others():
     assert (trie.leaf[state[::2]] == np.arange(len(rows[::2]))).all()
 
 
+def test_counts_sent_go_by_cores_not_by_splits(spark, monkeypatch):
+    """200 texts "a b c" in 40 splits: a task and phrase send one row, a task a core."""
+    sent, real = [], co.extensions
+    monkeypatch.setattr(co, "extensions", lambda *args: sent.append(real(*args)) or sent[-1])
+    codes = bytearray(np.array([1, 2, 3, 0], dtype=np.int32).tobytes())
+    texts = spark.createDataFrame([("en", codes, 4)] * 200, co.CODE_ROWS).repartition(40)
+    words = spark.createDataFrame([("en", w, i + 1, 200) for i, w in enumerate("abc")], "lang string, word string, code int, n long")
+    got = {r.phrase: r.n for r in co.frequent_phrases(texts, words, 100, 3, 10, 1).collect()}
+    assert got == dict.fromkeys(["a", "b", "c", "a b", "b c", "a b c"], 200)
+    cores = spark.sparkContext.defaultParallelism
+    assert cores < 40 and [s.count() <= n * cores for s, n in zip(sent, (2, 1), strict=True)] == [True, True]
+
+
 def test_products_beyond_64_bits(spark):
     big = 10**14
     found = spark.createDataFrame(
