@@ -7,7 +7,8 @@ positions of a text piece together, digit by digit, and each leaf reached with
 the next word is an occurrence of a longer phrase. That one can only be frequent
 if the phrase without its first word is (Apriori: the next position reaches a
 leaf too), and if the bucket that its hash falls in is: tasks add up buckets
-first, and only phrases of full buckets are counted one by one. Counts of tasks
+first, up to the minimum count, and only phrases of full buckets are counted one
+by one. Counts of tasks
 are summed by phrase, so they are exact, and are scored in SQL functions. There
 are as many counting tasks as cores: what they send to be summed goes by the
 phrases, not by phrases times splits of the texts.
@@ -37,8 +38,9 @@ TOP = 2000
 TRIE_PHRASES = 1_000_000
 # Frequent words sent to every task; more are looked up by shuffle.
 SENT_WORDS = 1_000_000
-# Buckets that extensions of phrases are hashed to: 64 MB of counts in a task.
+# Buckets that extensions of phrases are hashed to, a byte each for counts below 256, and buckets sent in one row.
 BUCKETS = 1 << 24
+BUCKET_RUN = 1 << 16
 # Extensions that a task counts before it sends them.
 HELD = 1 << 20
 # Codes in one row of the written texts, and bytes of a long text taken at once.
@@ -296,34 +298,68 @@ def longer(phrases: Phrases, lang: str, codes: np.ndarray, core: int, alone: boo
     return leaf[after > 0], after[after > 0]
 
 
-def bucket_sums(texts: DataFrame, phrases: Phrases, buckets: int, alone: bool) -> DataFrame:
-    """Occurrences of "phrase plus next word" by bucket: bucket, n. A task has at
-    most one row for each different extension of its texts."""
+def added(total: np.ndarray, more: np.ndarray, most: int) -> np.ndarray:
+    """``total + more``, or ``most`` where the sum is larger: a sum of such sums
+    reaches ``most`` exactly if the sum of the counts does."""
+    return np.minimum(total.astype(np.int64) + more, most).astype(total.dtype)
+
+
+def bucket_sums(texts: DataFrame, phrases: Phrases, buckets: int, alone: bool, min_count: int) -> DataFrame:
+    """Occurrences of "phrase plus next word" by bucket, up to ``min_count``: run,
+    counts (of its buckets). A task has a row for each run with occurrences."""
+    dtype = np.min_scalar_type(min_count)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, dtype=np.uint32)
+        total = np.zeros(buckets, dtype=dtype)
         for lang, codes, core in each_row(batches):
             leaf, after = longer(phrases, lang, codes, core, alone)
             found, n = np.unique(bucket_of(phrases.ids[leaf], after, buckets), return_counts=True)
-            total[found] += n.astype(np.uint32)
-        for first in range(0, buckets, 1 << 20):
-            part = np.flatnonzero(total[first: first + (1 << 20)]) + first
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part].astype(np.int64))], names=["bucket", "n"])
+            total[found] = added(total[found], n, min_count)
+        for run, first in enumerate(range(0, buckets, BUCKET_RUN)):
+            part = total[first: first + BUCKET_RUN]
+            if part.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([run], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["run", "counts"]
+                )
+
+    return texts.mapInArrow(scan, "run int, counts binary")
 
-    return texts.mapInArrow(scan, "bucket long, n long")
+
+def full_buckets(sums: DataFrame, buckets: int, min_count: int) -> np.ndarray:
+    """A bit for each bucket (packed), set if the tasks' sums (run, counts) reach ``min_count``."""
+    dtype = np.min_scalar_type(min_count)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for run, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                more = np.frombuffer(counts.as_buffer(), dtype=dtype)
+                total[run] = added(total[run], more, min_count) if run in total else more.copy()
+        for run, counts in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([run], pa.int32()), pa.array([np.packbits(counts >= min_count).tobytes()], pa.binary())],
+                names=["run", "full"],
+            )
+
+    packed = np.zeros(-(-buckets // 8), dtype=np.uint8)
+    rows = sums.repartition("run").mapInArrow(scan, "run int, full binary").toArrow()
+    for run, full in zip(rows.column("run").to_pylist(), rows.column("full").to_pylist(), strict=True):
+        first = run * BUCKET_RUN // 8
+        packed[first: first + len(full)] = np.frombuffer(full, dtype=np.uint8)
+    return packed
 
 
 def extensions(texts: DataFrame, phrases: Phrases, full: np.ndarray, alone: bool) -> DataFrame:
-    """Occurrences of "phrase plus next word" of full buckets: id, code, n (to be
-    summed: one row a task and extension, more beyond ``HELD`` of them)."""
-    buckets, packed = len(full), np.packbits(full)
+    """Occurrences of "phrase plus next word" of ``full`` buckets (packed bits): id,
+    code, n (to be summed: one row a task and extension, more beyond ``HELD`` of them)."""
+    buckets = 8 * len(full)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full = np.unpackbits(packed).astype(bool)
         held, count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for lang, codes, core in each_row(batches):
             leaf, after = longer(phrases, lang, codes, core, alone)
-            keep = full[bucket_of(phrases.ids[leaf], after, buckets)]
+            bucket = bucket_of(phrases.ids[leaf], after, buckets)
+            keep = (full[bucket >> 3] << (bucket & 7)) & 128 > 0
             found, n = np.unique((leaf[keep].astype(np.int64) << 32) | after[keep], return_counts=True)
             both, place = np.unique(np.concatenate([held, found]), return_inverse=True)
             summed = np.zeros(len(both), dtype=np.int64)
@@ -371,12 +407,10 @@ def frequent_phrases(
     texts = texts.coalesce(texts.sparkSession.sparkContext.defaultParallelism)
     for length in range(2, max_words + 1):
         alone = level.count() <= trie_phrases
-        sums = [bucket_sums(texts, trie, BUCKETS, alone) for trie in tries(level, length - 1, width, trie_phrases)]
+        sums = [bucket_sums(texts, trie, BUCKETS, alone, min_count) for trie in tries(level, length - 1, width, trie_phrases)]
         if not sums:
             break
-        full = np.zeros(BUCKETS, dtype=bool)
-        rows = union(sums).groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("bucket").toArrow()
-        full[rows.column("bucket").to_numpy()] = True
+        full = full_buckets(union(sums), BUCKETS, min_count)
         counted = [extensions(texts, trie, full, alone) for trie in tries(level, length - 1, width, trie_phrases)]
         counts = union(counted).groupBy("id", "code").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
         grown = counts.join(level.select("id", "lang", "phrase", "words"), "id").join(vocabulary, ["lang", "code"])

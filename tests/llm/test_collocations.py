@@ -125,6 +125,25 @@ def test_counts_sent_go_by_cores_not_by_splits(spark, monkeypatch):
     assert cores < 40 and [s.count() <= n * cores for s, n in zip(sent, (2, 1), strict=True)] == [True, True]
 
 
+@pytest.mark.parametrize("min_count", [100, 1000])
+def test_bucket_sums_are_one_row_a_run(spark, min_count):
+    """Nine tasks each hold a ninth of what makes a bucket full, one bucket just misses it; a task's
+    rows go by runs of buckets, not by buckets."""
+    buckets, step = 4 * co.BUCKET_RUN, min_count // 10
+    phrases = co.Phrases(pa.table({"lang": ["en"], "words": [[1]], "id": [7]}), 1, 1)
+    few = np.tile([1, 2, 1, 3], step).astype(np.int32)  # "1 2" and "1 3", a tenth of the count
+    rows = [("en", bytearray(np.append(few, 0).astype(np.int32).tobytes()), 4 * step + 1)] * 9
+    rows.append(("en", bytearray(np.tile([1, 2], step).astype(np.int32).tobytes()), 2 * step))
+    texts = spark.createDataFrame(rows, co.CODE_ROWS).repartition(10)
+    sums = co.bucket_sums(texts, phrases, buckets, False, min_count)
+    assert sums.count() <= 10 * 4
+    full = np.unpackbits(co.full_buckets(sums, buckets, min_count))
+    at = co.bucket_of(np.array([7, 7]), np.array([2, 3]), buckets)
+    assert len(full) == buckets and np.flatnonzero(full).tolist() == [at[0]]
+    counts = {(r.id, r.code): r.n for r in co.extensions(texts, phrases, np.packbits(full), False).groupBy("id", "code").sum("n").toDF("id", "code", "n").collect()}
+    assert counts == {(7, 2): min_count}
+
+
 def test_products_beyond_64_bits(spark):
     big = 10**14
     found = spark.createDataFrame(
