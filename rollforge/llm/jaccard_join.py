@@ -43,6 +43,8 @@ SENT_FREQUENT = 500_000
 # Rows of a list that are compared in one group; longer lists are split into pairs of parts.
 LIST_PART = 4000
 SKIP_BLOCK = 256
+# Pairs whose narrow bitmaps are compared at once.
+PAIR_BLOCK = SKIP_BLOCK * SKIP_BLOCK
 # Before all sets of different components are compared, each is with so many next ones.
 NEXT = 8
 # Lists up to this length are read beside others that begin with the same set, by so many of its shingles.
@@ -95,8 +97,14 @@ def shingles(raw: np.ndarray, at: np.ndarray, words: int = WORDS) -> tuple[np.nd
         texts.append(short)
         hashes.append(mixed(whole))
     text, value = np.concatenate(texts), np.concatenate(hashes)
-    order = np.lexsort((value, text))
-    text, value = text[order], value[order]
+    if len(short):
+        order = np.argsort(text, kind="stable")
+        text, value = text[order], value[order]
+    # text by text, in place: far cheaper than one sort by two keys
+    starts = np.searchsorted(text, np.arange(len(count) + 1)).tolist()
+    for a, b in zip(starts[:-1], starts[1:], strict=True):
+        if b - a > 1:
+            value[a:b].sort()
     new = np.ones(len(text), dtype=bool)
     new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
     return text[new], value[new]
@@ -224,8 +232,8 @@ def prefix_rows(docs: DataFrame, words: int, percent: int, frequent: np.ndarray,
                     place = np.minimum(np.searchsorted(common, value), len(common) - 1)
                     order = np.where(common[place] == value, weight[place], 0)
                 if order.any():
-                    by = np.lexsort((value, order, owner))
-                    value = value[by]
+                    # values rise within their set already
+                    value = value[np.argsort(owner * (order.max() + 1) + order, kind="stable")]
                 first = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(size)))))
                 pos = np.arange(len(value)) - first[owner]
                 take = pos < prefix_size(size, percent)[owner]
@@ -334,7 +342,15 @@ class Bits:
         self.size, self.percent = size, percent
 
     def folded(self, sets: np.ndarray, words: int) -> np.ndarray:
-        return np.stack([np.bitwise_xor.reduce(self.wide[i].reshape(-1, words), axis=0) for i in sets])
+        out = np.zeros((len(sets), words), dtype=U64)
+        width = self.width[sets]
+        for wide in np.unique(width).tolist():
+            step = max(1, WIDE_WORDS // wide)
+            mine = np.flatnonzero(width == wide)
+            for at in np.split(mine, range(step, len(mine), step)):
+                bits = np.concatenate([self.wide[i] for i in sets[at].tolist()])
+                out[at] = np.bitwise_xor.reduce(bits.reshape(len(at), -1, words), axis=1)
+        return out
 
     def few(self, differ: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         p = self.percent
@@ -342,7 +358,11 @@ class Bits:
 
     def may_link(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Which of the pairs have few enough bits that differ, by narrow bitmaps."""
-        return self.few(np.bitwise_count(self.narrow[x] ^ self.narrow[y]).sum(axis=1, dtype=np.int64), x, y)
+        differ = np.zeros(len(x), dtype=np.int64)
+        for first in range(0, len(x), PAIR_BLOCK):
+            some = slice(first, first + PAIR_BLOCK)
+            differ[some] = np.bitwise_count(self.narrow[x[some]] ^ self.narrow[y[some]]).sum(axis=1, dtype=np.int64)
+        return self.few(differ, x, y)
 
     def still_may(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """The same by the widest bitmaps that both sets of a pair have."""
@@ -358,6 +378,27 @@ class Bits:
         return keep
 
 
+def next_pairs(sets: np.ndarray, ends: np.ndarray, label: np.ndarray, bits: Bits) -> np.ndarray:
+    """For each place of the lists its first pair, of its set and one of the ``NEXT``
+    ones, that may link and differs in label: a column for each different pair.
+    ``sets`` are all lists, one after the other, ``ends`` the end of each place's
+    list. All lists move together, and a pair that many hold is compared once."""
+    n = len(label)
+    out = [np.zeros(0, dtype=np.int64)]
+    left = np.arange(len(sets))
+    for step in range(1, NEXT + 1):
+        left = left[left + step < ends[left]]
+        x, y = sets[left], sets[left + step]
+        apart = np.flatnonzero(label[x] != label[y])
+        pairs, place = np.unique(x[apart] * n + y[apart], return_inverse=True)
+        x, y = np.divmod(pairs, n)
+        fits = bits.may_link(x, y)
+        fits[fits] = bits.still_may(x[fits], y[fits])
+        out.append(pairs[fits])
+        left = np.delete(left, apart[fits[place]])
+    return np.stack(np.divmod(np.unique(np.concatenate(out)), n))
+
+
 def cross_pairs(lists: DataFrame, percent: int, every: bool, sets: DataFrame | None = None) -> DataFrame:
     """(a, b) of sets of different components that may link, by list or pair of
     list parts. ``lists``: place, token, part, other, own, sid, label, size, pos,
@@ -373,16 +414,6 @@ def cross_pairs(lists: DataFrame, percent: int, every: bool, sets: DataFrame | N
     placed = placed.join(sets, "sid") if sets is not None else placed
     placed = placed.select(*key, "sid", "label", "size", "bitmap", "rows").repartition(*key).sortWithinPartitions(*key)
 
-    def neighbours(sets: np.ndarray, label: np.ndarray, bits: Bits) -> Iterator[np.ndarray]:
-        left = np.arange(len(sets))
-        for step in range(1, NEXT + 1):
-            left = left[left + step < len(sets)]
-            x, y = sets[left], sets[left + step]
-            fits = (label[x] != label[y]) & bits.may_link(x, y)
-            fits[fits] = bits.still_may(x[fits], y[fits])
-            yield np.stack([x[fits], y[fits]])
-            left = left[~fits]
-
     def compare(
         sets: np.ndarray, pos: np.ndarray, own: np.ndarray, split: bool, label: np.ndarray, bits: Bits
     ) -> Iterator[np.ndarray]:
@@ -418,7 +449,7 @@ def cross_pairs(lists: DataFrame, percent: int, every: bool, sets: DataFrame | N
                 yield np.stack([x, y])[:, bits.may_link(x, y)]
 
     def pairs_of(held: list[pa.RecordBatch]) -> np.ndarray:
-        """Pairs of sids, least first, of all lists of one group."""
+        """Pairs of sids, least first, of all lists of one group, or of whole groups unless ``every``."""
         rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
         sid, label, size = (rows.column(c).to_numpy().astype(np.int64) for c in ("sid", "label", "size"))
         if len(sid) < 2 or label.min() == label.max():
@@ -427,41 +458,55 @@ def cross_pairs(lists: DataFrame, percent: int, every: bool, sets: DataFrame | N
         listed = rows.column("rows")
         token, pos, own = (listed.flatten().field(c).to_numpy().astype(np.int64) for c in ("token", "pos", "own"))
         sets = np.repeat(np.arange(len(sid)), listed.value_lengths().to_numpy())
+        group = np.zeros(len(sid), dtype=np.int64)
+        group[1:] = np.cumsum(changes(rows))
         split = rows.column("part")[0] != rows.column("other")[0]
-        by = np.lexsort((sid[sets], size[sets], token))
+        by = np.lexsort((sid[sets], size[sets], token, group[sets]))
         token, pos, own, sets = token[by], pos[by], own[by], sets[by]
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1, [len(token)]))
+        cuts = np.flatnonzero((np.diff(token) != 0) | (np.diff(group[sets]) != 0)) + 1
+        cuts = np.concatenate(([0], cuts, [len(token)]))
+        if every:
+            x, y = every_pair(cuts, sets, pos, own, split, label, bits)
+        else:
+            x, y = next_pairs(sets, np.repeat(cuts[1:], np.diff(cuts)), label, bits)
+        return np.stack([np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])])
+
+    def every_pair(
+        cuts: np.ndarray, sets: np.ndarray, pos: np.ndarray, own: np.ndarray, split: bool, label: np.ndarray, bits: Bits
+    ) -> tuple[np.ndarray, np.ndarray]:
         out = [np.zeros(0, dtype=np.int64)]
         waiting = 0
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             mine = slice(a, b)
-            found = compare(sets[mine], pos[mine], own[mine], split, label, bits) if every else neighbours(sets[mine], label, bits)
-            for x, y in found:
-                out.append(np.minimum(x, y) * len(sid) + np.maximum(x, y))
+            for x, y in compare(sets[mine], pos[mine], own[mine], split, label, bits):
+                out.append(np.minimum(x, y) * len(label) + np.maximum(x, y))
                 waiting += len(x)
             if waiting > HELD_PAIRS:
                 out, waiting = [np.unique(np.concatenate(out))], 0
-        x, y = np.divmod(np.unique(np.concatenate(out)), len(sid))
-        if every:
-            keep = bits.still_may(x, y)
-            x, y = x[keep], y[keep]
-        return np.stack([np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])])
+        x, y = np.divmod(np.unique(np.concatenate(out)), len(label))
+        keep = bits.still_may(x, y)
+        return x[keep], y[keep]
+
+    def changes(rows: pa.RecordBatch) -> np.ndarray:
+        """Which rows but the first begin a group."""
+        keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in key])
+        return (np.diff(keys) != 0).any(axis=0)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now: tuple | None = None
-        held: list[pa.RecordBatch] = []
+        held: list[pa.RecordBatch] = []  # of the group that the last batch ended in
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in key])
-            cuts = np.concatenate(([0], np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1, [batch.num_rows]))
-            found = []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                if tuple(keys[:, a].tolist()) != now:
-                    if held:
-                        found.append(pairs_of(held))
-                    now, held = tuple(keys[:, a].tolist()), []
-                held.append(batch.slice(a, b - a))
+            cuts = np.flatnonzero(changes(batch)) + 1
+            if held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in key):
+                cuts = np.concatenate(([0], cuts))
+            if len(cuts) and not every:
+                cuts = cuts[-1:]  # the whole groups up to there are read together
+            found, first = [], 0
+            for cut in cuts.tolist():
+                found.append(pairs_of([*held, batch.slice(first, cut - first)]))
+                held, first = [], cut
+            held.append(batch.slice(first))
             yield batch_of(found)
         if held:
             yield batch_of([pairs_of(held)])

@@ -9,6 +9,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -549,6 +551,46 @@ def test_components_of_nothing(empty):
     assert jaccard_join.link_components(empty).count() == 0
 
 
+def test_next_pairs_of_all_lists_are_compared_once(monkeypatch):
+    """Forty lists hold the same sets, others parts of them: pairs are those of list by list, bitmaps meet once."""
+    random = np.random.default_rng(7)
+    base = random.integers(0, 1 << 63, 400, dtype=np.uint64)
+    values = [np.sort(np.append(base[: 300 + i], random.integers(0, 1 << 63, 2 + 9 * (i % 5), dtype=np.uint64))) for i in range(30)]
+    size = np.array([len(v) for v in values])
+    by = np.argsort(size, kind="stable")
+    values, size = [values[i] for i in by], size[by]
+    wide = [jaccard_join.bitmaps(np.array([0, len(v)]), v)[1][0].as_py() for v in values]
+    bits, label = jaccard_join.Bits(wide, size, 75), random.integers(0, 6, 30)
+    lists = [np.arange(30)] * 40 + [np.flatnonzero(random.random(30) < 0.5) for _ in range(20)]
+
+    def one(mine):
+        for i, x in enumerate(mine):
+            for y in mine[i + 1: i + 1 + jaccard_join.NEXT]:
+                a, b = np.array([x]), np.array([y])
+                if label[x] != label[y] and bits.may_link(a, b)[0] and bits.still_may(a, b)[0]:
+                    yield int(x), int(y)
+                    break
+
+    expected = {pair for mine in lists for pair in one(mine)}
+    compared, real = [], jaccard_join.Bits.may_link
+    monkeypatch.setattr(jaccard_join.Bits, "may_link", lambda self, x, y: compared.append(len(x)) or real(self, x, y))
+    ends = np.cumsum([len(mine) for mine in lists])
+    got = jaccard_join.next_pairs(np.concatenate(lists), np.repeat(ends, np.diff(ends, prepend=0)), label, bits)
+    assert {(a, b) for a, b in got.T.tolist()} == expected and len(expected) == got.shape[1] > 20
+    assert len(compared) <= jaccard_join.NEXT and sum(compared) < 30 * 29
+
+
+def test_shingles_are_sorted_by_text_short_texts_between_long_ones():
+    texts = ["b a", "e d c b a f g e d c b a", "", "x", "a b c d e f g h i", "a b c d e"]
+    raw, at = jaccard_join.buffers(pa.array(texts))
+    text, value = jaccard_join.shingles(raw, at)
+    assert text.tolist() == [0] + [1] * 7 + [3] + [4] * 5 + [5]
+    for i, t in enumerate(texts):
+        alone = np.frombuffer(t.encode(), dtype=np.uint8)
+        mine = value[text == i].tolist()
+        assert mine == sorted(set(mine)) == jaccard_join.shingles(alone, np.array([0, len(alone)]))[1].tolist()
+
+
 # 8
 
 def test_verdicts(spark, data, empty):
