@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollforge.llm.common import table
+from rollforge.llm.common import small_batches, table
 from rollforge.llm.double_array import DoubleArray, digits_of, spelled
 from rollforge.llm.textscan import buffers, lower_ascii, pieces
 from rollforge.plans.skew import hash_position
@@ -475,26 +475,27 @@ def collocations(
     rows = docs.select(
         F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    counts = materialize(count_words(rows).groupBy("lang", "word").agg(F.sum("n").alias("n")), "word_counts")
-    totals = materialize(counts.groupBy("lang").agg(F.sum("n").alias("total")), "language_totals")
-    frequent = counts.where(F.col("n") >= min_count)
-    coded = materialize(
-        hash_position(frequent.select("word").distinct(), "word", seed=0, name="position")
-        .select("word", (F.col("position") + 1).cast("int").alias("code")), "vocabulary",
-    )
-    n_words = coded.count()
-    overlap = max_words
-    if n_words <= sent_words:
-        sent = coded.orderBy("code").select("word").toArrow().column("word").combine_chunks()
-        encoded = encode_sent(rows, sent, overlap)
-    else:
-        encoded = encode_shuffled(rows, coded, overlap)
-    texts = materialize(encoded, "coded_texts")
-    found = materialize(
-        frequent_phrases(
-            texts, frequent.join(coded, "word"), min_count, max_words, trie_phrases, digits_of(n_words)
-        ), "frequent_phrases",
-    )
+    with small_batches(docs.sparkSession):
+        counts = materialize(count_words(rows).groupBy("lang", "word").agg(F.sum("n").alias("n")), "word_counts")
+        totals = materialize(counts.groupBy("lang").agg(F.sum("n").alias("total")), "language_totals")
+        frequent = counts.where(F.col("n") >= min_count)
+        coded = materialize(
+            hash_position(frequent.select("word").distinct(), "word", seed=0, name="position")
+            .select("word", (F.col("position") + 1).cast("int").alias("code")), "vocabulary",
+        )
+        n_words = coded.count()
+        overlap = max_words
+        if n_words <= sent_words:
+            sent = coded.orderBy("code").select("word").toArrow().column("word").combine_chunks()
+            encoded = encode_sent(rows, sent, overlap)
+        else:
+            encoded = encode_shuffled(rows, coded, overlap)
+        texts = materialize(encoded, "coded_texts")
+        found = materialize(
+            frequent_phrases(
+                texts, frequent.join(coded, "word"), min_count, max_words, trie_phrases, digits_of(n_words)
+            ), "frequent_phrases",
+        )
     best = scored(found, totals).join(contained(found, max_words), ["lang", "phrase"], "left")
     best = best.where(F.col("most").isNull() | (F.col("most") * 100 < F.col("a") * 100))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

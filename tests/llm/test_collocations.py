@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 
 from rollforge.llm import collocations as co
+from rollforge.llm.common import BATCH_BYTES
 from rollforge.llm.double_array import DoubleArray, spelled
 from rollforge.llm.textscan import buffers
 
@@ -144,6 +145,22 @@ def test_bucket_sums_are_one_row_a_run(spark, min_count):
     assert counts == {(7, 2): min_count}
 
 
+def test_tasks_get_texts_in_small_batches(spark, monkeypatch):
+    """24 MB of codes in one task come a few MB at a time, not as one batch."""
+    docs = spark.range(40, numPartitions=1).selectExpr("'en' as lang", "repeat('aa b ', 75000) as text")
+    sizes, counted = [], co.bucket_sums
+
+    def seen(texts, *args):
+        each = texts.mapInArrow(lambda batches: (pa.record_batch({"n": [b.nbytes]}) for b in batches), "n long")
+        sizes.append([r.n for r in each.collect()])
+        return counted(texts, *args)
+
+    monkeypatch.setattr(co, "bucket_sums", seen)
+    before = spark.conf.get(BATCH_BYTES)
+    assert co.collocations(docs, max_words=2).count() == 2
+    assert sum(sizes[0]) > 20 << 20 and max(sizes[0]) < 8 << 20 and spark.conf.get(BATCH_BYTES) == before
+
+
 def test_products_beyond_64_bits(spark):
     big = 10**14
     found = spark.createDataFrame(
