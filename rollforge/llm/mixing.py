@@ -154,8 +154,12 @@ def mix(
         rows.withColumn("key", source_key()).groupBy("doc_id", "key", "source", "size", *kept[1:])
         .agg(F.count(F.lit(1)).alias("n")), "sizes",
     )
-    sums = rows.groupBy("key", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    goals = materialize(targets(sums, weights, share, most), "targets")
+    sources = materialize(
+        rows.groupBy("key", "source").agg(
+            F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count(F.lit(1)).alias("docs")
+        ), "sources",
+    )
+    goals = materialize(targets(sources, weights, share, most), "targets")
     block = block_words(goals, block)
     shard_quotas = quotas(goals, block, shards, most).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("shard", "until"))).alias("until"), F.max("blocks").alias("blocks")
@@ -163,7 +167,7 @@ def mix(
     plan = goals.join(shard_quotas, "key", "left").select(
         "key", "source_size", "target", "blocks", F.col("until.until").alias("until")
     )
-    count = rows.agg(F.count(F.lit(1))).first()[0]
+    count = sources.agg(F.sum("docs")).first()[0] or 0
     buckets = max(1, math.ceil(count / BUCKET_ROWS))
     rows = rows.withColumn("hash", F.xxhash64(F.lit(seed), "doc_id", "size")).withColumn(
         "bucket", F.pmod("hash", F.lit(buckets))
@@ -177,9 +181,11 @@ def mix(
     placed = rows.withColumn("inside", F.coalesce(F.sum(words).over(inside), F.lit(0))).join(
         offsets.drop("docs"), ["key", "bucket"]
     )
-    placed = placed.select("doc_id", "key", "size", *kept[1:], "n", (F.col("__offset") + F.col("inside")).alias("start"))
-    weights_of = rows.groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
-    full = materialize(plan.join(weights_of, "key"), "plan")
+    # written, because attach() has it in its plan twice: with windows and joins that fills the driver
+    placed = materialize(
+        placed.select("doc_id", "key", "size", *kept[1:], "n", (F.col("__offset") + F.col("inside")).alias("start")), "placed",
+    )
+    full = materialize(plan.join(sources.select("key", "docs"), "key"), "plan")
     found = copies(attach(placed, full, ["key"], "docs"), "n", "copy")
 
     start = F.col("start") + F.col("copy") * F.col("size")

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -129,15 +130,16 @@ def terms(text: str) -> set[str]:
     return words | {f"{w[:n]}*" for w in words for n in STEMS if len(w) >= n}
 
 
-def term_counts(sample: DataFrame, only: frozenset[str] | None = None) -> DataFrame:
+def term_counts(sample: DataFrame, only: pa.Array | None = None) -> DataFrame:
     """(part, term, n): how many texts of a part have each term (of ``only``)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, Counter[str]] = {}
+        wanted = None if only is None else frozenset(only.to_pylist())
         for batch in batches:
             for part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 mine = terms(text or "")
-                found.setdefault(part, Counter()).update(mine if only is None else mine & only)
+                found.setdefault(part, Counter()).update(mine if wanted is None else mine & wanted)
         for part, counted in found.items():
             yield pa.RecordBatch.from_arrays(
                 [
@@ -166,14 +168,14 @@ def learn_lexicons(
         return [Lexicon({})] * (parts + 1)
     least = max(2, int(np.ceil(evidence / (2 * np.log(1 / share)))))  # fewer texts can't reach the evidence
     toxic = materialize(term_counts(sample.where(F.col("label") == 1)), "toxic_terms")
-    often = toxic.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("term").toPandas()["term"]
-    index = {t: i for i, t in enumerate(often)}
-    counts = np.zeros((2, parts, len(index)))
-    for label, found in ((1, toxic), (0, term_counts(sample.where(F.col("label") == 0), frozenset(index)))):
+    often = toxic.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("term").toArrow()
+    often = often.column("term").combine_chunks()  # Arrow, not Python strings: those stay in the driver's memory
+    counts = np.zeros((2, parts, len(often)))
+    for label, found in ((1, toxic), (0, term_counts(sample.where(F.col("label") == 0), often))):
         rows = found.where(F.col("n") > 0).join(F.broadcast(toxic.groupBy("term").agg(
-            F.sum("n").alias("all")).where(F.col("all") >= least).select("term")), "term").toPandas()
-        counts[label, rows["part"], rows["term"].map(index)] = rows["n"]
-    names = np.array(list(index), dtype=object)
+            F.sum("n").alias("all")).where(F.col("all") >= least).select("term")), "term").toArrow()
+        place = pc.index_in(rows.column("term"), value_set=often).to_numpy()
+        counts[label, rows.column("part").to_numpy(), place] = rows.column("n").to_numpy()
     out = []
     for left_out in range(parts + 1):
         keep = np.arange(parts) != left_out
@@ -190,8 +192,9 @@ def learn_lexicons(
             )
         odds = np.log((k + 0.5) / (bad + 1)) - np.log((m + 0.5) / (good + 1))
         fit = np.flatnonzero((ratio >= evidence) & (p > 4 * q))
-        fit = fit[np.lexsort((names[fit].astype(str), -ratio[fit]))][:most]
-        out.append(Lexicon({names[i]: float(odds[i]) for i in fit}))
+        names = often.take(pa.array(fit)).to_pylist()
+        first = np.lexsort((np.array(names, dtype=str), -ratio[fit]))[:most]
+        out.append(Lexicon({names[i]: float(odds[fit[i]]) for i in first}))
     return out
 
 

@@ -719,6 +719,12 @@ def test_quotas_follow_highest_quotients(spark):
         assert {r.key: r.quota for r in got if r.shard == h} == {s: part[s] for s in sizes}
 
 
+def test_documents_of_a_mix_are_placed_once(spark, data):
+    """Windows and joins that place the documents are not part of the plan that is run for both kinds of sources."""
+    plan = mixing.mix(spark.read.parquet(f"{data}/documents.parquet"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join") == 3
+
+
 def test_mix_shards_take_their_quotas(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     got = mixing.mix(docs, keep_source=True, shards=5).collect()
