@@ -278,21 +278,23 @@ def _discounted(rho: float):
         cells = 2_000_000
         for batch in batches:
             out = []
-            arrays = [np.asarray(a, dtype="float64") for a in batch]
+            arrays = [None if a is None else np.asarray(a, dtype="float64") for a in batch]
+            sizes = [0 if a is None else len(a) for a in arrays]
             start = 0
             while start < len(arrays):
                 stop, width = start, 0
                 while stop < len(arrays):
-                    wider = max(width, len(arrays[stop]))
+                    wider = max(width, sizes[stop])
                     if stop > start and wider * (stop - start + 1) > cells:
                         break
                     stop, width = stop + 1, wider
                 block = np.zeros((stop - start, width))
-                for i, a in enumerate(arrays[start:stop]):
-                    block[i, : len(a)] = a
+                for i, n in enumerate(sizes[start:stop]):
+                    if n:
+                        block[i, :n] = arrays[start + i]
                 for t in range(width - 2, -1, -1):
                     block[:, t] += rho * block[:, t + 1]
-                out.extend(block[i, : len(a)] for i, a in enumerate(arrays[start:stop]))
+                out.extend(None if a is None else block[i, : len(a)] for i, a in enumerate(arrays[start:stop]))
                 start = stop
             yield pd.Series(out, index=batch.index, dtype=object)
 
@@ -302,10 +304,17 @@ def _discounted(rho: float):
 def gae(
     df: DataFrame, rewards: str = "token_rewards", values: str = "values", gamma: float = 1.0, lam: float = 0.95
 ) -> DataFrame:
-    """Generalised advantages and returns per token; no shuffle."""
-    delta = N.bound({"r": F.col(rewards), "v": F.col(values)}, lambda row: F.transform(
-        row["r"], lambda r, i: r + F.coalesce(F.get(row["v"], i + 1), F.lit(0.0)) * gamma - F.get(row["v"], i)))
-    rows = df.withColumn("advantages", _discounted(gamma * lam)(delta))
+    """Generalised advantages and returns per token; no shuffle.
+
+    Spark does not run a Python function whose argument holds a lambda that uses
+    a variable of a lambda around it, and a column of ``df`` may bring one into the
+    argument. The explode of one array keeps all lambdas below the function.
+    """
+    delta = F.transform(
+        F.col(rewards),
+        lambda r, i: r + F.coalesce(F.get(F.col(values), i + 1), F.lit(0.0)) * gamma - F.get(F.col(values), i))
+    rows = df.withColumn("__delta", F.explode(F.array(delta)))
+    rows = rows.withColumn("advantages", _discounted(gamma * lam)(F.col("__delta"))).drop("__delta")
     return rows.withColumn("returns", F.zip_with("advantages", values, lambda a, v: a + v))
 
 

@@ -329,3 +329,26 @@ def test_token_arrays_are_computed_once_a_row(spark):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert "sequence(" in plan and "get(transform(sequence(" not in plan
     assert [r[0] for r in rewards.orderBy("id").select("token_rewards").collect()] == [[-0.5 * i] * (6 + i) + [2.0 - 0.5 * i] for i in (1, 2, 3)]
+
+
+def test_gae_takes_derived_columns(spark):
+    """Rewards and values that hold lambdas in lambdas, alone or with other columns; null and empty arrays."""
+    rows = [(1, [1.0, -2.0, 0.5], [0.5, 0.25, 1.0, 4.0]), (2, [], []), (3, None, [1.0]), (4, [1.0], None), (5, [1.0, 2.0], [None, 0.5]), (6, [3.0], [1.0])]
+    df = spark.createDataFrame(rows, "seq_id int, r array<double>, v array<double>").coalesce(1)
+
+    def same(c):
+        return N.bound({"a": F.col(c), "zero": F.lit(0.0)}, lambda row: F.transform(
+            row["a"], lambda x, i: x * 1.0 + row["zero"] * i + F.coalesce(F.get(row["a"], i + 1), F.lit(0.0)) * 0.0))
+
+    want = {1: [0.5 + 0.9 * 0.25 + 0.72 * (-2.25 + 0.9 + 0.72 * (-0.5 + 0.9 * 4.0)), -2.25 + 0.9 + 0.72 * (-0.5 + 0.9 * 4.0), -0.5 + 0.9 * 4.0],
+            2: [], 3: None, 4: [None], 5: [None, 1.5], 6: [2.0]}
+    for columns in ({}, {"r": same("r")}, {"v": same("v")}, {"r": same("r"), "v": same("v")}):
+        out = Y.gae(df.withColumns(columns), "r", "v", gamma=0.9, lam=0.8)
+        assert out.columns == ["seq_id", "r", "v", "advantages", "returns"]
+        for found in (out, out.select("seq_id", "advantages")):
+            got = {x["seq_id"]: x["advantages"] for x in found.collect()}
+            assert got == {k: a if a is None else [x if x is None else pytest.approx(x) for x in a] for k, a in want.items()}
+    logps = df.select("seq_id", F.col("r").alias("logps"), F.col("r").alias("ref_logps"), F.col("v").alias("values"),
+                      F.array(*[F.lit(i).cast("bigint") for i in (5, 2, 0)]).alias("token_ids"), F.lit(1.5).alias("score"))
+    found = Y.gae(Y.token_rewards(logps)).select(F.get("advantages", F.lit(2)).alias("third")).collect()
+    assert [x["third"] for x in found if x["third"] is not None] == [1.5 + 4.0 - 1.0]
