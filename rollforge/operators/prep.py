@@ -45,13 +45,14 @@ def _words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about ``SLICE_BYTES`` by ``sizes``, one row at least: what
-    is made of a run goes by its bytes, not by the rows of a batch."""
-    part = (np.cumsum(sizes, dtype=np.int64) - sizes) // SLICE_BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
-    for start, stop in zip(cuts, cuts[1:]):
-        if stop > start:
-            yield batch.slice(start, stop - start)
+    """The batch in runs of rows, each up to the row that brings it to ``SLICE_BYTES`` by
+    ``sizes``: what is made of a run goes by its bytes, not by the rows of a batch."""
+    before = np.cumsum(sizes, dtype=np.int64) - sizes
+    start = 0
+    while start < len(before):
+        stop = int(np.searchsorted(before, before[start] + SLICE_BYTES))
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 def _by_text(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
