@@ -187,6 +187,21 @@ def test_cycle_to_n_paths_agree(spark, monkeypatch):
     assert S.cycle_to_n(df, "key", 8).columns == ["key", "row"]
 
 
+def test_diversity_shuffles_once(spark):
+    """Null, empty and spaced answers, repeated rows and sample numbers, null keys and numbers, a question without answers."""
+    schema = "run_id string, epoch int, question_id long, sample_idx int, decode string, given string, truth string, correct boolean"
+    samples = [(0, "a"), (0, "a"), (0, "b"), (1, "a"), (2, None), (-1, ""), (3, " a"), (None, "x"), (10, "out")]
+    rows = [("r", 0, q, i, "sample", a, "7", False) for q in (1, None) for i, a in samples]
+    rows += [("r", 0, 1, 4, "greedy", "g", "7", False), ("r", 0, 1, 5, None, "y", "7", False), ("r", 0, 4, 0, "greedy", "g", "7", False)]
+    rows += [("r", 0, 2, i, "sample", None, None, None) for i in range(2)] + [(None, None, 3, i, "sample", "7", "7", True) for i in range(10)]
+    found = E.diversity(spark.createDataFrame(rows, schema).repartition(3))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_collect_set(given" in plan
+    got = {r["question_id"]: (r["distinct_answers"], r["all_same"]) for r in found.collect()}
+    assert got == {1: (4, False), None: (4, False), 2: (0, False), 3: (1, True)}
+    assert found.dtypes[-2:] == [("distinct_answers", "bigint"), ("all_same", "boolean")]
+
+
 def test_bootstrap_draws_per_class(spark):
     df = spark.range(60).select(F.col("id").alias("key"), (F.col("id") < 10).alias("good"))
     sizes = {r["good"]: r["count"] for r in S.bootstrap_sample(df, "key", "good", 20).groupBy("good").count().collect()}
