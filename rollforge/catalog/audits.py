token_rewards_k3, token_rewards: rewards are computed once, not also for a filter at the scan

Symptom: 952 CPU seconds a GB and 1.6 of 6 cores busy; a stage of one task takes 3 of them all, before the orders are dealt out.
Evidence: for posexplode Spark adds a filter on the size of the rewards array and pushes it below the repartition of the orders; there it builds the token arrays and all rewards of a row, and drops them.
Fix: posexplode_outer and a filter on the position, which gives the same rows; null and empty arrays still give none.
Effect: at 1 GB of input CPU 652 -> 452 s, shuffle 0.09 -> 0.09 GB, spill 0.00 -> 0.00 GB, read 0.09 -> 0.09 GB, longest task 25 -> 11 s, most memory of a task 0 -> 0 MB; at 6 GB of input CPU 3384 -> 2246 s, shuffle 0.59 -> 0.59 GB, spill 0.00 -> 0.00 GB, read 0.52 -> 0.52 GB, longest task 119 -> 12 s, most memory of a task 336 -> 336 MB; with hot keys, at 1 GB of input CPU 628 -> 444 s, shuffle 0.09 -> 0.09 GB, spill 0.00 -> 0.00 GB, read 0.08 -> 0.08 GB, longest task 25 -> 11 s, most memory of a task 0 -> 0 MB.

@@ -641,7 +641,9 @@ def _token_rewards_query(estimator: str) -> None:
            ctes=_token_reward_ctes(estimator), sql=f"SELECT seq_id, pos, {q('reward', 'reward')} FROM tr")
     def _(spark, sf):
         r = Y.token_rewards(T.sequences(spark, sf), 0.05, estimator)
-        return r.select("seq_id", F.posexplode("token_rewards").alias("pos", "reward")).withColumn("reward", rounded("reward"))
+        # for posexplode Spark filters by the array's size where the orders are scanned, and computes all rewards for it
+        tokens = r.select("seq_id", F.posexplode_outer("token_rewards").alias("pos", "reward")).where("pos IS NOT NULL")
+        return tokens.withColumn("reward", rounded("reward"))
 
 
 for _e in ("k1", "k3"):

@@ -125,6 +125,25 @@ def test_token_reward_position(spark):
     assert out == {1: [-0.5, -0.5, 2.0, 0.0], 2: [-0.5, -0.5, -0.5, 2.5], 3: [-0.5, 4.0, 0.0, 0.0]}
 
 
+@pytest.mark.parametrize("name", ["token_rewards", "token_rewards_k3"])
+def test_token_rewards_are_computed_once(spark, tmp_path, name):
+    """No filter on the rewards below the shuffle; orders without tokens (null keys, no length) have no rows, repeated ones come twice."""
+    import __spark_entry__
+    from rollforge.catalog.registry import rounded
+    from rollforge.sources import tables as T
+
+    rows = [(1, 3), (2, 4), (2, 4), (5, None), (None, 6), (None, None), (7, -17), (9, 0)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    found = __spark_entry__.queries()[name](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Filter ") == 1 and "Filter isnotnull(pos" in plan
+    arrays = Y.token_rewards(T.sequences(spark, str(tmp_path)), 0.05, "k1" if name == "token_rewards" else "k3")
+    want = arrays.select("seq_id", F.posexplode("token_rewards").alias("pos", "reward")).withColumn("reward", rounded("reward"))
+    got = sorted(map(tuple, found.collect()), key=str)
+    assert found.dtypes == want.dtypes and got == sorted(map(tuple, want.collect()), key=str)
+    assert {r[0] for r in got} >= {1, 2, 9} and 5 not in {r[0] for r in got} and sum(r[:2] == (2, 0) for r in got) == 2
+
+
 def test_run_summary_series(spark):
     rows = [(1, s, n, v) for s in range(5) for n, v in (("loss", 1.0 - 0.1 * s), ("reward", 0.5 + 0.1 * s))]
     df = spark.createDataFrame(rows, "run_id int, step int, name string, value double")
